@@ -45,11 +45,21 @@ _PARTIALS = ["n", "unidades", "ingreso", "costo_total", "margen", "ratio_sum", "
              "ratio_pos_n", "costo_sum", "costo_n", "pct_sum", "pct_n"]
 
 
+UNIT = "decimal(24,6)"
+
+
+def unit_price(amount="monto_mxn", units="cantidad") -> F.Column:
+    """amount / units carried at 6 decimals as DECIMAL, so sums and means do not depend on the
+    order rows are added in (a DOUBLE mean of ties like x.xx5 can land on either side)."""
+    return round_double(safe_div(amount, units), 6).cast(UNIT)
+
+
 def margin_base(fact_ventas: DataFrame) -> DataFrame:
-    """Additive partial aggregates of the rows with a known cost and margin."""
+    """Additive partial aggregates of the rows with a known cost and margin (exact DECIMAL sums)."""
     v = fact_ventas.where(F.col("costo_mxn").isNotNull() & F.col("margen_mxn").isNotNull())
-    ratio = safe_div("monto_mxn", "cantidad")
+    ratio = unit_price()
     pos_ratio = F.when(F.col("cantidad") > 0, ratio)
+    pct = round_double("margen_pct", 6).cast(UNIT)
     return v.groupBy(*DETAIL_KEYS).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("cantidad").alias("unidades"),
@@ -58,13 +68,14 @@ def margin_base(fact_ventas: DataFrame) -> DataFrame:
         F.sum("margen_mxn").alias("margen"),
         F.sum(ratio).alias("ratio_sum"), F.count(ratio).alias("ratio_n"),
         F.sum(pos_ratio).alias("ratio_pos_sum"), F.count(pos_ratio).alias("ratio_pos_n"),
-        F.sum(F.col("costo_mxn").cast("double")).alias("costo_sum"), F.count("costo_mxn").alias("costo_n"),
-        F.sum("margen_pct").alias("pct_sum"), F.count("margen_pct").alias("pct_n"),
+        F.sum("costo_mxn").alias("costo_sum"), F.count("costo_mxn").alias("costo_n"),
+        F.sum(pct).alias("pct_sum"), F.count(pct).alias("pct_n"),
     )
 
 
 def _mean(s, n) -> F.Column:
-    return F.col(s) / F.when(F.col(n) > 0, F.col(n).cast("double"))
+    """Exact sum / count, one DOUBLE division."""
+    return F.col(s).cast("double") / F.when(F.col(n) > 0, F.col(n).cast("double"))
 
 
 def national_price(base: DataFrame) -> DataFrame:
