@@ -53,7 +53,8 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     iv = validity_intervals(right, by, right_on, value_cols, tiebreak, open_start=fallback_first)
     ren = {c: "_r_" + c for c in by + value_cols}
     iv = iv.select(*[F.col(c).alias(ren.get(c, c)) for c in iv.columns])
-    iv = bounded_broadcast(iv, broadcast_rows) if broadcast_rows else bounded_broadcast(iv)
+    if broadcast_rows:
+        iv = bounded_broadcast(iv, broadcast_rows)
     ts = F.col(left_on).cast("timestamp_ntz")
     cond = [F.col(b) == F.col(ren[b]) for b in by]
     cond.append(F.col("_lo").isNull() | (ts >= F.col("_lo").cast("timestamp_ntz")))
@@ -97,7 +98,7 @@ def build_fact_ventas_con_costo(fact_ventas: DataFrame, catalogo: DataFrame, dim
     back to the earliest. Name and category come from the matched catalogue row the same way.
     """
     by_sku = unique_lookup(dim_producto, "sku_pos", ["product_id", "sku_erp"], on_duplicate="raise")
-    fv = fact_ventas.join(bounded_broadcast(by_sku), "sku_pos", "left")
+    fv = fact_ventas.join(by_sku, "sku_pos", "left")
     cat = catalogo.select("sku_erp", "fecha_vigencia", "pos", "costo_mxn", "nombre", "categoria")
     fv = asof_join(fv, cat, ["sku_erp"], "fecha", "fecha_vigencia", ["costo_mxn", "nombre", "categoria"],
                    tiebreak=["pos"], fallback_first=True)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kardex.functions.joins import bounded_broadcast, unique_lookup
+from kardex.functions.joins import unique_lookup
 from kardex.functions.numeric import MONEY, parse_count, signed_by_type
 
 FACT_COLUMNS = ["order_id", "fecha", "tienda_id", "sku_pos", "cantidad", "monto_mxn", "canal"]
@@ -60,11 +60,10 @@ def convert_currency(df: DataFrame, exchange_rates: DataFrame, amount_col: str =
     """amount -> home currency with the rate of the sale's day, else the currency's fallback rate.
 
     Home-currency rows are not multiplied. ``on_missing="raise"`` fails the job when a foreign
-    currency has no rate at all. Rate tables are bounded by days x currencies, so they are
-    broadcast after a size check.
+    currency has no rate at all. The day-rate table is bounded by days x currencies; the planner
+    broadcasts it when its measured size is under the broadcast threshold.
     """
     day_rate, fallback = fx_tables(exchange_rates)
-    day_rate = bounded_broadcast(day_rate)
     fallback = F.broadcast(fallback)  # one row per currency
     j = (df.withColumn("_fx_day", F.to_date(ts_col))
            .join(day_rate, (F.col("_fx_day") == F.col("fx_day")) & (F.col(currency_col) == F.col("fx_currency")), "left")
@@ -88,7 +87,6 @@ def transform_ecommerce(ecommerce: DataFrame, dim_producto: DataFrame, exchange_
     listed twice keeps one deterministic row.
     """
     handles = unique_lookup(dim_producto, "handle", ["sku_pos"], on_duplicate="last")
-    handles = bounded_broadcast(handles)
     df = ecommerce.join(handles, ecommerce["product_handle"] == handles["handle"], "left").drop("handle")
     df = convert_currency(df, exchange_rates, on_missing=on_missing_rate)
     return df.select(
@@ -116,7 +114,6 @@ def build_fact_inventario(snapshots: DataFrame, dim_producto: DataFrame) -> Data
     """Snapshots + (product_id, sku_pos) looked up by ERP code; an ERP code listed twice in the
     product dimension fails the job."""
     lookup = unique_lookup(dim_producto, "sku_erp", ["product_id", "sku_pos"], on_duplicate="raise")
-    lookup = bounded_broadcast(lookup)
     df = snapshots.join(lookup, "sku_erp", "left")
     return df.select("fecha", "tienda_id", "product_id", "sku_pos", "sku_erp",
                      F.col("cantidad_en_stock").cast("bigint").alias("cantidad_en_stock"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kardex.functions.joins import bounded_broadcast, sequence_number
+from kardex.functions.joins import sequence_number
 
 DIM_PRODUCTO_COLUMNS = ["product_id", "sku_pos", "sku_erp", "handle", "nombre", "categoria"]
 
@@ -49,7 +49,7 @@ def build_dim_producto(sku_map: DataFrame, catalogo: DataFrame, ecommerce: DataF
     """
     cat_latest = latest_attributes(catalogo)
     base = sku_map.select("sku_pos", "sku_erp", "handle").join(
-        bounded_broadcast(cat_latest), "sku_erp", "left")
+        cat_latest, "sku_erp", "left")
     parts = [base.select("sku_pos", "sku_erp", "handle", "nombre", "categoria")]
 
     mapped_pos = sku_map.select("sku_pos").where(F.col("sku_pos").isNotNull()).distinct()

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kardex.functions.dates import date_between
-from kardex.functions.joins import bounded_broadcast
 from kardex.functions.numeric import round_double
 from kardex.operators.conform import PHYSICAL
 
@@ -68,7 +67,7 @@ def lost_sales(runs: DataFrame, fact_ventas: DataFrame, dim_tiendas: DataFrame,
                      F.col("r.inicio_quiebre").alias("inicio_quiebre"), F.col("r.fin_quiebre").alias("fin_quiebre"),
                      F.col("r.dias_en_quiebre").alias("dias_en_quiebre")).agg(
         F.coalesce(F.sum("d.unidades").cast("double") / F.lit(float(lookback_days)), F.lit(0.0)).alias("_avg"))
-    stores = bounded_broadcast(dim_tiendas.select("tienda_id", "ciudad", "region"))
+    stores = dim_tiendas.select("tienda_id", "ciudad", "region")
     out = look.join(stores, "tienda_id", "left")
     return out.select(
         "tienda_id", "ciudad", "region", "sku_pos", "inicio_quiebre", "fin_quiebre",

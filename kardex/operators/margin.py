@@ -14,7 +14,6 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kardex.functions.joins import bounded_broadcast
 from kardex.functions.numeric import round_double, round_money, safe_div
 
 DETAIL_KEYS = ["sku_pos", "nombre", "categoria", "tienda_id", "canal"]
@@ -98,12 +97,12 @@ def margin_detail(base: DataFrame, dim_tiendas: DataFrame) -> DataFrame:
         round_double(_mean("costo_sum", "costo_n"), 2).alias("costo_unitario_promedio"),
         round_double(_mean("pct_sum", "pct_n"), 2).alias("margen_prom_pct"),
     )
-    d = d.join(bounded_broadcast(national_price(base)), "sku_pos", "left")
+    d = d.join(national_price(base), "sku_pos", "left")
     cause = (F.when(F.col("precio_venta_promedio") < F.col("precio_nacional_promedio") * F.lit(LOW_PRICE_FACTOR), CAUSE_LOW_PRICE)
               .when((F.col("num_transacciones") <= PROMO_MAX_TRANSACTIONS) & (F.col("unidades") <= PROMO_MAX_UNITS), CAUSE_PROMO)
               .otherwise(CAUSE_SHRINK))
     d = d.withColumn("posible_causa", cause)
-    stores = bounded_broadcast(dim_tiendas.select("tienda_id", "ciudad", "region"))
+    stores = dim_tiendas.select("tienda_id", "ciudad", "region")
     return d.join(stores, "tienda_id", "left").select(*DETAIL_COLUMNS)
 
 

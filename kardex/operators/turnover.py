@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kardex.functions.dates import date_between, in_day_range
-from kardex.functions.joins import bounded_broadcast
 from kardex.functions.numeric import round_double
 from kardex.operators.conform import ONLINE, PHYSICAL
 
@@ -34,7 +33,7 @@ def average_stock(fact_inventario: DataFrame, start=None, end=None) -> DataFrame
 def turnover(fact_ventas: DataFrame, fact_inventario: DataFrame, start=None, end=None) -> DataFrame:
     """All SKUs with a defined extended turnover (SKUs without stock drop out)."""
     units = units_by_sku(fact_ventas, start, end)
-    stock = bounded_broadcast(average_stock(fact_inventario, start, end))
+    stock = average_stock(fact_inventario, start, end)
     r = units.join(stock, "sku_pos", "left")
     stock_or_0 = F.coalesce(F.col("stock_promedio"), F.lit(0.0))
     per_stock = lambda c: F.when(stock_or_0 == 0, F.lit(None).cast("double")).otherwise(

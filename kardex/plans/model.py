@@ -1,16 +1,29 @@
 """The star-schema model: sources -> dim_producto, fact_ventas (with cost and margin),
-dim_tiendas, fact_inventario, dim_catalogo. All lazy; the job decides what to materialise."""
+dim_tiendas, fact_inventario, dim_catalogo.
+
+Dimensions and small reference tables feed several joins each, so ``build_model`` passes them
+through a ``stage`` function that materialises them once: persisted (default; lost blocks are
+recomputed from lineage), checkpointed into the shared checkpoint folder, or written as tables
+(the batch job). Materialised inputs carry their real size, so the planner's broadcast decision
+(``spark.sql.autoBroadcastJoinThreshold``, re-checked by AQE at runtime) is a measured size check,
+with a sort-merge join beyond it.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from kardex.operators.asof import build_fact_ventas_con_costo
 from kardex.operators.conform import (build_dim_tiendas, build_fact_inventario, build_fact_ventas, transform_ecommerce,
                                       transform_sales)
 from kardex.operators.identity import build_dim_producto
+from kardex.session import cut_lineage
+
+Stage = Callable[[DataFrame, str], DataFrame]
 
 
 class Model(NamedTuple):
@@ -21,18 +34,35 @@ class Model(NamedTuple):
     dim_catalogo: DataFrame
 
 
-def build_model(raw) -> Model:
+def cache_stage(df: DataFrame, name: str) -> DataFrame:
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    return df
+
+
+def checkpoint_stage(df: DataFrame, name: str) -> DataFrame:
+    return cut_lineage(df)
+
+
+def no_stage(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def build_model(raw, stage: Stage = cache_stage) -> Model:
     """``raw`` has the seven sources (sales, tiendas, sku_map, catalogo, snapshots, ecommerce,
     exchange_rates) as attributes. The product dimension comes first: every fact keys on it."""
-    dim_producto = build_dim_producto(raw.sku_map, raw.catalogo, raw.ecommerce, raw.sales)
+    catalogo = stage(raw.catalogo, "dim_catalogo")
+    rates = stage(raw.exchange_rates, "exchange_rates")
+    dim_producto = stage(build_dim_producto(raw.sku_map, catalogo, raw.ecommerce, raw.sales), "dim_producto")
+    dim_tiendas = stage(build_dim_tiendas(raw.tiendas), "dim_tiendas")
     sales_norm = transform_sales(raw.sales)
-    ecom_norm = transform_ecommerce(raw.ecommerce, dim_producto, raw.exchange_rates)
+    ecom_norm = transform_ecommerce(raw.ecommerce, dim_producto, rates)
     fact = build_fact_ventas(sales_norm, ecom_norm)
-    fact_costo = build_fact_ventas_con_costo(fact, raw.catalogo, dim_producto)
+    fact_costo = build_fact_ventas_con_costo(fact, catalogo, dim_producto)
     return Model(
         fact_ventas=fact_costo,
         fact_inventario=build_fact_inventario(raw.snapshots, dim_producto),
         dim_producto=dim_producto,
-        dim_tiendas=build_dim_tiendas(raw.tiendas),
-        dim_catalogo=raw.catalogo,
+        dim_tiendas=dim_tiendas,
+        dim_catalogo=catalogo,
     )

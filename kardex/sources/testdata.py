@@ -199,10 +199,10 @@ def clean_snapshots_of(spark: SparkSession, sf_dir: str, calendar=SNAPSHOT_CALEN
 def activity_sales(spark: SparkSession, sf_dir: str, dim_producto: DataFrame) -> DataFrame:
     """Events as physical sale lines of their (store, SKU): units = ceil(value). Used as the
     lookback sales of the stock-out estimate on the events' calendar."""
-    from kardex.functions.joins import bounded_broadcast, unique_lookup
+    from kardex.functions.joins import unique_lookup
 
     act = activity(spark, sf_dir)
-    lookup = bounded_broadcast(unique_lookup(dim_producto, "sku_erp", ["sku_pos"], on_duplicate="raise"))
+    lookup = unique_lookup(dim_producto, "sku_erp", ["sku_pos"], on_duplicate="raise")
     j = act.join(lookup, "sku_erp", "left")
     return j.select(F.col("ts").alias("fecha"), "tienda_id", "sku_pos", F.lit("fisico").alias("canal"),
                     F.ceil("value").cast("bigint").alias("cantidad"))
