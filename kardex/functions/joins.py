@@ -48,24 +48,28 @@ def unique_lookup(df: DataFrame, key: str, cols: list[str], on_duplicate: str =
     raise ValueError(f"unknown on_duplicate={on_duplicate!r}")
 
 
-def sequence_number(df: DataFrame, order_col: str, out_col: str = "seq", num_partitions: int | None = None) -> DataFrame:
-    """1-based position of each row in ``order_col`` order, computed without a one-partition window.
+def sequence_number(df: DataFrame, order_col: str, out_col: str = "seq", num_partitions: int | None = None,
+                    group_col: str | None = None) -> DataFrame:
+    """1-based position of each row in ``order_col`` order (restarting per ``group_col`` when
+    given), computed without a one-partition window.
 
-    Rows are range-partitioned and sorted; each row's number is the count of rows in earlier
-    partitions plus its position inside its own partition. The per-partition counts form a table
-    with one row per partition, so it is broadcast with a proven bound. Meant for distinct sets.
+    Rows are range-partitioned on (group, order) and sorted; each row's number is the count of
+    rows of its group in earlier partitions plus its position inside its own partition. The
+    per-partition counts form a table with one row per (partition, group), so it is broadcast with
+    a proven bound. Meant for distinct sets.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, F.col(order_col))
-                .sortWithinPartitions(order_col)
+    keys = ([group_col] if group_col else []) + [order_col]
+    ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys])
+                .sortWithinPartitions(*keys)
                 .withColumn("_part", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
-    offsets = counts.select(
-        "_part", "_first",
-        (F.sum("_cnt").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_before"),
-    )
-    out = ranged.join(F.broadcast(offsets), "_part")
+    gkeys = ["_part"] + ([group_col] if group_col else [])
+    counts = ranged.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
+    w = (Window.partitionBy(group_col) if group_col else Window.partitionBy()).orderBy("_part")
+    offsets = counts.select(*gkeys, "_first",
+                            F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    out = ranged.join(F.broadcast(offsets), gkeys)
     return out.withColumn(
         out_col, (F.coalesce(F.col("_before"), F.lit(0)) + (F.col("_mid") - F.col("_first")) + 1).cast("bigint")
     ).drop("_part", "_mid", "_first", "_before")

@@ -29,12 +29,6 @@ def latest_attributes(catalogo: DataFrame, key: str = "sku_erp", cols=("nombre",
     )
 
 
-def _numbered(df: DataFrame, order_col: str, prefix: str) -> DataFrame:
-    """prefix + 3-digit sequence in ``order_col`` order (wider numbers are kept whole)."""
-    seq = sequence_number(df, order_col, "_seq")
-    return seq.withColumn("sku_pos", F.concat(F.lit(prefix), F.format_string("%03d", F.col("_seq")))).drop("_seq")
-
-
 def build_dim_producto(sku_map: DataFrame, catalogo: DataFrame, ecommerce: DataFrame,
                        sales: DataFrame | None = None) -> DataFrame:
     """Canonical product dimension.
@@ -45,32 +39,31 @@ def build_dim_producto(sku_map: DataFrame, catalogo: DataFrame, ecommerce: DataF
     4. ERP codes in the catalogue absent from the map -> CN-UNMAPPED-001.. in code order,
        with the catalogue's name and category;
     product_id = 'PRD-' || sku_pos (null when sku_pos is null).
-    Each "absent" set is a left anti join of distinct keys; numbering is distributed.
+    Each "absent" set is a left anti join of distinct keys; both unmapped families are numbered
+    in one distributed pass.
     """
     cat_latest = latest_attributes(catalogo)
-    base = sku_map.select("sku_pos", "sku_erp", "handle").join(
-        cat_latest, "sku_erp", "left")
+    base = sku_map.select("sku_pos", "sku_erp", "handle").join(cat_latest, "sku_erp", "left")
     parts = [base.select("sku_pos", "sku_erp", "handle", "nombre", "categoria")]
+    none = F.lit(None).cast("string")
 
-    mapped_pos = sku_map.select("sku_pos").where(F.col("sku_pos").isNotNull()).distinct()
     if sales is not None:
         pos_only = (sales.select(F.col("sku").alias("sku_pos")).where(F.col("sku_pos").isNotNull()).distinct()
-                    .join(mapped_pos, "sku_pos", "left_anti"))
-        parts.append(pos_only.select(
-            "sku_pos", F.lit(None).cast("string").alias("sku_erp"), F.lit(None).cast("string").alias("handle"),
-            F.col("sku_pos").alias("nombre"), F.lit(UNCLASSIFIED).alias("categoria")))
+                    .join(sku_map.select("sku_pos"), "sku_pos", "left_anti"))
+        parts.append(pos_only.select("sku_pos", none.alias("sku_erp"), none.alias("handle"),
+                                     F.col("sku_pos").alias("nombre"), F.lit(UNCLASSIFIED).alias("categoria")))
 
-    mapped_handles = sku_map.select("handle").where(F.col("handle").isNotNull()).distinct()
     web_only = (ecommerce.select(F.col("product_handle").alias("handle")).where(F.col("handle").isNotNull())
-                .distinct().join(mapped_handles, "handle", "left_anti"))
-    parts.append(_numbered(web_only, "handle", WEB_UNMAPPED_PREFIX).select(
-        "sku_pos", F.lit(None).cast("string").alias("sku_erp"), "handle",
-        F.col("handle").alias("nombre"), F.lit(UNCLASSIFIED).alias("categoria")))
-
-    mapped_erp = sku_map.select("sku_erp").where(F.col("sku_erp").isNotNull()).distinct()
-    erp_only = cat_latest.join(mapped_erp, "sku_erp", "left_anti")
-    parts.append(_numbered(erp_only, "sku_erp", ERP_UNMAPPED_PREFIX).select(
-        "sku_pos", "sku_erp", F.lit(None).cast("string").alias("handle"), "nombre", "categoria"))
+                .distinct().join(sku_map.select("handle"), "handle", "left_anti"))
+    erp_only = cat_latest.join(sku_map.select("sku_erp"), "sku_erp", "left_anti")
+    unmapped = web_only.select(F.lit(WEB_UNMAPPED_PREFIX).alias("_fam"), F.col("handle").alias("_key"),
+                               none.alias("sku_erp"), "handle", F.col("handle").alias("nombre"),
+                               F.lit(UNCLASSIFIED).alias("categoria")).unionByName(
+        erp_only.select(F.lit(ERP_UNMAPPED_PREFIX).alias("_fam"), F.col("sku_erp").alias("_key"), "sku_erp",
+                        none.alias("handle"), "nombre", "categoria"))
+    numbered = sequence_number(unmapped, "_key", "_seq", group_col="_fam")
+    parts.append(numbered.select(F.concat(F.col("_fam"), F.format_string("%03d", F.col("_seq"))).alias("sku_pos"),
+                                 "sku_erp", "handle", "nombre", "categoria"))
 
     dim = parts[0]
     for p in parts[1:]:

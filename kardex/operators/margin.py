@@ -137,10 +137,14 @@ def margin_summary(base: DataFrame) -> DataFrame:
     )
 
 
-def affected_stores(detail: DataFrame, skus: DataFrame) -> DataFrame:
+def affected_stores(detail: DataFrame, skus: DataFrame | None = None) -> DataFrame:
     """sku_pos -> array of (tienda_id, ciudad, posible_causa, margen_total_mxn), margin ascending.
-    One element per negative (store, channel) group, so the list is bounded by the store count."""
-    d = detail.join(skus.select("sku_pos").distinct(), "sku_pos", "left_semi")
+
+    One element per negative (store, channel) group, so a list is bounded by the store count.
+    ``skus`` restricts the SKUs (semi join); without it every SKU of the detail gets its list and
+    the caller's join picks the ones it needs.
+    """
+    d = detail if skus is None else detail.join(skus.select("sku_pos").distinct(), "sku_pos", "left_semi")
     items = F.array_sort(F.collect_list(F.struct("margen_total_mxn", "tienda_id", "ciudad", "posible_causa")))
     nested = d.groupBy("sku_pos").agg(items.alias("_items"))
     return nested.select("sku_pos", F.transform("_items", lambda e: F.struct(
@@ -148,13 +152,17 @@ def affected_stores(detail: DataFrame, skus: DataFrame) -> DataFrame:
         e["margen_total_mxn"].alias("margen_total_mxn"))).alias("tiendas_negativas"))
 
 
-def negative_margin(fact_ventas: DataFrame, dim_tiendas: DataFrame) -> MarginReport:
-    base = margin_base(fact_ventas)
-    detail = margin_detail(base, dim_tiendas)
-    summary = margin_summary(base)
+def negative_margin(fact_ventas: DataFrame, dim_tiendas: DataFrame, stage=None) -> MarginReport:
+    """All three outputs from one base aggregate of the facts. ``stage`` (e.g. persist)
+    materialises the base, the detail and the summary once, since each feeds two outputs."""
+    stage = stage or (lambda df, name: df)
+    base = stage(margin_base(fact_ventas), "margin_base")
+    detail = stage(margin_detail(base, dim_tiendas), "margin_detail")
+    summary = stage(margin_summary(base), "margin_summary")
     systemic = summary.where(F.col("margen_total_mxn") < 0)
     mixed = summary.where(F.col("margen_total_mxn") >= 0)
-    mixed = mixed.join(affected_stores(detail, mixed), "sku_pos", "left").select(*SUMMARY_COLUMNS, "tiendas_negativas")
+    # every summary SKU has a negative store, so each mixed SKU finds its list in the detail
+    mixed = mixed.join(affected_stores(detail), "sku_pos", "left").select(*SUMMARY_COLUMNS, "tiendas_negativas")
     order = [F.col("margen_total_mxn").asc(), F.col("sku_pos").asc()]
     return MarginReport(
         detail.orderBy(F.col("margen_total_mxn").asc(), "sku_pos", "tienda_id", "canal"),

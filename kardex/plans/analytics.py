@@ -25,9 +25,10 @@ class Periods:
     inclusive_end_day: bool = True
 
 
-def run_all(model, periods: Periods = Periods(), lookback_sales: DataFrame | None = None) -> dict:
-    """Lazy result frames keyed like the reference's results."""
-    q4: MarginReport = negative_margin(model.fact_ventas, model.dim_tiendas)
+def run_all(model, periods: Periods = Periods(), lookback_sales: DataFrame | None = None, stage=None) -> dict:
+    """Lazy result frames keyed like the reference's results. ``stage`` materialises shared
+    intermediates (the margin base aggregate) once."""
+    q4: MarginReport = negative_margin(model.fact_ventas, model.dim_tiendas, stage=stage)
     return {
         "q1_rotacion": turnover_top(model.fact_ventas, model.fact_inventario, *periods.turnover, k=periods.top_k),
         "q2_quiebres": stockouts(model.fact_inventario,

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kardex.operators.margin import MarginReport
 from kardex.plans.analytics import Periods, run_all
-from kardex.plans.model import Model, build_model
+from kardex.plans.model import Model, build_model, cache_stage
 from kardex.session import build_session, ensure_checkpoint_dir
 from kardex.sinks.tables import persist_tables, write_table
 from kardex.sources import testdata as td
@@ -75,7 +75,7 @@ def run_job(spark: SparkSession, sf_dir: str, output_dir: str | None = None, per
     t0 = time.time()
     model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings)
     timings["model"] = round(time.time() - t0, 3)
-    results = result_tables(run_all(model, periods, lookback_sales=lookback))
+    results = result_tables(run_all(model, periods, lookback_sales=lookback, stage=cache_stage))
     counts = {}
     if persist:
         t1 = time.time()

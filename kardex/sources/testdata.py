@@ -71,7 +71,10 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_returnflag")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
-    return li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    # fact-to-fact join on the order key: sort-merge, as it must be once orders outgrows any
+    # broadcast; the shuffle also spreads the lines over the shuffle partitions when the input
+    # arrives as a few large row groups
+    return li.join(o.hint("merge"), li["l_orderkey"] == o["o_orderkey"])
 
 
 def sku_code(col: str) -> F.Column:
