@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from kardex.functions.numeric import parse_count, round_double, round_money
 from kardex.operators import quality as dq
-from kardex.operators.asof import asof_join, build_fact_ventas_con_costo
+from kardex.operators.asof import asof_join, asof_locf
 from kardex.operators.conform import (build_dim_tiendas, build_fact_inventario, build_fact_ventas, clean_snapshots,
                                       transform_ecommerce, transform_sales)
 from kardex.operators.identity import build_dim_producto, latest_attributes
@@ -228,8 +228,120 @@ def q_semi_anti_keys(spark, d):
     return u.groupBy("conjunto").agg(F.count(F.lit(1)).cast("bigint").alias("claves"))
 
 
+def q_top3_turnover(spark, d):
+    m = _model(spark, d)
+    return turnover_top(m.fact_ventas, m.fact_inventario, k=3)
+
+
+def q_top3_stockouts(spark, d):
+    m, act = _inventory(spark, d)
+    return stockouts(m.fact_inventario, act, m.dim_tiendas).limit(3)
+
+
+def q_asof_event_locf_window(spark, d):
+    """Same answer as asof_event_locf through union + last(ignorenulls) over a window."""
+    e = td.table(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    purchases = td.table(spark, d, "events").where(F.col("event_type") == "purchase").select(
+        "user_id", F.col("ts").alias("p_ts"), F.col("value").alias("last_purchase_value"))
+    return asof_locf(e, purchases, ["user_id"], "ts", "p_ts", ["last_purchase_value"])
+
+
+def register_views(model: Model) -> None:
+    """The model's tables as named relations for SQL (temp views, session scoped)."""
+    for name, df in model._asdict().items():
+        df.createOrReplaceTempView(name)
+
+
+def q_exec_kpis_sql(spark, d):
+    """The KPIs through the SQL API over temp views (filtered aggregates, one scan)."""
+    register_views(_model(spark, d))
+    return spark.sql("""
+        SELECT CAST(ROUND(SUM(monto_mxn), 2) AS DOUBLE) AS total_ventas_mxn,
+               CAST(ROUND(SUM(monto_mxn) FILTER (WHERE canal = 'fisico'), 2) AS DOUBLE) AS ventas_fisicas_mxn,
+               CAST(ROUND(SUM(monto_mxn) FILTER (WHERE canal = 'ecommerce'), 2) AS DOUBLE) AS ventas_ecommerce_mxn,
+               COUNT(*) AS total_transacciones,
+               COUNT(DISTINCT tienda_id) FILTER (WHERE canal = 'fisico') AS tiendas_activas,
+               COUNT(DISTINCT sku_pos) AS skus_activos
+        FROM fact_ventas""")
+
+
+def q_neg_margin_summary_sql(spark, d):
+    """The SKU summary with the correlated IN subquery written in SQL (planned as an existence
+    join); same result as the two-level aggregate of neg_margin_summary."""
+    register_views(_model(spark, d))
+    avg = lambda c: f"CAST(SUM({c}) AS DOUBLE) / CAST(COUNT({c}) AS DOUBLE)"
+    r2 = lambda e: f"ROUND(({e}) * 100D, 0) / 100D"
+    return spark.sql(f"""
+        WITH vcc AS (
+          SELECT *, CAST(ROUND(CAST(monto_mxn AS DOUBLE) / NULLIF(CAST(cantidad AS DOUBLE), 0D) * 1000000D, 0)
+                          / 1000000D AS DECIMAL(24,6)) AS up6
+          FROM fact_ventas WHERE costo_mxn IS NOT NULL AND margen_mxn IS NOT NULL),
+        neg_skus AS (SELECT DISTINCT sku_pos FROM vcc GROUP BY sku_pos, tienda_id HAVING SUM(margen_mxn) < 0),
+        flagged AS (
+          SELECT v.*, CASE WHEN v.tienda_id IN (
+                   SELECT x.tienda_id FROM vcc x WHERE x.sku_pos = v.sku_pos
+                   GROUP BY x.tienda_id HAVING SUM(x.margen_mxn) < 0) THEN v.tienda_id END AS tienda_negativa
+          FROM vcc v)
+        SELECT v.sku_pos, v.nombre, v.categoria,
+               COUNT(DISTINCT v.tienda_id) AS tiendas_totales,
+               COUNT(DISTINCT v.tienda_negativa) AS tiendas_con_margen_negativo,
+               COUNT(*) AS num_transacciones, SUM(v.cantidad) AS unidades_totales,
+               CAST(ROUND(SUM(v.monto_mxn), 2) AS DOUBLE) AS ingreso_total_mxn,
+               CAST(ROUND(SUM(v.costo_total_mxn), 2) AS DOUBLE) AS costo_total_mxn,
+               CAST(ROUND(SUM(v.margen_mxn), 2) AS DOUBLE) AS margen_total_mxn,
+               {r2(avg('v.up6'))} AS precio_venta_promedio,
+               {r2(avg('v.costo_mxn'))} AS costo_unitario_promedio,
+               {r2(avg('v.costo_mxn') + ' - ' + avg('v.up6'))} AS brecha_costo_precio
+        FROM flagged v JOIN neg_skus s ON s.sku_pos = v.sku_pos
+        GROUP BY v.sku_pos, v.nombre, v.categoria""")
+
+
 # ---- data quality ----------------------------------------------------------------------------
 
+def q_dq_rate_coverage(spark, d):
+    """Rates start on or before the first web order (DQ5), and foreign-currency web-order days
+    without a day rate (they take the fallback rate). One row, built from one union."""
+    raw = td.load_sources(spark, d)
+    web = raw.ecommerce.select(F.lit("orden").alias("lado"), F.to_date("fecha").alias("dia"), "currency")
+    rates = raw.exchange_rates.select(F.lit("tasa").alias("lado"), F.col("fecha").alias("dia"), "currency")
+    both = web.unionByName(rates)
+    per_day = both.where(F.col("currency") != "MXN").groupBy("dia", "currency").agg(
+        F.max(F.col("lado") == "orden").alias("con_orden"), F.max(F.col("lado") == "tasa").alias("con_tasa"))
+    firsts = both.agg(F.min(F.when(F.col("lado") == "tasa", F.col("dia"))).alias("primera_tasa"),
+                      F.min(F.when(F.col("lado") == "orden", F.col("dia"))).alias("primera_orden"))
+    gaps = per_day.agg(F.count_if(F.col("con_orden") & ~F.col("con_tasa")).cast("bigint").alias("dias_sin_tasa"))
+    return (firsts.select(F.lit("cubre_inicio").alias("regla"),
+                          (F.col("primera_tasa") <= F.col("primera_orden")).cast("bigint").alias("valor"))
+            .unionByName(gaps.select(F.lit("dias_sin_tasa").alias("regla"), F.col("dias_sin_tasa").alias("valor"))))
+
+
+def q_dq_domain(spark, d):
+    """Domain rules (DQ7) as (regla, valor) rows: channel values, the virtual store, both
+    unmapped families present, no null product id."""
+    m = _model(spark, d)
+    parts = [
+        m.fact_ventas.agg(F.count_if(~F.col("canal").isin("fisico", "ecommerce")).alias("v")).select(
+            F.lit("canal_invalido").alias("regla"), "v"),
+        m.dim_tiendas.agg(F.count_if(F.col("tienda_id") == "ECOMMERCE").alias("v")).select(
+            F.lit("tienda_virtual").alias("regla"), "v"),
+        m.dim_producto.agg(F.count_if(F.col("product_id").contains("EC-UNMAPPED")).alias("v")).select(
+            F.lit("ec_unmapped").alias("regla"), "v"),
+        m.dim_producto.agg(F.count_if(F.col("product_id").contains("CN-UNMAPPED")).alias("v")).select(
+            F.lit("cn_unmapped").alias("regla"), "v"),
+        m.dim_producto.agg(F.count_if(F.col("product_id").isNull()).alias("v")).select(
+            F.lit("sin_product_id").alias("regla"), "v"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("regla", F.col("v").cast("bigint").alias("valor"))
+
+
+def q_dq_share_per_month(spark, d):
+    """Months whose channel rows disagree on the online share (expected: none)."""
+    return dq.distinct_per_group(month_over_month(_model(spark, d).fact_ventas), "mes", "share_ecommerce_pct")
+
+
 def q_dq_nulls(spark, d):
     f = _model(spark, d).fact_ventas
     return dq.null_counts(f, ["order_id", "fecha", "tienda_id", "product_id", "sku_pos", "cantidad", "monto_mxn",
@@ -304,6 +416,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exec_kpis": q_exec_kpis,
     "conditional_pivot": q_conditional_pivot,
     "semi_anti_keys": q_semi_anti_keys,
+    "top3_turnover": q_top3_turnover,
+    "top3_stockouts": q_top3_stockouts,
+    "asof_event_locf_window": q_asof_event_locf_window,
+    "exec_kpis_sql": q_exec_kpis_sql,
+    "neg_margin_summary_sql": q_neg_margin_summary_sql,
+    "dq_rate_coverage": q_dq_rate_coverage,
+    "dq_domain": q_dq_domain,
+    "dq_share_per_month": q_dq_share_per_month,
     "dq_nulls": q_dq_nulls,
     "dq_unique": q_dq_unique,
     "dq_ref_integrity": q_dq_ref_integrity,
