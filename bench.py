@@ -30,8 +30,11 @@ def main():
     from kardex.session import build_session, ensure_checkpoint_dir
     from kardex.sinks.tables import write_table
 
-    spark = build_session(f"local[{cpus}]", app_name="kardex-bench", shuffle_partitions=cpus * 2,
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG"):  # scratch folder for stage/task times
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"],
+                      "spark.eventLog.compress": "false"})
+    spark = build_session(f"local[{cpus}]", app_name="kardex-bench", shuffle_partitions=cpus * 2, extra=extra)
     base = os.path.join(ensure_checkpoint_dir(spark), "bench-" + uuid.uuid4().hex[:8])
     timings: dict = {}
     t0 = time.time()

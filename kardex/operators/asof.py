@@ -29,17 +29,14 @@ def validity_intervals(right: DataFrame, by: list[str], right_on: str, value_col
     """
     order = [F.col(right_on)] + [F.col(c) for c in (tiebreak or [])]
     w = Window.partitionBy(*by).orderBy(*order)
-    out = right.select(*by, right_on, *(tiebreak or []), *value_cols)
-    out = out.withColumn("_hi", F.lead(right_on).over(w))
+    cols = [F.col(c) for c in by + value_cols]
+    hi = F.lead(right_on).over(w).alias("_hi")
     if open_start:
         whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        out = out.withColumn("_rn", F.row_number().over(w))
-        out = out.withColumn("_lo", F.when(F.col("_rn") > 1, F.col(right_on))).drop("_rn")
-        for c in value_cols:
-            out = out.withColumn("_first_" + c, F.first(c).over(whole))
-    else:
-        out = out.withColumn("_lo", F.col(right_on))
-    return out.drop(right_on, *(tiebreak or []))
+        lo = F.when(F.row_number().over(w) > 1, F.col(right_on)).alias("_lo")
+        firsts = [F.first(c).over(whole).alias("_first_" + c) for c in value_cols]
+        return right.select(*cols, hi, lo, *firsts)
+    return right.select(*cols, hi, F.col(right_on).alias("_lo"))
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str,
@@ -60,15 +57,10 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     cond.append(F.col("_lo").isNull() | (ts >= F.col("_lo").cast("timestamp_ntz")))
     cond.append(F.col("_hi").isNull() | (ts < F.col("_hi").cast("timestamp_ntz")))
     j = left.join(iv, cond, "left")
-    for c in value_cols:
-        val = F.col(ren[c])
-        if fallback_first:
-            val = F.coalesce(val, F.col("_first_" + c))
-        j = j.withColumn(c, val)
-    drop = [ren[b] for b in by] + [ren[c] for c in value_cols] + ["_lo", "_hi"]
-    if fallback_first:
-        drop += ["_first_" + c for c in value_cols]
-    return j.drop(*drop)
+    vals = [(F.coalesce(F.col(ren[c]), F.col("_first_" + c)) if fallback_first else F.col(ren[c])).alias(c)
+            for c in value_cols]
+    keep = [F.col(c) for c in left.columns if c not in value_cols]
+    return j.select(*keep, *vals)
 
 
 def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str,
@@ -103,8 +95,7 @@ def build_fact_ventas_con_costo(fact_ventas: DataFrame, catalogo: DataFrame, dim
     fv = asof_join(fv, cat, ["sku_erp"], "fecha", "fecha_vigencia", ["costo_mxn", "nombre", "categoria"],
                    tiebreak=["pos"], fallback_first=True)
     costo_total = (F.col("costo_mxn") * F.col("cantidad")).cast(MONEY)
-    fv = fv.withColumn("costo_total_mxn", costo_total)
-    fv = fv.withColumn("margen_mxn", (F.col("monto_mxn") - F.col("costo_total_mxn")).cast(MONEY))
-    fv = fv.withColumn("margen_pct", safe_div("margen_mxn", "monto_mxn") * F.lit(100.0))
+    margen = (F.col("monto_mxn") - costo_total).cast(MONEY)
     return fv.select("order_id", "fecha", "tienda_id", "product_id", "sku_pos", "sku_erp", "canal", "cantidad",
-                     "monto_mxn", "costo_mxn", "costo_total_mxn", "margen_mxn", "margen_pct", "nombre", "categoria")
+                     "monto_mxn", "costo_mxn", costo_total.alias("costo_total_mxn"), margen.alias("margen_mxn"),
+                     (safe_div(margen, "monto_mxn") * F.lit(100.0)).alias("margen_pct"), "nombre", "categoria")

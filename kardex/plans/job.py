@@ -30,15 +30,23 @@ LAYOUT = {
 }
 
 
+MODEL_TABLES = {"fact_ventas", "fact_inventario", "dim_producto", "dim_tiendas", "dim_catalogo"}
+
+
 def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None):
-    """Stage = write as parquet under ``stage_dir`` and read back."""
+    """Stage = write the model tables as parquet under ``stage_dir`` and read them back (the
+    sink of the job, and a lineage cut); other intermediates are persisted."""
     def stage(df: DataFrame, name: str) -> DataFrame:
         t0 = time.time()
-        path = os.path.join(stage_dir, name)
-        write_table(df, path, **LAYOUT.get(name, {}))
+        if name in MODEL_TABLES:
+            path = os.path.join(stage_dir, name)
+            write_table(df, path, **LAYOUT.get(name, {}))
+            out = spark.read.parquet(path)
+        else:
+            out = cache_stage(df, name)
         if timings is not None:
             timings[f"stage_{name}"] = round(time.time() - t0, 3)
-        return spark.read.parquet(path)
+        return out
     return stage
 
 
