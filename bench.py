@@ -17,6 +17,7 @@ import platform
 import sys
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -25,10 +26,9 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from kardex.plans.analytics import Periods, run_all
-    from kardex.plans.job import build_staged_model, result_tables
+    from kardex.plans.job import build_staged_model, result_tables, write_results
     from kardex.plans.model import cache_stage
     from kardex.session import build_session, ensure_checkpoint_dir
-    from kardex.sinks.tables import write_table
 
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
     if os.environ.get("BENCH_EVENT_LOG"):  # scratch folder for stage/task times
@@ -38,14 +38,13 @@ def main():
     base = os.path.join(ensure_checkpoint_dir(spark), "bench-" + uuid.uuid4().hex[:8])
     timings: dict = {}
     t0 = time.time()
-    model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings)
-    timings["model"] = round(time.time() - t0, 3)
-    results = result_tables(run_all(model, Periods(), lookback_sales=lookback, stage=cache_stage))
-    queries, rows = {}, {}
-    for name, df in results.items():
-        t = time.time()
-        rows[name] = write_table(df, os.path.join(base, "results", name), flat=True)
-        queries[name.replace("result_", "")] = round(time.time() - t, 3)
+    with ThreadPoolExecutor(max_workers=int(os.environ.get("BENCH_CONCURRENCY", "4"))) as pool:
+        model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings, pool)
+        timings["model"] = round(time.time() - t0, 3)
+        results = result_tables(run_all(model, Periods(), lookback_sales=lookback, stage=cache_stage))
+        queries: dict = {}
+        rows = write_results(results, os.path.join(base, "results"), pool, queries)
+    queries = {k.replace("result_", ""): v for k, v in queries.items()}
     total = round(time.time() - t0, 3)
     queries["model_build"] = timings["model"]
     out = {

@@ -13,14 +13,15 @@ import argparse
 import os
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from kardex.operators.margin import MarginReport
 from kardex.plans.analytics import Periods, run_all
-from kardex.plans.model import Model, build_model, cache_stage
+from kardex.plans.model import Model, build_model, cache_stage, stage_all
 from kardex.session import build_session, ensure_checkpoint_dir
-from kardex.sinks.tables import persist_tables, write_table
+from kardex.sinks.tables import write_table
 from kardex.sources import testdata as td
 
 # physical layout of the model tables (re-aims the reference's secondary indexes)
@@ -40,7 +41,9 @@ def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None
         t0 = time.time()
         if name in MODEL_TABLES:
             path = os.path.join(stage_dir, name)
+            spark.sparkContext.setJobDescription(f"write {name}")
             write_table(df, path, **LAYOUT.get(name, {}))
+            spark.sparkContext.setJobDescription(None)
             out = spark.read.parquet(path)
         else:
             out = cache_stage(df, name)
@@ -50,17 +53,15 @@ def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None
     return stage
 
 
-def build_staged_model(spark: SparkSession, sf_dir: str, stage_dir: str, timings: dict | None = None):
+def build_staged_model(spark: SparkSession, sf_dir: str, stage_dir: str, timings: dict | None = None, pool=None):
     stage = table_stage(spark, stage_dir, timings)
     raw = td.load_sources(spark, sf_dir, cache_lines=True)
-    m = build_model(raw, stage)
-    model = Model(
-        fact_ventas=stage(m.fact_ventas, "fact_ventas"),
-        fact_inventario=stage(m.fact_inventario, "fact_inventario"),
-        dim_producto=m.dim_producto, dim_tiendas=m.dim_tiendas, dim_catalogo=m.dim_catalogo,
-    )
-    lookback = stage(td.activity_sales(spark, sf_dir, model.dim_producto), "activity_sales")
-    return model, lookback
+    m = build_model(raw, stage, pool)
+    facts = stage_all(stage, {"fact_ventas": m.fact_ventas, "fact_inventario": m.fact_inventario,
+                              "activity_sales": td.activity_sales(spark, sf_dir, m.dim_producto)}, pool)
+    model = Model(fact_ventas=facts["fact_ventas"], fact_inventario=facts["fact_inventario"],
+                  dim_producto=m.dim_producto, dim_tiendas=m.dim_tiendas, dim_catalogo=m.dim_catalogo)
+    return model, facts["activity_sales"]
 
 
 def result_tables(results: dict) -> dict[str, DataFrame]:
@@ -76,19 +77,31 @@ def result_tables(results: dict) -> dict[str, DataFrame]:
     }
 
 
+def write_results(results: dict[str, DataFrame], out_dir: str, pool=None, timings: dict | None = None) -> dict:
+    """Write every result table (nested columns as JSON text), concurrently with a pool."""
+    def one(name, df):
+        t = time.time()
+        df.sparkSession.sparkContext.setJobDescription(f"result {name}")
+        n = write_table(df, os.path.join(out_dir, name), flat=True)
+        if timings is not None:
+            timings[name] = round(time.time() - t, 3)
+        return n
+    if pool is None:
+        return {k: one(k, v) for k, v in results.items()}
+    futures = {k: pool.submit(one, k, v) for k, v in results.items()}
+    return {k: f.result() for k, f in futures.items()}
+
+
 def run_job(spark: SparkSession, sf_dir: str, output_dir: str | None = None, persist: bool = True,
-            periods: Periods = Periods()) -> dict:
+            periods: Periods = Periods(), concurrency: int = 4) -> dict:
     timings: dict = {}
     base = output_dir or os.path.join(ensure_checkpoint_dir(spark), "kardex-job-" + uuid.uuid4().hex[:8])
     t0 = time.time()
-    model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings)
-    timings["model"] = round(time.time() - t0, 3)
-    results = result_tables(run_all(model, periods, lookback_sales=lookback, stage=cache_stage))
-    counts = {}
-    if persist:
-        t1 = time.time()
-        counts = persist_tables(results, os.path.join(base, "results"))
-        timings["results"] = round(time.time() - t1, 3)
+    with ThreadPoolExecutor(max_workers=concurrency) as pool:
+        model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings, pool)
+        timings["model"] = round(time.time() - t0, 3)
+        results = result_tables(run_all(model, periods, lookback_sales=lookback, stage=cache_stage))
+        counts = write_results(results, os.path.join(base, "results"), pool, timings) if persist else {}
     timings["total"] = round(time.time() - t0, 3)
     return {"output_dir": base, "timings": timings, "rows": counts}
 

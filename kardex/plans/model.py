@@ -35,8 +35,10 @@ class Model(NamedTuple):
 
 
 def cache_stage(df: DataFrame, name: str) -> DataFrame:
+    df.sparkSession.sparkContext.setJobDescription(f"stage {name}")
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     df.count()
+    df.sparkSession.sparkContext.setJobDescription(None)
     return df
 
 
@@ -48,13 +50,23 @@ def no_stage(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def build_model(raw, stage: Stage = cache_stage) -> Model:
+def stage_all(stage: Stage, frames: dict[str, DataFrame], pool=None) -> dict[str, DataFrame]:
+    """Stage independent frames; with a thread pool their jobs are submitted concurrently and
+    the scheduler interleaves their tasks (stages of small tables leave most cores idle alone)."""
+    if pool is None:
+        return {k: stage(v, k) for k, v in frames.items()}
+    futures = {k: pool.submit(stage, v, k) for k, v in frames.items()}
+    return {k: f.result() for k, f in futures.items()}
+
+
+def build_model(raw, stage: Stage = cache_stage, pool=None) -> Model:
     """``raw`` has the seven sources (sales, tiendas, sku_map, catalogo, snapshots, ecommerce,
-    exchange_rates) as attributes. The product dimension comes first: every fact keys on it."""
-    catalogo = stage(raw.catalogo, "dim_catalogo")
-    rates = stage(raw.exchange_rates, "exchange_rates")
+    exchange_rates) as attributes. The product dimension comes first: every fact keys on it.
+    The facts are returned lazily; the caller stages or writes them."""
+    ref = stage_all(stage, {"dim_catalogo": raw.catalogo, "exchange_rates": raw.exchange_rates,
+                            "dim_tiendas": build_dim_tiendas(raw.tiendas)}, pool)
+    catalogo, rates, dim_tiendas = ref["dim_catalogo"], ref["exchange_rates"], ref["dim_tiendas"]
     dim_producto = stage(build_dim_producto(raw.sku_map, catalogo, raw.ecommerce, raw.sales), "dim_producto")
-    dim_tiendas = stage(build_dim_tiendas(raw.tiendas), "dim_tiendas")
     sales_norm = transform_sales(raw.sales)
     ecom_norm = transform_ecommerce(raw.ecommerce, dim_producto, rates)
     fact = build_fact_ventas(sales_norm, ecom_norm)

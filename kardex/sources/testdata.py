@@ -213,8 +213,10 @@ def activity_sales(spark: SparkSession, sf_dir: str, dim_producto: DataFrame) ->
 
 def load_sources(spark: SparkSession, sf_dir: str, cache_lines: bool = False) -> RawSources:
     lines = order_lines(spark, sf_dir)
-    if cache_lines:
-        lines = lines.persist()
+    if cache_lines:  # both channels and the product dimension read the joined lines
+        from kardex.plans.model import cache_stage
+
+        lines = cache_stage(lines, "order_lines")
     return RawSources(
         sales=pos_sales(lines),
         tiendas=tiendas(spark, sf_dir),
