@@ -39,7 +39,8 @@ def main():
     timings: dict = {}
     t0 = time.time()
     with ThreadPoolExecutor(max_workers=int(os.environ.get("BENCH_CONCURRENCY", "4"))) as pool:
-        model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings, pool)
+        volumes: dict = {}
+        model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings, pool, volumes)
         timings["model"] = round(time.time() - t0, 3)
         results = result_tables(run_all(model, Periods(), lookback_sales=lookback, stage=cache_stage))
         queries: dict = {}
@@ -51,6 +52,7 @@ def main():
         "metric": "pipeline_wall_time", "value": total, "unit": "sec", "queries": queries,
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""), "rows": rows,
         "stages": {k: v for k, v in timings.items() if k.startswith("stage_")},
+        "volumes": volumes,
         "hardware": {"cpus": cpus, "machine": platform.machine(), "python": platform.python_version()},
     }
     print(json.dumps(out))

@@ -23,3 +23,16 @@ def executive_kpis(fact_ventas: DataFrame) -> DataFrame:
         F.count_distinct(F.when(is_phys, F.col("tienda_id"))).cast("bigint").alias("tiendas_activas"),
         F.count_distinct("sku_pos").cast("bigint").alias("skus_activos"),
     )
+
+
+MONEY_KPIS = ["total_ventas_mxn", "ventas_fisicas_mxn", "ventas_ecommerce_mxn"]
+
+
+def kpi_report(kpis: DataFrame) -> DataFrame:
+    """Display rows (kpi, valor, texto) for a report: money as '$1,234 MXN', counts as '1,234'.
+    Formatting belongs at the job edge; the numbers stay in ``valor``."""
+    long = kpis.select(*[F.col(c).cast("double").alias(c) for c in KPI_COLUMNS]).unpivot(
+        [], KPI_COLUMNS, "kpi", "valor")
+    money = F.concat(F.lit("$"), F.format_number("valor", 0), F.lit(" MXN"))
+    return long.select("kpi", "valor", F.when(F.col("kpi").isin(MONEY_KPIS), money)
+                       .otherwise(F.format_number("valor", 0)).alias("texto"))

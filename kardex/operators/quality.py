@@ -64,9 +64,9 @@ def count_violations(df: DataFrame, checks: dict[str, F.Column]) -> DataFrame:
                     for name, cond in checks.items()])
 
 
-def unsorted_rows(df: DataFrame, order_col: str, descending: bool = False, tiebreak: str | None = None) -> DataFrame:
-    """Rows out of order with respect to the previous row (sortedness of a result)."""
-    order = [F.col(tiebreak or order_col)]
+def unsorted_rows(df: DataFrame, order_col: str, descending: bool = False) -> DataFrame:
+    """Rows out of order with respect to the previous row (sortedness of a small result such as
+    a top-k; the row order is only defined within one ordered result)."""
     w = Window.orderBy(F.monotonically_increasing_id())
     prev = F.lag(order_col).over(w)
     bad = (F.col(order_col) > prev) if descending else (F.col(order_col) < prev)
@@ -78,6 +78,23 @@ def distinct_per_group(df: DataFrame, group: str, col: str) -> DataFrame:
     return df.groupBy(group).agg(F.count_distinct(col).alias("n")).where(F.col("n") > 1)
 
 
+def sales_volume_metrics() -> dict[str, F.Column]:
+    """DQ12 for the sales fact: rows per channel, credit rows, rows without cost, unmapped web SKUs."""
+    return {
+        "fisico": F.count_if(F.col("canal") == "fisico"),
+        "ecommerce": F.count_if(F.col("canal") == "ecommerce"),
+        "creditos": F.count_if((F.col("canal") == "fisico") & (F.col("monto_mxn") < 0)),
+        "sin_costo": F.count_if(F.col("costo_mxn").isNull()),
+        "ec_unmapped": F.count_if(F.col("sku_pos").startswith("EC-UNMAPPED")),
+    }
+
+
+def inventory_volume_metrics() -> dict[str, F.Column]:
+    """DQ12 for the inventory fact: snapshots without product id / POS SKU."""
+    return {"sin_product_id": F.count_if(F.col("product_id").isNull()),
+            "sin_sku_pos": F.count_if(F.col("sku_pos").isNull())}
+
+
 def observe_volumes(df: DataFrame, name: str, metrics: dict[str, F.Column]) -> tuple[DataFrame, Observation]:
     """Attach volume metrics computed while the frame is written or counted (no extra scan)."""
     obs = Observation(name)

@@ -18,6 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from kardex.operators.margin import MarginReport
+from kardex.operators.quality import inventory_volume_metrics, sales_volume_metrics
 from kardex.plans.analytics import Periods, run_all
 from kardex.plans.model import Model, build_model, cache_stage, stage_all
 from kardex.session import build_session, ensure_checkpoint_dir
@@ -34,7 +35,10 @@ LAYOUT = {
 MODEL_TABLES = {"fact_ventas", "fact_inventario", "dim_producto", "dim_tiendas", "dim_catalogo"}
 
 
-def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None):
+VOLUME_METRICS = {"fact_ventas": sales_volume_metrics, "fact_inventario": inventory_volume_metrics}
+
+
+def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None, volumes: dict | None = None):
     """Stage = write the model tables as parquet under ``stage_dir`` and read them back (the
     sink of the job, and a lineage cut); other intermediates are persisted."""
     def stage(df: DataFrame, name: str) -> DataFrame:
@@ -42,7 +46,11 @@ def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None
         if name in MODEL_TABLES:
             path = os.path.join(stage_dir, name)
             spark.sparkContext.setJobDescription(f"write {name}")
-            write_table(df, path, **LAYOUT.get(name, {}))
+            observed: dict = {}
+            write_table(df, path, metrics=VOLUME_METRICS.get(name, lambda: None)(), observed_out=observed,
+                        **LAYOUT.get(name, {}))
+            if volumes is not None:
+                volumes[name] = observed
             spark.sparkContext.setJobDescription(None)
             out = spark.read.parquet(path)
         else:
@@ -53,8 +61,9 @@ def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None
     return stage
 
 
-def build_staged_model(spark: SparkSession, sf_dir: str, stage_dir: str, timings: dict | None = None, pool=None):
-    stage = table_stage(spark, stage_dir, timings)
+def build_staged_model(spark: SparkSession, sf_dir: str, stage_dir: str, timings: dict | None = None, pool=None,
+                       volumes: dict | None = None):
+    stage = table_stage(spark, stage_dir, timings, volumes)
     raw = td.load_sources(spark, sf_dir, cache_lines=True)
     m = build_model(raw, stage, pool)
     facts = stage_all(stage, {"fact_ventas": m.fact_ventas, "fact_inventario": m.fact_inventario,
@@ -95,15 +104,16 @@ def write_results(results: dict[str, DataFrame], out_dir: str, pool=None, timing
 def run_job(spark: SparkSession, sf_dir: str, output_dir: str | None = None, persist: bool = True,
             periods: Periods = Periods(), concurrency: int = 4) -> dict:
     timings: dict = {}
+    volumes: dict = {}
     base = output_dir or os.path.join(ensure_checkpoint_dir(spark), "kardex-job-" + uuid.uuid4().hex[:8])
     t0 = time.time()
     with ThreadPoolExecutor(max_workers=concurrency) as pool:
-        model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings, pool)
+        model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings, pool, volumes)
         timings["model"] = round(time.time() - t0, 3)
         results = result_tables(run_all(model, periods, lookback_sales=lookback, stage=cache_stage))
         counts = write_results(results, os.path.join(base, "results"), pool, timings) if persist else {}
     timings["total"] = round(time.time() - t0, 3)
-    return {"output_dir": base, "timings": timings, "rows": counts}
+    return {"output_dir": base, "timings": timings, "rows": counts, "volumes": volumes}
 
 
 def main(argv=None):

@@ -22,14 +22,17 @@ def nested_to_json(df: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                sort_within: list[str] | None = None, flat: bool = False, mode: str = "overwrite") -> int:
+                sort_within: list[str] | None = None, flat: bool = False, mode: str = "overwrite",
+                metrics: dict | None = None, observed_out: dict | None = None) -> int:
     """Write ``df`` as parquet and return its row count, measured by an Observation during the
-    write (no second scan). ``sort_within`` clusters rows inside each file so min/max statistics
-    skip row groups for selective filters; ``partition_by`` writes one folder per value and, with
-    dynamic partition overwrite, a re-run replaces only the partitions it writes."""
+    write (no second scan). ``metrics`` adds more observed aggregates (volume metrics), copied into
+    ``observed_out``. ``sort_within`` clusters rows inside each file so
+    min/max statistics skip row groups for selective filters; ``partition_by`` writes one folder
+    per value and, with dynamic partition overwrite, a re-run replaces only the partitions it
+    writes."""
     out = nested_to_json(df) if flat else df
     obs = Observation(os.path.basename(path.rstrip("/")) or "table")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in (metrics or {}).items()])
     if partition_by:
         out = out.repartition(*[F.col(c) for c in partition_by])
     if sort_within:
@@ -38,7 +41,10 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return int(obs.get["rows"])
+    observed = obs.get
+    if observed_out is not None:
+        observed_out.update(observed)
+    return int(observed["rows"])
 
 
 def persist_tables(tables: dict[str, DataFrame], out_dir: str, layout: dict[str, dict] | None = None) -> dict[str, int]:
