@@ -6,8 +6,10 @@ the output has exactly the left rows. The join is an equi-join with a range resi
 broadcast hash join when the interval table passes the size check, else a sort-merge join on
 the key, where AQE splits a hot key's left partition across tasks.
 
-``asof_locf`` is the union + ``last(ignorenulls)`` formulation, kept for comparison; it sorts
-each key's rows in one window partition, so it is not skew-safe.
+It costs O(left rows x right rows) per key inside the join, which is right for short histories
+(cost versions per SKU). ``asof_locf`` sorts the union of both sides instead and carries the
+latest right row across range partitions: it stays balanced when one key holds a large share of
+either side.
 """
 
 from __future__ import annotations
@@ -64,36 +66,70 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
 
 
 def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str,
-              value_cols: list[str]) -> DataFrame:
-    """Same answer as ``asof_join`` without fallback, via union + last non-null over a window.
-    Right rows sort before left rows at equal times (exact matches count)."""
-    lcols = left.columns
-    l = left.select(*[F.col(c) for c in lcols], F.col(left_on).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_side"),
-                    *[F.lit(None).cast(right.schema[c].dataType).alias("_v_" + c) for c in value_cols])
-    r_extra = [c for c in lcols if c not in by]
-    r = right.select(*[F.col(b) for b in by],
-                     *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in r_extra],
+              value_cols: list[str], tiebreak: list[str] | None = None, fallback_first: bool = False,
+              num_partitions: int | None = None) -> DataFrame:
+    """As-of join by sorting instead of joining: skew-safe on BOTH sides.
+
+    Left and right rows are unioned and range-partitioned on (key, time, side), so a key with a
+    third of all rows is spread over many tasks by time. Inside each (partition, key) the latest
+    right row is carried forward (right rows sort first at equal times, so exact matches count;
+    ``tiebreak`` orders right rows on equal times, the last wins). The value in force at the start
+    of a partition comes from a boundary table with one row per (partition, key): the last right
+    row of each, carried across partitions by a window per key, whose size is bounded by the
+    number of partitions. The right row is carried whole (a struct), so its values stay together.
+    """
+    n = num_partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tb = tiebreak or []
+    keys = [f"_k{i}" for i in range(len(by))]
+    row_type = left.select(F.struct(*left.columns).alias("r")).schema["r"].dataType
+    val_type = right.select(F.struct(*value_cols).alias("v")).schema["v"].dataType
+    tb_types = {c: right.schema[c].dataType for c in tb}
+    l = left.select(*[F.col(b).alias(k) for b, k in zip(by, keys)],
+                    F.col(left_on).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_side"),
+                    *[F.lit(None).cast(tb_types[c]).alias("_tb_" + c) for c in tb],
+                    F.struct(*left.columns).alias("_row"), F.lit(None).cast(val_type).alias("_val"))
+    r = right.select(*[F.col(b).alias(k) for b, k in zip(by, keys)],
                      F.col(right_on).cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_side"),
-                     *[F.col(c).alias("_v_" + c) for c in value_cols])
-    u = l.unionByName(r.select(*l.columns))
-    w = Window.partitionBy(*by).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    for c in value_cols:
-        u = u.withColumn(c, F.last("_v_" + c, ignorenulls=True).over(w))
-    return u.where(F.col("_side") == 1).select(*lcols, *value_cols)
-
-
-def build_fact_ventas_con_costo(fact_ventas: DataFrame, catalogo: DataFrame, dim_producto: DataFrame) -> DataFrame:
+                     *[F.col(c).alias("_tb_" + c) for c in tb],
+                     F.lit(None).cast(row_type).alias("_row"), F.struct(*value_cols).alias("_val"))
+    order = ["_t", "_side"] + ["_tb_" + c for c in tb]
+    ranged = (l.unionByName(r).repartitionByRange(n, *keys, *order)
+               .withColumn("_part", F.spark_partition_id()))
+    # latest right row so far inside (partition, key)
+    w_local = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    filled = ranged.withColumn("_local", F.last("_val", ignorenulls=True).over(w_local))
+    # last right row of each (partition, key), carried to the later partitions of the key
+    is_right = F.col("_side") == 0
+    bounds = ranged.groupBy("_part", *keys).agg(
+        F.max_by(F.when(is_right, F.col("_val")), F.when(is_right, F.struct(*order))).alias("_last"))
+    w_carry = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = bounds.select("_part", *keys, F.last("_last", ignorenulls=True).over(w_carry).alias("_carry"))
+    out = filled.where(F.col("_side") == 1).join(carry, ["_part", *keys], "left")
+    out = out.withColumn("_v", F.coalesce(F.col("_local"), F.col("_carry")))
+    vals = [F.col("_v." + c) for c in value_cols]
+    if fallback_first:  # before the first right row, or a null value in force: the first row's value
+        firsts = r.groupBy(*keys).agg(F.min_by("_val", F.struct(*order)).alias("_first"))
+        out = out.join(firsts, keys, "left")
+        vals = [F.coalesce(F.col("_v." + c), F.col("_first." + c)) for c in value_cols]
+    return out.select("_row.*", *[v.alias(c) for v, c in zip(vals, value_cols)])
+
+
+def build_fact_ventas_con_costo(fact_ventas: DataFrame, catalogo: DataFrame, dim_producto: DataFrame,
+                                strategy: str = "intervals") -> DataFrame:
     """product_id and ERP code by SKU, the cost in force at each sale, and the margin.
 
     Sales whose SKU has no ERP code, or whose code has no cost history, keep null cost and margin.
     Before the first effective date the earliest cost applies; a null cost in force also falls
     back to the earliest. Name and category come from the matched catalogue row the same way.
+    ``strategy``: "intervals" (join; cost histories are short per SKU) or "sorted" (skew-safe on
+    both sides, for long histories per key).
     """
     by_sku = unique_lookup(dim_producto, "sku_pos", ["product_id", "sku_erp"], on_duplicate="raise")
     fv = fact_ventas.join(by_sku, "sku_pos", "left")
     cat = catalogo.select("sku_erp", "fecha_vigencia", "pos", "costo_mxn", "nombre", "categoria")
-    fv = asof_join(fv, cat, ["sku_erp"], "fecha", "fecha_vigencia", ["costo_mxn", "nombre", "categoria"],
-                   tiebreak=["pos"], fallback_first=True)
+    asof = asof_join if strategy == "intervals" else asof_locf
+    fv = asof(fv, cat, ["sku_erp"], "fecha", "fecha_vigencia", ["costo_mxn", "nombre", "categoria"],
+              tiebreak=["pos"], fallback_first=True)
     costo_total = (F.col("costo_mxn") * F.col("cantidad")).cast(MONEY)
     margen = (F.col("monto_mxn") - costo_total).cast(MONEY)
     return fv.select("order_id", "fecha", "tienda_id", "product_id", "sku_pos", "sku_erp", "canal", "cantidad",

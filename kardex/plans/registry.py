@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from kardex.functions.numeric import parse_count, round_double, round_money
 from kardex.operators import quality as dq
-from kardex.operators.asof import asof_join, asof_locf
+from kardex.operators.asof import asof_join, asof_locf, build_fact_ventas_con_costo
 from kardex.operators.conform import (build_dim_tiendas, build_fact_inventario, build_fact_ventas, clean_snapshots,
                                       transform_ecommerce, transform_sales)
 from kardex.operators.identity import build_dim_producto, latest_attributes
@@ -72,6 +72,15 @@ def q_asof_cost_margin(spark, d):
     return money_as_double(_model(spark, d).fact_ventas)
 
 
+def q_asof_cost_margin_sorted(spark, d):
+    """The cost in force through the sort-based (skew-safe) as-of strategy."""
+    raw = td.load_sources(spark, d)
+    m = build_model(raw)
+    fact = build_fact_ventas(transform_sales(raw.sales),
+                             transform_ecommerce(raw.ecommerce, m.dim_producto, raw.exchange_rates))
+    return money_as_double(build_fact_ventas_con_costo(fact, m.dim_catalogo, m.dim_producto, strategy="sorted"))
+
+
 def q_asof_event_locf(spark, d):
     """Each event with the value of the same user's latest purchase at or before it."""
     e = td.table(spark, d, "events").select("event_id", "user_id", "ts", "value")
@@ -392,6 +401,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fx_daily_rate": q_fx_daily_rate,
     "unified_sales_union": q_unified_sales_union,
     "asof_cost_margin": q_asof_cost_margin,
+    "asof_cost_margin_sorted": q_asof_cost_margin_sorted,
     "asof_event_locf": q_asof_event_locf,
     "product_identity_map": q_product_identity_map,
     "store_dim_virtual": q_store_dim_virtual,

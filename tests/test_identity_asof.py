@@ -1,3 +1,5 @@
+import datetime as dt
+
 from conftest import d, dec, ts
 
 from kardex.operators.asof import asof_join, asof_locf, build_fact_ventas_con_costo
@@ -69,3 +71,34 @@ def test_asof_join_equals_union_locf(spark):
     a = sorted((r["t"], r["v"]) for r in asof_join(left, right, ["k"], "t", "rt", ["v"]).collect())
     b = sorted((r["t"], r["v"]) for r in asof_locf(left, right, ["k"], "t", "rt", ["v"]).collect())
     assert a == b and [v for _, v in a] == [None, 10.0, 10.0, 10.0, 20.0, 20.0, 20.0]
+
+
+def test_sorted_asof_hot_key_across_partitions_matches_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    base = ts("2025-01-01 00:00")
+    step = lambda m: base + dt.timedelta(minutes=m)
+    left = [(i, "hot" if i % 3 else f"k{i % 5}", step(rnd.randint(0, 500))) for i in range(400)]
+    right = [("hot" if j % 4 else f"k{j % 5}", step(rnd.randint(0, 500)), j, None if j % 17 == 0 else float(j))
+             for j in range(150)]
+    ldf = spark.createDataFrame(left, "id int, k string, t timestamp_ntz")
+    rdf = spark.createDataFrame(right, "k string, rt timestamp_ntz, seq int, v double")
+
+    def brute(fallback):
+        out = {}
+        for i, k, t in left:
+            cands = [r for r in right if r[0] == k and r[1] <= t]
+            v = max(cands, key=lambda r: (r[1], r[2]))[3] if cands else None
+            firsts = [r for r in right if r[0] == k]
+            if v is None and fallback and firsts:  # no row in force, or a null value in force
+                v = min(firsts, key=lambda r: (r[1], r[2]))[3]
+            out[i] = v
+        return out
+
+    for fb in (False, True):
+        got = {r["id"]: r["v"] for r in asof_locf(ldf, rdf, ["k"], "t", "rt", ["v"], tiebreak=["seq"],
+                                                   fallback_first=fb, num_partitions=6).collect()}
+        assert got == brute(fb)
+        iv = {r["id"]: r["v"] for r in asof_join(ldf, rdf, ["k"], "t", "rt", ["v"], tiebreak=["seq"],
+                                                  fallback_first=fb).collect()}
+        assert iv == got
