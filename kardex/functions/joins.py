@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,6 +65,11 @@ def sequence_number(df: DataFrame, order_col: str, out_col: str = "seq", num_par
                 .sortWithinPartitions(*keys)
                 .withColumn("_part", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
+    # Both passes below must see ONE range partitioning: two evaluations would sample their own
+    # boundaries. Persisted once, a lost block is recomputed from the same shuffle dependency,
+    # whose boundaries are fixed when it is created.
+    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged.count()
     gkeys = ["_part"] + ([group_col] if group_col else [])
     counts = ranged.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     w = (Window.partitionBy(group_col) if group_col else Window.partitionBy()).orderBy("_part")

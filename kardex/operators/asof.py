@@ -7,9 +7,9 @@ broadcast hash join when the interval table passes the size check, else a sort-m
 the key, where AQE splits a hot key's left partition across tasks.
 
 It costs O(left rows x right rows) per key inside the join, which is right for short histories
-(cost versions per SKU). ``asof_locf`` sorts the union of both sides instead and carries the
-latest right row across range partitions: it stays balanced when one key holds a large share of
-either side.
+(cost versions per SKU). ``asof_locf`` sorts the union of both sides instead, inside (key, time
+bucket) groups, and carries the latest right row across buckets: it stays balanced when one key
+holds a large share of either side.
 """
 
 from __future__ import annotations
@@ -67,44 +67,45 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
 
 def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str,
               value_cols: list[str], tiebreak: list[str] | None = None, fallback_first: bool = False,
-              num_partitions: int | None = None) -> DataFrame:
+              bucket: str = "day") -> DataFrame:
     """As-of join by sorting instead of joining: skew-safe on BOTH sides.
 
-    Left and right rows are unioned and range-partitioned on (key, time, side), so a key with a
-    third of all rows is spread over many tasks by time. Inside each (partition, key) the latest
-    right row is carried forward (right rows sort first at equal times, so exact matches count;
-    ``tiebreak`` orders right rows on equal times, the last wins). The value in force at the start
-    of a partition comes from a boundary table with one row per (partition, key): the last right
-    row of each, carried across partitions by a window per key, whose size is bounded by the
-    number of partitions. The right row is carried whole (a struct), so its values stay together.
+    Left and right rows are unioned and grouped by (key, time bucket), so a key with a third of
+    all rows is spread over as many groups as it has buckets (``bucket`` is a ``date_trunc`` unit).
+    Inside each group the latest right row is carried forward (right rows sort first at equal
+    times, so exact matches count; ``tiebreak`` orders right rows on equal times, the last wins).
+    The value in force when a group starts comes from a boundary table with one row per (key,
+    bucket): the last right row of each, carried to later buckets by a window per key whose size
+    is the number of buckets of that key. Buckets are a pure function of the row, so every pass
+    sees the same grouping. The right row is carried whole (a struct): its values stay together.
     """
-    n = num_partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tb = tiebreak or []
     keys = [f"_k{i}" for i in range(len(by))]
     row_type = left.select(F.struct(*left.columns).alias("r")).schema["r"].dataType
     val_type = right.select(F.struct(*value_cols).alias("v")).schema["v"].dataType
     tb_types = {c: right.schema[c].dataType for c in tb}
-    l = left.select(*[F.col(b).alias(k) for b, k in zip(by, keys)],
-                    F.col(left_on).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_side"),
+    t_l = F.col(left_on).cast("timestamp_ntz")
+    t_r = F.col(right_on).cast("timestamp_ntz")
+    l = left.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], t_l.alias("_t"), F.lit(1).alias("_side"),
                     *[F.lit(None).cast(tb_types[c]).alias("_tb_" + c) for c in tb],
                     F.struct(*left.columns).alias("_row"), F.lit(None).cast(val_type).alias("_val"))
-    r = right.select(*[F.col(b).alias(k) for b, k in zip(by, keys)],
-                     F.col(right_on).cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_side"),
+    r = right.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], t_r.alias("_t"), F.lit(0).alias("_side"),
                      *[F.col(c).alias("_tb_" + c) for c in tb],
                      F.lit(None).cast(row_type).alias("_row"), F.struct(*value_cols).alias("_val"))
     order = ["_t", "_side"] + ["_tb_" + c for c in tb]
-    ranged = (l.unionByName(r).repartitionByRange(n, *keys, *order)
-               .withColumn("_part", F.spark_partition_id()))
-    # latest right row so far inside (partition, key)
-    w_local = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    filled = ranged.withColumn("_local", F.last("_val", ignorenulls=True).over(w_local))
-    # last right row of each (partition, key), carried to the later partitions of the key
-    is_right = F.col("_side") == 0
-    bounds = ranged.groupBy("_part", *keys).agg(
-        F.max_by(F.when(is_right, F.col("_val")), F.when(is_right, F.struct(*order))).alias("_last"))
-    w_carry = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    carry = bounds.select("_part", *keys, F.last("_last", ignorenulls=True).over(w_carry).alias("_carry"))
-    out = filled.where(F.col("_side") == 1).join(carry, ["_part", *keys], "left")
+    u = l.unionByName(r).withColumn("_b", F.date_trunc(bucket, F.col("_t")))
+    # latest right row so far inside (key, bucket)
+    w_local = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    filled = u.withColumn("_local", F.last("_val", ignorenulls=True).over(w_local)).where(F.col("_side") == 1)
+    # last right row of each (key, bucket), carried to the later buckets of the key
+    bounds = r.withColumn("_b", F.date_trunc(bucket, F.col("_t"))).groupBy(*keys, "_b").agg(
+        F.max_by("_val", F.struct(*order)).alias("_last"))
+    left_buckets = l.select(*keys, F.date_trunc(bucket, F.col("_t")).alias("_b")).distinct()
+    all_buckets = bounds.unionByName(left_buckets.withColumn("_last", F.lit(None).cast(val_type)))
+    w_carry = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = all_buckets.groupBy(*keys, "_b").agg(F.max("_last").alias("_last")) \
+        .select(*keys, "_b", F.last("_last", ignorenulls=True).over(w_carry).alias("_carry"))
+    out = filled.join(carry, [*keys, "_b"], "left")
     out = out.withColumn("_v", F.coalesce(F.col("_local"), F.col("_carry")))
     vals = [F.col("_v." + c) for c in value_cols]
     if fallback_first:  # before the first right row, or a null value in force: the first row's value

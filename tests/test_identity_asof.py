@@ -97,7 +97,7 @@ def test_sorted_asof_hot_key_across_partitions_matches_brute_force(spark):
 
     for fb in (False, True):
         got = {r["id"]: r["v"] for r in asof_locf(ldf, rdf, ["k"], "t", "rt", ["v"], tiebreak=["seq"],
-                                                   fallback_first=fb, num_partitions=6).collect()}
+                                                   fallback_first=fb, bucket="hour").collect()}
         assert got == brute(fb)
         iv = {r["id"]: r["v"] for r in asof_join(ldf, rdf, ["k"], "t", "rt", ["v"], tiebreak=["seq"],
                                                   fallback_first=fb).collect()}
