@@ -12,16 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kardex.functions.numeric import parse_count, round_double, round_money
+from kardex.functions.numeric import round_double, round_money
 from kardex.operators import quality as dq
 from kardex.operators.asof import asof_join, asof_locf, build_fact_ventas_con_costo
-from kardex.operators.conform import (build_dim_tiendas, build_fact_inventario, build_fact_ventas, clean_snapshots,
-                                      transform_ecommerce, transform_sales)
+from kardex.operators.conform import (build_dim_tiendas, build_fact_ventas, clean_snapshots, transform_ecommerce,
+                                      transform_sales)
 from kardex.operators.identity import build_dim_producto, latest_attributes
-from kardex.operators.islands import lost_sales, stockout_runs, stockouts
+from kardex.operators.islands import stockout_runs, stockouts
 from kardex.operators.kpis import executive_kpis, kpi_report
-from kardex.operators.margin import (affected_stores, flatten_affected, margin_base, margin_detail, margin_summary,
-                                     national_price, negative_margin, top_systemic)
+from kardex.operators.margin import (flatten_affected, margin_base, margin_summary, national_price, negative_margin,
+                                     top_systemic)
 from kardex.operators.periods import last_months_by_channel, month_over_month, monthly_share
 from kardex.operators.turnover import turnover, turnover_top
 from kardex.plans.model import Model, build_model

@@ -1,6 +1,5 @@
 from conftest import d, dec, ts
 
-from kardex.functions.numeric import MONEY
 from kardex.operators.conform import (build_dim_tiendas, build_fact_inventario, clean_snapshots, convert_currency,
                                       transform_sales)
 from kardex.sources.files import SALES_SCHEMA
