@@ -30,9 +30,10 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     min/max statistics skip row groups for selective filters; ``partition_by`` writes one folder
     per value and, with dynamic partition overwrite, a re-run replaces only the partitions it
     writes."""
-    out = nested_to_json(df) if flat else df
     obs = Observation(os.path.basename(path.rstrip("/")) or "table")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in (metrics or {}).items()])
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in (metrics or {}).items()])
+    if flat:  # metrics above see the nested columns; the files get JSON text
+        out = nested_to_json(out)
     if partition_by:
         out = out.repartition(*[F.col(c) for c in partition_by])
     if sort_within:

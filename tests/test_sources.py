@@ -51,3 +51,35 @@ def test_sales_csv_and_empty_guard(spark, tmp_path):
     assert [float(r["monto"]) for r in rows] == [150.5, 75.25] and rows[0]["fecha_hora"].hour == 9
     with pytest.raises(ValueError, match="empty"):
         require_rows(df.where("cantidad > 100"), "sales")
+
+
+def test_rates_csv_and_web_orders_parquet(spark, tmp_path):
+    from kardex.sources.files import read_ecommerce_parquet, read_exchange_rates_csv
+
+    p = tmp_path / "rates.csv"
+    p.write_text("fecha,currency,rate_to_mxn\n2025-04-01 00:00:00,USD,17.25\n2025-04-02,EUR,18.9\n")
+    rates = {r["currency"]: (str(r["fecha"]), float(r["rate_to_mxn"])) for r in read_exchange_rates_csv(spark, str(p)).collect()}
+    assert rates == {"USD": ("2025-04-01", 17.25), "EUR": ("2025-04-02", 18.9)}
+    web = spark.createDataFrame([("o1", "2025-04-01 10:00:00", "h1", 2, 10.5, "USD")],
+                                "order_id string, fecha string, product_handle string, cantidad int, amount double, currency string")
+    web.write.parquet(str(tmp_path / "web"))
+    r = read_ecommerce_parquet(spark, str(tmp_path / "web")).first()
+    assert r["fecha"].hour == 10 and r["cantidad"] == 2 and float(r["amount"]) == 10.5
+
+
+def test_table_sink_nested_json_counts_and_overwrite(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from kardex.sinks.tables import write_table
+
+    df = spark.createDataFrame([("P1", "2025-01", [("T1", None, -5.0)]), ("P2", "2025-02", [])],
+                               "sku_pos string, mes string, tiendas array<struct<tienda_id:string, ciudad:string, m:double>>")
+    out = str(tmp_path / "t")
+    observed = {}
+    n = write_table(df, out, partition_by=["mes"], flat=True,
+                    metrics={"vacias": F.count_if(F.size("tiendas") == 0)}, observed_out=observed)
+    assert n == 2 and observed["vacias"] == 1
+    back = {r["sku_pos"]: r for r in spark.read.parquet(out).collect()}
+    assert json.loads(back["P1"]["tiendas"]) == [{"tienda_id": "T1", "ciudad": None, "m": -5.0}]
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("mes=")) == ["mes=2025-01", "mes=2025-02"]
+    assert write_table(df, out, partition_by=["mes"], flat=True) == 2 and spark.read.parquet(out).count() == 2
