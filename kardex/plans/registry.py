@@ -24,7 +24,7 @@ from kardex.operators.margin import (flatten_affected, margin_base, margin_summa
                                      top_systemic)
 from kardex.operators.periods import last_months_by_channel, month_over_month, monthly_share
 from kardex.operators.turnover import turnover, turnover_top
-from kardex.plans.model import Model, build_model
+from kardex.plans.model import Model, build_model, no_stage
 from kardex.sources import testdata as td
 
 
@@ -35,7 +35,9 @@ def money_as_double(df: DataFrame) -> DataFrame:
 
 
 def _model(spark: SparkSession, d: str) -> Model:
-    return build_model(td.load_sources(spark, d))
+    """A standalone query plans the whole model lazily in one plan (repeated dimension subplans
+    share their exchanges at runtime); the batch job stages the model as tables instead."""
+    return build_model(td.load_sources(spark, d), no_stage)
 
 
 def _inventory(spark: SparkSession, d: str) -> tuple[Model, DataFrame]:
@@ -75,7 +77,7 @@ def q_asof_cost_margin(spark, d):
 def q_asof_cost_margin_sorted(spark, d):
     """The cost in force through the sort-based (skew-safe) as-of strategy."""
     raw = td.load_sources(spark, d)
-    m = build_model(raw)
+    m = build_model(raw, no_stage)
     fact = build_fact_ventas(transform_sales(raw.sales),
                              transform_ecommerce(raw.ecommerce, m.dim_producto, raw.exchange_rates))
     return money_as_double(build_fact_ventas_con_costo(fact, m.dim_catalogo, m.dim_producto, strategy="sorted"))
