@@ -63,9 +63,9 @@ def build_model(raw, stage: Stage = cache_stage, pool=None) -> Model:
     """``raw`` has the seven sources (sales, tiendas, sku_map, catalogo, snapshots, ecommerce,
     exchange_rates) as attributes. The product dimension comes first: every fact keys on it.
     The facts are returned lazily; the caller stages or writes them."""
-    ref = stage_all(stage, {"dim_catalogo": raw.catalogo, "exchange_rates": raw.exchange_rates,
-                            "dim_tiendas": build_dim_tiendas(raw.tiendas)}, pool)
-    catalogo, rates, dim_tiendas = ref["dim_catalogo"], ref["exchange_rates"], ref["dim_tiendas"]
+    ref = stage_all(stage, {"dim_catalogo": raw.catalogo, "dim_tiendas": build_dim_tiendas(raw.tiendas)}, pool)
+    catalogo, dim_tiendas = ref["dim_catalogo"], ref["dim_tiendas"]
+    rates = raw.exchange_rates  # one consumer: planned inline, broadcast by its measured size
     dim_producto = stage(build_dim_producto(raw.sku_map, catalogo, raw.ecommerce, raw.sales), "dim_producto")
     sales_norm = transform_sales(raw.sales)
     ecom_norm = transform_ecommerce(raw.ecommerce, dim_producto, rates)
