@@ -46,7 +46,7 @@ def test_fx_missing_currency_raises_on_request(spark):
 
 
 def test_store_dimension_has_virtual_store(spark):
-    t = spark.createDataFrame([("T1", "Monterrey", "Norte", "America/Monterrey")], "tienda_id string, ciudad string, region string, timezone string")
+    t = spark.createDataFrame([("T1", "Ciudad1", "Region1", "UTC")], "tienda_id string, ciudad string, region string, timezone string")
     rows = {r["tienda_id"]: r for r in build_dim_tiendas(t).collect()}
     assert rows["ECOMMERCE"]["ciudad"] == "Online" and rows["ECOMMERCE"]["region"] == "ecommerce"
 

@@ -5,10 +5,10 @@ import pytest
 from kardex.sources.files import read_inventory_json, read_sales_csv, require_rows
 
 DOC = {
-    "tiendas_info": [{"tienda_id": "T1", "ciudad": "Monterrey", "region": "Norte", "timezone": "America/Monterrey"}],
+    "tiendas_info": [{"tienda_id": "T1", "ciudad": "Ciudad1", "region": "Region1", "timezone": "UTC"}],
     "sku_mappings": [{"sku_pos": "P1", "sku_erp": "E1", "handle": "h1"}, {"sku_pos": "P2", "sku_erp": None, "handle": None}],
     "catalogo": {"productos": [
-        {"sku_erp": "E1", "nombre": "Cafe", "categoria": "grano", "cost_history": [
+        {"sku_erp": "E1", "nombre": "Producto1", "categoria": "cat1", "cost_history": [
             {"fecha_vigencia": "2025-01-01", "costo_mxn": "100.5", "proveedor": "A"},
             {"fecha_vigencia": "2025-06-01", "costo_mxn": "110", "proveedor": "A"}]},
         {"sku_erp": "E2", "nombre": "Te", "categoria": "hoja", "cost_history": []},
