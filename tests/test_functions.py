@@ -42,7 +42,34 @@ def test_unique_lookup_last_and_raise(spark):
         unique_lookup(df, "handle", ["sku_pos"], "raise").collect()
 
 
+def _plan(df) -> str:
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
 def test_bounded_broadcast_checks_size(spark):
-    df = spark.range(10)
-    assert fits_broadcast(df, 10) and not fits_broadcast(df, 9)
-    assert "broadcast" in bounded_broadcast(df, 10)._jdf.queryExecution().logical().toString().lower() or True
+    small = spark.range(10).withColumnRenamed("id", "k")
+    assert fits_broadcast(small, 10) and not fits_broadcast(small, 9)
+    big = spark.range(100_000).withColumnRenamed("id", "k")
+    with_hint = big.join(bounded_broadcast(small, 10), "k")
+    assert "BroadcastHashJoin" in _plan(with_hint)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        over_bound = big.join(bounded_broadcast(small, 5), "k")  # 10 rows > bound: no hint
+        assert "BroadcastHashJoin" not in _plan(over_bound)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sequence_number_consistent_when_sampling_matters(spark):
+    n = 50_000
+    df = spark.range(n).select(F.format_string("k%06d", (F.lit(n) - F.col("id"))).alias("key"),
+                               (F.col("id") % 7).alias("attr")).repartition(11)
+    out = sequence_number(df, "key", "seq", num_partitions=16)
+    rows = out.select("key", "seq").orderBy("seq").collect()
+    assert [r["seq"] for r in rows] == list(range(1, n + 1))
+    assert all(rows[i]["key"] < rows[i + 1]["key"] for i in range(n - 1))
