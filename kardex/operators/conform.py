@@ -29,16 +29,20 @@ def clean_snapshots(snapshots: DataFrame) -> DataFrame:
 
 
 def transform_sales(sales: DataFrame, keep_types=(INCOME_TYPE, CREDIT_TYPE),
-                    negative_type: str = CREDIT_TYPE) -> DataFrame:
+                    negative_type: str = CREDIT_TYPE, signed_units: bool = False) -> DataFrame:
     """POS lines -> physical-channel fact rows. Only income and credit documents are sales;
-    credits subtract money but keep their units positive."""
+    credits subtract money but keep their units positive (as the reference does, so returns count
+    as units sold downstream). ``signed_units=True`` negates the units of credits too."""
     df = sales.where(F.col("tipo_comprobante").isin(list(keep_types)))
+    units = F.col("cantidad").cast("bigint")
+    if signed_units:
+        units = signed_by_type(units, "tipo_comprobante", negative_type)
     return df.select(
         F.col("venta_id").cast("string").alias("order_id"),
         F.col("fecha_hora").alias("fecha"),
         "tienda_id",
         F.col("sku").alias("sku_pos"),
-        F.col("cantidad").cast("bigint").alias("cantidad"),
+        units.alias("cantidad"),
         signed_by_type(F.col("monto").cast(MONEY), "tipo_comprobante", negative_type).cast(MONEY).alias("monto_mxn"),
         F.lit(PHYSICAL).alias("canal"),
     )

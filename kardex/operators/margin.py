@@ -163,9 +163,10 @@ def negative_margin(fact_ventas: DataFrame, dim_tiendas: DataFrame, stage=None)
     mixed = summary.where(F.col("margen_total_mxn") >= 0)
     # every summary SKU has a negative store, so each mixed SKU finds its list in the detail
     mixed = mixed.join(affected_stores(detail), "sku_pos", "left").select(*SUMMARY_COLUMNS, "tiendas_negativas")
-    order = [F.col("margen_total_mxn").asc(), F.col("sku_pos").asc()]
+    order = [F.col("margen_total_mxn").asc_nulls_last(), F.col("sku_pos").asc_nulls_last()]
     return MarginReport(
-        detail.orderBy(F.col("margen_total_mxn").asc(), "sku_pos", "tienda_id", "canal"),
+        detail.orderBy(F.col("margen_total_mxn").asc_nulls_last(), F.col("sku_pos").asc_nulls_last(),
+                       F.col("tienda_id").asc_nulls_last(), F.col("canal").asc_nulls_last()),
         systemic.orderBy(*order),
         mixed.orderBy(*order),
     )
@@ -180,4 +181,4 @@ def flatten_affected(mixed: DataFrame) -> DataFrame:
 
 def top_systemic(systemic: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` SKUs with the most negative chain-wide margin (dashboard feed)."""
-    return systemic.orderBy(F.col("margen_total_mxn").asc(), F.col("sku_pos").asc()).limit(n)
+    return systemic.orderBy(F.col("margen_total_mxn").asc_nulls_last(), F.col("sku_pos").asc_nulls_last()).limit(n)

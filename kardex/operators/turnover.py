@@ -56,4 +56,4 @@ def turnover(fact_ventas: DataFrame, fact_inventario: DataFrame, start=None, end
 def turnover_top(fact_ventas: DataFrame, fact_inventario: DataFrame, start=None, end=None, k: int = 10) -> DataFrame:
     """Top-k SKUs by extended turnover (ties broken by SKU). Planned as a per-partition top-k."""
     return turnover(fact_ventas, fact_inventario, start, end).orderBy(
-        F.col("rotacion_extendida").desc(), F.col("sku_pos").asc()).limit(k)
+        F.col("rotacion_extendida").desc_nulls_last(), F.col("sku_pos").asc_nulls_last()).limit(k)

@@ -18,8 +18,11 @@ def test_signed_amounts_keep_income_and_credit(spark):
 
 
 def test_credit_units_stay_positive(spark):
-    out = transform_sales(_sales(spark, [("v1", ts("2025-01-01 10:00"), "T1", "P1", 2, dec(5), "E")])).first()
+    rows = [("v1", ts("2025-01-01 10:00"), "T1", "P1", 2, dec(5), "E")]
+    out = transform_sales(_sales(spark, rows)).first()
     assert out["cantidad"] == 2 and float(out["monto_mxn"]) == -5.0
+    signed = transform_sales(_sales(spark, rows), signed_units=True).first()
+    assert signed["cantidad"] == -2 and float(signed["monto_mxn"]) == -5.0
 
 
 def test_fx_day_rate_identity_and_fallback(spark):
