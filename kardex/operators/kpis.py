@@ -36,3 +36,12 @@ def kpi_report(kpis: DataFrame) -> DataFrame:
     money = F.concat(F.lit("$"), F.format_number("valor", 0), F.lit(" MXN"))
     return long.select("kpi", "valor", F.when(F.col("kpi").isin(MONEY_KPIS), money)
                        .otherwise(F.format_number("valor", 0)).alias("texto"))
+
+
+def dashboard_totals(fact_ventas: DataFrame) -> DataFrame:
+    """Dashboard header (OP20): total sales, transactions and number of channels, one scan."""
+    return fact_ventas.agg(
+        round_money(F.sum("monto_mxn")).alias("ventas_totales_mxn"),
+        F.count(F.lit(1)).cast("bigint").alias("transacciones"),
+        F.count_distinct("canal").cast("bigint").alias("canales"),
+    )

@@ -19,7 +19,7 @@ from kardex.operators.conform import (build_dim_tiendas, build_fact_ventas, clea
                                       transform_sales)
 from kardex.operators.identity import build_dim_producto, latest_attributes
 from kardex.operators.islands import stockout_runs, stockouts
-from kardex.operators.kpis import executive_kpis, kpi_report
+from kardex.operators.kpis import dashboard_totals, executive_kpis, kpi_report
 from kardex.operators.margin import (flatten_affected, margin_base, margin_summary, national_price, negative_margin,
                                      top_systemic)
 from kardex.operators.periods import last_months_by_channel, month_over_month, monthly_share
@@ -212,6 +212,10 @@ def q_exec_kpis(spark, d):
     return executive_kpis(_model(spark, d).fact_ventas)
 
 
+def q_dashboard_totals(spark, d):
+    return dashboard_totals(_model(spark, d).fact_ventas)
+
+
 def q_exec_kpis_report(spark, d):
     return kpi_report(executive_kpis(_model(spark, d).fact_ventas))
 
@@ -431,6 +435,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top5_systemic": q_top5_systemic,
     "exec_kpis": q_exec_kpis,
     "exec_kpis_report": q_exec_kpis_report,
+    "dashboard_totals": q_dashboard_totals,
     "conditional_pivot": q_conditional_pivot,
     "semi_anti_keys": q_semi_anti_keys,
     "top3_turnover": q_top3_turnover,
