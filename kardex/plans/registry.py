@@ -24,7 +24,7 @@ from kardex.operators.margin import (flatten_affected, margin_base, margin_summa
                                      top_systemic)
 from kardex.operators.periods import last_months_by_channel, month_over_month, monthly_share
 from kardex.operators.turnover import turnover, turnover_top
-from kardex.plans.model import Model, build_model, no_stage
+from kardex.plans.model import Model, build_model, cache_stage, no_stage
 from kardex.sources import testdata as td
 
 
@@ -265,6 +265,13 @@ def q_asof_event_locf_window(spark, d):
     return asof_locf(e, purchases, ["user_id"], "ts", "p_ts", ["last_purchase_value"])
 
 
+def _staged_model(spark: SparkSession, d: str) -> Model:
+    """The model with its dimensions and facts materialised, for SQL over temp views."""
+    m = build_model(td.load_sources(spark, d), cache_stage)
+    return m._replace(fact_ventas=cache_stage(m.fact_ventas, "fact_ventas"),
+                      fact_inventario=cache_stage(m.fact_inventario, "fact_inventario"))
+
+
 def register_views(model: Model) -> None:
     """The model's tables as named relations for SQL (temp views, session scoped)."""
     for name, df in model._asdict().items():
@@ -273,7 +280,7 @@ def register_views(model: Model) -> None:
 
 def q_exec_kpis_sql(spark, d):
     """The KPIs through the SQL API over temp views (filtered aggregates, one scan)."""
-    register_views(_model(spark, d))
+    register_views(_staged_model(spark, d))
     return spark.sql("""
         SELECT CAST(ROUND(SUM(monto_mxn), 2) AS DOUBLE) AS total_ventas_mxn,
                CAST(ROUND(SUM(monto_mxn) FILTER (WHERE canal = 'fisico'), 2) AS DOUBLE) AS ventas_fisicas_mxn,
@@ -287,7 +294,7 @@ def q_exec_kpis_sql(spark, d):
 def q_neg_margin_summary_sql(spark, d):
     """The SKU summary with the correlated IN subquery written in SQL (planned as an existence
     join); same result as the two-level aggregate of neg_margin_summary."""
-    register_views(_model(spark, d))
+    register_views(_staged_model(spark, d))
     avg = lambda c: f"CAST(SUM({c}) AS DOUBLE) / CAST(COUNT({c}) AS DOUBLE)"
     r2 = lambda e: f"ROUND(({e}) * 100D, 0) / 100D"
     return spark.sql(f"""
