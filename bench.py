@@ -34,7 +34,8 @@ def main():
     if os.environ.get("BENCH_EVENT_LOG"):  # scratch folder for stage/task times
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"],
                       "spark.eventLog.compress": "false"})
-    spark = build_session(f"local[{cpus}]", app_name="kardex-bench", shuffle_partitions=cpus * 2, extra=extra)
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus * 2)))
+    spark = build_session(f"local[{cpus}]", app_name="kardex-bench", shuffle_partitions=parts, extra=extra)
     base = os.path.join(ensure_checkpoint_dir(spark), "bench-" + uuid.uuid4().hex[:8])
     timings: dict = {}
     t0 = time.time()
