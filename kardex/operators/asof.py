@@ -115,19 +115,33 @@ def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     return out.select("_row.*", *[v.alias(c) for v, c in zip(vals, value_cols)])
 
 
+# Longest history per key the interval join takes; beyond it the sort-based strategy is used.
+MAX_VERSIONS_FOR_INTERVALS = 10_000
+
+
+def choose_strategy(right: DataFrame, by: list[str], max_versions: int = MAX_VERSIONS_FOR_INTERVALS) -> str:
+    """'intervals' when every key's history is short (measured: one aggregate over the history
+    side, a scalar to the driver), else 'sorted'. The interval join costs left x right rows per
+    key, so a key holding a large share of the history needs the sorted strategy."""
+    longest = right.groupBy(*by).count().agg(F.max("count").alias("m")).first()["m"] or 0
+    return "intervals" if longest <= max_versions else "sorted"
+
+
 def build_fact_ventas_con_costo(fact_ventas: DataFrame, catalogo: DataFrame, dim_producto: DataFrame,
-                                strategy: str = "intervals") -> DataFrame:
+                                strategy: str = "auto") -> DataFrame:
     """product_id and ERP code by SKU, the cost in force at each sale, and the margin.
 
     Sales whose SKU has no ERP code, or whose code has no cost history, keep null cost and margin.
     Before the first effective date the earliest cost applies; a null cost in force also falls
     back to the earliest. Name and category come from the matched catalogue row the same way.
-    ``strategy``: "intervals" (join; cost histories are short per SKU) or "sorted" (skew-safe on
-    both sides, for long histories per key).
+    ``strategy``: "intervals" (join; cost histories are short per SKU), "sorted" (skew-safe on
+    both sides, for long histories per key) or "auto" (measured by ``choose_strategy``).
     """
     by_sku = unique_lookup(dim_producto, "sku_pos", ["product_id", "sku_erp"], on_duplicate="raise")
     fv = fact_ventas.join(by_sku, "sku_pos", "left")
     cat = catalogo.select("sku_erp", "fecha_vigencia", "pos", "costo_mxn", "nombre", "categoria")
+    if strategy == "auto":
+        strategy = choose_strategy(cat, ["sku_erp"])
     asof = asof_join if strategy == "intervals" else asof_locf
     fv = asof(fv, cat, ["sku_erp"], "fecha", "fecha_vigencia", ["costo_mxn", "nombre", "categoria"],
               tiebreak=["pos"], fallback_first=True)

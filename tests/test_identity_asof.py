@@ -2,7 +2,7 @@ import datetime as dt
 
 from conftest import d, dec, ts
 
-from kardex.operators.asof import asof_join, asof_locf, build_fact_ventas_con_costo
+from kardex.operators.asof import asof_join, asof_locf, build_fact_ventas_con_costo, choose_strategy
 from kardex.operators.identity import build_dim_producto, latest_attributes
 
 CAT = "sku_erp string, nombre string, categoria string, fecha_vigencia date, costo_mxn decimal(18,4), proveedor string, pos int"
@@ -102,3 +102,9 @@ def test_sorted_asof_hot_key_across_partitions_matches_brute_force(spark):
         iv = {r["id"]: r["v"] for r in asof_join(ldf, rdf, ["k"], "t", "rt", ["v"], tiebreak=["seq"],
                                                   fallback_first=fb).collect()}
         assert iv == got
+
+
+def test_strategy_choice_is_measured(spark):
+    hist = spark.createDataFrame([("a", i) for i in range(30)] + [("b", 1)], "k string, v int")
+    assert choose_strategy(hist, ["k"], max_versions=30) == "intervals"
+    assert choose_strategy(hist, ["k"], max_versions=29) == "sorted"
