@@ -35,6 +35,9 @@ LAYOUT = {
 
 
 MODEL_TABLES = {"fact_ventas", "fact_inventario", "dim_producto", "dim_tiendas", "dim_catalogo"}
+# intermediates landed as tables too: large and read by several stages (lineage cut, no
+# executor-local copies of a big join)
+LANDED = {"order_lines"}
 
 
 VOLUME_METRICS = {"fact_ventas": sales_volume_metrics, "fact_inventario": inventory_volume_metrics}
@@ -45,7 +48,7 @@ def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None
     sink of the job, and a lineage cut); other intermediates are persisted."""
     def stage(df: DataFrame, name: str) -> DataFrame:
         t0 = time.time()
-        if name in MODEL_TABLES:
+        if name in MODEL_TABLES or name in LANDED:
             path = os.path.join(stage_dir, name)
             spark.sparkContext.setJobDescription(f"write {name}")
             observed: dict = {}
@@ -66,7 +69,7 @@ def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None
 def build_staged_model(spark: SparkSession, sf_dir: str, stage_dir: str, timings: dict | None = None, pool=None,
                        volumes: dict | None = None):
     stage = table_stage(spark, stage_dir, timings, volumes)
-    raw = td.load_sources(spark, sf_dir, cache_lines=True)
+    raw = td.load_sources(spark, sf_dir, stage=stage)
     m = build_model(raw, stage, pool)
     facts = stage_all(stage, {"fact_ventas": m.fact_ventas, "fact_inventario": m.fact_inventario}, pool)
     model = Model(fact_ventas=facts["fact_ventas"], fact_inventario=facts["fact_inventario"],

@@ -211,9 +211,13 @@ def activity_sales(spark: SparkSession, sf_dir: str, dim_producto: DataFrame) ->
                     F.ceil("value").cast("bigint").alias("cantidad"))
 
 
-def load_sources(spark: SparkSession, sf_dir: str, cache_lines: bool = False) -> RawSources:
+def load_sources(spark: SparkSession, sf_dir: str, cache_lines: bool = False, stage=None) -> RawSources:
+    """The seven sources. Both channels and the product dimension read the joined order lines:
+    ``stage`` (the job's table stage) lands them once as a table, ``cache_lines`` persists them."""
     lines = order_lines(spark, sf_dir)
-    if cache_lines:  # both channels and the product dimension read the joined lines
+    if stage is not None:
+        lines = stage(lines, "order_lines")
+    elif cache_lines:
         from kardex.plans.model import cache_stage
 
         lines = cache_stage(lines, "order_lines")
