@@ -49,3 +49,14 @@ def last_months_by_channel(mom: DataFrame, n: int = 3) -> DataFrame:
 def monthly_share(mom: DataFrame) -> DataFrame:
     """One online-share value per month (dashboard feed)."""
     return mom.select("mes", "share_ecommerce_pct").dropDuplicates().orderBy("mes")
+
+
+def channel_share(fact_ventas: DataFrame, start=None, end=None, inclusive_end_day: bool = True) -> DataFrame:
+    """One row per month: physical and online sales side by side (pivot with fixed values, 0
+    when a channel has no sales) and the online share of the month (OP12)."""
+    m = monthly_sales(fact_ventas, start, end, inclusive_end_day)
+    p = m.groupBy("mes").pivot("canal", [PHYSICAL, ONLINE]).agg(F.max("venta_mxn"))
+    fis = F.coalesce(F.col(PHYSICAL), F.lit(0.0))
+    ecom = F.coalesce(F.col(ONLINE), F.lit(0.0))
+    return p.select(year_month("mes").alias("mes"), fis.alias("venta_fisico"), ecom.alias("venta_ecommerce"),
+                    round_double(safe_div(ecom, fis + ecom) * F.lit(100.0), 2).alias("share_ecommerce_pct"))

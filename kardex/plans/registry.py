@@ -22,7 +22,7 @@ from kardex.operators.islands import stockout_runs, stockouts
 from kardex.operators.kpis import dashboard_totals, executive_kpis, kpi_report
 from kardex.operators.margin import (flatten_affected, margin_base, margin_summary, national_price, negative_margin,
                                      top_systemic)
-from kardex.operators.periods import last_months_by_channel, month_over_month, monthly_share
+from kardex.operators.periods import channel_share, last_months_by_channel, month_over_month, monthly_share
 from kardex.operators.turnover import turnover, turnover_top
 from kardex.plans.model import Model, build_model, cache_stage, no_stage
 from kardex.sources import testdata as td
@@ -175,6 +175,10 @@ def q_monthly_share(spark, d):
     return monthly_share(month_over_month(_model(spark, d).fact_ventas))
 
 
+def q_channel_share(spark, d):
+    return channel_share(_model(spark, d).fact_ventas)
+
+
 def q_national_price(spark, d):
     return national_price(margin_base(_model(spark, d).fact_ventas))
 
@@ -433,6 +437,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mom_channel_period": q_mom_channel_period,
     "last3_months_by_channel": q_last3_months_by_channel,
     "monthly_share": q_monthly_share,
+    "channel_share": q_channel_share,
     "national_price": q_national_price,
     "neg_margin_detail": q_neg_margin_detail,
     "neg_margin_summary": q_neg_margin_summary,

@@ -115,3 +115,13 @@ def test_kpis_one_scan(spark):
     r = executive_kpis(fv).first()
     assert (r["total_ventas_mxn"], r["ventas_fisicas_mxn"], r["ventas_ecommerce_mxn"], r["total_transacciones"],
             r["tiendas_activas"], r["skus_activos"]) == (15.0, 10.0, 5.0, 2, 1, 2)
+
+
+def test_channel_share_pivot_zero_when_missing(spark):
+    from kardex.operators.periods import channel_share
+    fv = _fv(spark, [("2026-01-10 10:00", "T1", "P1", "fisico", 1, 300, 1),
+                     ("2026-02-10 10:00", "T1", "P1", "fisico", 1, 100, 1),
+                     ("2026-02-10 10:00", "ECOMMERCE", "P1", "ecommerce", 1, 300, 1)])
+    rows = {r["mes"]: r for r in channel_share(fv).collect()}
+    assert (rows["2026-01"]["venta_ecommerce"], rows["2026-01"]["share_ecommerce_pct"]) == (0.0, 0.0)
+    assert rows["2026-02"]["share_ecommerce_pct"] == 75.0
