@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kardex.operators.margin import MarginReport
 from kardex.operators.quality import inventory_volume_metrics, sales_volume_metrics
 from kardex.plans.analytics import Periods, run_all
+from kardex.operators.conform import build_dim_tiendas
 from kardex.plans.model import Model, build_model, cache_stage, stage_all
 from kardex.session import build_session, ensure_checkpoint_dir
 from kardex.sinks.tables import write_table
@@ -45,8 +46,13 @@ VOLUME_METRICS = {"fact_ventas": sales_volume_metrics, "fact_inventario": invent
 
 def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None, volumes: dict | None = None):
     """Stage = write the model tables as parquet under ``stage_dir`` and read them back (the
-    sink of the job, and a lineage cut); other intermediates are persisted."""
+    sink of the job, and a lineage cut); other intermediates are persisted. A name staged once is
+    not staged again (later calls get the staged frame)."""
+    done: dict[str, DataFrame] = {}
+
     def stage(df: DataFrame, name: str) -> DataFrame:
+        if name in done:
+            return done[name]
         t0 = time.time()
         if name in MODEL_TABLES or name in LANDED:
             path = os.path.join(stage_dir, name)
@@ -62,6 +68,7 @@ def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None
             out = cache_stage(df, name)
         if timings is not None:
             timings[f"stage_{name}"] = round(time.time() - t0, 3)
+        done[name] = out
         return out
     return stage
 
@@ -69,8 +76,11 @@ def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None
 def build_staged_model(spark: SparkSession, sf_dir: str, stage_dir: str, timings: dict | None = None, pool=None,
                        volumes: dict | None = None):
     stage = table_stage(spark, stage_dir, timings, volumes)
-    raw = td.load_sources(spark, sf_dir, stage=stage)
-    m = build_model(raw, stage, pool)
+    # the joined order lines and the catalogue / store tables do not depend on each other
+    first = stage_all(stage, {"order_lines": td.order_lines(spark, sf_dir), "dim_catalogo": td.catalogo(spark, sf_dir),
+                              "dim_tiendas": build_dim_tiendas(td.tiendas(spark, sf_dir))}, pool)
+    raw = td.load_sources(spark, sf_dir, lines=first["order_lines"], catalogue=first["dim_catalogo"])
+    m = build_model(raw, stage, pool)  # reuses the staged catalogue and store tables
     facts = stage_all(stage, {"fact_ventas": m.fact_ventas, "fact_inventario": m.fact_inventario}, pool)
     model = Model(fact_ventas=facts["fact_ventas"], fact_inventario=facts["fact_inventario"],
                   dim_producto=m.dim_producto, dim_tiendas=m.dim_tiendas, dim_catalogo=m.dim_catalogo)

@@ -88,3 +88,16 @@ def test_margin_invariants(model_and_results):
     assert recon < 1.0
     kpis = res["resumen"].first()
     assert kpis["total_transacciones"] > 0 and kpis["tiendas_activas"] > 0
+
+
+def test_batch_job_writes_model_and_results(spark, tmp_path):
+    from kardex.plans.job import run_job
+
+    out = run_job(spark, SF, str(tmp_path / "job"))
+    model_dir, results_dir = tmp_path / "job" / "model", tmp_path / "job" / "results"
+    assert {"fact_ventas", "fact_inventario", "dim_producto", "dim_tiendas", "dim_catalogo"} <= {p.name for p in model_dir.iterdir()}
+    assert len(list(results_dir.iterdir())) == 7 and out["rows"]["result_q1_rotacion"] == 10
+    v = out["volumes"]["fact_ventas"]
+    assert v["rows"] == v["fisico"] + v["ecommerce"] and v["creditos"] > 0
+    mixed = spark.read.parquet(str(results_dir / "result_q4_resumen_mixto"))
+    assert dict(mixed.dtypes)["tiendas_negativas"] == "string"  # nested list written as JSON text
