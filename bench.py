@@ -25,9 +25,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    from kardex.plans.analytics import Periods, run_all
-    from kardex.plans.job import build_staged_model, result_tables, write_results
-    from kardex.plans.model import cache_stage
+    from kardex.plans.analytics import Periods
+    from kardex.plans.job import answer_and_write, build_staged_model
     from kardex.session import build_session, ensure_checkpoint_dir
 
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
@@ -43,9 +42,8 @@ def main():
         volumes: dict = {}
         model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings, pool, volumes)
         timings["model"] = round(time.time() - t0, 3)
-        results = result_tables(run_all(model, Periods(), lookback_sales=lookback, stage=cache_stage))
         queries: dict = {}
-        rows = write_results(results, os.path.join(base, "results"), pool, queries)
+        rows = answer_and_write(model, lookback, os.path.join(base, "results"), Periods(), pool, queries)
     queries = {k.replace("result_", ""): v for k, v in queries.items()}
     total = round(time.time() - t0, 3)
     queries["model_build"] = timings["model"]

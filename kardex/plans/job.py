@@ -17,9 +17,13 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kardex.operators.margin import MarginReport
+from kardex.operators.islands import stockouts
+from kardex.operators.kpis import executive_kpis
+from kardex.operators.margin import MarginReport, negative_margin
+from kardex.operators.periods import month_over_month
+from kardex.operators.turnover import turnover_top
 from kardex.operators.quality import inventory_volume_metrics, sales_volume_metrics
-from kardex.plans.analytics import Periods, run_all
+from kardex.plans.analytics import Periods
 from kardex.operators.conform import build_dim_tiendas
 from kardex.plans.model import Model, build_model, cache_stage, stage_all
 from kardex.session import build_session, ensure_checkpoint_dir
@@ -103,6 +107,11 @@ def result_tables(results: dict) -> dict[str, DataFrame]:
 
 def write_results(results: dict[str, DataFrame], out_dir: str, pool=None, timings: dict | None = None) -> dict:
     """Write every result table (nested columns as JSON text), concurrently with a pool."""
+    futures = submit_results(results, out_dir, pool, timings)
+    return {k: (f.result() if hasattr(f, "result") else f) for k, f in futures.items()}
+
+
+def submit_results(results: dict[str, DataFrame], out_dir: str, pool=None, timings: dict | None = None) -> dict:
     def one(name, df):
         t = time.time()
         df.sparkSession.sparkContext.setJobDescription(f"result {name}")
@@ -112,8 +121,28 @@ def write_results(results: dict[str, DataFrame], out_dir: str, pool=None, timing
         return n
     if pool is None:
         return {k: one(k, v) for k, v in results.items()}
-    futures = {k: pool.submit(one, k, v) for k, v in results.items()}
-    return {k: f.result() for k, f in futures.items()}
+    return {k: pool.submit(one, k, v) for k, v in results.items()}
+
+
+def answer_and_write(model: Model, lookback: DataFrame, out_dir: str, periods: Periods = Periods(), pool=None,
+                     timings: dict | None = None) -> dict:
+    """The questions and their result tables. Results that do not need the margin aggregates are
+    submitted first, so they run while the margin aggregates are materialised."""
+    first = {
+        "result_q1_rotacion": turnover_top(model.fact_ventas, model.fact_inventario, *periods.turnover, k=periods.top_k),
+        "result_q2_quiebres": stockouts(model.fact_inventario, lookback, model.dim_tiendas, *periods.stockout,
+                                        min_days=periods.min_run_days, lookback_days=periods.lookback_days),
+        "result_q3_mom": month_over_month(model.fact_ventas, *periods.monthly, inclusive_end_day=periods.inclusive_end_day),
+        "result_resumen": executive_kpis(model.fact_ventas),
+    }
+    futures = submit_results(first, out_dir, pool, timings)
+    q4: MarginReport = negative_margin(model.fact_ventas, model.dim_tiendas, stage=cache_stage)
+    futures.update(submit_results({
+        "result_q4_detalle_por_tienda": q4.detalle_por_tienda,
+        "result_q4_resumen_sistemico": q4.resumen_sistemico,
+        "result_q4_resumen_mixto": q4.resumen_mixto,
+    }, out_dir, pool, timings))
+    return {k: (f.result() if hasattr(f, "result") else f) for k, f in futures.items()}
 
 
 def run_job(spark: SparkSession, sf_dir: str, output_dir: str | None = None, persist: bool = True,
@@ -125,8 +154,10 @@ def run_job(spark: SparkSession, sf_dir: str, output_dir: str | None = None, per
     with ThreadPoolExecutor(max_workers=concurrency) as pool:
         model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings, pool, volumes)
         timings["model"] = round(time.time() - t0, 3)
-        results = result_tables(run_all(model, periods, lookback_sales=lookback, stage=cache_stage))
-        counts = write_results(results, os.path.join(base, "results"), pool, timings) if persist else {}
+        if persist:
+            counts = answer_and_write(model, lookback, os.path.join(base, "results"), periods, pool, timings)
+        else:
+            counts = {}
     timings["total"] = round(time.time() - t0, 3)
     return {"output_dir": base, "timings": timings, "rows": counts, "volumes": volumes}
 
