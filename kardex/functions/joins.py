@@ -36,12 +36,10 @@ def unique_lookup(df: DataFrame, key: str, cols: list[str], on_duplicate: str =
             F.count(F.lit(1)).alias("_n"),
             *[F.first(c).alias(c) for c in cols],
         )
-        return agg.select(
-            key,
-            *[F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit(f"duplicate lookup key {key}="), F.col(key).cast("string"))))
-              .otherwise(F.col(c)).alias(c) if i == 0 else F.col(c)
-              for i, c in enumerate(cols)],
-        )
+        # the guard sits on the key: every join reads it, so column pruning cannot drop the check
+        guarded_key = F.when(F.col("_n") > 1, F.raise_error(
+            F.concat(F.lit(f"duplicate lookup key {key}="), F.col(key).cast("string")))).otherwise(F.col(key))
+        return agg.select(guarded_key.alias(key), *[F.col(c) for c in cols])
     if on_duplicate == "last":
         order = F.col(order_col) if order_col else F.struct(*[F.col(c) for c in cols])
         picked = base.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_v"))

@@ -40,6 +40,10 @@ def test_unique_lookup_last_and_raise(spark):
     assert got == {"h1": "P2", "h2": "P3"}
     with pytest.raises(Exception, match="duplicate lookup key"):
         unique_lookup(df, "handle", ["sku_pos"], "raise").collect()
+    # the check survives when only the key is used downstream
+    facts = spark.createDataFrame([("h1",), ("h2",)], "handle string")
+    with pytest.raises(Exception, match="duplicate lookup key"):
+        facts.join(unique_lookup(df, "handle", ["sku_pos"], "raise"), "handle", "left_semi").collect()
 
 
 def _plan(df) -> str:
