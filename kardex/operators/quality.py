@@ -7,7 +7,7 @@ at the job edge.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -65,12 +65,21 @@ def count_violations(df: DataFrame, checks: dict[str, F.Column]) -> DataFrame:
 
 
 def unsorted_rows(df: DataFrame, order_col: str, descending: bool = False) -> DataFrame:
-    """Rows out of order with respect to the previous row (sortedness of a small result such as
-    a top-k; the row order is only defined within one ordered result)."""
-    w = Window.orderBy(F.monotonically_increasing_id())
-    prev = F.lag(order_col).over(w)
-    bad = (F.col(order_col) > prev) if descending else (F.col(order_col) < prev)
-    return df.withColumn("_bad", bad).where("_bad").drop("_bad")
+    """Rows whose successor breaks the order of ``order_col`` (sortedness of an ordered result).
+
+    Rows are numbered in the frame's own order (partition order, then row order, which a global
+    sort defines) with the distributed sequence numbering, and each row is joined to the next:
+    no window over the whole result, so a large ordered result is checked in parallel.
+    """
+    from kardex.functions.joins import sequence_number
+
+    numbered = sequence_number(df.select(F.col(order_col).alias("_v"), F.monotonically_increasing_id().alias("_mid")),
+                               "_mid", "_i")
+    nxt = numbered.select((F.col("_i") - 1).alias("_i"), F.col("_v").alias("_next"))
+    pairs = numbered.join(nxt, "_i")
+    bad = (F.col("_next") > F.col("_v")) if descending else (F.col("_next") < F.col("_v"))
+    return pairs.where(bad).select(F.col("_i").alias("posicion"), F.col("_v").alias(order_col),
+                                   F.col("_next").alias("siguiente"))
 
 
 def distinct_per_group(df: DataFrame, group: str, col: str) -> DataFrame:

@@ -77,3 +77,12 @@ def test_sequence_number_consistent_when_sampling_matters(spark):
     rows = out.select("key", "seq").orderBy("seq").collect()
     assert [r["seq"] for r in rows] == list(range(1, n + 1))
     assert all(rows[i]["key"] < rows[i + 1]["key"] for i in range(n - 1))
+
+
+def test_unsorted_rows_distributed(spark):
+    from kardex.operators.quality import unsorted_rows
+    ordered = spark.range(5000).select((F.col("id") * 3 % 1000).alias("v")).orderBy(F.col("v").desc())
+    assert unsorted_rows(ordered, "v", descending=True).count() == 0
+    shuffled = spark.createDataFrame([(5,), (3,), (4,), (1,)], "v int").coalesce(1)
+    bad = unsorted_rows(shuffled, "v", descending=True).collect()
+    assert [(r["posicion"], r["v"], r["siguiente"]) for r in bad] == [(2, 3, 4)]
