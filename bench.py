@@ -30,6 +30,9 @@ def main():
     from kardex.session import build_session, ensure_checkpoint_dir
 
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    for kv in filter(None, os.environ.get("BENCH_CONF", "").split(",")):  # k=v,k=v overrides for experiments
+        k, v = kv.split("=", 1)
+        extra[k] = v
     if os.environ.get("BENCH_EVENT_LOG"):  # scratch folder for stage/task times
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"],
                       "spark.eventLog.compress": "false"})
