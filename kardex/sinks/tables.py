@@ -23,7 +23,8 @@ def nested_to_json(df: DataFrame) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 sort_within: list[str] | None = None, flat: bool = False, mode: str = "overwrite",
-                metrics: dict | None = None, observed_out: dict | None = None) -> int:
+                metrics: dict | None = None, observed_out: dict | None = None,
+                files_per_partition: int = 8) -> int:
     """Write ``df`` as parquet and return its row count, measured by an Observation during the
     write (no second scan). ``metrics`` adds more observed aggregates (volume metrics), copied into
     ``observed_out``. ``sort_within`` clusters rows inside each file so
@@ -35,7 +36,11 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if flat:  # metrics above see the nested columns; the files get JSON text
         out = nested_to_json(out)
     if partition_by:
-        out = out.repartition(*[F.col(c) for c in partition_by])
+        # one folder per value, but never one task per value: a deterministic row hash spreads each
+        # value over ``files_per_partition`` tasks (a month holding a third of the rows stays split,
+        # and a retried task rebuilds the same files)
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in out.columns]), F.lit(files_per_partition))
+        out = out.repartition(*[F.col(c) for c in partition_by], spread)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
     w = out.write.mode(mode)

@@ -83,3 +83,20 @@ def test_table_sink_nested_json_counts_and_overwrite(spark, tmp_path):
     assert json.loads(back["P1"]["tiendas"]) == [{"tienda_id": "T1", "ciudad": None, "m": -5.0}]
     assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("mes=")) == ["mes=2025-01", "mes=2025-02"]
     assert write_table(df, out, partition_by=["mes"], flat=True) == 2 and spark.read.parquet(out).count() == 2
+
+
+def test_partitioned_write_spreads_a_hot_value(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from kardex.sinks.tables import write_table
+
+    df = spark.range(4000).select(F.lit("2025-01").alias("mes"), F.col("id"))
+    out = tmp_path / "hot"
+    # AQE would merge these tiny shuffle partitions; at scale each stays above the advisory size
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert write_table(df, str(out), partition_by=["mes"], files_per_partition=4) == 4000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [p for p in (out / "mes=2025-01").iterdir() if p.name.endswith(".parquet")]
+    assert len(files) > 1 and spark.read.parquet(str(out)).count() == 4000
