@@ -65,13 +65,33 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     return j.select(*keep, *vals)
 
 
+# Largest (key, time bucket) group the sorted strategy lets one task carry.
+MAX_ROWS_PER_BUCKET = 2_000_000
+BUCKET_UNITS = ("day", "hour", "minute", "second")
+
+
+def choose_bucket(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str,
+                  max_rows: int = MAX_ROWS_PER_BUCKET) -> str:
+    """The coarsest ``date_trunc`` unit whose largest (key, bucket) group, over both sides, holds
+    at most ``max_rows`` rows. One aggregate per unit tried (scalars to the driver)."""
+    both = left.select(*[F.col(b) for b in by], F.col(left_on).cast("timestamp_ntz").alias("_t")).unionByName(
+        right.select(*[F.col(b) for b in by], F.col(right_on).cast("timestamp_ntz").alias("_t")))
+    for unit in BUCKET_UNITS:
+        largest = (both.groupBy(*by, F.date_trunc(unit, "_t").alias("_b")).count()
+                   .agg(F.max("count").alias("m")).first()["m"] or 0)
+        if largest <= max_rows:
+            return unit
+    return BUCKET_UNITS[-1]
+
+
 def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str,
               value_cols: list[str], tiebreak: list[str] | None = None, fallback_first: bool = False,
-              bucket: str = "day") -> DataFrame:
+              bucket: str = "auto") -> DataFrame:
     """As-of join by sorting instead of joining: skew-safe on BOTH sides.
 
     Left and right rows are unioned and grouped by (key, time bucket), so a key with a third of
-    all rows is spread over as many groups as it has buckets (``bucket`` is a ``date_trunc`` unit).
+    all rows is spread over as many groups as it has buckets (``bucket`` is a ``date_trunc`` unit;
+    "auto" measures the finest unit needed, see ``choose_bucket``).
     Inside each group the latest right row is carried forward (right rows sort first at equal
     times, so exact matches count; ``tiebreak`` orders right rows on equal times, the last wins).
     The value in force when a group starts comes from a boundary table with one row per (key,
@@ -79,6 +99,8 @@ def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     is the number of buckets of that key. Buckets are a pure function of the row, so every pass
     sees the same grouping. The right row is carried whole (a struct): its values stay together.
     """
+    if bucket == "auto":
+        bucket = choose_bucket(left, right, by, left_on, right_on)
     tb = tiebreak or []
     keys = [f"_k{i}" for i in range(len(by))]
     row_type = left.select(F.struct(*left.columns).alias("r")).schema["r"].dataType

@@ -2,7 +2,7 @@ import datetime as dt
 
 from conftest import d, dec, ts
 
-from kardex.operators.asof import asof_join, asof_locf, build_fact_ventas_con_costo, choose_strategy
+from kardex.operators.asof import asof_join, asof_locf, build_fact_ventas_con_costo, choose_bucket, choose_strategy
 from kardex.operators.identity import build_dim_producto, latest_attributes
 
 CAT = "sku_erp string, nombre string, categoria string, fecha_vigencia date, costo_mxn decimal(18,4), proveedor string, pos int"
@@ -108,3 +108,12 @@ def test_strategy_choice_is_measured(spark):
     hist = spark.createDataFrame([("a", i) for i in range(30)] + [("b", 1)], "k string, v int")
     assert choose_strategy(hist, ["k"], max_versions=30) == "intervals"
     assert choose_strategy(hist, ["k"], max_versions=29) == "sorted"
+
+
+def test_bucket_choice_is_measured(spark):
+    base = ts("2025-01-01 00:00")
+    left = spark.createDataFrame([("hot", base + dt.timedelta(minutes=i)) for i in range(300)], "k string, t timestamp_ntz")
+    right = spark.createDataFrame([("hot", base, 1.0)], "k string, rt timestamp_ntz, v double")
+    assert choose_bucket(left, right, ["k"], "t", "rt", max_rows=400) == "day"
+    assert choose_bucket(left, right, ["k"], "t", "rt", max_rows=100) == "hour"
+    assert choose_bucket(left, right, ["k"], "t", "rt", max_rows=2) == "minute"
