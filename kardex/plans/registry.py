@@ -143,6 +143,11 @@ def q_stockout_runs(spark, d):
     return stockout_runs(_model(spark, d).fact_inventario)
 
 
+def q_stockout_runs_period(spark, d):
+    """Runs clipped to a period inside the snapshot calendar (a run crossing the start is cut)."""
+    return stockout_runs(_model(spark, d).fact_inventario, "2024-01-10", "2024-01-25")
+
+
 def q_stockout_runs_calendar(spark, d):
     return stockout_runs(_model(spark, d).fact_inventario, calendar=True)
 
@@ -430,6 +435,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "turnover_top10": q_turnover_top10,
     "turnover_all": q_turnover_all,
     "stockout_runs": q_stockout_runs,
+    "stockout_runs_period": q_stockout_runs_period,
     "stockout_runs_calendar": q_stockout_runs_calendar,
     "stockout_lost_sales": q_stockout_lost_sales,
     "stockout_lost_sales_model_facts": q_stockout_lost_sales_model_facts,
