@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,8 +75,6 @@ MAX_BUCKETS = 10_000
 
 def bucket_of(key: str, bounds: list) -> Column:
     """Range bucket of ``key`` (0 for null): how many bounds are <= key, by binary search."""
-    import pandas as pd
-
     edges = np.array(bounds, dtype=np.int64)
 
     @F.pandas_udf("int")

@@ -30,6 +30,23 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "spans")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kardex.llm import fingerprints
+
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kardex.llm import quality
+    from kardex.llm.common import stage
+
+    measured = stage(quality.statistics(table(spark, sf_dir, "documents")), "quality")
+    rules = quality.fit(measured, table(spark, sf_dir, "labels"))
+    judged = quality.features(measured).withColumn("rule", quality.verdict(rules))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         quality.base_failed().alias("base_failed"), F.col("rule").isNull().alias("kept"), "rule")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kardex.llm import bpe
 
@@ -38,6 +55,8 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_fingerprints": op3_fingerprints,
+    "op5_quality_rules": op5_quality_rules,
     "op7_bpe": op7_bpe,
 }
 
