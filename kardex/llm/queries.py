@@ -53,11 +53,18 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kardex.llm import wavelet
+
+    return wavelet.documents_of(wavelet.write_shards(table(spark, sf_dir, "documents"), vocabulary()))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_fingerprints": op3_fingerprints,
     "op5_quality_rules": op5_quality_rules,
     "op7_bpe": op7_bpe,
+    "op10_wavelet_shards": op10_wavelet_shards,
 }
 
 ORACLE: dict[str, str] = {}
