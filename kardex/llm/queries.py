@@ -53,6 +53,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kardex.llm import warc
+
+    records = warc.capture(table(spark, sf_dir, "pages"))
+    found = warc.read(warc.normalise(warc.decide(records)))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
 def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kardex.llm import wavelet
 
@@ -64,6 +72,7 @@ QUERIES = {
     "op3_fingerprints": op3_fingerprints,
     "op5_quality_rules": op5_quality_rules,
     "op7_bpe": op7_bpe,
+    "op9_warc": op9_warc,
     "op10_wavelet_shards": op10_wavelet_shards,
 }
 
