@@ -30,12 +30,25 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "spans")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kardex.llm import mixing
+
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "positions")
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kardex.llm import fingerprints
 
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kardex.llm import licenses
+
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, *licenses.document_frequencies(docs))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kardex.llm import quality
     from kardex.llm.common import stage
@@ -69,7 +82,9 @@ def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_mixing": op2_mixing,
     "op3_fingerprints": op3_fingerprints,
+    "op4_licenses": op4_licenses,
     "op5_quality_rules": op5_quality_rules,
     "op7_bpe": op7_bpe,
     "op9_warc": op9_warc,
