@@ -60,6 +60,15 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          quality.base_failed().alias("base_failed"), F.col("rule").isNull().alias("kept"), "rule")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kardex.llm import secret_scan as scan
+
+    found = scan.report(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("found", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(scan.listed(base), 256).alias("base_sha256"), scan.listed(F.col("found")).alias("spans"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kardex.llm import bpe
 
@@ -86,6 +95,7 @@ QUERIES = {
     "op3_fingerprints": op3_fingerprints,
     "op4_licenses": op4_licenses,
     "op5_quality_rules": op5_quality_rules,
+    "op6_secrets": op6_secrets,
     "op7_bpe": op7_bpe,
     "op9_warc": op9_warc,
     "op10_wavelet_shards": op10_wavelet_shards,
