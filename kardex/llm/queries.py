@@ -75,6 +75,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kardex.llm import jaccard_join
+
+    return jaccard_join.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copy_id", "n_links")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kardex.llm import warc
 
@@ -97,6 +103,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_secrets": op6_secrets,
     "op7_bpe": op7_bpe,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_warc": op9_warc,
     "op10_wavelet_shards": op10_wavelet_shards,
 }
