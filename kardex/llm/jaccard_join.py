@@ -308,7 +308,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL, hashes: int = HASHES) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_hash, class_id, copy_id, n_links."""
+    """One row per row of ``docs``: doc_id, text_hash, class_id, copy_id, n_links and ``class_key``,
+    which tells classes apart even where ids repeat."""
     bands, rows = choose_bands(threshold, recall, hashes)
     signed = signatures(docs, bands, rows, key, text)
     sets = classes(signed)
@@ -319,7 +320,22 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     placed = ids.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").join(degrees, "set_key", "left")
     placed = placed.select("set_key", "copy_id", F.coalesce("label", "set_key").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     linked = placed.where("n_links > 0").groupBy("label").agg(F.min("copy_id").alias("low"))
-    placed = placed.join(linked, "label", "left").select("set_key", "copy_id", "n_links", F.coalesce("low", "copy_id").alias("class_id"))
+    placed = placed.join(linked, "label", "left").select("set_key", F.col("label").alias("class_key"), "copy_id", "n_links", F.coalesce("low", "copy_id").alias("class_id"))
     # Staged, so that a hot group of copies meets a plain table: it can be broadcast or its side split.
     placed = stage(placed, "placed")
-    return signed.select("doc_id", "text_hash", "set_key").join(placed, "set_key").select("doc_id", "class_id", "copy_id", "n_links", "text_hash")
+    return signed.select("doc_id", "text_hash", "set_key").join(placed, "set_key").select("doc_id", "class_id", "copy_id", "n_links", "class_key", "text_hash")
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` that stay: of each class the one with the smallest id (null last), then the
+    smallest text hash; of equal rows one."""
+    joined = join(docs, key, text, **how)
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    per_text = joined.groupBy("class_key", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    best = per_text.groupBy("class_key").agg(F.min_by(F.struct("doc_id", "text_hash", "n"), place).alias("best"))
+    best = stage(best.select(F.col("best.doc_id").alias("_id"), F.col("best.text_hash").alias("_best_hash"), F.col("best.n").alias("_n")), "representatives")
+    rows = docs.withColumn("_text_hash", F.xxhash64(text_or_empty(text)))
+    kept = rows.join(best, F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_best_hash")))
+    # Only repeated rows need a shuffle of their own.
+    once = kept.where("_n = 1").unionByName(kept.where("_n > 1").dropDuplicates(["_id", "_text_hash"]))
+    return once.select(*docs.columns)

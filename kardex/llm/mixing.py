@@ -115,3 +115,18 @@ def mix(docs: DataFrame) -> DataFrame:
     """Targets and positions of all documents, sorted by first position."""
     sizes = measure(docs)
     return by_position(assign(sizes, targets(sizes)))
+
+
+def mixed_rows(docs: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
+    """The rows of ``docs`` as training samples: each as often as the mix takes it, range-sorted by
+    training position. The texts meet only their own positions, in one join; of equal rows one
+    meets the positions of all."""
+    sizes = measure(docs, text=text, key=key)
+    placed = assign(sizes, targets(sizes, **how)).groupBy("doc_id", "order").agg(F.flatten(F.collect_list("positions")).alias("_positions"), F.count("*").alias("_n"))
+    placed = stage(placed.where(F.size("_positions") > 0).withColumnsRenamed({"doc_id": "_id", "order": "_place"}), "placed")
+    rows = docs.withColumn("_order", F.xxhash64(F.col(key).cast("string"), F.col(text)))
+    rows = rows.join(placed, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_order") == F.col("_place")))
+    rows = rows.where("_n = 1").unionByName(rows.where("_n > 1").dropDuplicates(["_id", "_order"]))
+    samples = rows.withColumn("_position", F.explode("_positions"))
+    return (samples.repartitionByRange(shuffle_partitions(docs.sparkSession), "_position", "_order")
+            .sortWithinPartitions("_position", "_order").select(*docs.columns))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kardex.llm.common import slices, text_or_empty, with_fields
+from kardex.llm.common import slices, stage, text_or_empty, with_fields
 
 WINDOW = 8  # words of a repetition window
 SYMBOLS = "#*$%&|<>"
@@ -223,3 +223,12 @@ def verdict(rules: list[Rule]) -> Column:
     for i, rule in enumerate(rules, 1):
         out = out.when(rule.column(), F.lit(i))
     return out
+
+
+def accepted(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", **how) -> tuple[DataFrame, list[Rule]]:
+    """The rows of ``docs`` that no rule rejects, and the learned rules. Rows travel as one struct, so
+    their columns may have any names; texts are measured once and staged with their statistics."""
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).alias("_key"), F.col(text).alias("_measured"))
+    measured = stage(statistics(packed, "_measured", ("_row", "_key")), "measured")
+    rules = fit(measured.drop("_row").withColumnRenamed("_key", key), labels, key=key, **how)
+    return features(measured).where(verdict(rules).isNull()).select("_row.*"), rules
