@@ -15,8 +15,8 @@ Encoding a batch of texts:
    known pair leave the working array.
 4. A document's ids are gathered from the flat array of its chunks.
 
-Memory of a task is bounded: batches are cut to a few MB of text and the chunk cache is emptied
-beyond ``CACHE_CHUNKS`` entries. Null text is encoded as the empty text (no ids, empty decoding).
+Memory of a task is bounded: batches are cut to a few MB of text and the chunk cache keeps its most
+used half beyond ``CACHE_CHUNKS`` entries. Null text is encoded as the empty text (no ids, empty decoding).
 Repeated rows are encoded alike. Columns that are not named are ignored.
 """
 
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from kardex.llm.common import slices, with_fields
 
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 500_000
 # White space of the Unicode property, which the vocabulary's pattern drops. Python's own split()
 # also cuts at the four information separators U+001C to U+001F, which are no white space there.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -77,7 +77,77 @@ class Numbered(dict):
         return n
 
 
-class Codec:
+class ChunkCache:
+    """Ids of texts from the ids of their white-space chunks. A chunk met before is a dictionary hit;
+    a new one is cut into pieces (``cut``), and all new pieces are encoded at once (``encode_pieces``)."""
+
+    special: dict[str, int]
+    between: regex.Pattern  # special tokens, as a capturing group
+
+    def clear(self) -> None:
+        self.chunk = Numbered()
+        self.ids = np.empty(0, np.int32)
+        self.at = np.zeros(1, np.int64)  # chunk i has ids[at[i]:at[i + 1]]
+        self.uses = np.zeros(0, np.int64)
+
+    def _shrink(self) -> None:
+        """Keep the half of the cache that was used most."""
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[:CACHE_CHUNKS // 2])
+        names, self.chunk = list(self.chunk), Numbered()
+        self.chunk.update((names[i], n) for n, i in enumerate(kept.tolist()))
+        lens = self.at[kept + 1] - self.at[kept]
+        self.ids = gather(self.ids, self.at[kept], lens)
+        self.at = np.concatenate(([0], np.cumsum(lens)))
+        self.uses = self.uses[kept]
+
+    def chunks(self, text: str) -> list[str]:
+        raise NotImplementedError
+
+    def cut(self, chunk: str) -> list[str]:
+        raise NotImplementedError
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        raise NotImplementedError
+
+    def _learn(self, new: list[str]) -> None:
+        """Ids of chunks that were just numbered, in their order, go to the end of the flat array."""
+        cut = list(map(self.cut, new))
+        place = Numbered()
+        per_chunk = np.fromiter(map(len, cut), np.int64, len(cut))
+        order = np.fromiter((place[w] for c in cut for w in c), np.int64, int(per_chunk.sum()))
+        ids, lens = self.encode_pieces(list(place))
+        begin = np.cumsum(lens) - lens
+        ends = np.r_[0, np.cumsum(lens[order])][np.cumsum(per_chunk)]
+        self.ids = np.concatenate([self.ids, gather(ids, begin[order], lens[order])])
+        self.at = np.concatenate([self.at, self.at[-1] + ends])
+
+    def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
+        """Ids (int32) of each text."""
+        if len(self.chunk) > CACHE_CHUNKS:
+            self._shrink()
+        known, rows, number = len(self.chunk), [], self.chunk.__getitem__
+        for text in texts:
+            row: list[int | np.ndarray] = []
+            for p in self.between.split(text) if self.special else [text]:
+                if p in self.special:
+                    row.append(self.special[p])
+                elif p:
+                    chunks = self.chunks(p)
+                    row.append(np.fromiter(map(number, chunks), np.int64, len(chunks)))
+            rows.append(row)
+        if len(self.chunk) > known:
+            self._learn(list(islice(self.chunk, known, None)))
+        self.uses = np.concatenate([self.uses, np.zeros(len(self.chunk) - len(self.uses), np.int64)])
+        for p in (p for row in rows for p in row if not isinstance(p, int)):
+            np.add.at(self.uses, p, 1)
+        out = []
+        for row in rows:
+            got = [np.array([p], np.int32) if isinstance(p, int) else gather(self.ids, self.at[p], self.at[p + 1] - self.at[p]) for p in row]
+            out.append(got[0] if len(got) == 1 else np.concatenate(got) if got else np.empty(0, np.int32))
+        return out
+
+
+class Codec(ChunkCache):
     """Encoder and decoder of one vocabulary file; lives in a worker process."""
 
     def __init__(self, path: str):
@@ -89,7 +159,7 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"])
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        self.between = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.space = regex.compile(f"[{SPACE}]+")
         size = max([*vocab.values(), *self.special.values()]) + 1
         self.token = [""] * size
@@ -105,11 +175,6 @@ class Codec:
         self.key, self.rank, self.made = key[order], order.astype(np.int64), made[order]
         self.clear()
 
-    def clear(self) -> None:
-        self.chunk = Numbered()
-        self.ids = np.empty(0, np.int32)
-        self.at = np.zeros(1, np.int64)  # chunk i has ids[at[i]:at[i + 1]]
-
     # -- merge rounds -----------------------------------------------------------------------
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +183,7 @@ class Codec:
         pos = np.minimum(np.searchsorted(self.key, k), len(self.key) - 1)
         return pos, np.where(self.key[pos] == k, self.rank[pos], len(self.key))
 
-    def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_pieces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in one array, and the number of ids of each word."""
         raw = [w.encode() for w in words]
         lens = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -186,7 +251,7 @@ class Codec:
 
     # -- texts ------------------------------------------------------------------------------
 
-    def _chunks(self, text: str) -> list[str]:
+    def chunks(self, text: str) -> list[str]:
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         text = text.replace("Σ", "σ").lower()  # code point by code point: no final sigma
@@ -194,47 +259,13 @@ class Codec:
             return [c for c in self.space.split(text) if c]
         return text.split()
 
-    def _cut(self, chunk: str) -> list[str]:
+    def cut(self, chunk: str) -> list[str]:
         """Words of a chunk."""
         if not chunk.isascii() and NEWER.search(chunk):
             shadow = NEWER.sub("\ue000", chunk)  # a private code point: neither letter nor number
             return [chunk[m.start():m.end()] for m in self.words.finditer(shadow)]
         return self.words.findall(chunk)
 
-    def _learn(self, new: list[str]) -> None:
-        """Ids of chunks that were just numbered, in their order, go to the end of the flat array."""
-        cut = list(map(self._cut, new))
-        place = Numbered()
-        per_chunk = np.fromiter(map(len, cut), np.int64, len(cut))
-        order = np.fromiter((place[w] for c in cut for w in c), np.int64, int(per_chunk.sum()))
-        ids, lens = self.merge(list(place))
-        begin = np.cumsum(lens) - lens
-        ends = np.r_[0, np.cumsum(lens[order])][np.cumsum(per_chunk)]
-        self.ids = np.concatenate([self.ids, gather(ids, begin[order], lens[order])])
-        self.at = np.concatenate([self.at, self.at[-1] + ends])
-
-    def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
-        """Ids (int32) of each text."""
-        if len(self.chunk) > CACHE_CHUNKS:
-            self.clear()
-        known, rows, number = len(self.chunk), [], self.chunk.__getitem__
-        for text in texts:
-            row: list[int | np.ndarray] = []
-            for p in self.cut.split(text) if "<|" in text else [text]:
-                if p in self.special:
-                    row.append(self.special[p])
-                elif p:
-                    chunks = self._chunks(p)
-                    row.append(np.fromiter(map(number, chunks), np.int64, len(chunks)))
-            rows.append(row)
-        if len(self.chunk) > known:
-            self._learn(list(islice(self.chunk, known, None)))
-        out = []
-        for row in rows:
-            got = [np.array([p], np.int32) if isinstance(p, int) else gather(self.ids, self.at[p], self.at[p + 1] - self.at[p]) for p in row]
-            out.append(got[0] if len(got) == 1 else np.concatenate(got) if got else np.empty(0, np.int32))
-        return out
-
     def decode(self, ids: np.ndarray) -> str:
         """The vocabulary file names no decoder: tokens are joined by single spaces."""
         return " ".join(map(self.token.__getitem__, ids.tolist()))

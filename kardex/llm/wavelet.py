@@ -26,21 +26,21 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import islice
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from kardex.llm import files
-from kardex.llm.bpe import SEPARATORS, SPACE, Numbered, gather
+from kardex.llm.bpe import SEPARATORS, SPACE, ChunkCache
 from kardex.llm.common import bucket_of, range_bounds, shared_path, shuffle_partitions, slices, stage, text_or_empty
 
 MAGIC = b"WVM1"
 SHARD_TOKENS = 1 << 21
-CACHE_CHUNKS = 800_000
 
 
 class WaveletMatrix:
@@ -158,39 +158,38 @@ def load(data: bytes) -> tuple[WaveletMatrix, list, list[int]]:
     return WaveletMatrix(head["n"], planes), head["docs"], head["lengths"]
 
 
-class Encoder:
-    """The tokenizers library behind a dictionary of white-space chunks: the vocabulary drops white
-    space before it splits, so a text's ids are those of its chunks in order. The library encodes
-    each new chunk; the cache is emptied beyond ``CACHE_CHUNKS``."""
+class Encoder(ChunkCache):
+    """The tokenizers library behind a cache of white-space chunks: the vocabulary drops white space
+    before it splits, so a text's ids are those of its chunks in order. The library encodes each new
+    piece. Two things make pieces repeat: lower case, which the vocabulary's normalizer applies
+    anyway, where it commutes with NFC; and end punctuation, which its pattern cuts off a letter or
+    number, as a piece of its own."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.bits = max(1, (self.library.get_vocab_size(with_added_tokens=True) - 1).bit_length())
+        self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        self.between = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.clear()
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.chunk) > CACHE_CHUNKS:
-            self.clear()
-        return self._ids([self._cut(t) for t in texts])
-
-    def clear(self) -> None:
-        self.chunk, self.flat, self.at = Numbered(), np.empty(0, np.uint16 if self.bits <= 16 else np.uint32), np.zeros(1, np.int64)
-
-    @staticmethod
-    def _cut(text: str) -> list[str]:
+    def chunks(self, text: str) -> list[str]:
+        low = text.lower()
+        if any(x in low for x in self.special):
+            pass  # capitals must not become a special token
+        elif text.isascii() or ("Σ" not in text and is_normalized("NFC", text) and is_normalized("NFC", low)):
+            text = low
         if any(s in text for s in SEPARATORS):  # Python's split() would cut there, the vocabulary doesn't
             return [c for c in text.translate({ord(c): " " for c in SPACE}).split(" ") if c]
         return text.split()
 
-    def _ids(self, cut: list[list[str]]) -> list[np.ndarray]:
-        number, known = self.chunk.__getitem__, len(self.chunk)
-        rows = [np.fromiter(map(number, c), np.int64, len(c)) for c in cut]
-        if len(self.chunk) > known:
-            new = [e.ids for e in self.library.encode_batch_fast(list(islice(self.chunk, known, None)), add_special_tokens=False)]
-            lens = np.fromiter(map(len, new), np.int64, len(new))
-            self.flat = np.concatenate([self.flat, np.fromiter((i for x in new for i in x), np.int64, int(lens.sum())).astype(self.flat.dtype)])
-            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(lens)])
-        return [gather(self.flat, self.at[i], self.at[i + 1] - self.at[i]) for i in rows]
+    def cut(self, chunk: str) -> list[str]:
+        stem = chunk.rstrip(".,;:!?")
+        return [stem, chunk[len(stem):]] if stem and len(stem) < len(chunk) and stem[-1].isalnum() else [chunk]
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+        lens = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter((i for x in got for i in x), np.int32, int(lens.sum())), lens
 
 
 _ENCODERS: dict[str, Encoder] = {}
