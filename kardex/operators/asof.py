@@ -10,6 +10,12 @@ It costs O(left rows x right rows) per key inside the join, which is right for s
 (cost versions per SKU). ``asof_locf`` sorts the union of both sides instead, inside (key, time
 bucket) groups, and carries the latest right row across buckets: it stays balanced when one key
 holds a large share of either side.
+
+Both follow one contract, so the choice between them is a choice of plan only: a left row with a
+null key or a null time matches nothing (null values, also with ``fallback_first``;
+``on_null_time="raise"`` fails the job on a null time instead); a right row with a null key or a
+null time is never in force; on equal times the last row by ``tiebreak`` wins. Left rows that
+cannot match are spread over salts, so null keys form no hot group.
 """
 
 from __future__ import annotations
@@ -41,27 +47,54 @@ def validity_intervals(right: DataFrame, by: list[str], right_on: str, value_col
     return right.select(*cols, hi, F.col(right_on).alias("_lo"))
 
 
+# Groups that left rows without a match are spread over.
+NULL_SALTS = 1024
+
+
+def _matchable(left: DataFrame, by: list[str], left_on: str, on_null_time: str) -> tuple[DataFrame, list[str]]:
+    """``left`` with ``_can`` (key and time are there) and ``_salt`` (0 where it can match)."""
+    if on_null_time not in ("null", "raise"):
+        raise ValueError(f"unknown on_null_time={on_null_time!r}")
+    can = F.col(left_on).isNotNull()
+    if on_null_time == "raise":
+        can = F.when(F.col(left_on).isNull(), F.raise_error(F.lit(f"null time in {left_on}")).cast("boolean")).otherwise(True)
+    for b in by:
+        can = can & F.col(b).isNotNull()
+    salt = F.when(F.col("_can"), 0).otherwise(1 + F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SALTS)).cast("int"))
+    return left.withColumn("_can", can).withColumn("_salt", salt), left.columns
+
+
+def _in_force(right: DataFrame, by: list[str], right_on: str) -> DataFrame:
+    """Right rows that can be in force at all."""
+    keep = F.col(right_on).isNotNull()
+    for b in by:
+        keep = keep & F.col(b).isNotNull()
+    return right.where(keep)
+
+
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str,
               value_cols: list[str], tiebreak: list[str] | None = None, fallback_first: bool = False,
-              broadcast_rows: int | None = None) -> DataFrame:
+              broadcast_rows: int | None = None, on_null_time: str = "null") -> DataFrame:
     """Left rows + the right values in force at ``left_on`` (latest ``right_on <= left_on``).
 
     ``fallback_first``: rows earlier than the first right row take the first row's values, and a
     matched null value is replaced by the first row's value.
     """
-    iv = validity_intervals(right, by, right_on, value_cols, tiebreak, open_start=fallback_first)
+    left, columns = _matchable(left, by, left_on, on_null_time)
+    iv = validity_intervals(_in_force(right, by, right_on), by, right_on, value_cols, tiebreak, open_start=fallback_first)
     ren = {c: "_r_" + c for c in by + value_cols}
     iv = iv.select(*[F.col(c).alias(ren.get(c, c)) for c in iv.columns])
     if broadcast_rows:
         iv = bounded_broadcast(iv, broadcast_rows)
     ts = F.col(left_on).cast("timestamp_ntz")
-    cond = [F.col(b) == F.col(ren[b]) for b in by]
+    cond = [F.col(b) == F.col(ren[b]) for b in by] + [F.col("_salt") == F.col("_r_salt"), F.col("_can")]
+    iv = iv.withColumn("_r_salt", F.lit(0))
     cond.append(F.col("_lo").isNull() | (ts >= F.col("_lo").cast("timestamp_ntz")))
     cond.append(F.col("_hi").isNull() | (ts < F.col("_hi").cast("timestamp_ntz")))
     j = left.join(iv, cond, "left")
     vals = [(F.coalesce(F.col(ren[c]), F.col("_first_" + c)) if fallback_first else F.col(ren[c])).alias(c)
             for c in value_cols]
-    keep = [F.col(c) for c in left.columns if c not in value_cols]
+    keep = [F.col(c) for c in columns if c not in value_cols]
     return j.select(*keep, *vals)
 
 
@@ -74,8 +107,8 @@ def choose_bucket(left: DataFrame, right: DataFrame, by: list[str], left_on: str
                   max_rows: int = MAX_ROWS_PER_BUCKET) -> str:
     """The coarsest ``date_trunc`` unit whose largest (key, bucket) group, over both sides, holds
     at most ``max_rows`` rows. One aggregate per unit tried (scalars to the driver)."""
-    both = left.select(*[F.col(b) for b in by], F.col(left_on).cast("timestamp_ntz").alias("_t")).unionByName(
-        right.select(*[F.col(b) for b in by], F.col(right_on).cast("timestamp_ntz").alias("_t")))
+    both = _in_force(left, by, left_on).select(*by, F.col(left_on).cast("timestamp_ntz").alias("_t")).unionByName(
+        _in_force(right, by, right_on).select(*by, F.col(right_on).cast("timestamp_ntz").alias("_t")))
     for unit in BUCKET_UNITS:
         largest = (both.groupBy(*by, F.date_trunc(unit, "_t").alias("_b")).count()
                    .agg(F.max("count").alias("m")).first()["m"] or 0)
@@ -86,7 +119,7 @@ def choose_bucket(left: DataFrame, right: DataFrame, by: list[str], left_on: str
 
 def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str,
               value_cols: list[str], tiebreak: list[str] | None = None, fallback_first: bool = False,
-              bucket: str = "auto") -> DataFrame:
+              bucket: str = "auto", on_null_time: str = "null") -> DataFrame:
     """As-of join by sorting instead of joining: skew-safe on BOTH sides.
 
     Left and right rows are unioned and grouped by (key, time bucket), so a key with a third of
@@ -99,19 +132,21 @@ def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     is the number of buckets of that key. Buckets are a pure function of the row, so every pass
     sees the same grouping. The right row is carried whole (a struct): its values stay together.
     """
+    right = _in_force(right, by, right_on)
     if bucket == "auto":
         bucket = choose_bucket(left, right, by, left_on, right_on)
     tb = tiebreak or []
-    keys = [f"_k{i}" for i in range(len(by))]
-    row_type = left.select(F.struct(*left.columns).alias("r")).schema["r"].dataType
+    left, columns = _matchable(left, by, left_on, on_null_time)
+    keys = [f"_k{i}" for i in range(len(by))] + ["_salt"]
+    row_type = left.select(F.struct(*columns).alias("r")).schema["r"].dataType
     val_type = right.select(F.struct(*value_cols).alias("v")).schema["v"].dataType
     tb_types = {c: right.schema[c].dataType for c in tb}
     t_l = F.col(left_on).cast("timestamp_ntz")
     t_r = F.col(right_on).cast("timestamp_ntz")
-    l = left.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], t_l.alias("_t"), F.lit(1).alias("_side"),
+    l = left.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], "_salt", "_can", t_l.alias("_t"), F.lit(1).alias("_side"),
                     *[F.lit(None).cast(tb_types[c]).alias("_tb_" + c) for c in tb],
-                    F.struct(*left.columns).alias("_row"), F.lit(None).cast(val_type).alias("_val"))
-    r = right.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], t_r.alias("_t"), F.lit(0).alias("_side"),
+                    F.struct(*columns).alias("_row"), F.lit(None).cast(val_type).alias("_val"))
+    r = right.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], F.lit(0).alias("_salt"), F.lit(True).alias("_can"), t_r.alias("_t"), F.lit(0).alias("_side"),
                      *[F.col(c).alias("_tb_" + c) for c in tb],
                      F.lit(None).cast(row_type).alias("_row"), F.struct(*value_cols).alias("_val"))
     order = ["_t", "_side"] + ["_tb_" + c for c in tb]
@@ -128,13 +163,13 @@ def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     carry = all_buckets.groupBy(*keys, "_b").agg(F.max("_last").alias("_last")) \
         .select(*keys, "_b", F.last("_last", ignorenulls=True).over(w_carry).alias("_carry"))
     out = filled.join(carry, [*keys, "_b"], "left")
-    out = out.withColumn("_v", F.coalesce(F.col("_local"), F.col("_carry")))
+    out = out.withColumn("_v", F.when(F.col("_can"), F.coalesce(F.col("_local"), F.col("_carry"))))
     vals = [F.col("_v." + c) for c in value_cols]
     if fallback_first:  # before the first right row, or a null value in force: the first row's value
         firsts = r.groupBy(*keys).agg(F.min_by("_val", F.struct(*order)).alias("_first"))
         out = out.join(firsts, keys, "left")
-        vals = [F.coalesce(F.col("_v." + c), F.col("_first." + c)) for c in value_cols]
-    return out.select("_row.*", *[v.alias(c) for v, c in zip(vals, value_cols)])
+        vals = [F.when(F.col("_can"), F.coalesce(F.col("_v." + c), F.col("_first." + c))) for c in value_cols]
+    return out.select(*[F.col("_row." + c) for c in columns if c not in value_cols], *[v.alias(c) for v, c in zip(vals, value_cols)])
 
 
 # Longest history per key the interval join takes; beyond it the sort-based strategy is used.
@@ -145,7 +180,7 @@ def choose_strategy(right: DataFrame, by: list[str], max_versions: int = MAX_VER
     """'intervals' when every key's history is short (measured: one aggregate over the history
     side, a scalar to the driver), else 'sorted'. The interval join costs left x right rows per
     key, so a key holding a large share of the history needs the sorted strategy."""
-    longest = right.groupBy(*by).count().agg(F.max("count").alias("m")).first()["m"] or 0
+    longest = right.dropna(subset=by).groupBy(*by).count().agg(F.max("count").alias("m")).first()["m"] or 0
     return "intervals" if longest <= max_versions else "sorted"
 
 
