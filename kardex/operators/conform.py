@@ -60,15 +60,15 @@ def fx_tables(exchange_rates: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def convert_currency(df: DataFrame, exchange_rates: DataFrame, amount_col: str = "amount",
                      currency_col: str = "currency", ts_col: str = "fecha",
-                     out_col: str = "monto_mxn", on_missing: str = "null") -> DataFrame:
+                     out_col: str = "monto_mxn", on_missing: str = "raise") -> DataFrame:
     """amount -> home currency with the rate of the sale's day, else the currency's fallback rate.
 
-    Home-currency rows are not multiplied. ``on_missing="raise"`` fails the job when a foreign
-    currency has no rate at all. The day-rate table is bounded by days x currencies; the planner
+    Home-currency rows are not multiplied. An amount in a currency (null included) that has no rate at
+    all fails the job; with ``on_missing="null"`` its money is null, and ``missing_rates`` counts
+    such rows. The day-rate table is bounded by days x currencies; the planner
     broadcasts it when its measured size is under the broadcast threshold.
     """
     day_rate, fallback = fx_tables(exchange_rates)
-    fallback = F.broadcast(fallback)  # one row per currency
     j = (df.withColumn("_fx_day", F.to_date(ts_col))
            .join(day_rate, (F.col("_fx_day") == F.col("fx_day")) & (F.col(currency_col) == F.col("fx_currency")), "left")
            .drop("fx_day", "fx_currency")
@@ -76,15 +76,27 @@ def convert_currency(df: DataFrame, exchange_rates: DataFrame, amount_col: str =
            .drop("fx_currency"))
     rate = F.coalesce(F.col("day_rate"), F.col("fallback_rate"))
     if on_missing == "raise":
-        rate = F.when(rate.isNull() & (F.col(currency_col) != HOME_CURRENCY),
-                      F.raise_error(F.concat(F.lit("no exchange rate for "), F.col(currency_col)))).otherwise(rate)
+        lost = rate.isNull() & F.col(amount_col).isNotNull() & ~F.col(currency_col).eqNullSafe(HOME_CURRENCY)
+        rate = F.when(lost, F.raise_error(F.concat(F.lit("no exchange rate for "), F.coalesce(F.col(currency_col), F.lit("a null currency"))))
+                      .cast("decimal(12,6)")).otherwise(rate)
+    elif on_missing != "null":
+        raise ValueError(f"unknown on_missing={on_missing!r}")
     converted = F.when(F.col(currency_col) == HOME_CURRENCY, F.col(amount_col).cast(MONEY)) \
                  .otherwise((F.col(amount_col).cast(MONEY) * rate).cast(MONEY))
     return j.withColumn(out_col, converted).drop("_fx_day", "day_rate", "fallback_rate")
 
 
+def missing_rates(df: DataFrame, exchange_rates: DataFrame, amount_col: str = "amount",
+                  currency_col: str = "currency") -> DataFrame:
+    """Rows and amount per foreign currency without any rate: what ``on_missing="null"`` would lose."""
+    known = exchange_rates.select(F.col("currency").alias(currency_col)).where(F.col(currency_col).isNotNull()).distinct()
+    foreign = df.where(F.col(amount_col).isNotNull() & ~F.col(currency_col).eqNullSafe(HOME_CURRENCY))
+    return (foreign.join(known, currency_col, "left_anti").groupBy(currency_col)
+            .agg(F.count(F.lit(1)).alias("filas"), F.sum(amount_col).alias("importe")))
+
+
 def transform_ecommerce(ecommerce: DataFrame, dim_producto: DataFrame, exchange_rates: DataFrame,
-                        on_missing_rate: str = "null") -> DataFrame:
+                        on_missing_rate: str = "raise") -> DataFrame:
     """Web orders -> online-channel fact rows on the virtual store.
 
     handle -> sku_pos comes from the product dimension (including EC-UNMAPPED rows); a handle
