@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kardex.functions.dates import date_between
+from kardex.functions.dates import as_date, date_between, in_day_range
 from kardex.functions.numeric import round_double
 from kardex.operators.conform import PHYSICAL
 
@@ -41,22 +43,26 @@ def stockout_runs(fact_inventario: DataFrame, start=None, end=None, min_days: in
     return runs.where(F.col("dias_en_quiebre") >= min_days).drop("grp")
 
 
-def daily_units(fact_ventas: DataFrame, channel: str = PHYSICAL) -> DataFrame:
+def daily_units(fact_ventas: DataFrame, channel: str = PHYSICAL, start=None, end=None) -> DataFrame:
     """Units per (store, SKU, day) of one channel: the facts shrink before any range join, so a
-    hot (store, SKU) pair contributes at most one row per day."""
-    return (fact_ventas.where(F.col("canal") == channel)
+    hot (store, SKU) pair contributes at most one row per day. [start, end] bounds the days; it is a
+    range on the raw timestamp, so it reaches the scan."""
+    return (fact_ventas.where((F.col("canal") == channel) & in_day_range("fecha", start, end))
             .groupBy(*RUN_KEYS, F.to_date("fecha").alias("dia"))
             .agg(F.sum("cantidad").alias("unidades")))
 
 
 def lost_sales(runs: DataFrame, fact_ventas: DataFrame, dim_tiendas: DataFrame,
-               lookback_days: int = 14, channel: str = PHYSICAL) -> DataFrame:
+               lookback_days: int = 14, channel: str = PHYSICAL, start=None, end=None) -> DataFrame:
     """Mean daily units in the ``lookback_days`` before each run x run length.
 
     No sales in the window gives 0. Range join: equi on (store, SKU) + day between
-    start - lookback and start - 1.
+    start - lookback and start - 1. If the runs begin in [start, end], only sales from ``start`` -
+    lookback to ``end`` - 1 can count, and only those are read.
     """
-    daily = daily_units(fact_ventas, channel)
+    lo = as_date(start) - dt.timedelta(days=lookback_days) if start is not None else None
+    hi = as_date(end) - dt.timedelta(days=1) if end is not None else None
+    daily = daily_units(fact_ventas, channel, lo, hi)
     r = runs.alias("r")
     d = daily.alias("d")
     cond = ((F.col("r.tienda_id") == F.col("d.tienda_id")) & (F.col("r.sku_pos") == F.col("d.sku_pos"))
@@ -81,6 +87,6 @@ def stockouts(fact_inventario: DataFrame, fact_ventas: DataFrame, dim_tiendas: D
               min_days: int = 3, lookback_days: int = 14, calendar: bool = False) -> DataFrame:
     """Stock-out report ordered by estimated lost units, then run length."""
     runs = stockout_runs(fact_inventario, start, end, min_days, calendar)
-    return lost_sales(runs, fact_ventas, dim_tiendas, lookback_days).orderBy(
+    return lost_sales(runs, fact_ventas, dim_tiendas, lookback_days, start=start, end=end).orderBy(
         F.col("ventas_perdidas_estimadas").desc(), F.col("dias_en_quiebre").desc(),
         "tienda_id", "sku_pos", "inicio_quiebre")
