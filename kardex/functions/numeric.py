@@ -32,10 +32,6 @@ def round_money(col, scale: int = 2) -> Column:
     return F.round(_c(col), scale).cast("double")
 
 
-def to_money(col) -> Column:
-    return _c(col).cast(MONEY)
-
-
 def safe_div(num, den) -> Column:
     """num / NULLIF(den, 0) in DOUBLE; null instead of an ANSI divide-by-zero error."""
     d = _c(den).cast("double")

@@ -3,8 +3,7 @@ dim_tiendas, fact_inventario, dim_catalogo.
 
 Dimensions and small reference tables feed several joins each, so ``build_model`` passes them
 through a ``stage`` function that materialises them once: persisted (default; lost blocks are
-recomputed from lineage), checkpointed into the shared checkpoint folder, or written as tables
-(the batch job). Materialised inputs carry their real size, so the planner's broadcast decision
+recomputed from lineage) or written as tables (the batch job). Materialised inputs carry their real size, so the planner's broadcast decision
 (``spark.sql.autoBroadcastJoinThreshold``, re-checked by AQE at runtime) is a measured size check,
 with a sort-merge join beyond it.
 """
@@ -21,7 +20,6 @@ from kardex.operators.asof import build_fact_ventas_con_costo
 from kardex.operators.conform import (build_dim_tiendas, build_fact_inventario, build_fact_ventas, transform_ecommerce,
                                       transform_sales)
 from kardex.operators.identity import build_dim_producto
-from kardex.session import cut_lineage
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -42,10 +40,6 @@ def cache_stage(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def checkpoint_stage(df: DataFrame, name: str) -> DataFrame:
-    return cut_lineage(df)
-
-
 def no_stage(df: DataFrame, name: str) -> DataFrame:
     return df
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every job of this package relies on. AQE re-plans joins from real shuffle sizes,
 # coalesces small partitions and splits skewed join partitions; UTC keeps NTZ timestamps stable.
@@ -12,6 +12,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a shuffle starts with many partitions and adaptive execution merges the small ones, so the
+    # same setting serves a gigabyte and a hundred terabytes
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
@@ -21,7 +24,7 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str | None = None, app_name: str = "kardex",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, initial_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -29,6 +32,8 @@ def build_session(master: str | None = None, app_name: str = "kardex",
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if initial_partitions:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -40,20 +45,17 @@ def build_session(master: str | None = None, app_name: str = "kardex",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting points at shared storage and is used as is. Only when it is unset
-    (local tests) a private temporary folder is created and registered.
+    On a cluster the setting points at shared storage and is used as is; without it the job fails,
+    since a machine-local folder is not seen by the executors. Only on a local master is a private
+    temporary folder created and registered.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not configured and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
     path = configured or tempfile.mkdtemp(prefix="kardex-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

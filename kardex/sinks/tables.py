@@ -23,8 +23,7 @@ def nested_to_json(df: DataFrame) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 sort_within: list[str] | None = None, flat: bool = False, mode: str = "overwrite",
-                metrics: dict | None = None, observed_out: dict | None = None,
-                files_per_partition: int = 8) -> int:
+                metrics: dict | None = None, observed_out: dict | None = None) -> int:
     """Write ``df`` as parquet and return its row count, measured by an Observation during the
     write (no second scan). ``metrics`` adds more observed aggregates (volume metrics), copied into
     ``observed_out``. ``sort_within`` clusters rows inside each file so
@@ -36,11 +35,9 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if flat:  # metrics above see the nested columns; the files get JSON text
         out = nested_to_json(out)
     if partition_by:
-        # one folder per value, but never one task per value: a deterministic row hash spreads each
-        # value over ``files_per_partition`` tasks (a month holding a third of the rows stays split,
-        # and a retried task rebuilds the same files)
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in out.columns]), F.lit(files_per_partition))
-        out = out.repartition(*[F.col(c) for c in partition_by], spread)
+        # rows of a value come together, and adaptive execution splits a value with many bytes (a
+        # month with a third of the rows) over as many tasks as its size asks for
+        out = out.hint("rebalance", *partition_by)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
     w = out.write.mode(mode)
@@ -51,12 +48,3 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if observed_out is not None:
         observed_out.update(observed)
     return int(observed["rows"])
-
-
-def persist_tables(tables: dict[str, DataFrame], out_dir: str, layout: dict[str, dict] | None = None) -> dict[str, int]:
-    """Write every table under ``out_dir/<name>``; nested result columns become JSON text."""
-    counts = {}
-    for name, df in tables.items():
-        opts = (layout or {}).get(name, {})
-        counts[name] = write_table(df, os.path.join(out_dir, name), flat=True, **opts)
-    return counts

@@ -55,7 +55,7 @@ INVENTORY_SCHEMA = T.StructType([
 def require_rows(df: DataFrame, name: str) -> DataFrame:
     """Fail when a source is empty (one short job that stops at the first row)."""
     if df.isEmpty():
-        raise ValueError(f"[ingest] {name} is empty: check the path or format")
+        raise ValueError(f"source {name} has no rows (empty input, wrong folder, or a format that yields nothing)")
     return df
 
 

@@ -211,19 +211,14 @@ def activity_sales(spark: SparkSession, sf_dir: str, dim_producto: DataFrame) ->
                     F.ceil("value").cast("bigint").alias("cantidad"))
 
 
-def load_sources(spark: SparkSession, sf_dir: str, cache_lines: bool = False, stage=None,
-                 lines: DataFrame | None = None, catalogue: DataFrame | None = None) -> RawSources:
+def load_sources(spark: SparkSession, sf_dir: str, stage=None, lines: DataFrame | None = None, catalogue: DataFrame | None = None) -> RawSources:
     """The seven sources. Both channels and the product dimension read the joined order lines:
-    ``stage`` (the job's table stage) lands them once as a table, ``cache_lines`` persists them;
-    ``lines`` / ``catalogue`` pass in already staged ones."""
+    ``stage`` (the job's table stage) lands them once as a table; ``lines`` / ``catalogue`` pass in
+    already staged ones."""
     if lines is None:
         lines = order_lines(spark, sf_dir)
         if stage is not None:
             lines = stage(lines, "order_lines")
-        elif cache_lines:
-            from kardex.plans.model import cache_stage
-
-            lines = cache_stage(lines, "order_lines")
     return RawSources(
         sales=pos_sales(lines),
         tiendas=tiendas(spark, sf_dir),

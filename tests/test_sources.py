@@ -49,7 +49,7 @@ def test_sales_csv_and_empty_guard(spark, tmp_path):
     df = read_sales_csv(spark, str(p))
     rows = df.orderBy("venta_id").collect()
     assert [float(r["monto"]) for r in rows] == [150.5, 75.25] and rows[0]["fecha_hora"].hour == 9
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no rows"):
         require_rows(df.where("cantidad > 100"), "sales")
 
 
@@ -95,7 +95,7 @@ def test_partitioned_write_spreads_a_hot_value(spark, tmp_path):
     # AQE would merge these tiny shuffle partitions; at scale each stays above the advisory size
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        assert write_table(df, str(out), partition_by=["mes"], files_per_partition=4) == 4000
+        assert write_table(df, str(out), partition_by=["mes"]) == 4000
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     files = [p for p in (out / "mes=2025-01").iterdir() if p.name.endswith(".parquet")]
