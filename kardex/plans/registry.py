@@ -157,6 +157,12 @@ def q_stockout_lost_sales(spark, d):
     return stockouts(m.fact_inventario, act, m.dim_tiendas)
 
 
+def q_stockout_lost_sales_period(spark, d):
+    """The report of a period: the lookback sales read start - 14 days to end - 1 only."""
+    m, act = _inventory(spark, d)
+    return stockouts(m.fact_inventario, act, m.dim_tiendas, "2024-01-10", "2024-01-25")
+
+
 def q_stockout_lost_sales_model_facts(spark, d):
     """Lookback over the model's own sales fact (no sales on the snapshot days -> zero)."""
     m = _model(spark, d)
@@ -266,6 +272,28 @@ def q_top3_stockouts(spark, d):
     return stockouts(m.fact_inventario, act, m.dim_tiendas).limit(3)
 
 
+def _events_with_nulls(spark, d):
+    """Events and purchases with null users and null times, derived from the events."""
+    e = td.table(spark, d, "events")
+    left = e.select("event_id", F.nullif("user_id", F.lit(7)).alias("user_id"), F.when(F.col("event_id") % 11 != 0, F.col("ts")).alias("ts"))
+    right = e.where(F.col("event_type") == "purchase").select(
+        F.nullif("user_id", F.lit(9)).alias("user_id"), F.when(F.col("event_id") % 13 != 0, F.col("ts")).alias("p_ts"),
+        F.col("event_id").alias("p_id"), F.col("event_id").alias("last_purchase"))
+    return left, right
+
+
+def q_asof_event_locf_nulls(spark, d):
+    """As-of with null keys and null times on both sides: they match nothing."""
+    left, right = _events_with_nulls(spark, d)
+    return asof_join(left, right, ["user_id"], "ts", "p_ts", ["last_purchase"], tiebreak=["p_id"])
+
+
+def q_asof_event_locf_nulls_sorted(spark, d):
+    """The same answer by the sorted strategy."""
+    left, right = _events_with_nulls(spark, d)
+    return asof_locf(left, right, ["user_id"], "ts", "p_ts", ["last_purchase"], tiebreak=["p_id"])
+
+
 def q_asof_event_locf_window(spark, d):
     """Same answer as asof_event_locf through union + last(ignorenulls) over a window."""
     e = td.table(spark, d, "events").select("event_id", "user_id", "ts", "value")
@@ -301,34 +329,34 @@ def q_exec_kpis_sql(spark, d):
 
 
 def q_neg_margin_summary_sql(spark, d):
-    """The SKU summary with the correlated IN subquery written in SQL (planned as an existence
-    join); same result as the two-level aggregate of neg_margin_summary."""
+    """The SKU summary through the SQL API over temp views: one aggregate per (SKU, store), whose
+    losing stores decide by EXISTS which SKUs are listed, then a second aggregate over it. The fact
+    is scanned and shuffled once."""
     register_views(_staged_model(spark, d))
-    avg = lambda c: f"CAST(SUM({c}) AS DOUBLE) / CAST(COUNT({c}) AS DOUBLE)"
-    r2 = lambda e: f"ROUND(({e}) * 100D, 0) / 100D"
+    mean = lambda total, n: f"CAST(SUM({total}) AS DOUBLE) / CAST(SUM({n}) AS DOUBLE)"
+    cents = lambda e: f"ROUND(({e}) * 100D, 0) / 100D"
+    money = lambda e: f"CAST(ROUND(SUM({e}), 2) AS DOUBLE)"
     return spark.sql(f"""
-        WITH vcc AS (
-          SELECT *, CAST(ROUND(CAST(monto_mxn AS DOUBLE) / NULLIF(CAST(cantidad AS DOUBLE), 0D) * 1000000D, 0)
-                          / 1000000D AS DECIMAL(24,6)) AS up6
-          FROM fact_ventas WHERE costo_mxn IS NOT NULL AND margen_mxn IS NOT NULL),
-        neg_skus AS (SELECT DISTINCT sku_pos FROM vcc GROUP BY sku_pos, tienda_id HAVING SUM(margen_mxn) < 0),
-        flagged AS (
-          SELECT v.*, CASE WHEN v.tienda_id IN (
-                   SELECT x.tienda_id FROM vcc x WHERE x.sku_pos = v.sku_pos
-                   GROUP BY x.tienda_id HAVING SUM(x.margen_mxn) < 0) THEN v.tienda_id END AS tienda_negativa
-          FROM vcc v)
-        SELECT v.sku_pos, v.nombre, v.categoria,
-               COUNT(DISTINCT v.tienda_id) AS tiendas_totales,
-               COUNT(DISTINCT v.tienda_negativa) AS tiendas_con_margen_negativo,
-               COUNT(*) AS num_transacciones, SUM(v.cantidad) AS unidades_totales,
-               CAST(ROUND(SUM(v.monto_mxn), 2) AS DOUBLE) AS ingreso_total_mxn,
-               CAST(ROUND(SUM(v.costo_total_mxn), 2) AS DOUBLE) AS costo_total_mxn,
-               CAST(ROUND(SUM(v.margen_mxn), 2) AS DOUBLE) AS margen_total_mxn,
-               {r2(avg('v.up6'))} AS precio_venta_promedio,
-               {r2(avg('v.costo_mxn'))} AS costo_unitario_promedio,
-               {r2(avg('v.costo_mxn') + ' - ' + avg('v.up6'))} AS brecha_costo_precio
-        FROM flagged v JOIN neg_skus s ON s.sku_pos = v.sku_pos
-        GROUP BY v.sku_pos, v.nombre, v.categoria""")
+        WITH per_store AS (
+          SELECT sku_pos, nombre, categoria, tienda_id, COUNT(1) AS n, SUM(cantidad) AS units, SUM(monto_mxn) AS income,
+                 SUM(costo_total_mxn) AS cost, SUM(margen_mxn) AS margin, SUM(costo_mxn) AS unit_cost, COUNT(costo_mxn) AS n_cost,
+                 SUM(price) AS price, COUNT(price) AS n_price
+          FROM (SELECT *, CAST(ROUND(try_divide(CAST(monto_mxn AS DOUBLE), CAST(cantidad AS DOUBLE)) * 1000000D, 0) / 1000000D
+                               AS DECIMAL(24,6)) AS price
+                FROM fact_ventas WHERE margen_mxn IS NOT NULL AND costo_mxn IS NOT NULL)
+          GROUP BY sku_pos, nombre, categoria, tienda_id),
+        losing AS (SELECT sku_pos, tienda_id FROM per_store GROUP BY sku_pos, tienda_id HAVING SUM(margin) < 0)
+        SELECT s.sku_pos, s.nombre, s.categoria,
+               COUNT(DISTINCT s.tienda_id) AS tiendas_totales,
+               COUNT(DISTINCT l.tienda_id) AS tiendas_con_margen_negativo,
+               SUM(s.n) AS num_transacciones, SUM(s.units) AS unidades_totales,
+               {money('s.income')} AS ingreso_total_mxn, {money('s.cost')} AS costo_total_mxn, {money('s.margin')} AS margen_total_mxn,
+               {cents(mean('s.price', 's.n_price'))} AS precio_venta_promedio,
+               {cents(mean('s.unit_cost', 's.n_cost'))} AS costo_unitario_promedio,
+               {cents(mean('s.unit_cost', 's.n_cost') + ' - ' + mean('s.price', 's.n_price'))} AS brecha_costo_precio
+        FROM per_store s LEFT JOIN losing l ON l.sku_pos = s.sku_pos AND l.tienda_id = s.tienda_id
+        WHERE EXISTS (SELECT 1 FROM losing k WHERE k.sku_pos = s.sku_pos)
+        GROUP BY s.sku_pos, s.nombre, s.categoria""")
 
 
 # ---- data quality ----------------------------------------------------------------------------
@@ -425,6 +453,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asof_cost_margin": q_asof_cost_margin,
     "asof_cost_margin_sorted": q_asof_cost_margin_sorted,
     "asof_event_locf": q_asof_event_locf,
+    "asof_event_locf_nulls": q_asof_event_locf_nulls,
+    "asof_event_locf_nulls_sorted": q_asof_event_locf_nulls_sorted,
     "product_identity_map": q_product_identity_map,
     "store_dim_virtual": q_store_dim_virtual,
     "inventory_fact_lookup": q_inventory_fact_lookup,
@@ -438,6 +468,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stockout_runs_period": q_stockout_runs_period,
     "stockout_runs_calendar": q_stockout_runs_calendar,
     "stockout_lost_sales": q_stockout_lost_sales,
+    "stockout_lost_sales_period": q_stockout_lost_sales_period,
     "stockout_lost_sales_model_facts": q_stockout_lost_sales_model_facts,
     "mom_channel": q_mom_channel,
     "mom_channel_period": q_mom_channel_period,
