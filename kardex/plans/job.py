@@ -1,10 +1,14 @@
-"""The batch job (OP19): sources -> model -> analytics -> tables.
+"""The batch job (OP19): sources -> model -> checks -> questions -> tables.
 
-    python -m kardex.plans.job --data-dir /root/testdata/sf0.1 --output-dir <shared folder> [--no-persist]
+    python -m kardex.plans.job --data-dir /root/testdata/sf0.1 --output-dir <shared folder>
+    python -m kardex.plans.job --source files --sales s.csv --rates r.csv --ecommerce web/ \\
+        --inventory inv.json --monthly 2024-10-01 2025-03-31 --no-persist
 
 Model tables are written once under the output folder and read back, so the analytics read
 materialised tables (real sizes for the planner, no recomputation, lineage cut for executor
 loss). Without an output folder the staging folder is taken from ``spark.checkpoint.dir``.
+``--no-persist`` answers every question and prints the results; result tables are not written, and
+the staged model goes to the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -17,18 +21,15 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kardex.operators.islands import stockouts
-from kardex.operators.kpis import executive_kpis
-from kardex.operators.margin import MarginReport, negative_margin
-from kardex.operators.periods import month_over_month
-from kardex.operators.turnover import turnover_top
-from kardex.operators.quality import inventory_volume_metrics, sales_volume_metrics
-from kardex.plans.analytics import Periods
+from kardex.operators import quality as dq
 from kardex.operators.conform import build_dim_tiendas
-from kardex.plans.model import Model, build_model, cache_stage, stage_all
+from kardex.operators.quality import inventory_volume_metrics, sales_volume_metrics
+from kardex.plans.analytics import Periods, direct_results, feeds, margin_results, run_all
+from kardex.plans.model import Caches, Model, build_model, cache_stage, stage_all
 from kardex.session import build_session, ensure_checkpoint_dir
 from kardex.sinks.tables import write_table
 from kardex.sources import testdata as td
+from kardex.sources.files import RawSources, load_all
 
 # Physical layout of the model tables (re-aims the reference's secondary indexes). Rows are
 # sorted by date inside each file, so the period filters of the questions (pushed to the scan as
@@ -48,7 +49,8 @@ LANDED = {"order_lines"}
 VOLUME_METRICS = {"fact_ventas": sales_volume_metrics, "fact_inventario": inventory_volume_metrics}
 
 
-def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None, volumes: dict | None = None):
+def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None, volumes: dict | None = None,
+                caches: Caches | None = None):
     """Stage = write the model tables as parquet under ``stage_dir`` and read them back (the
     sink of the job, and a lineage cut); other intermediates are persisted. A name staged once is
     not staged again (later calls get the staged frame)."""
@@ -69,7 +71,7 @@ def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None
             spark.sparkContext.setJobDescription(None)
             out = spark.read.parquet(path)
         else:
-            out = cache_stage(df, name)
+            out = (caches or cache_stage)(df, name)
         if timings is not None:
             timings[f"stage_{name}"] = round(time.time() - t0, 3)
         done[name] = out
@@ -77,32 +79,22 @@ def table_stage(spark: SparkSession, stage_dir: str, timings: dict | None = None
     return stage
 
 
-def build_staged_model(spark: SparkSession, sf_dir: str, stage_dir: str, timings: dict | None = None, pool=None,
-                       volumes: dict | None = None):
-    stage = table_stage(spark, stage_dir, timings, volumes)
-    # the joined order lines and the catalogue / store tables do not depend on each other
-    first = stage_all(stage, {"order_lines": td.order_lines(spark, sf_dir), "dim_catalogo": td.catalogo(spark, sf_dir),
-                              "dim_tiendas": build_dim_tiendas(td.tiendas(spark, sf_dir))}, pool)
-    raw = td.load_sources(spark, sf_dir, lines=first["order_lines"], catalogue=first["dim_catalogo"])
+def build_staged_model(spark: SparkSession, sf_dir: str | None, stage_dir: str, timings: dict | None = None, pool=None,
+                       volumes: dict | None = None, raw: RawSources | None = None, caches: Caches | None = None):
+    """The staged model and the sales its stock-out lookback reads (None: the sales fact)."""
+    stage = table_stage(spark, stage_dir, timings, volumes, caches)
+    lookback_from_events = raw is None
+    if raw is None:
+        # the joined order lines and the catalogue / store tables do not depend on each other
+        first = stage_all(stage, {"order_lines": td.order_lines(spark, sf_dir), "dim_catalogo": td.catalogo(spark, sf_dir),
+                                  "dim_tiendas": build_dim_tiendas(td.tiendas(spark, sf_dir))}, pool)
+        raw = td.load_sources(spark, sf_dir, lines=first["order_lines"], catalogue=first["dim_catalogo"])
     m = build_model(raw, stage, pool)  # reuses the staged catalogue and store tables
     facts = stage_all(stage, {"fact_ventas": m.fact_ventas, "fact_inventario": m.fact_inventario}, pool)
     model = Model(fact_ventas=facts["fact_ventas"], fact_inventario=facts["fact_inventario"],
                   dim_producto=m.dim_producto, dim_tiendas=m.dim_tiendas, dim_catalogo=m.dim_catalogo)
     # lookback sales of the stock-out estimate: one consumer, planned inline
-    return model, td.activity_sales(spark, sf_dir, model.dim_producto)
-
-
-def result_tables(results: dict) -> dict[str, DataFrame]:
-    q4: MarginReport = results["q4_margen_negativo"]
-    return {
-        "result_q1_rotacion": results["q1_rotacion"],
-        "result_q2_quiebres": results["q2_quiebres"],
-        "result_q3_mom": results["q3_mom"],
-        "result_q4_detalle_por_tienda": q4.detalle_por_tienda,
-        "result_q4_resumen_sistemico": q4.resumen_sistemico,
-        "result_q4_resumen_mixto": q4.resumen_mixto,
-        "result_resumen": results["resumen"],
-    }
+    return model, td.activity_sales(spark, sf_dir, model.dim_producto) if lookback_from_events else None
 
 
 def write_results(results: dict[str, DataFrame], out_dir: str, pool=None, timings: dict | None = None) -> dict:
@@ -124,53 +116,108 @@ def submit_results(results: dict[str, DataFrame], out_dir: str, pool=None, timin
     return {k: pool.submit(one, k, v) for k, v in results.items()}
 
 
-def answer_and_write(model: Model, lookback: DataFrame, out_dir: str, periods: Periods = Periods(), pool=None,
-                     timings: dict | None = None) -> dict:
+def answer_and_write(model: Model, lookback: DataFrame | None, out_dir: str, periods: Periods = Periods(), pool=None,
+                     timings: dict | None = None, with_feeds: bool = False) -> dict:
     """The questions and their result tables. Results that do not need the margin aggregates are
     submitted first, so they run while the margin aggregates are materialised."""
-    first = {
-        "result_q1_rotacion": turnover_top(model.fact_ventas, model.fact_inventario, *periods.turnover, k=periods.top_k),
-        "result_q2_quiebres": stockouts(model.fact_inventario, lookback, model.dim_tiendas, *periods.stockout,
-                                        min_days=periods.min_run_days, lookback_days=periods.lookback_days),
-        "result_q3_mom": month_over_month(model.fact_ventas, *periods.monthly, inclusive_end_day=periods.inclusive_end_day),
-        "result_resumen": executive_kpis(model.fact_ventas),
-    }
-    futures = submit_results(first, out_dir, pool, timings)
-    q4: MarginReport = negative_margin(model.fact_ventas, model.dim_tiendas, stage=cache_stage)
-    futures.update(submit_results({
-        "result_q4_detalle_por_tienda": q4.detalle_por_tienda,
-        "result_q4_resumen_sistemico": q4.resumen_sistemico,
-        "result_q4_resumen_mixto": q4.resumen_mixto,
-    }, out_dir, pool, timings))
-    return {k: (f.result() if hasattr(f, "result") else f) for k, f in futures.items()}
+    caches = Caches()
+    try:
+        first = {f"result_{k}": v for k, v in direct_results(model, periods, lookback).items()}
+        if with_feeds:
+            first |= feeds(model)
+        futures = submit_results(first, out_dir, pool, timings)
+        rest = {f"result_{k}": v for k, v in margin_results(model, caches).items()}
+        futures.update(submit_results(rest, out_dir, pool, timings))
+        return {k: (f.result() if hasattr(f, "result") else f) for k, f in futures.items()}
+    finally:
+        caches.release()
+
+
+def check_model(model: Model, volumes: dict) -> None:
+    """Quality rules of the model; a broken one fails the job. Counts come from the write itself."""
+    for name in ("fact_ventas", "fact_inventario"):
+        if not volumes[name]["rows"]:
+            raise ValueError(f"{name} is empty")
+    for name, required in REQUIRED.items():
+        if absent := dq.missing_columns(getattr(model, name), required):
+            raise ValueError(f"{name} lacks {absent}")
+    dq.assert_zero(dq.null_counts(model.fact_ventas, ["tienda_id", "cantidad", "monto_mxn"]), "nulls in fact_ventas")
+    dq.assert_zero(dq.duplicate_summary(model.dim_producto, ["product_id"]).select("claves_duplicadas"), "repeated product_id")
+
+
+REQUIRED = {
+    "fact_ventas": ["order_id", "fecha", "tienda_id", "product_id", "canal", "cantidad", "monto_mxn", "margen_mxn"],
+    "fact_inventario": ["fecha", "tienda_id", "product_id", "cantidad_en_stock"],
+    "dim_producto": ["product_id", "sku_pos", "sku_erp", "handle"],
+}
 
 
-def run_job(spark: SparkSession, sf_dir: str, output_dir: str | None = None, persist: bool = True,
-            periods: Periods = Periods(), concurrency: int = 4) -> dict:
+def answer_and_print(model: Model, lookback: DataFrame | None, periods: Periods = Periods(), rows: int = 20) -> dict:
+    """Every question, its first rows on the console; returns the row counts."""
+    caches = Caches()
+    try:
+        counts = {}
+        for name, df in run_all(model, periods, lookback, stage=caches).items():
+            df = caches(df, name)  # one run serves the count and the rows shown
+            counts[name] = df.count()
+            print(f"-- {name}: {counts[name]} rows")
+            df.show(rows, truncate=60)
+        return counts
+    finally:
+        caches.release()
+
+
+def run_job(spark: SparkSession, sf_dir: str | None = None, output_dir: str | None = None, persist: bool = True,
+            periods: Periods = Periods(), concurrency: int = 4, raw: RawSources | None = None) -> dict:
+    """``raw`` (sources read from files) or the test tables in ``sf_dir``."""
     timings: dict = {}
     volumes: dict = {}
-    base = output_dir or os.path.join(ensure_checkpoint_dir(spark), "kardex-job-" + uuid.uuid4().hex[:8])
+    base = output_dir if output_dir and persist else os.path.join(ensure_checkpoint_dir(spark), "kardex-job-" + uuid.uuid4().hex[:8])
     t0 = time.time()
-    with ThreadPoolExecutor(max_workers=concurrency) as pool:
-        model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings, pool, volumes)
-        timings["model"] = round(time.time() - t0, 3)
-        if persist:
-            counts = answer_and_write(model, lookback, os.path.join(base, "results"), periods, pool, timings)
-        else:
-            counts = {}
+    caches = Caches()
+    try:
+        with ThreadPoolExecutor(max_workers=concurrency) as pool:
+            model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings, pool, volumes, raw, caches)
+            check_model(model, volumes)
+            timings["model"] = round(time.time() - t0, 3)
+            if persist:
+                counts = answer_and_write(model, lookback, os.path.join(base, "results"), periods, pool, timings, with_feeds=True)
+            else:
+                counts = answer_and_print(model, lookback, periods)
+    finally:
+        caches.release()
     timings["total"] = round(time.time() - t0, 3)
     return {"output_dir": base, "timings": timings, "rows": counts, "volumes": volumes}
 
 
 def main(argv=None):
     ap = argparse.ArgumentParser(description="retail model + analytics job")
-    ap.add_argument("--data-dir", required=True)
+    ap.add_argument("--source", choices=["testdata", "files"], default="testdata")
+    ap.add_argument("--data-dir", help="folder of the test tables")
+    for name in ("sales", "rates", "ecommerce", "inventory"):
+        ap.add_argument(f"--{name}", help=f"path of the {name} input (--source files)")
+    ap.add_argument("--json-lines", action="store_true", help="the inventory input is JSON Lines")
     ap.add_argument("--output-dir", default=None)
-    ap.add_argument("--no-persist", action="store_true")
+    ap.add_argument("--no-persist", action="store_true", help="answer and print, write no result tables")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--shuffle-partitions", type=int, default=None)
+    ap.add_argument("--initial-partitions", type=int, default=None, help="partitions a shuffle starts with, before merging")
+    for name in ("turnover", "stockout", "monthly"):
+        ap.add_argument(f"--{name}", nargs=2, metavar=("START", "END"), default=(None, None), help="inclusive days")
+    ap.add_argument("--top-k", type=int, default=10)
+    ap.add_argument("--min-run-days", type=int, default=3)
+    ap.add_argument("--lookback-days", type=int, default=14)
+    ap.add_argument("--midnight-end", action="store_true", help="the monthly period ends at 00:00 of its last day")
     args = ap.parse_args(argv)
-    spark = build_session(args.master)
-    print(run_job(spark, args.data_dir, args.output_dir, persist=not args.no_persist))
+    if args.source == "files" and not all((args.sales, args.rates, args.ecommerce, args.inventory)):
+        ap.error("--source files needs --sales, --rates, --ecommerce and --inventory")
+    if args.source == "testdata" and not args.data_dir:
+        ap.error("--source testdata needs --data-dir")
+    spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions, initial_partitions=args.initial_partitions)
+    raw = load_all(spark, args.sales, args.rates, args.ecommerce, args.inventory, args.json_lines) if args.source == "files" else None
+    periods = Periods(tuple(args.turnover), tuple(args.stockout), tuple(args.monthly), args.top_k, args.min_run_days,
+                      args.lookback_days, not args.midnight_end)
+    print(run_job(spark, args.data_dir, args.output_dir, not args.no_persist, periods, raw=raw))
 
 
 if __name__ == "__main__":

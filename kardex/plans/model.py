@@ -40,6 +40,22 @@ def cache_stage(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+class Caches:
+    """A stage function that persists, and remembers what to free."""
+
+    def __init__(self):
+        self.held: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        df = cache_stage(df, name)
+        self.held.append(df)
+        return df
+
+    def release(self) -> None:
+        while self.held:
+            self.held.pop().unpersist()
+
+
 def no_stage(df: DataFrame, name: str) -> DataFrame:
     return df
 

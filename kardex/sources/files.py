@@ -10,6 +10,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,16 @@ RATES_SCHEMA = T.StructType([
     T.StructField("rate_to_mxn", T.DecimalType(12, 6)),
 ])
 
+class RawSources(NamedTuple):
+    sales: DataFrame
+    tiendas: DataFrame
+    sku_map: DataFrame
+    catalogo: DataFrame
+    snapshots: DataFrame
+    ecommerce: DataFrame
+    exchange_rates: DataFrame
+
+
 _S = T.StringType()
 INVENTORY_SCHEMA = T.StructType([
     T.StructField("tiendas_info", T.ArrayType(T.StructType([
@@ -101,3 +113,14 @@ def inventory_tables(doc: DataFrame) -> dict[str, DataFrame]:
         "catalogo": unnest_cost_history(products),
         "snapshots": clean_snapshots(unnest_array(doc, "snapshots")),
     }
+
+
+def load_all(spark: SparkSession, sales: str, rates: str, ecommerce: str, inventory: str,
+             json_lines: bool = False) -> RawSources:
+    """The seven sources from the four inputs: sales CSV, rates CSV, web orders Parquet and the
+    inventory document (``json_lines``: fragments, one per line). An input without rows fails here."""
+    tables = read_inventory_json(spark, inventory, multiline=not json_lines)
+    raw = RawSources(sales=read_sales_csv(spark, sales), tiendas=tables["tiendas"], sku_map=tables["sku_map"],
+                     catalogo=tables["catalogo"], snapshots=tables["snapshots"],
+                     ecommerce=read_ecommerce_parquet(spark, ecommerce), exchange_rates=read_exchange_rates_csv(spark, rates))
+    return RawSources(*(require_rows(df, name) for name, df in raw._asdict().items()))

@@ -20,12 +20,12 @@ grows with the tables:
 
 from __future__ import annotations
 
-from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kardex.functions.numeric import MONEY
+from kardex.sources.files import RawSources
 from kardex.sources.nested import unnest_cost_history
 
 # Fixed values of the binding
@@ -41,16 +41,6 @@ RATE_FORMULAS = {
 SNAPSHOT_CALENDAR = ("2024-01-01", "2024-01-30")
 
 
-class RawSources(NamedTuple):
-    sales: DataFrame
-    tiendas: DataFrame
-    sku_map: DataFrame
-    catalogo: DataFrame
-    snapshots: DataFrame
-    ecommerce: DataFrame
-    exchange_rates: DataFrame
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -77,13 +77,13 @@ def test_monthly_invariants(model_and_results):
 
 def test_margin_invariants(model_and_results):
     _, res = model_and_results
-    q4 = res["q4_margen_negativo"]
-    zero(dq.count_violations(q4.detalle_por_tienda, {"negative": F.col("margen_total_mxn") < 0}), "detail")
-    zero(dq.count_violations(q4.resumen_sistemico, {"negative": F.col("margen_total_mxn") < 0}), "systemic")
-    zero(dq.count_violations(q4.resumen_mixto, {"non_negative": F.col("margen_total_mxn") >= 0,
+    detail, systemic, mixed = (res[f"q4_{k}"] for k in ("detalle_por_tienda", "resumen_sistemico", "resumen_mixto"))
+    zero(dq.count_violations(detail, {"negative": F.col("margen_total_mxn") < 0}), "detail")
+    zero(dq.count_violations(systemic, {"negative": F.col("margen_total_mxn") < 0}), "systemic")
+    zero(dq.count_violations(mixed, {"non_negative": F.col("margen_total_mxn") >= 0,
                                                 "has_store": F.col("tiendas_con_margen_negativo") >= 1,
                                                 "list": F.size("tiendas_negativas") >= 1}), "mixed")
-    recon = dq.max_abs_diff(q4.detalle_por_tienda, F.col("ingreso_total_mxn") - F.col("costo_total_mxn"),
+    recon = dq.max_abs_diff(detail, F.col("ingreso_total_mxn") - F.col("costo_total_mxn"),
                             "margen_total_mxn").first()[0]
     assert recon < 1.0
     kpis = res["resumen"].first()
@@ -96,7 +96,7 @@ def test_batch_job_writes_model_and_results(spark, tmp_path):
     out = run_job(spark, SF, str(tmp_path / "job"))
     model_dir, results_dir = tmp_path / "job" / "model", tmp_path / "job" / "results"
     assert {"fact_ventas", "fact_inventario", "dim_producto", "dim_tiendas", "dim_catalogo"} <= {p.name for p in model_dir.iterdir()}
-    assert len(list(results_dir.iterdir())) == 7 and out["rows"]["result_q1_rotacion"] == 10
+    assert len(list(results_dir.iterdir())) == 10 and out["rows"]["result_q1_rotacion"] == 10
     v = out["volumes"]["fact_ventas"]
     assert v["rows"] == v["fisico"] + v["ecommerce"] and v["creditos"] > 0
     mixed = spark.read.parquet(str(results_dir / "result_q4_resumen_mixto"))
