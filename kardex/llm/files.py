@@ -24,7 +24,7 @@ def write_whole(uri: str, write: Callable[[BinaryIO], None], attempt: str) -> in
     store, path = split(normal(uri))
     store.create_dir(path.rpartition("/")[0], recursive=True)
     part = f"{path}.{attempt}"
-    with store.open_output_stream(part) as out:
+    with store.open_output_stream(part, compression=None) as out:
         write(out)
     with suppress(FileNotFoundError):
         if store.get_file_info(path).type == fs.FileType.File and not isinstance(store, fs.LocalFileSystem):
@@ -35,7 +35,7 @@ def write_whole(uri: str, write: Callable[[BinaryIO], None], attempt: str) -> in
 
 def read_whole(uri: str) -> bytes:
     store, path = split(normal(uri))
-    with store.open_input_stream(path) as f:
+    with store.open_input_stream(path, compression=None) as f:
         return f.read()
 
 

@@ -64,11 +64,13 @@ def grams_of(word: str) -> list[str]:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", train_per_lang: int = 4000,
-        max_grams: int = 200_000, alpha: float = 0.2, script_share: float = 0.01) -> dict:
+        max_grams: int = 200_000, prior: float = 200.0, script_share: float = 0.01) -> dict:
     """Learn the per-word model from labelled rows (null text or label: left out).
 
     Returns languages in code point order, the scripts each one uses (at least ``script_share`` of
-    its letters) and the log probabilities of its n-grams."""
+    its letters) and the log probabilities of its n-grams. Counts are smoothed with ``prior``
+    n-grams of the distribution over all languages, and an n-gram that none has says nothing, so a
+    language with few labelled rows neither wins unknown words nor is ruled out by them."""
     rows = labelled.select(F.col(text).alias("t"), F.col(lang).alias("l")).where(F.col("t").isNotNull() & F.col("l").isNotNull())
     sizes = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGS).collect()
     share = F.coalesce(*(F.when(F.col("l") == r["l"], train_per_lang / r["count"]) for r in sizes), F.lit(0.0))
@@ -98,12 +100,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", train_per_l
                 v[at[x]] += n
     size = np.array([len(r["g"]) for r in grams])
     logs = np.zeros_like(table)
-    missing = {}
+    missing = {n: np.zeros(len(langs)) for n in (2, 3)}
     for n in (2, 3):
         pick = size == n
-        mass = table[pick].sum(0) + alpha * (pick.sum() + 1)
-        logs[pick] = np.log((table[pick] + alpha) / mass)
-        missing[n] = np.log(alpha / mass)
+        seen = table[pick]
+        everywhere = seen.sum(1, keepdims=True) / max(seen.sum(), 1)
+        logs[pick] = np.log((seen + prior * everywhere) / (seen.sum(0) + prior))
     all_letters = sum(letters.values()) if letters else np.zeros(len(langs))
     uses = {s: (v / np.maximum(all_letters, 1)) >= script_share for s, v in letters.items()}
     return {"langs": langs, "grams": [r["g"] for r in grams], "logs": logs.astype(np.float32), "missing": missing, "uses": uses}

@@ -5,8 +5,8 @@ highest IDF; document frequencies are counted over the whole corpus, so a seed i
 rare there ("mit", "apache", "merchantability"), whatever the corpus. The index maps a seed to its
 postings (template, position).
 
-Of a file, all seeds are looked up, rarest first. A file that lacks a template's rarest seed skips
-the template. Each place of a seed votes for (template, place - position), the relative position of
+Of a file, all seeds are looked up. A file that lacks a short template's rarest seed, or half the
+seeds of a long one, skips the template. Each place of a seed votes for (template, place - position), the relative position of
 the template; a candidate is a place where enough seeds agree within ``SLACK`` words. It counts if
 every mandatory key phrase stands there, word by word. Short templates are their own key phrase,
 so they count exactly where they stand.
@@ -108,12 +108,13 @@ class Index:
         self.templates = templates()
         self.idf = {w: math.log((n_docs + 1) / (df.get(w, 0) + 1)) + 1e-9 for t in self.templates for w in t.words}
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        self.rarest, self.needed = [], []
+        self.chosen, self.needed = [], []
+        self.exact = [(t.words,) == t.keys for t in self.templates]
         for i, t in enumerate(self.templates):
             ranked = sorted(dict.fromkeys(t.words), key=lambda w: (-self.idf[w], w))
             seeds = ranked[:max(1, min(6, len(ranked) // 2))]
-            self.rarest.append(seeds[0])
-            self.needed.append(1 if (t.words,) == t.keys else (len(seeds) + 1) // 2)
+            self.chosen.append(seeds)
+            self.needed.append(1 if self.exact[i] else (len(seeds) + 1) // 2)
             for q, w in enumerate(t.words):
                 if w in seeds:
                     self.postings[w].append((i, q))
@@ -122,7 +123,8 @@ class Index:
     def places(self, words: list[bytes]) -> list[tuple[int, int, float]]:
         """Accepted (template, start, coverage) of a file."""
         found = self.seeds.intersection(words)
-        alive = {i for i, w in enumerate(self.rarest) if w in found}
+        # A template that must stand word by word needs its rarest seed, others enough of theirs.
+        alive = {i for i, seeds in enumerate(self.chosen) if (seeds[0] in found if self.exact[i] else len(found.intersection(seeds)) >= self.needed[i])}
         if not alive:
             return []
         wanted = frozenset(w for w in found if any(i in alive for i, _ in self.postings[w]))
@@ -135,9 +137,8 @@ class Index:
         out = []
         for i, by_place in votes.items():
             t, end = self.templates[i], -1
-            exact = (t.words,) == t.keys
             for o in sorted(by_place):
-                if exact:
+                if self.exact[i]:
                     if o >= 0 and tuple(words[o:o + len(t.words)]) == t.words:
                         out.append((i, o, 1.0))
                     continue

@@ -1,0 +1,408 @@
+"""Every query over odd rows, against brute force, and over empty tables."""
+
+import base64
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from kardex.llm.queries import QUERIES
+
+
+def run(spark, odd, name):
+    folder, rows = odd
+    got = [r.asDict() for r in QUERIES[name](spark, folder).collect()]
+    return got, rows
+
+
+def bag(rows):
+    return Counter(map(repr, rows))
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_empty_tables_give_no_rows(spark, nothing, name):
+    assert QUERIES[name](spark, nothing).collect() == []
+
+
+def test_language_id(spark, odd):
+    got, rows = run(spark, odd, "op1_language_id")
+    assert len(got) == len(rows)
+    texts = defaultdict(set)
+    for r in rows:
+        texts[r[0]].add(r[1])
+    seen, right = 0, 0
+    for g in got:
+        assert 0 <= g["score"] <= 1
+        assert g["held_out"] == (zlib.crc32(("" if g["doc_id"] is None else str(g["doc_id"])).encode()) % 5 == 0)
+        own = texts[g["doc_id"]]
+        if len(own) == 1:
+            text = next(iter(own))
+            if not any(c.isalpha() for c in text or ""):
+                assert g["lang_pred"] == "und" and g["score"] == 0 and g["spans"] == []
+            else:
+                assert g["lang_pred"] in ("en", "de", "fr")
+                if g["held_out"] and len(text) > 100 and g["doc_id"] < 80:
+                    seen += 1
+                    right += (g["lang_pred"] == "de") == ("ß" in text)  # the one fr document is written like en
+    assert seen and right / seen > 0.95
+
+
+def test_mixed_language_spans():
+    from kardex.llm.langid import Labeller, viterbi
+
+    model = {"langs": ["aa", "bb", "ru"], "grams": ["xa", "yb"], "logs": np.log(np.array([[.9, .05, .05], [.05, .9, .05]], np.float32)),
+             "missing": {2: np.log([.05, .05, .05]), 3: np.log([.05, .05, .05])},
+             "uses": {"latin": np.array([True, True, False]), "cyrillic": np.array([False, False, True])}}
+    text = "xa " * 8 + "yb " * 8 + "вода " * 6
+    lang, score, spans = Labeller(model, 3.0, -4.0).decode([text])[0]
+    assert [s[2] for s in spans] == ["aa", "bb", "ru"] and spans[1][0] == 24 and 0 < score < 1 and lang == "ru"
+
+    rng = np.random.default_rng(5)
+    seqs = [rng.normal(size=(n, 3)).astype(np.float32) for n in (1, 7, 0, 4, 7, 2)]
+
+    def best(s, switch):  # all paths
+        import itertools
+
+        value = lambda p: sum(s[i, x] for i, x in enumerate(p)) - switch * sum(a != b for a, b in zip(p, p[1:]))
+        return max(map(value, itertools.product(range(3), repeat=len(s))), default=0)
+
+    for s, p in zip(seqs, viterbi(seqs, 0.7)):
+        mine = sum(s[i, x] for i, x in enumerate(p)) - 0.7 * int((np.diff(p) != 0).sum())
+        assert len(p) == len(s) and abs(mine - best(s, 0.7)) < 1e-5
+
+
+def test_mixing(spark, odd):
+    got, rows = run(spark, odd, "op2_mixing")
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    assert bag((g["doc_id"], g["size"]) for g in got) == bag((r[0], size(r[1])) for r in rows)
+    totals = Counter()
+    for r in rows:
+        totals[r[3]] += size(r[1])
+    order = sorted((s for s in totals if s is not None)) + ([None] if None in totals else [])
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    target, left, free = {}, 1.5 * sum(totals.values()), set(order)
+    while True:
+        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        full = [s for s in free if share[s] > 2 * totals[s]]
+        if not full:
+            break
+        for s in full:
+            target[s] = 2.0 * totals[s]
+            left -= target[s]
+            free.discard(s)
+    target |= share
+    taken = Counter()
+    for g in got:
+        assert g["source_size"] == totals[g["source"]] and abs(g["target"] - target[g["source"]]) < 1e-6
+        assert g["taken"] <= 2 * g["size"] and g["taken"] == g["size"] * len(g["positions"])
+        assert g["positions"] == sorted(g["positions"]) and all(0 <= p <= 1 for p in g["positions"])
+        taken[g["source"]] += g["taken"]
+    largest = {s: max(size(r[1]) for r in rows if r[3] == s) for s in totals}
+    assert all(abs(taken[s] - target[s]) <= largest[s] for s in totals)
+    again, _ = run(spark, odd, "op2_mixing")
+    assert bag((g["doc_id"], g["taken"], g["positions"]) for g in again) == bag((g["doc_id"], g["taken"], g["positions"]) for g in got)
+
+
+def test_fingerprints(spark, odd):
+    from kardex.llm.fingerprints import fingerprint, sketch
+
+    got, rows = run(spark, odd, "op3_fingerprints")
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    want = []
+    for r, nxt in zip(order, order[1:] + order[:1]):
+        a, b = r[1] or "", nxt[1] or ""
+        cut = len(a) // 2
+        edited = a[:len(a) - cut] + b[:cut]
+        want.append((r[0], len(a), hashlib.sha256(edited.encode()).hexdigest(), fingerprint(sketch(a)), fingerprint(sketch(edited))))
+    assert bag((g["doc_id"], g["n_chars"], g["edited_sha256"], g["fingerprint"], g["edited_fingerprint"]) for g in got) == bag(want)
+    assert all(0 <= g[k] <= 1 for g in got for k in ("near_edited", "near_next"))
+
+
+def test_order_min_hash_follows_edits():
+    import random
+
+    from conftest import syllables  # noqa: F401
+    from kardex.llm.fingerprints import likeness, sketch
+
+    rng = random.Random(2)
+    text = " ".join(str(rng.random()) for _ in range(300))
+    near = text[:2000] + "!" + text[2001:]
+    half = text[:len(text) // 2] + " ".join(str(rng.random()) for _ in range(150))
+    swapped = text[len(text) // 2:] + text[:len(text) // 2]
+    s = sketch(text)
+    assert likeness(s, s) == 1 and likeness(sketch(""), sketch("")) == 1 and likeness(s, sketch("")) == 0
+    assert likeness(s, sketch(near)) > 0.9 > likeness(s, sketch(half)) > 0.2
+    assert likeness(s, sketch(swapped)) < 0.95  # same k-mers, another order
+
+
+def test_licenses(spark, odd):
+    got, rows = run(spark, odd, "op4_licenses")
+    low = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
+    want = []
+    for r in rows:
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r[1] or "").translate(low))
+        places = []
+        for label, phrase in (("mit", "under the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc")):
+            p = phrase.split()
+            places += [(i, label) for i in range(len(w)) if w[i:i + len(p)] == p]
+        at = [i for i, _ in places]
+        want.append((r[0], len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places}))))
+    assert bag((g["doc_id"], g["n_words"], g["n_base"], g["first_word"], g["last_word"], g["base_labels"]) for g in got) == bag(want)
+    for g in got:
+        assert set(filter(None, g["base_labels"].split(","))) <= set(g["labels"].split(",")) and 0 <= g["score"] <= 1
+
+
+def test_license_passage_with_edits():
+    from kardex.llm.licenses import Index, words_of
+
+    index = Index(1000, {b"the": 900, b"of": 800, b"and": 800, b"to": 800, b"license": 30, b"version": 20})
+    text = ("intro words " * 20 + "Permission is hereby granted, free of charge, to ANY person obtaining one copy of this software "
+            "and associated documentation files (the Software), to deal in the Software without any restriction " + "outro " * 20)
+    assert {index.templates[i].label for i, _, _ in index.places(words_of(text))} == {"mit"}
+    assert index.places(words_of("permission is granted to the person " * 50)) == []
+    assert index.places([]) == []
+
+
+def brute_stats(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    seen = defaultdict(list)
+    for i in range(len(words) - 7):
+        seen[tuple(words[i:i + 8])].append(i)
+    covered = {j for at in seen.values() if len(at) > 1 for i in at for j in range(i, i + 8)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")) if words else 0, len(lines) - len(set(lines)), len(covered))
+
+
+def test_quality_rules(spark, odd):
+    got, rows = run(spark, odd, "op5_quality_rules")
+    want = [(r[0], *s, s[0] < 20 or 100 * s[4] > 30 * s[0]) for r in rows for s in [brute_stats(r[1])]]
+    assert bag((g["doc_id"], g["n_words"], g["word_chars"], g["n_symbols"], g["n_dup_lines"], g["n_repeat_words"], g["base_failed"]) for g in got) == bag(want)
+    assert not any(g["base_failed"] and g["kept"] for g in got)
+
+
+def test_sequential_covering_finds_the_rule():
+    from kardex.llm.quality import covers, learn
+
+    rng = np.random.default_rng(0)
+    x = rng.random((2000, 3))
+    bad = (x[:, 1] > 0.7) & (x[:, 2] <= 0.4)
+    names = ["a", "b", "c"]
+    rules = learn(x, bad, names)
+    hit = np.zeros(len(x), bool)
+    for r in rules:
+        hit |= covers(r.conditions, x, names)
+    assert rules and (hit & ~bad).sum() <= 0.02 * bad.sum() and (hit & bad).sum() >= 0.9 * bad.sum()
+    assert learn(x, rng.random(2000) < 0.1, names) == []  # noise gives no rule
+    assert learn(x, np.zeros(2000, bool), names) == learn(x[:0], bad[:0], names) == []
+
+
+def brute_secrets(t):
+    out = []
+    for m in re.finditer(r"""(?ia:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t or ""):
+        if len(m[2]) >= 12:
+            out.append((m.start(), 0, m.end(), "assign"))
+    out += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", t or "") if len(m[0]) >= 18]
+    out += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", t or "") if len(m[0]) >= 16]
+    return sorted(out)
+
+
+def test_secrets(spark, odd):
+    got, rows = run(spark, odd, "op6_secrets")
+    want = []
+    for r in rows:
+        found = brute_secrets(r[1])
+        n = Counter(x[3] for x in found)
+        listed = ",".join(f"{k}:{a}:{b}" for a, _, b, k in found)
+        want.append((r[0], n["assign"], n["access"], n["hex"], hashlib.sha256(listed.encode()).hexdigest()))
+    assert bag((g["doc_id"], g["n_assign"], g["n_access"], g["n_hex"], g["base_sha256"]) for g in got) == bag(want)
+
+
+def test_weak_parts_need_a_complement(spark):
+    from pyspark.sql import functions as F
+
+    from kardex.llm import secret_scan as scan
+
+    gap = " " + "x" * 600 + " "
+    texts = ["password=abcdefg", "password=abcdefg at http://a.b", "password=abcdefg" + gap + "http://a.b", "login: bob", "login: bob secret=abcdef",
+             "see http://a.b", "🎉 token=abcdefghijklmnop http://a.b", None, "", "token=a token=b " * 3000 + "secret=0123456789abcdef"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = scan.report(df)
+    got = {r["doc_id"]: r["s"] for r in found.select("doc_id", scan.listed(F.col("found")).alias("s")).collect()}
+    assert got[0] == got[2] == got[3] == got[5] == got[7] == got[8] == ""
+    assert got[1] == "weak:0:16,endpoint:20:30" and got[4] == "login:0:10,weak:11:24" and got[6].startswith("assign:2:24,endpoint:25:35")
+    hidden = {r["doc_id"]: r["text"] for r in scan.redact(df, found).collect()}
+    assert hidden[1] == "[SECRET] at [SECRET]" and hidden[0] == texts[0] and hidden[7] is None and hidden[6] == "🎉 [SECRET] [SECRET]"
+    assert hidden[9].endswith("token=b [SECRET]")
+
+
+def test_bpe_round_trip(spark, odd, library):
+    got, rows = run(spark, odd, "op7_bpe")
+    want = []
+    for r in rows:
+        ids = library.encode(r[1] or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        want.append((r[0], len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+    assert bag((g["doc_id"], g["n_tokens"], g["ids_sha256"], g["decoded_sha256"]) for g in got) == bag(want)
+
+
+def test_bpe_codec_matches_the_library(vocab, library, monkeypatch):
+    import random
+
+    from kardex.llm import bpe
+
+    rng = random.Random(4)
+    texts = ["", "a" * 500, "İstanbul ΣΑΣ's they'll <|startoftext|>x<|endoftext|>", "a\x1cb \x1d²½Ⅷ", "K Å ﬁ ẞ", "\x00\x7f\x85\xad"]
+    texts += ["".join(rng.choice("abeinthé'’s ßΣσ ١٢́‍<|>\t\x0b\x1c0一亜") for _ in range(60)) for _ in range(800)]
+    codec = bpe.Codec(vocab)
+    monkeypatch.setattr(bpe, "CACHE_CHUNKS", 300)  # the cache shrinks again and again
+    for lot in (texts[:400], texts[400:], texts):
+        for t, ids in zip(lot, codec.encode(lot)):
+            assert ids.tolist() == library.encode(t, add_special_tokens=False).ids
+            assert codec.decode(ids) == library.decode(ids.tolist(), skip_special_tokens=False)
+
+
+def test_jaccard_join(spark, odd):
+    from kardex.llm.jaccard_join import Shingler
+
+    got, rows = run(spark, odd, "op8_jaccard_join")
+    cut = Shingler()
+    sets = [frozenset(cut(r[1] or "").tolist()) for r in rows]
+    ids = defaultdict(list)
+    for r, s in zip(rows, sets):
+        ids[s].append(r[0])
+    least = lambda x: min((i for i in x if i is not None), default=None)
+    distinct = list(ids)
+    links = [(a, b) for i, a in enumerate(distinct) for b in distinct[i + 1:] if a and b and len(a & b) >= 0.8 * len(a | b)]
+    degree = Counter(x for p in links for x in p)
+    part = {s: s for s in distinct}
+
+    def top(s):
+        while part[s] is not s:
+            s = part[s]
+        return s
+
+    for a, b in links:
+        part[top(a)] = top(b)
+    members = defaultdict(list)
+    for s in distinct:
+        members[top(s)] += ids[s]
+    want = [(r[0], least(members[top(s)]), least(ids[s]), degree[s]) for r, s in zip(rows, sets)]
+    assert bag((g["doc_id"], g["class_id"], g["copy_id"], g["n_links"]) for g in got) == bag(want)
+    assert max(degree.values()) == 12  # the near copies and their base link to each other
+
+
+def test_jaccard_blocks_of_many_tiles(spark):
+    """A hot bucket over several tiles gives the same links as one block."""
+    from pyspark.sql import functions as F
+
+    from kardex.llm import jaccard_join as j
+
+    base = [f"w{i}" for i in range(200)]
+    docs = [(i, " ".join(base[:i] + [f"z{i}"] + base[i + 1:])) for i in range(60)] + [(100, "some other text that links to nothing at all")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bands, rows = j.choose_bands()
+    signed = j.signatures(df, bands, rows)
+    sets = j.classes(signed)
+    found = j.buckets(sets, bands)
+    small = j.verify(df, sets, found, tile=7)
+    degree = {bytes(r["set_key"]): r["n"] for r in small.groupBy("set_key").agg(F.sum("n_links").alias("n")).collect()}
+    assert len(degree) == 60 and set(degree.values()) == {59}
+    out = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in j.join(df).collect()}
+    assert all(out[i] == (0, 59) for i in range(60)) and out[100] == (100, 0)
+
+
+def test_band_choice():
+    from kardex.llm.jaccard_join import choose_bands
+
+    b, r = choose_bands(0.8, 0.999, 160)
+    assert b * r <= 160 and 1 - (1 - 0.8 ** r) ** b >= 0.999
+    with pytest.raises(ValueError):
+        choose_bands(0.1, 0.9999, 10)
+
+
+def test_components_of_long_paths(spark):
+    from kardex.llm.jaccard_join import components
+
+    edges = [(f"{i:03d}".encode(), f"{i + 1:03d}".encode()) for i in range(60)] + [(b"900", b"901")]
+    got = {bytes(r["node"]): bytes(r["label"]) for r in components(spark.createDataFrame(edges, "node binary, root binary")).collect()}
+    assert all(got[f"{i:03d}".encode()] == b"000" for i in range(61)) and got[b"901"] == b"900"
+
+
+def test_warc(spark, odd):
+    got, rows = run(spark, odd, "op9_warc")
+    pages = [(r[0], r[1] or "") for r in rows if r[0] is not None][:110]
+    largest = {}
+    for k, h in pages:
+        largest[h] = max(largest.get(h, -1), k)
+    base32 = lambda h: base64.b32encode(hashlib.sha1(h.encode()).digest()).decode()
+    want = [(k, len(h.encode()), base32(h), "response" if largest[h] == k else "revisit", None if largest[h] == k else largest[h]) for k, h in pages]
+    assert bag((g["page_id"], g["payload_bytes"], g["payload_digest"], g["record_type"], g["refers_to"]) for g in got) == bag(want)
+
+
+def test_warc_normaliser_members_and_index(spark):
+    import gzip
+    import json
+
+    from kardex.llm import files, warc
+
+    pages = [(1, "u", "aa"), (1, "u", "aa"), (2, None, None), (3, "a b", "é\r\n\r\nx" * 50), (None, "n", "aa")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2)
+    records = warc.capture(df, archive_bytes=300)
+    mono = {r["path"] for r in records.collect()}
+    for path in mono:  # one gzip stream over all records
+        raw = files.read_whole(path)
+        assert gzip.decompress(raw).count(b"WARC/1.1\r\n") == sum(r["path"] == path for r in records.collect())
+    archives = warc.normalise(warc.decide(records))
+    for a in archives.collect():
+        data = files.read_whole(a["path"])
+        entries = [json.loads(x) for x in files.read_whole(a["index"]).splitlines()]
+        assert entries[-1]["offset"] + entries[-1]["length"] == len(data) and len(entries) == a["n"]
+        for e in entries:
+            assert gzip.decompress(data[e["offset"]:e["offset"] + e["length"]]).startswith(b"WARC/1.1\r\nWARC-Type: " + e["type"].encode())
+    rows = warc.read(archives, with_payload=True).collect()
+    assert bag((r["page_id"], r["record_type"], r["refers_to"]) for r in rows) == bag(
+        [(1, "response", None), (1, "revisit", 1), (None, "revisit", 1), (2, "response", None), (3, "response", None)])
+    assert {r["payload"] for r in rows if r["record_type"] == "response"} == {"aa", "", "é\r\n\r\nx" * 50}
+    capped = warc.read(warc.normalise(warc.decide(records, min_bytes=3))).collect()
+    assert all(r["record_type"] == "response" for r in capped)
+
+
+def test_wavelet_shards(spark, odd, library):
+    got, rows = run(spark, odd, "op10_wavelet_shards")
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    want, start = [], 0
+    for r in order:
+        ids = library.encode(r[1] or "", add_special_tokens=False).ids + [2]
+        want.append((r[0], start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert bag((g["doc_id"], g["start"], g["n_tokens"], g["ids_crc32"]) for g in got) == bag(want)
+
+
+def test_wavelet_matrix_access_count_occurrences():
+    from kardex.llm.wavelet import WaveletMatrix, dump, load
+
+    rng = np.random.default_rng(1)
+    for n, top in ((0, 4), (1, 2), (64, 3), (5000, 300), (777, 60_000)):
+        v = rng.integers(0, top, n)
+        bits = max(1, (top - 1).bit_length())
+        m, keys, lens = load(dump(v, [7, None], [n, 0], bits))
+        assert (m.values() == v).all() and keys == [7, None] and lens == [n, 0]
+        if n:
+            assert (m.access(np.arange(n)) == v).all()
+        for x in set(v[:20].tolist()) | {top - 1}:
+            assert (m.occurrences(x) == np.flatnonzero(v == x)).all()
+            assert m.count(x, n // 4, n) == (v[n // 4:] == x).sum()
+
+
+def test_shards_roll_over(spark, library, vocab):
+    from kardex.llm import wavelet
+
+    df = spark.createDataFrame([(i, "some words here " * (i % 7)) for i in range(50)], "doc_id long, text string")
+    manifest = wavelet.write_shards(df, vocab, shard_tokens=40)
+    assert manifest.count() > 10 and all(r["n_tokens"] <= 40 or r["n_docs"] == 1 for r in manifest.collect())
+    got = sorted((r["doc_id"], r["start"], r["n_tokens"]) for r in wavelet.documents_of(manifest).collect())
+    starts = np.cumsum([0] + [n for _, _, n in got])[:-1].tolist()
+    assert [s for _, s, _ in got] == starts and [k for k, _, _ in got] == list(range(50))
