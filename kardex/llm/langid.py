@@ -64,7 +64,7 @@ def grams_of(word: str) -> list[str]:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", train_per_lang: int = 4000,
-        max_grams: int = 200_000, prior: float = 200.0, script_share: float = 0.01) -> dict:
+        max_grams: int = 60_000, prior: float = 200.0, script_share: float = 0.01) -> dict:
     """Learn the per-word model from labelled rows (null text or label: left out).
 
     Returns languages in code point order, the scripts each one uses (at least ``script_share`` of
