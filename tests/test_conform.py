@@ -38,14 +38,14 @@ def test_fx_day_rate_identity_and_fallback(spark):
     assert got == {"o1": 180.0, "o2": 10.0, "o3": 175.0}
 
 
-def test_fx_missing_currency_raises_on_request(spark):
+def test_fx_missing_currency_raises_by_default(spark):
     import pytest
     orders = spark.createDataFrame([("o1", ts("2025-04-02 13:00"), dec(10), "GBP")],
                                    "order_id string, fecha timestamp_ntz, amount decimal(18,4), currency string")
     rates = spark.createDataFrame([(d("2025-04-01"), "USD", dec("17.5"))], "fecha date, currency string, rate_to_mxn decimal(12,6)")
-    assert convert_currency(orders, rates).first()["monto_mxn"] is None
+    assert convert_currency(orders, rates, on_missing="null").first()["monto_mxn"] is None
     with pytest.raises(Exception, match="no exchange rate"):
-        convert_currency(orders, rates, on_missing="raise").collect()
+        convert_currency(orders, rates).collect()
 
 
 def test_store_dimension_has_virtual_store(spark):
