@@ -90,13 +90,14 @@ def test_partitioned_write_spreads_a_hot_value(spark, tmp_path):
 
     from kardex.sinks.tables import write_table
 
-    df = spark.range(4000).select(F.lit("2025-01").alias("mes"), F.col("id"))
+    # several map tasks, one hot value, and an advisory size far below the value's bytes
+    df = spark.range(0, 400_000, 1, 8).select(F.lit("2025-01").alias("mes"), F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
     out = tmp_path / "hot"
-    # AQE would merge these tiny shuffle partitions; at scale each stays above the advisory size
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
     try:
-        assert write_table(df, str(out), partition_by=["mes"]) == 4000
+        assert write_table(df, str(out), partition_by=["mes"]) == 400_000
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
     files = [p for p in (out / "mes=2025-01").iterdir() if p.name.endswith(".parquet")]
-    assert len(files) > 1 and spark.read.parquet(str(out)).count() == 4000
+    assert len(files) > 1 and spark.read.parquet(str(out)).count() == 400_000
