@@ -26,7 +26,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -114,7 +114,7 @@ class ChunkCache:
         cut = list(map(self.cut, new))
         place = Numbered()
         per_chunk = np.fromiter(map(len, cut), np.int64, len(cut))
-        order = np.fromiter((place[w] for c in cut for w in c), np.int64, int(per_chunk.sum()))
+        order = np.fromiter(map(place.__getitem__, chain.from_iterable(cut)), np.int64, int(per_chunk.sum()))
         ids, lens = self.encode_pieces(list(place))
         begin = np.cumsum(lens) - lens
         ends = np.r_[0, np.cumsum(lens[order])][np.cumsum(per_chunk)]

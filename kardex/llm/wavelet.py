@@ -26,6 +26,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from unicodedata import is_normalized
 
 import numpy as np
@@ -189,7 +190,7 @@ class Encoder(ChunkCache):
     def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
         lens = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter((i for x in got for i in x), np.int32, int(lens.sum())), lens
+        return np.fromiter(chain.from_iterable(got), np.int32, int(lens.sum())), lens
 
 
 _ENCODERS: dict[str, Encoder] = {}
