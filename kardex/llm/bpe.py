@@ -53,6 +53,10 @@ NEWER = regex.compile("[" + "".join(
     "2CEA2-2CEAD 323B0-33479 3D000-3FC3F "
     ).split()) + "]")
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
+# Small letters of capitals that the library's tables have and Python's (Unicode 15.1) lack.
+SMALL = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
+         **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}}
+CAPITALS = regex.compile("[" + "".join(map(chr, SMALL)) + "]")
 
 
 def byte_alphabet() -> list[str]:
@@ -255,6 +259,8 @@ class Codec(ChunkCache):
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         text = text.replace("Σ", "σ").lower()  # code point by code point: no final sigma
+        if not text.isascii() and CAPITALS.search(text):
+            text = text.translate(SMALL)
         if any(s in text for s in SEPARATORS):
             return [c for c in self.space.split(text) if c]
         return text.split()

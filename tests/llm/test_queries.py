@@ -254,7 +254,7 @@ def test_bpe_codec_matches_the_library(vocab, library, monkeypatch):
     from kardex.llm import bpe
 
     rng = random.Random(4)
-    texts = ["", "a" * 500, "İstanbul ΣΑΣ's they'll <|startoftext|>x<|endoftext|>", "a\x1cb \x1d²½Ⅷ", "K Å ﬁ ẞ", "\x00\x7f\x85\xad"]
+    texts = ["", "a" * 500, "İstanbul ΣΑΣ's they'll <|startoftext|>x<|endoftext|>", "a\x1cb \x1d²½Ⅷ", "K Å ﬁ ẞ", "a\u1c89 \ua7cb\ua7dcb \U00010d50x\U00010d65 \U00016ea0\U00016eb8", "\x00\x7f\x85\xad"]
     texts += ["".join(rng.choice("abeinthé'’s ßΣσ ١٢́‍<|>\t\x0b\x1c0一亜") for _ in range(60)) for _ in range(800)]
     codec = bpe.Codec(vocab)
     monkeypatch.setattr(bpe, "CACHE_CHUNKS", 300)  # the cache shrinks again and again
