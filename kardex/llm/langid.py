@@ -6,8 +6,9 @@ documents); Viterbi decoding over the words with a penalty for every change of l
 spans. The document's language is the one with the most letters.
 
 Training is a Spark aggregation over labelled rows. ``train_per_lang`` bounds the rows per language
-(the row's hash decides, in the proportion the counts give) and ``max_grams`` the features that the
-driver collects and broadcasts; prediction reads the text and nothing else.
+(the row's hash decides, in the proportion the counts give). Every n-gram and letter of those rows is
+learned: the model is sparse, with an entry per n-gram and language that has it, so a language keeps
+its own n-grams however many the others have. Prediction reads the text and nothing else.
 
 Defined results: null text, empty text and text without a letter give ``und``, score 0 and no
 span. Words in a script that no learned language uses score alike for all languages. Ties go to
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kardex.llm.common import slices, text_or_empty, with_fields
@@ -57,20 +58,37 @@ def script_of(char: str) -> str:
     return "other"
 
 
-def grams_of(word: str) -> list[str]:
-    """Bigrams and trigrams of a word between its edges."""
-    w = f" {word} "
-    return [w[i:i + 2] for i in range(len(w) - 1)] + [w[i:i + 3] for i in range(len(w) - 2)]
+def codes_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bigrams and trigrams of the words between their edges: code (21 bits a code point), word and
+    size of each."""
+    padded = [f" {w} " for w in words]
+    c = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    word = np.repeat(np.arange(len(words)), np.fromiter(map(len, padded), np.int64, len(padded)))
+    two, three = word[1:] == word[:-1], word[2:] == word[:-2]
+    pairs = c[:-1] << 21 | c[1:]
+    codes = np.r_[pairs[two], (pairs[:-1] << 21 | c[2:])[three]]
+    size = np.repeat([2, 3], [int(two.sum()), int(three.sum())])
+    return codes, np.r_[word[:-1][two], word[:-2][three]], size
+
+
+def code_of(gram: str) -> int:
+    code = 0
+    for c in gram:
+        code = code << 21 | ord(c)
+    return code
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", train_per_lang: int = 4000,
-        max_grams: int = 60_000, prior: float = 200.0, script_share: float = 0.01) -> dict:
+        prior: float = 200.0, script_share: float = 0.01) -> dict:
     """Learn the per-word model from labelled rows (null text or label: left out).
 
     Returns languages in code point order, the scripts each one uses (at least ``script_share`` of
-    its letters) and the log probabilities of its n-grams. Counts are smoothed with ``prior``
-    n-grams of the distribution over all languages, and an n-gram that none has says nothing, so a
-    language with few labelled rows neither wins unknown words nor is ruled out by them."""
+    its letters) and the log probabilities of its n-grams, less what is the same for all languages:
+    ``known`` for an n-gram that the language lacks and more by ``logs`` for one that it has (row i
+    has entries ``starts[i]`` to ``starts[i + 1]`` for the languages in ``at``). Counts are smoothed
+    with ``prior`` n-grams of the distribution over all languages, and an n-gram that none has says
+    nothing, so a language with few labelled rows neither wins unknown words nor is ruled out by
+    them."""
     rows = labelled.select(F.col(text).alias("t"), F.col(lang).alias("l")).where(F.col("t").isNotNull() & F.col("l").isNotNull())
     sizes = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGS).collect()
     share = F.coalesce(*(F.when(F.col("l") == r["l"], train_per_lang / r["count"]) for r in sizes), F.lit(0.0))
@@ -79,36 +97,41 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", train_per_l
              .select("l", F.explode(F.split(F.lower("t"), r"[^\p{L}]+")).alias("w")).where("w <> ''")
              .groupBy("l", "w").count())
     padded = F.concat(F.lit(" "), F.col("w"), F.lit(" "))
-    pieces = [F.transform(F.sequence(F.lit(1), F.length("w") + (3 - n)), lambda i, n=n: F.substr(padded, i, F.lit(n))) for n in (2, 3)]
+
+    def pieces(n: int) -> Column:  # the lambda has one argument: a second one would be the position
+        return F.transform(F.sequence(F.lit(1), F.length("w") + (3 - n)), lambda i: F.substr(padded, i, F.lit(n)))
+
     chars = F.transform(F.split("w", ""), lambda c: F.concat(F.lit("="), c))
-    counts = (words.select("l", "count", F.explode(F.concat(*pieces, chars)).alias("g"))
+    counts = (words.select("l", "count", F.explode(F.concat(pieces(2), pieces(3), chars)).alias("g"))
               .groupBy("g", "l").agg(F.sum("count").alias("n")))
-    total = counts.groupBy("g").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("l", "n"))).alias("by"))
-    top = total.orderBy(F.desc("n"), "g").limit(max_grams).select("g", "by").collect()
-    langs = sorted({x for r in top for x in r["by"]})
-    at = {x: i for i, x in enumerate(langs)}
+    got = counts.toArrow()
+    names = got["l"].to_pylist()
+    langs = sorted(set(names))
+    of = {x: i for i, x in enumerate(langs)}
+    lang_at = np.fromiter(map(of.__getitem__, names), np.int32, len(names))
+    n = got["n"].to_numpy().astype(np.float64)
+    text_of = got["g"].to_pylist()
+    is_letter = np.fromiter((len(g) == 2 and g[0] == "=" for g in text_of), bool, len(text_of))
     letters: dict[str, np.ndarray] = {}
-    grams = [r for r in top if len(r["g"]) != 2 or r["g"][0] != "="]
-    table = np.zeros((len(grams), len(langs)))
-    for i, r in enumerate(grams):
-        for x, n in r["by"].items():
-            table[i, at[x]] = n
-    for r in top:
-        if len(r["g"]) == 2 and r["g"][0] == "=":
-            v = letters.setdefault(script_of(r["g"][1]), np.zeros(len(langs)))
-            for x, n in r["by"].items():
-                v[at[x]] += n
-    size = np.array([len(r["g"]) for r in grams])
-    logs = np.zeros_like(table)
-    missing = {n: np.zeros(len(langs)) for n in (2, 3)}
-    for n in (2, 3):
-        pick = size == n
-        seen = table[pick]
-        everywhere = seen.sum(1, keepdims=True) / max(seen.sum(), 1)
-        logs[pick] = np.log((seen + prior * everywhere) / (seen.sum(0) + prior))
+    for i in np.flatnonzero(is_letter):
+        letters.setdefault(script_of(text_of[i][1]), np.zeros(len(langs)))[lang_at[i]] += n[i]
+    rest = np.flatnonzero(~is_letter)
+    size = np.fromiter((len(text_of[i]) for i in rest), np.int8, len(rest))
+    codes = np.fromiter((code_of(text_of[i]) for i in rest), np.int64, len(rest))
+    order = np.lexsort((lang_at[rest], codes))
+    size, codes, lang_at, n = size[order], codes[order], lang_at[rest][order], n[rest][order]
+    grams, first, row = np.unique(codes, return_index=True, return_inverse=True)
+    everywhere = np.bincount(row, n, len(grams)).astype(np.float64)
+    known, missing = {}, {k: np.zeros(len(langs)) for k in (2, 3)}
+    for k in (2, 3):
+        pick = size == k
+        everywhere[size[first] == k] /= max(n[pick].sum(), 1)
+        known[k] = -np.log(np.bincount(lang_at[pick], n[pick], len(langs)) + prior)
+    logs = np.log1p(n / (prior * everywhere[row]))
     all_letters = sum(letters.values()) if letters else np.zeros(len(langs))
     uses = {s: (v / np.maximum(all_letters, 1)) >= script_share for s, v in letters.items()}
-    return {"langs": langs, "grams": [r["g"] for r in grams], "logs": logs.astype(np.float32), "missing": missing, "uses": uses}
+    return {"langs": langs, "grams": grams, "starts": np.r_[first, len(codes)], "at": lang_at, "logs": logs.astype(np.float32),
+            "known": known, "missing": missing, "uses": uses}
 
 
 class Labeller:
@@ -116,9 +139,18 @@ class Labeller:
 
     def __init__(self, model: dict, switch: float, floor: float):
         self.langs, self.switch, self.floor = model["langs"], switch, floor
-        self.logs = np.vstack([model["logs"], model["missing"][2], model["missing"][3]]) if self.langs else None
-        self.gram = {g: i for i, g in enumerate(model["grams"])}
-        self.unknown = {2: len(self.gram), 3: len(self.gram) + 1}
+        grams, logs, n = np.asarray(model["grams"]), model["logs"], len(self.langs)
+        starts, at = model.get("starts"), model.get("at")
+        if logs.ndim == 2:  # a row of n-gram texts and languages: every entry is there
+            codes = np.fromiter(map(code_of, grams), np.int64, len(grams))
+            order = np.argsort(codes)
+            grams, logs = codes[order], logs[order].ravel()
+            starts, at = np.arange(len(grams) + 1) * n, np.tile(np.arange(n), len(grams))
+        self.grams, self.logs, self.starts, self.at = grams, logs, starts, at
+        zero = np.zeros(n)
+        known = model.get("known", {})
+        # What an n-gram says by itself: of size 2 or 3, without a row or with one.
+        self.plain = np.vstack([model["missing"][2], known.get(2, zero), model["missing"][3], known.get(3, zero)])
         self.uses = model["uses"]
         self.clear()
 
@@ -129,11 +161,18 @@ class Labeller:
 
     def _learn(self, new: list[str]) -> None:
         """Log posteriors of new words: n-gram evidence over the script's candidates, floored."""
-        cut = [grams_of(w) for w in new]
-        lens = np.fromiter(map(len, cut), np.int64, len(cut))
-        unknown, get = self.unknown, self.gram.get
-        ids = np.fromiter((get(g, unknown[len(g)]) for c in cut for g in c), np.int64, int(lens.sum()))
-        s = np.add.reduceat(self.logs[ids], np.cumsum(lens) - lens, axis=0) / 2  # each letter counts in two orders
+        codes, word, size = codes_of(new)
+        k = len(self.langs)
+        ids = np.searchsorted(self.grams, codes)
+        hit = np.zeros(len(codes), bool)
+        inside = ids < len(self.grams)
+        hit[inside] = self.grams[ids[inside]] == codes[inside]
+        s = np.bincount(word * 4 + (size - 2) * 2 + hit, minlength=4 * len(new)).reshape(-1, 4) @ self.plain
+        # All entries of the rows met: (word, language) cells and their sums.
+        first, lens = self.starts[ids[hit]], np.diff(self.starts)[ids[hit]]
+        entry = np.repeat(first - (np.cumsum(lens) - lens), lens) + np.arange(int(lens.sum()))
+        s += np.bincount(np.repeat(word[hit], lens) * k + self.at[entry], self.logs[entry], len(new) * k).reshape(-1, k)
+        s /= 2  # each letter counts in two orders
         for script in {script_of(w[0]) for w in new}:
             ok = self.uses.get(script)
             if ok is None or not ok.any():

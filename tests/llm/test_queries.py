@@ -50,6 +50,23 @@ def test_language_id(spark, odd):
     assert seen and right / seen > 0.95
 
 
+def test_rare_language_keeps_its_grams(spark):
+    """More n-grams of a frequent language than 60,000, each met more often than the rare one's."""
+    from kardex.llm import langid
+
+    rng = np.random.default_rng(8)
+    chars = lambda lo, hi, n: "".join(map(chr, rng.integers(lo, hi, n)))
+    many = [" ".join([chars(0x4E00, 0x9000, 3) for _ in range(600)] * 2) for _ in range(40)]
+    rare = "γάτα σκύλος θάλασσα ουρανός βουνό".split()
+    model = langid.fit(spark.createDataFrame([(t, "aa") for t in many] + [(" ".join(rare), "rr")], "text string, lang string"))
+    assert model["langs"] == ["aa", "rr"] and len(model["grams"]) > 60_000
+    grams = {f" {w} "[i:i + n] for t in many for w in [*t.split(), *rare] for n in (2, 3) for i in range(len(w) + 3 - n)}
+    assert model["grams"].tolist() == sorted(map(langid.code_of, grams))
+    docs = spark.createDataFrame([(0, "θάλασσα γάτα βουνό"), (1, many[0][:200]), (2, many[0][:200] + " " + " ".join(rare * 20))], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in langid.predict(docs, model).collect()}
+    assert [got[i]["lang_pred"] for i in range(3)] == ["rr", "aa", "rr"] and [s["lang"] for s in got[2]["spans"]] == ["aa", "rr"]
+
+
 def test_mixed_language_spans():
     from kardex.llm.langid import Labeller, viterbi
 
