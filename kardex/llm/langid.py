@@ -5,8 +5,9 @@ gets a per-word score (log posterior of character n-grams under naive Bayes, lea
 documents); Viterbi decoding over the words with a penalty for every change of language labels
 spans. The document's language is the one with the most letters.
 
-Training is a Spark aggregation over labelled rows. ``train_per_lang`` bounds the rows per language
-(the row's hash decides, in the proportion the counts give). Every n-gram and letter of those rows is
+Training is a Spark aggregation over labelled rows. Copies of a text count as one, and of a
+language's different texts about ``train_per_lang`` are read (the text's hash decides, in the
+proportion the counts give). Every n-gram and letter of those rows is
 learned: the model is sparse, with an entry per n-gram and language that has it, so a language keeps
 its own n-grams however many the others have. Prediction reads the text and nothing else.
 
@@ -31,6 +32,8 @@ from kardex.llm.common import slices, text_or_empty, with_fields
 UND = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 CACHE_WORDS = 500_000
+# Words scored together and bytes of text decoded together: bounds of a task's memory.
+LEARN_WORDS, SLICE_BYTES = 10_000, 4 << 20
 # Bound of the languages learned (the most frequent ones), so of what the driver holds of them.
 MAX_LANGS = 500
 
@@ -89,11 +92,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", train_per_l
     with ``prior`` n-grams of the distribution over all languages, and an n-gram that none has says
     nothing, so a language with few labelled rows neither wins unknown words nor is ruled out by
     them."""
-    rows = labelled.select(F.col(text).alias("t"), F.col(lang).alias("l")).where(F.col("t").isNotNull() & F.col("l").isNotNull())
-    sizes = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGS).collect()
+    rows = labelled.select(F.col(text).alias("t"), F.col(lang).alias("l"), F.xxhash64(F.col(text)).alias("h"))
+    rows = rows.where(F.col("t").isNotNull() & F.col("l").isNotNull())
+    sizes = rows.select("l", "h").distinct().groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGS).collect()
     share = F.coalesce(*(F.when(F.col("l") == r["l"], train_per_lang / r["count"]) for r in sizes), F.lit(0.0))
-    unit = F.pmod(F.xxhash64("t"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    words = (rows.where(unit < share)
+    unit = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    words = (rows.where(unit < share).dropDuplicates(["l", "h"])
              .select("l", F.explode(F.split(F.lower("t"), r"[^\p{L}]+")).alias("w")).where("w <> ''")
              .groupBy("l", "w").count())
     padded = F.concat(F.lit(" "), F.col("w"), F.lit(" "))
@@ -183,8 +187,12 @@ class Labeller:
         s -= np.log(np.exp(s).sum(1, keepdims=True))
         base = len(self.word)
         self.word.update((w, base + i) for i, w in enumerate(new))
-        self.score = np.vstack([self.score, np.maximum(s, self.floor).astype(np.float32)])
-        self.size = np.r_[self.size, np.fromiter(map(len, new), np.int64, len(new))]
+        if base + len(new) > len(self.score):  # room doubles, so growth costs the same per word
+            room = max(base + len(new), 2 * len(self.score))
+            self.score = np.vstack([self.score, np.empty((room - len(self.score), len(self.langs)), np.float32)])
+            self.size = np.r_[self.size, np.empty(room - len(self.size), np.int64)]
+        self.score[base:base + len(new)] = np.maximum(s, self.floor)
+        self.size[base:base + len(new)] = np.fromiter(map(len, new), np.int64, len(new))
 
     def decode(self, texts: list[str]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
         """(language, score, spans) of each text; spans are (start, end, language) in code points."""
@@ -192,8 +200,8 @@ class Labeller:
         if len(self.word) > CACHE_WORDS:
             self.clear()
         new = list(dict.fromkeys(w for f in found for w in f if w not in self.word))
-        if new:
-            self._learn(new)
+        for i in range(0, len(new), LEARN_WORDS):
+            self._learn(new[i:i + LEARN_WORDS])
         ids = [np.fromiter(map(self.word.__getitem__, f), np.int64, len(f)) for f in found]
         labels = viterbi([self.score[i] for i in ids], self.switch)
         out = []
@@ -273,7 +281,7 @@ def predict(docs: DataFrame, model: dict, text: str = "text", keep: tuple[str, .
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(shared.value, switch, floor)
-        for b in slices(batches, "_text"):
+        for b in slices(batches, "_text", SLICE_BYTES):
             got = labeller.decode(b.column("_text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(i) for i in range(len(keep))), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()),

@@ -67,6 +67,22 @@ def test_rare_language_keeps_its_grams(spark):
     assert [got[i]["lang_pred"] for i in range(3)] == ["rr", "aa", "rr"] and [s["lang"] for s in got[2]["spans"]] == ["aa", "rr"]
 
 
+def test_copies_do_not_train(spark):
+    """Copies neither change the share of rows that train nor weigh in the counts."""
+    import random
+
+    from conftest import syllables
+    from kardex.llm import langid
+
+    rng = random.Random(6)
+    texts = [(syllables(rng, 8), x) for x in "ab" for _ in range(60)]
+    fit = lambda rows, n: langid.fit(spark.createDataFrame(rows, "text string, lang string"), train_per_lang=n)
+    for n in (30, 1000):
+        plain, copied = fit(texts, n), fit(texts + [texts[0]] * 300 + [texts[-1]] * 40, n)
+        assert plain["langs"] == copied["langs"] == ["a", "b"]
+        assert all(np.array_equal(plain[k], copied[k]) for k in ("grams", "starts", "at", "logs")) and len(plain["grams"])
+
+
 def test_mixed_language_spans():
     from kardex.llm.langid import Labeller, viterbi
 
