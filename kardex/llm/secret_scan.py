@@ -4,14 +4,18 @@ Parts of a text, each with its span in code points:
 
 * strong (the base kinds): ``assign`` (a secret's name, a separator, a value of 12 characters or
   more), ``access`` (AKIA identifiers of 18 or more), ``hex`` (runs of 16 or more);
-* weak candidates: ``weak`` (an assignment whose value has 6 to 11 characters), ``login`` (an
-  assigned user, login, account or client identifier), ``endpoint`` (a URL).
+* weak candidates: ``weak`` (any non-empty value assigned to one of the names above or to another
+  name of a secret, such as secret_access_key, access_key, pwd or pass, where no ``assign`` covers it
+  to its end and the value is no AKIA identifier), ``token`` (a free-standing run of 32 or more
+  base64 characters with both cases and digits, outside URLs), ``login`` (an assigned user, login,
+  account or client identifier), ``endpoint`` (a URL).
 
 A weak candidate alone is prose. It is reported only if a part that completes it lies in its scope,
 ``SCOPE`` code points to either side: a weak secret needs an identity (access, login) or an
-endpoint, a login or an endpoint needs a secret (assign, hex, weak). The scopes are intervals, and
-the linking is an interval join: parts are keyed by document and by the bins of ``SCOPE`` code
-points that they touch, so a bin holds a bounded number of parts however long the text.
+endpoint outside its own span, a login or an endpoint needs a secret (assign, hex, weak, token). The
+scopes are intervals, and the linking is an interval join: parts are keyed by document and by the
+bins of ``SCOPE`` code points that they touch, so a bin holds a bounded number of parts however long
+the text.
 
 Positions come from two built-ins that cut a text at the same matches: the pieces between matches
 and the matches themselves; a running sum of their lengths per document and kind gives starts.
@@ -38,8 +42,18 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}"
 LOGIN = r"""(?i)\b(?:user(?:_?name)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}"""
 ENDPOINT = r"""(?i)\bhttps?://[^\s"'<>]+"""
-KINDS = ["assign", "access", "hex", "weak", "login", "endpoint"]
-SECRETS, IDENTITIES = ["assign", "hex", "weak"], ["access", "login"]
+# Names of secrets (those of ASSIGN too) and any value; what a match must not be to count as weak.
+NAMES = (r"(?:passw(?:or)?d|passphrase|passcode|secret|token|(?<![A-Za-z])(?:db|my|root|user|admin)?_?(?:pass|pwd)|credentials?|"
+         r"(?:secret|access|private|account|shared|storage|master|auth|signing|encryption|service|api|consumer|client)[_-]?(?:access[_-]?|secret[_-]?)?key)")
+WEAK = rf"""(?i){NAMES}["']?[\x20\t]*(?:=>|:=|[:=])[\x20\t]*["']?[^\s"'`,;&<>()\[\]{{}}|]+"""
+NOT_WEAK = r"""(?i:(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12,}$)|[:=>][\x20\t]*["']?AKIA[A-Z0-9]{14,}$"""
+# A URL is taken whole first, so that no path counts as a token; group 1 is the token. Runs joined by
+# - or _ need digits between letters, which words and dates do not have.
+TOKEN = (r"""(?i:https?)://[^\s"'<>]+|("""
+         r"(?<![A-Za-z0-9+/])(?=[A-Z0-9+/]*+[a-z])(?=[a-z0-9+/]*+[A-Z])(?=[A-Za-z/]*+[0-9+])[A-Za-z0-9+/]{32,}+={0,2}|"
+         r"(?<![A-Za-z0-9_-])(?=[A-Z0-9_-]*+[a-z])(?=[a-z0-9_-]*+[A-Z])(?=[A-Za-z0-9_-]*?[A-Za-z][0-9]++[A-Za-z])[A-Za-z0-9_-]{32,}+={0,2})")
+KINDS = ["assign", "access", "hex", "weak", "token", "login", "endpoint"]
+SECRETS, IDENTITIES = ["assign", "hex", "weak", "token"], ["access", "login"]
 
 
 def parts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -50,18 +64,22 @@ def parts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         "assign": t.rlike(r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]"""),
         "access": F.contains(t, F.lit("AKIA")),
         "hex": t.rlike("[0-9a-f]{16}"),
+        "weak": t.rlike(r"""(?i)(?:passw(?:or)?d|passphrase|passcode|secret|token|key|pass|pwd|credentials?)["']?[\x20\t]*[:=]"""),
+        "token": t.rlike("[A-Za-z0-9+/_-]{32}"),
         "login": t.rlike(r"""(?i)\b(?:user|login|account|client)[a-z_]*["']?\x20*[:=]"""),
         "endpoint": F.contains(t, F.lit("://")),
     }
-    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "login": LOGIN, "endpoint": ENDPOINT}
+    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "weak": WEAK, "token": TOKEN, "login": LOGIN, "endpoint": ENDPOINT}
 
-    def lengths(pattern: str, value_group: int) -> Column:
+    def lengths(kind: str) -> Column:
+        pattern, value_group = patterns[kind], {"assign": 2, "token": 1}.get(kind, 0)
         between = F.transform(F.split(t, pattern, -1), lambda x: F.length(x))
         whole = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda x: F.length(x))
-        value = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(value_group)), lambda x: F.length(x)) if value_group else whole
+        measure = (lambda x: F.when(~x.rlike(NOT_WEAK), F.length(x)).otherwise(0)) if kind == "weak" else (lambda x: F.length(x))
+        value = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(value_group)), measure)
         return F.arrays_zip(between.alias("gap"), whole.alias("len"), value.alias("value"))
 
-    found = [F.when(guards[k], lengths(patterns[k], 2 if k == "assign" else 0)).alias(k) for k in patterns]
+    found = [F.when(guards[k], lengths(k)).alias(k) for k in patterns]
     return stage(docs.select(F.col(key).alias("doc_id"), text_hash(text).alias("text_hash"), *found), "parts")
 
 
@@ -71,7 +89,7 @@ def text_hash(text: str = "text") -> Column:
 
 def spans(found: DataFrame) -> DataFrame:
     """A row per part: id, text hash, kind, start, end."""
-    patterns = ["assign", "access", "hex", "login", "endpoint"]
+    patterns = ["assign", "access", "hex", "weak", "token", "login", "endpoint"]
     # Patterns of a kind as one array column, then one explode; equal rows count once.
     rows = found.where(F.coalesce(*patterns).isNotNull()).dropDuplicates(["doc_id", "text_hash"])
     kinds = F.array(*(F.struct(F.lit(p).alias("pattern"), F.col(p).alias("hits")) for p in patterns))
@@ -80,8 +98,8 @@ def spans(found: DataFrame) -> DataFrame:
     run = Window.partitionBy("doc_id", "text_hash", "pattern").orderBy("nth")
     end = F.sum(F.col("hit.gap") + F.col("hit.len")).over(run)
     rows = rows.select("doc_id", "text_hash", "pattern", F.col("hit.len").alias("len"), F.col("hit.value").alias("value"), end.alias("end"))
-    kind = (F.when(F.col("pattern") != "assign", F.when((F.col("pattern") != "access") | (F.col("len") >= 18), F.col("pattern")))
-            .when(F.col("value") >= 12, "assign").when(F.col("value") >= 6, "weak"))
+    least = F.when(F.col("pattern") == "assign", 12).when(F.col("pattern") == "access", 18).otherwise(1)
+    kind = F.when(F.col("value") >= least, F.col("pattern"))
     return rows.select("doc_id", "text_hash", kind.alias("kind"), (F.col("end") - F.col("len")).alias("start"), "end").where("kind is not null")
 
 
@@ -89,10 +107,13 @@ def link(all_spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     """The weak candidates that a complementary part completes: an interval join on bins."""
     s = all_spans.withColumn("role", F.when(F.col("kind").isin(SECRETS), "secret").when(F.col("kind").isin(IDENTITIES), "identity").otherwise("endpoint"))
     bins = lambda lo, hi: F.explode(F.sequence(F.floor(lo / scope), F.floor(hi / scope)))
-    weak = s.where(F.col("kind").isin("weak", "login", "endpoint")).withColumn("bin", bins(F.greatest(F.col("start") - scope, F.lit(0)), F.col("end") + scope))
+    weak = s.where(F.col("kind").isin("weak", "token", "login", "endpoint")).withColumn("bin", bins(F.greatest(F.col("start") - scope, F.lit(0)), F.col("end") + scope))
     needs = s.select(F.col("doc_id").alias("o_id"), F.col("text_hash").alias("o_hash"), F.col("start").alias("o_start"), F.col("end").alias("o_end"),
                      F.col("role").alias("o_role"), bins(F.col("start"), F.col("end")).alias("o_bin"))
-    completes = F.when(F.col("role") == "secret", F.col("o_role") != "secret").otherwise(F.col("o_role") == "secret")
+    inside = (F.col("o_start") >= F.col("start")) & (F.col("o_end") <= F.col("end"))
+    around = (F.col("o_start") <= F.col("start")) & (F.col("o_end") >= F.col("end"))
+    completes = (F.when(F.col("role") == "secret", (F.col("o_role") != "secret") & ~inside)
+                 .otherwise((F.col("o_role") == "secret") & ~around))
     near = (F.col("o_start") <= F.col("end") + scope) & (F.col("o_end") >= F.col("start") - scope)
     same = F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("text_hash") == F.col("o_hash")) & (F.col("bin") == F.col("o_bin"))
     return weak.join(needs, same & near & completes, "left_semi").select("doc_id", "text_hash", "kind", "start", "end").distinct()
