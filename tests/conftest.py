@@ -1,7 +1,5 @@
-import datetime as dt
 import os
 import sys
-from decimal import Decimal
 
 import pytest
 
@@ -16,15 +14,3 @@ def spark():
                       extra={"spark.driver.memory": "4g"})
     yield s
     s.stop()
-
-
-def ts(s: str) -> dt.datetime:
-    return dt.datetime.fromisoformat(s)
-
-
-def d(s: str) -> dt.date:
-    return dt.date.fromisoformat(s)
-
-
-def dec(x) -> Decimal:
-    return Decimal(str(x))

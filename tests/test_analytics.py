@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import d, dec, ts
+from retail_helpers import d, dec, ts
 from pyspark.sql import functions as F
 
 from kardex.operators.islands import lost_sales, stockout_runs

@@ -1,4 +1,4 @@
-from conftest import d, dec, ts
+from retail_helpers import d, dec, ts
 
 from kardex.operators.conform import (build_dim_tiendas, build_fact_inventario, clean_snapshots, convert_currency,
                                       transform_sales)

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import d, dec, ts
+from retail_helpers import d, dec, ts
 
 from kardex.operators.asof import asof_join, asof_locf, build_fact_ventas_con_costo, choose_bucket, choose_strategy
 from kardex.operators.identity import build_dim_producto, latest_attributes

@@ -4,7 +4,7 @@ import json
 import random
 
 import pytest
-from conftest import ts
+from retail_helpers import ts
 
 from kardex.operators.asof import asof_join, asof_locf
 
