@@ -95,6 +95,12 @@ def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.documents_of(wavelet.write_shards(table(spark, sf_dir, "documents"), vocabulary()))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kardex.llm import ranked_search
+
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
@@ -106,6 +112,13 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_warc": op9_warc,
     "op10_wavelet_shards": op10_wavelet_shards,
+    "op11_ranked_search": op11_ranked_search,
 }
 
-ORACLE: dict[str, str] = {}
+def oracle() -> dict[str, str]:
+    from kardex.llm import ranked_search
+
+    return {"op11_ranked_search": ranked_search.ORACLE_SQL}
+
+
+ORACLE: dict[str, str] = oracle()

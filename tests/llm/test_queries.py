@@ -71,7 +71,7 @@ def test_copies_do_not_train(spark):
     """Copies neither change the share of rows that train nor weigh in the counts."""
     import random
 
-    from conftest import syllables
+    from llm_helpers import syllables
     from kardex.llm import langid
 
     rng = random.Random(6)
@@ -157,7 +157,7 @@ def test_fingerprints(spark, odd):
 def test_order_min_hash_follows_edits():
     import random
 
-    from conftest import syllables  # noqa: F401
+    from llm_helpers import syllables  # noqa: F401
     from kardex.llm.fingerprints import likeness, sketch
 
     rng = random.Random(2)
