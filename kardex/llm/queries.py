@@ -101,6 +101,13 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kardex.llm import spelling_variants as sv
+    from kardex.llm.common import stage
+
+    return sv.variants(stage(sv.words_of(table(spark, sf_dir, "documents")), "words"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
@@ -113,6 +120,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_wavelet_shards": op10_wavelet_shards,
     "op11_ranked_search": op11_ranked_search,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 def oracle() -> dict[str, str]:
