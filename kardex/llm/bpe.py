@@ -142,8 +142,9 @@ class ChunkCache:
         if len(self.chunk) > known:
             self._learn(list(islice(self.chunk, known, None)))
         self.uses = np.concatenate([self.uses, np.zeros(len(self.chunk) - len(self.uses), np.int64)])
-        for p in (p for row in rows for p in row if not isinstance(p, int)):
-            np.add.at(self.uses, p, 1)
+        met = [p for row in rows for p in row if not isinstance(p, int)]
+        if met:
+            self.uses += np.bincount(np.concatenate(met), minlength=len(self.uses))
         out = []
         for row in rows:
             got = [np.array([p], np.int32) if isinstance(p, int) else gather(self.ids, self.at[p], self.at[p + 1] - self.at[p]) for p in row]

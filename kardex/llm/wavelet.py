@@ -22,19 +22,20 @@ id are ordered by text, null ids first; repeated rows are written repeatedly. No
 from __future__ import annotations
 
 import json
+import os
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from itertools import chain
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from kardex.llm import files
 from kardex.llm.bpe import SEPARATORS, SPACE, ChunkCache
@@ -42,6 +43,7 @@ from kardex.llm.common import bucket_of, range_bounds, shared_path, shuffle_part
 
 MAGIC = b"WVM1"
 SHARD_TOKENS = 1 << 21
+PLAIN = regex.compile("[a-zß-öø-ÿ]+")
 
 
 class WaveletMatrix:
@@ -159,6 +161,12 @@ def load(data: bytes) -> tuple[WaveletMatrix, list, list[int]]:
     return WaveletMatrix(head["n"], planes), head["docs"], head["lengths"]
 
 
+def stays_letter(c: str) -> bool:
+    """Whether the normalised form of a code point ends in a letter or number. A few end in a mark (the
+    dotted capital I, letters that NFC takes apart), which following punctuation joins."""
+    return c.isalnum() if c.isascii() else normalize("NFC", c).lower()[-1].isalnum()
+
+
 class Encoder(ChunkCache):
     """The tokenizers library behind a cache of white-space chunks: the vocabulary drops white space
     before it splits, so a text's ids are those of its chunks in order. The library encodes each new
@@ -171,6 +179,12 @@ class Encoder(ChunkCache):
         self.bits = max(1, (self.library.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.between = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        self.space = regex.compile(f"[{SPACE}]+")
+        self.words = Tokenizer(self.library.model)
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        spec = json.loads(self.library.to_str())["model"]
+        self.final = np.zeros(1 << self.bits, bool)  # tokens that end a word
+        self.final[[i for t, i in spec["vocab"].items() if t.endswith(spec["end_of_word_suffix"])]] = True
         self.clear()
 
     def chunks(self, text: str) -> list[str]:
@@ -180,19 +194,36 @@ class Encoder(ChunkCache):
         elif text.isascii() or ("Σ" not in text and is_normalized("NFC", text) and is_normalized("NFC", low)):
             text = low
         if any(s in text for s in SEPARATORS):  # Python's split() would cut there, the vocabulary doesn't
-            return [c for c in text.translate({ord(c): " " for c in SPACE}).split(" ") if c]
+            return [c for c in self.space.split(text) if c]
         return text.split()
 
     def cut(self, chunk: str) -> list[str]:
         stem = chunk.rstrip(".,;:!?")
-        return [stem, chunk[len(stem):]] if stem and len(stem) < len(chunk) and stem[-1].isalnum() else [chunk]
+        return [stem, chunk[len(stem):]] if stem and len(stem) < len(chunk) and stays_letter(stem[-1]) else [chunk]
 
     def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
-        lens = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter(chain.from_iterable(got), np.int32, int(lens.sum())), lens
-
-
+        """Small letters of Latin-1 are one word each, which the normalizer leaves alone and whose last
+        token says that it is the last: they are encoded as one text and cut after such tokens. Other
+        pieces are encoded one by one."""
+        plain = np.fromiter((PLAIN.fullmatch(p) is not None for p in pieces), bool, len(pieces))
+        words = [p for p, x in zip(pieces, plain) if x]
+        flat = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.flatnonzero(self.final[flat]) + 1
+        if len(ends) != len(words):
+            raise ValueError("the vocabulary has no word ends")
+        rest = [e.ids for e in self.library.encode_batch_fast([p for p, x in zip(pieces, plain) if not x], add_special_tokens=False)]
+        lens = np.empty(len(pieces), np.int64)
+        lens[plain] = np.diff(ends, prepend=0)
+        lens[~plain] = np.fromiter(map(len, rest), np.int64, len(rest))
+        ids = np.empty(int(lens.sum()), np.int32)
+        of_word = np.repeat(plain, lens)
+        ids[of_word] = flat
+        ids[~of_word] = np.fromiter(chain.from_iterable(rest), np.int32, len(ids) - len(flat))
+        return ids, lens
+
+
+# A worker has one core: threads of the library would only wait for each other.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 _ENCODERS: dict[str, Encoder] = {}
 
 
