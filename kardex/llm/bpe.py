@@ -26,7 +26,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
-from itertools import chain, islice
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,9 @@ from pyspark.sql import functions as F
 from kardex.llm.common import slices, with_fields
 
 CACHE_CHUNKS = 500_000
+# The chunks used most, in a dictionary of their own that stays in the processor's cache, and how
+# often they are chosen anew.
+HOT_CHUNKS, HOT_EVERY = 16_384, 65_536
 # White space of the Unicode property, which the vocabulary's pattern drops. Python's own split()
 # also cuts at the four information separators U+001C to U+001F, which are no white space there.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -93,6 +96,19 @@ class ChunkCache:
         self.ids = np.empty(0, np.int32)
         self.at = np.zeros(1, np.int64)  # chunk i has ids[at[i]:at[i + 1]]
         self.uses = np.zeros(0, np.int64)
+        self.hot: dict[str, int] = {}
+        self.hot_at = 0
+
+    def _choose_hot(self) -> None:
+        best = set(np.argsort(-self.uses, kind="stable")[:HOT_CHUNKS].tolist())
+        self.hot = {c: i for c, i in self.chunk.items() if i in best}
+        self.hot_at = len(self.chunk)
+
+    def _numbers(self, chunks: list[str]) -> np.ndarray:
+        out = np.fromiter(map(self.hot.get, chunks, repeat(-1)), np.int64, len(chunks))
+        other = np.flatnonzero(out < 0)
+        out[other] = np.fromiter(map(self.chunk.__getitem__, map(chunks.__getitem__, other.tolist())), np.int64, len(other))
+        return out
 
     def _shrink(self) -> None:
         """Keep the half of the cache that was used most."""
@@ -103,6 +119,7 @@ class ChunkCache:
         self.ids = gather(self.ids, self.at[kept], lens)
         self.at = np.concatenate(([0], np.cumsum(lens)))
         self.uses = self.uses[kept]
+        self._choose_hot()
 
     def chunks(self, text: str) -> list[str]:
         raise NotImplementedError
@@ -129,7 +146,7 @@ class ChunkCache:
         """Ids (int32) of each text."""
         if len(self.chunk) > CACHE_CHUNKS:
             self._shrink()
-        known, rows, number = len(self.chunk), [], self.chunk.__getitem__
+        known, rows = len(self.chunk), []
         for text in texts:
             row: list[int | np.ndarray] = []
             for p in self.between.split(text) if self.special else [text]:
@@ -137,7 +154,7 @@ class ChunkCache:
                     row.append(self.special[p])
                 elif p:
                     chunks = self.chunks(p)
-                    row.append(np.fromiter(map(number, chunks), np.int64, len(chunks)))
+                    row.append(self._numbers(chunks))
             rows.append(row)
         if len(self.chunk) > known:
             self._learn(list(islice(self.chunk, known, None)))
@@ -145,6 +162,8 @@ class ChunkCache:
         met = [p for row in rows for p in row if not isinstance(p, int)]
         if met:
             self.uses += np.bincount(np.concatenate(met), minlength=len(self.uses))
+        if len(self.chunk) >= self.hot_at + HOT_EVERY:
+            self._choose_hot()
         out = []
         for row in rows:
             got = [np.array([p], np.int32) if isinstance(p, int) else gather(self.ids, self.at[p], self.at[p + 1] - self.at[p]) for p in row]

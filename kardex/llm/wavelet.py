@@ -28,14 +28,14 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from itertools import chain
-from unicodedata import is_normalized, normalize
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, pre_tokenizers
+from tokenizers import Tokenizer
 
 from kardex.llm import files
 from kardex.llm.bpe import SEPARATORS, SPACE, ChunkCache
@@ -43,7 +43,8 @@ from kardex.llm.common import bucket_of, range_bounds, shared_path, shuffle_part
 
 MAGIC = b"WVM1"
 SHARD_TOKENS = 1 << 21
-PLAIN = regex.compile("[a-zß-öø-ÿ]+")
+PLAIN = regex.compile(r"[a-zß-öø-ÿ]+([!-/:-@\[-`{-~]*)")
+CACHE_IDS = 1 << 16  # ids moved at a time, so that they stay in the processor's cache
 
 
 class WaveletMatrix:
@@ -55,12 +56,20 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, values: np.ndarray, bits: int) -> WaveletMatrix:
-        x = np.asarray(values, np.uint16 if bits <= 16 else np.uint32)
-        planes = []
+        x = np.array(values, np.uint16 if bits <= 16 else np.uint32)
+        planes, out = [], np.empty_like(x)
         for b in range(bits - 1, -1, -1):
-            bit = ((x >> x.dtype.type(b)) & x.dtype.type(1)).astype(bool)
+            bit = (x & x.dtype.type(1 << b)).astype(bool)
             planes.append(np.packbits(bit, bitorder="little"))
-            x = np.concatenate([x[~bit], x[bit]])
+            zero, one = 0, len(x) - int(np.count_nonzero(bit))
+            for at in range(0, len(x), CACHE_IDS):
+                part, mask = x[at:at + CACHE_IDS], bit[at:at + CACHE_IDS]
+                ones = np.compress(mask, part)
+                zeros = np.compress(~mask, part)
+                out[one:one + len(ones)] = ones
+                out[zero:zero + len(zeros)] = zeros
+                one, zero = one + len(ones), zero + len(zeros)
+            x, out = out, x
         return cls(len(values), planes)
 
     def _rank(self, k: int) -> tuple[np.ndarray, int]:
@@ -130,13 +139,18 @@ class WaveletMatrix:
     def values(self) -> np.ndarray:
         """The whole array: planes are undone from the last to the first."""
         x = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
+        up = np.empty_like(x)
         for b, plane in enumerate(reversed(self.planes)):
             bit = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
-            zeros = self.n - int(np.count_nonzero(bit))
-            up = np.empty_like(x)
-            up[~bit] = x[:zeros]
-            up[bit] = x[zeros:] | x.dtype.type(1 << b)
-            x = up
+            zero, one = 0, self.n - int(np.count_nonzero(bit))
+            x[one:] |= x.dtype.type(1 << b)
+            for at in range(0, self.n, CACHE_IDS):
+                mask, part = bit[at:at + CACHE_IDS], up[at:at + CACHE_IDS]
+                ones, zeros = np.flatnonzero(mask), np.flatnonzero(~mask)
+                part[ones] = x[one:one + len(ones)]
+                part[zeros] = x[zero:zero + len(zeros)]
+                one, zero = one + len(ones), zero + len(zeros)
+            x, up = up, x
         return x
 
 
@@ -161,18 +175,11 @@ def load(data: bytes) -> tuple[WaveletMatrix, list, list[int]]:
     return WaveletMatrix(head["n"], planes), head["docs"], head["lengths"]
 
 
-def stays_letter(c: str) -> bool:
-    """Whether the normalised form of a code point ends in a letter or number. A few end in a mark (the
-    dotted capital I, letters that NFC takes apart), which following punctuation joins."""
-    return c.isalnum() if c.isascii() else normalize("NFC", c).lower()[-1].isalnum()
-
-
 class Encoder(ChunkCache):
     """The tokenizers library behind a cache of white-space chunks: the vocabulary drops white space
-    before it splits, so a text's ids are those of its chunks in order. The library encodes each new
-    piece. Two things make pieces repeat: lower case, which the vocabulary's normalizer applies
-    anyway, where it commutes with NFC; and end punctuation, which its pattern cuts off a letter or
-    number, as a piece of its own."""
+    before it splits, so a text's ids are those of its chunks in order, and the library encodes each new
+    chunk. Lower case, which the vocabulary's normalizer applies anyway, makes chunks repeat; it is
+    applied first where it commutes with NFC."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
@@ -181,7 +188,7 @@ class Encoder(ChunkCache):
         self.between = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.space = regex.compile(f"[{SPACE}]+")
         self.words = Tokenizer(self.library.model)
-        self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.words.pre_tokenizer = self.library.pre_tokenizer  # without the normalizer
         spec = json.loads(self.library.to_str())["model"]
         self.final = np.zeros(1 << self.bits, bool)  # tokens that end a word
         self.final[[i for t, i in spec["vocab"].items() if t.endswith(spec["end_of_word_suffix"])]] = True
@@ -197,29 +204,28 @@ class Encoder(ChunkCache):
             return [c for c in self.space.split(text) if c]
         return text.split()
 
-    def cut(self, chunk: str) -> list[str]:
-        stem = chunk.rstrip(".,;:!?")
-        return [stem, chunk[len(stem):]] if stem and len(stem) < len(chunk) and stays_letter(stem[-1]) else [chunk]
-
-    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Small letters of Latin-1 are one word each, which the normalizer leaves alone and whose last
-        token says that it is the last: they are encoded as one text and cut after such tokens. Other
-        pieces are encoded one by one."""
-        plain = np.fromiter((PLAIN.fullmatch(p) is not None for p in pieces), bool, len(pieces))
-        words = [p for p, x in zip(pieces, plain) if x]
-        flat = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int32)
+    def _learn(self, new: list[str]) -> None:
+        """Chunks that are a word of small Latin-1 letters, perhaps with punctuation behind it, are left alone
+        by the normalizer, and the last token of a word or of punctuation says that it is the last: they
+        are encoded as one text and cut after such tokens. Other chunks are encoded one by one."""
+        found = list(map(PLAIN.fullmatch, new))
+        plain = np.fromiter((m is not None for m in found), bool, len(new))
+        parts = np.fromiter((2 if m[1] else 1 for m in found if m is not None), np.int64, int(plain.sum()))
+        flat = np.array(self.words.encode_batch_fast([" ".join(c for c, m in zip(new, found) if m is not None)], add_special_tokens=False)[0].ids, np.int32)
         ends = np.flatnonzero(self.final[flat]) + 1
-        if len(ends) != len(words):
+        if len(ends) != parts.sum():
             raise ValueError("the vocabulary has no word ends")
-        rest = [e.ids for e in self.library.encode_batch_fast([p for p, x in zip(pieces, plain) if not x], add_special_tokens=False)]
-        lens = np.empty(len(pieces), np.int64)
+        ends = ends[np.cumsum(parts) - 1]
+        rest = [e.ids for e in self.library.encode_batch_fast([p for p, m in zip(new, found) if m is None], add_special_tokens=False)]
+        lens = np.empty(len(new), np.int64)
         lens[plain] = np.diff(ends, prepend=0)
         lens[~plain] = np.fromiter(map(len, rest), np.int64, len(rest))
         ids = np.empty(int(lens.sum()), np.int32)
         of_word = np.repeat(plain, lens)
         ids[of_word] = flat
         ids[~of_word] = np.fromiter(chain.from_iterable(rest), np.int32, len(ids) - len(flat))
-        return ids, lens
+        self.ids = np.concatenate([self.ids, ids])
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(lens)])
 
 
 # A worker has one core: threads of the library would only wait for each other.
