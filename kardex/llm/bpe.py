@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from kardex.llm.common import slices, with_fields
 
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 700_000
 # The chunks used most, in a dictionary of their own that stays in the processor's cache, and how
 # often they are chosen anew.
 HOT_CHUNKS, HOT_EVERY = 16_384, 65_536

@@ -26,6 +26,7 @@ import os
 import struct
 import uuid
 import zlib
+from codecs import charmap_decode
 from collections.abc import Iterator
 from itertools import chain
 from unicodedata import is_normalized
@@ -35,15 +36,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from kardex.llm import files
-from kardex.llm.bpe import SEPARATORS, SPACE, ChunkCache
+from kardex.llm.bpe import SEPARATORS, SPACE, ChunkCache, byte_alphabet, gather
 from kardex.llm.common import bucket_of, range_bounds, shared_path, shuffle_partitions, slices, stage, text_or_empty
 
 MAGIC = b"WVM1"
 SHARD_TOKENS = 1 << 21
-PLAIN = regex.compile(r"[a-zß-öø-ÿ]+([!-/:-@\[-`{-~]*)")
+PLAIN = regex.compile(r"([a-zß-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 CACHE_IDS = 1 << 16  # ids moved at a time, so that they stay in the processor's cache
 
 
@@ -188,7 +189,11 @@ class Encoder(ChunkCache):
         self.between = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.space = regex.compile(f"[{SPACE}]+")
         self.words = Tokenizer(self.library.model)
-        self.words.pre_tokenizer = self.library.pre_tokenizer  # without the normalizer
+        self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        letters = byte_alphabet()
+        self.bytes = "".join(letters[:32] + [" "] + letters[33:])  # the model's symbol of each byte
+        self.tails: dict[str, int] = {}
+        self.tail_ids, self.tail_at = np.empty(0, np.int32), np.zeros(1, np.int64)
         spec = json.loads(self.library.to_str())["model"]
         self.final = np.zeros(1 << self.bits, bool)  # tokens that end a word
         self.final[[i for t, i in spec["vocab"].items() if t.endswith(spec["end_of_word_suffix"])]] = True
@@ -205,27 +210,51 @@ class Encoder(ChunkCache):
         return text.split()
 
     def _learn(self, new: list[str]) -> None:
-        """Chunks that are a word of small Latin-1 letters, perhaps with punctuation behind it, are left alone
-        by the normalizer, and the last token of a word or of punctuation says that it is the last: they
-        are encoded as one text and cut after such tokens. Other chunks are encoded one by one."""
+        """A word of small Latin-1 letters is left alone by the normalizer and is one word to the pattern; so
+        is the punctuation behind it. Such words are encoded as one text, cut after the tokens that end
+        words, and the few kinds of punctuation are known. Other chunks are encoded one by one."""
         found = list(map(PLAIN.fullmatch, new))
         plain = np.fromiter((m is not None for m in found), bool, len(new))
-        parts = np.fromiter((2 if m[1] else 1 for m in found if m is not None), np.int64, int(plain.sum()))
-        flat = np.array(self.words.encode_batch_fast([" ".join(c for c, m in zip(new, found) if m is not None)], add_special_tokens=False)[0].ids, np.int32)
+        stems, tails = zip(*(m.groups() for m in found if m is not None)) if plain.any() else ((), ())
+        flat, lens = self._words(stems)
+        rest = self._each([c for c, m in zip(new, found) if m is None])
+        for t in set(tails).difference(self.tails):
+            self.tails[t] = len(self.tail_at) - 1
+            ids = self._each([t])[0] if t else []
+            self.tail_ids = np.r_[self.tail_ids, np.array(ids, np.int32)]
+            self.tail_at = np.r_[self.tail_at, self.tail_at[-1] + len(ids)]
+        tail = np.fromiter(map(self.tails.__getitem__, tails), np.int64, len(tails))
+        more = self.tail_at[tail + 1] - self.tail_at[tail]
+        size = np.empty(len(new), np.int64)
+        size[plain] = lens + more
+        size[~plain] = np.fromiter(map(len, rest), np.int64, len(rest))
+        end = np.cumsum(size)
+        ids = np.empty(int(end[-1]), np.int32)
+        begin = end - size
+        ids[spread(begin[plain], lens)] = flat
+        ids[spread(begin[plain] + lens, more)] = gather(self.tail_ids, self.tail_at[tail], more)
+        ids[spread(begin[~plain], size[~plain])] = np.fromiter(chain.from_iterable(rest), np.int32, int(size[~plain].sum()))
+        self.ids = np.concatenate([self.ids, ids])
+        self.at = np.concatenate([self.at, self.at[-1] + end])
+
+    def _each(self, chunks: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def _words(self, words: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of small Latin-1 letters, and how many each has."""
+        if not words:
+            return np.empty(0, np.int32), np.empty(0, np.int64)
+        text = charmap_decode(" ".join(words).encode(), "strict", self.bytes)[0]
+        flat = np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
         ends = np.flatnonzero(self.final[flat]) + 1
-        if len(ends) != parts.sum():
+        if len(ends) != len(words):
             raise ValueError("the vocabulary has no word ends")
-        ends = ends[np.cumsum(parts) - 1]
-        rest = [e.ids for e in self.library.encode_batch_fast([p for p, m in zip(new, found) if m is None], add_special_tokens=False)]
-        lens = np.empty(len(new), np.int64)
-        lens[plain] = np.diff(ends, prepend=0)
-        lens[~plain] = np.fromiter(map(len, rest), np.int64, len(rest))
-        ids = np.empty(int(lens.sum()), np.int32)
-        of_word = np.repeat(plain, lens)
-        ids[of_word] = flat
-        ids[~of_word] = np.fromiter(chain.from_iterable(rest), np.int32, len(ids) - len(flat))
-        self.ids = np.concatenate([self.ids, ids])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(lens)])
+        return flat, np.diff(ends, prepend=0)
+
+
+def spread(begin: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The places b to b + n of all (b, n), in order."""
+    return np.repeat(begin - (np.cumsum(lens) - lens), lens) + np.arange(int(lens.sum()))
 
 
 # A worker has one core: threads of the library would only wait for each other.
@@ -297,7 +326,7 @@ def documents_of(manifest: DataFrame, key: str = "doc_id") -> DataFrame:
     """Read the shards back: per document ``key``, ``start`` (ids before it), ``n_tokens`` and
     ``ids_crc32`` (of its ids as little-endian unsigned 32-bit integers)."""
     spark: SparkSession = manifest.sparkSession
-    shards = stage(with_starts(manifest).select("path", "start"), "starts").repartition(4 * shuffle_partitions(spark), "path")
+    shards = stage(with_starts(manifest).select("path", "start"), "starts").repartition(2 * shuffle_partitions(spark), "path")
     schema = pa.schema([(key, pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
