@@ -108,6 +108,15 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sv.variants(stage(sv.words_of(table(spark, sf_dir, "documents")), "words"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kardex.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    held = toxicity.held_out()
+    model = toxicity.fit(docs.where(~held), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
@@ -121,6 +130,7 @@ QUERIES = {
     "op10_wavelet_shards": op10_wavelet_shards,
     "op11_ranked_search": op11_ranked_search,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_toxicity": op13_toxicity,
 }
 
 def oracle() -> dict[str, str]:
