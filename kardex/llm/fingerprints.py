@@ -1,18 +1,19 @@
 """Document fingerprints by Order MinHash, sensitive to edit distance.
 
 Of every text the k-mers (``K`` code points) are numbered by occurrence, so that repeats count, and
-hashed. A sketch has ``SKETCHES`` entries. Entry j takes, of the k-mers whose hash falls to it, the
-``PICK`` smallest hashes, puts them back into text order, and hashes that tuple: equal entries mean
+hashed. A sketch has ``SKETCHES`` entries. Entry j takes the ``PICK`` k-mers whose hashes follow its
+place on the circle of hashes, puts them back into text order, and hashes that tuple: equal entries mean
 the same k-mers in the same order, which is what an edit script keeps. One hash function serves
-all entries (one-permutation hashing): the top bits of the hash say which entry a k-mer belongs to,
-so the work is linear in the text, whatever the number of entries. An entry with no k-mer of its own
-borrows the next filled entry's value, tagged with the distance.
+all entries, whose places are evenly spread, so the work is linear in the text, whatever the number
+of entries. Which k-mers of two texts together follow a place first is decided by their hashes
+alone, so every entry is a fair draw at any length; in a text with few k-mers neighbouring entries share
+draws, and no entry is left short.
 
 Likeness of two fingerprints is (share of equal entries) ** (1 / PICK): an entry of PICK k-mers
 agrees with about the PICK-th power of the overlap.
 
 Defined results: null text is the empty text; its fingerprint is the empty string, its likeness 1
-to itself and 0 to others. A text shorter than K has one k-mer, itself. Equal texts have equal
+to itself and 0 to others. A text shorter than K has one k-mer, itself, and no order. Equal texts have equal
 fingerprints. Very long texts take memory in proportion to their own length alone.
 
 ``with_next`` brings every document together with the one that follows it by id: rows are
@@ -39,7 +40,7 @@ from kardex.llm.common import bucket_of, range_bounds, shuffle_partitions, stage
 K = 9
 PICK = 2
 SKETCHES = 64
-# Hashes per entry that are looked at where a text has more; all are where an entry is then left short.
+# Hashes per entry that are looked at where a text has more; all are where an entry then lacks picks.
 DENSE = 12
 _TOP = np.uint64(48)
 _SHIFT = np.uint64(64 - (SKETCHES - 1).bit_length())
@@ -100,18 +101,13 @@ def sketch(text: str) -> np.ndarray:
             at = low
     at = at[np.argsort(h[at], kind="stable")]
     entry = (h[at] >> _SHIFT).astype(np.int64)
-    begin = np.searchsorted(entry, np.arange(SKETCHES + 1))
+    begin = np.searchsorted(entry, np.arange(SKETCHES))
+    n = min(PICK, len(at))
+    picks = np.sort(at[(begin[:, None] + np.arange(n)) % len(at)], axis=1)  # round the circle; back in text order
     got = np.zeros(SKETCHES, np.uint64)
-    held = np.minimum(np.diff(begin), PICK)
-    for n in range(1, PICK + 1):  # entries with n picks: text order, then a hash of the tuple
-        own = np.flatnonzero(held == n)
-        picks = np.sort(at[begin[own][:, None] + np.arange(n)], axis=1)
-        for i in range(n):
-            got[own] = got[own] * _MULT + h[picks[:, i]]
-    filled = np.flatnonzero(held)
-    source = filled[np.searchsorted(filled, np.arange(SKETCHES)) % len(filled)]
-    away = (source - np.arange(SKETCHES)) % SKETCHES
-    return (mix(got[source] + away.astype(np.uint64) * _MULT) >> np.uint64(48)).astype(np.uint16)
+    for i in range(n):
+        got = got * _MULT + h[picks[:, i]]
+    return (mix(got) >> np.uint64(48)).astype(np.uint16)
 
 
 def fingerprint(entries: np.ndarray) -> str:
