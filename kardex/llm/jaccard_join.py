@@ -1,7 +1,8 @@
 """N-gram Jaccard self-join by MinHash banding.
 
 Texts are cut into words (runs of letters and digits, lower-cased), ``NGRAM`` consecutive words
-make an n-gram; a text with fewer words is one n-gram, itself. Two texts link if the Jaccard
+make an n-gram; a text with fewer words is one n-gram, itself. In a text without letters and digits
+(symbols, emoji) the pieces between white space are the words. Two texts link if the Jaccard
 similarity of their n-gram sets reaches ``THRESHOLD``.
 
 1. ``signatures``: one pass over the texts gives a 128-bit key of the n-gram set, its size, and
@@ -12,8 +13,8 @@ similarity of their n-gram sets reaches ``THRESHOLD``.
 3. Band hashes of representatives are counted. Buckets of one are dropped, and so are buckets whose
    members already share one and the same earlier band: their pairs are found there.
 4. Members get their n-gram sets back (a second pass over the texts, one shuffle), and buckets are
-   verified on full sets. A bucket over ``TILE`` members is spread over blocks of pairs of tiles,
-   each a task's worth, so no bucket is one task's. A pair is counted in its first common band
+   verified on full sets. A bucket over ``TILE`` members or ``TILE_GRAMS`` n-grams is spread over
+   blocks of pairs of tiles, each a task's worth, so no bucket is one task's. A pair is counted in its first common band
    only. Blocks return counts per member and a spanning forest of the verified links, never pairs:
    rows out are at most rows in.
 5. Class ids are the smallest ids of connected components, by min-label propagation with pointer
@@ -23,8 +24,8 @@ Result, one row per row of the input: id, ``class_id`` (smallest id linked direc
 others), ``copy_id`` (smallest id with the same n-gram set) and ``n_links`` (different n-gram sets
 it links to).
 
-Defined results: null text is empty; texts without words have the empty set and are copies of each
-other (similarity 1) and of nothing else. Null ids are rows of their own right, represented last
+Defined results: null text is empty; empty and blank texts have the empty set and are copies of each
+other (similarity 1) and of nothing else. Ids may be of any type that has an order. Null ids are rows of their own right, represented last
 within a class. Ties are decided by the smaller id, then by the hash of the set. No rows give no rows.
 """
 
@@ -46,6 +47,7 @@ THRESHOLD = 0.8
 RECALL = 0.999  # of a pair exactly at the threshold
 HASHES = 160  # budget of the signature
 TILE = 256
+TILE_GRAMS = 1 << 21  # 16 MB of n-gram hashes; a longer text has a tile of its own
 WORDS = re.compile(r"[^\W_]+")
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(NGRAM)], np.uint64)
 
@@ -84,7 +86,7 @@ class Shingler:
 
     def __call__(self, text: str) -> np.ndarray:
         """Sorted distinct n-gram hashes."""
-        words = WORDS.findall(text.lower())
+        words = WORDS.findall(text.lower()) or text.split()
         if not words:
             return np.empty(0, np.uint64)
         if len(self.words) > 1_000_000:
@@ -121,7 +123,7 @@ def set_key(grams: np.ndarray) -> bytes:
 
 def signatures(docs: DataFrame, bands: int, rows: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Staged: id, text hash, key and size of the n-gram set, band hashes."""
-    taken = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text_or_empty(text)).alias("text_hash"), text_or_empty(text).alias("_text"))
+    taken = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text_or_empty(text)).alias("text_hash"), text_or_empty(text).alias("_text"))
     schema = with_fields(taken, ("doc_id", "text_hash"), "set_key binary, n_grams int, bands array<long>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,32 +148,32 @@ def classes(signed: DataFrame) -> DataFrame:
 
 
 def buckets(sets: DataFrame, bands: int) -> DataFrame:
-    """Staged (band, hash, size) of the buckets to verify."""
-    rows = sets.where("n_grams > 0").select(F.posexplode("bands").alias("band", "hash"), "bands")
+    """Staged (band, hash, tiles) of the buckets to verify."""
+    rows = sets.where("n_grams > 0").select(F.posexplode("bands").alias("band", "hash"), "bands", "n_grams")
     lows, highs = zip(*((F.min(F.col("bands")[i]).alias(f"lo{i}"), F.max(F.col("bands")[i]).alias(f"hi{i}")) for i in range(bands)))
-    counted = rows.groupBy("band", "hash").agg(F.count("*").alias("size"), *lows, *highs).where("size > 1")
+    counted = rows.groupBy("band", "hash").agg(F.count("*").alias("size"), F.sum("n_grams").alias("grams"), *lows, *highs).where("size > 1")
     earlier = F.lit(False)
     for i in range(bands):
         earlier = earlier | ((F.col("band") > i) & (F.col(f"lo{i}") == F.col(f"hi{i}")))
-    return stage(counted.where(~earlier).select(F.col("band").alias("b"), F.col("hash").alias("h"), "size"), "buckets")
+    return stage(counted.where(~earlier).select(F.col("band").alias("b"), F.col("hash").alias("h"), F.greatest(F.ceil(F.col("size") / TILE), F.ceil(F.col("grams") / TILE_GRAMS)).cast("int").alias("tiles")), "buckets")
 
 
-def verify(docs: DataFrame, sets: DataFrame, found: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text", tile: int = TILE) -> DataFrame:
+def verify(docs: DataFrame, sets: DataFrame, found: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Staged (set_key, n_links, root): per member and block how many verified links it has there,
     and the smallest member key of its part of the block's forest."""
     spark = docs.sparkSession
     n = shuffle_partitions(spark)
     members = (sets.where("n_grams > 0").select("set_key", "copy_id", "text_hash", "bands", F.posexplode("bands").alias("band", "hash"))
                .join(found, (F.col("band") == F.col("b")) & (F.col("hash") == F.col("h"))))
-    members = members.select("set_key", "copy_id", "text_hash", "bands", "band", "hash", "size")
+    members = members.select("set_key", "copy_id", "text_hash", "bands", "band", "hash", "tiles")
     wanted = members.groupBy("set_key").agg(F.first("copy_id").alias("copy_id"), F.first("text_hash").alias("text_hash"), F.first("bands").alias("bands"),
-                                            F.collect_list(F.struct("band", "hash", "size")).alias("buckets"))
+                                            F.collect_list(F.struct("band", "hash", "tiles")).alias("buckets"))
     wanted = stage(wanted.withColumnRenamed("text_hash", "_hash"), "members")
-    rows = docs.select(F.col(key).cast("long").alias("_id"), F.xxhash64(text_or_empty(text)).alias("_text_hash"), text_or_empty(text).alias("_text"))
+    rows = docs.select(F.col(key).alias("_id"), F.xxhash64(text_or_empty(text)).alias("_text_hash"), text_or_empty(text).alias("_text"))
     # The representative's text, once: rows with its id and hash may repeat.
     same = (F.col("_text_hash") == F.col("_hash")) & F.col("_id").eqNullSafe(F.col("copy_id"))
     texts = rows.join(wanted, same).select("set_key", "bands", "buckets", "_text")
-    out = "set_key binary, bands array<long>, grams binary, buckets array<struct<band:int,hash:long,size:long>>"
+    out = "set_key binary, bands array<long>, grams binary, buckets array<struct<band:int,hash:long,tiles:int>>"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler()
@@ -182,9 +184,8 @@ def verify(docs: DataFrame, sets: DataFrame, found: DataFrame, threshold: float
     with_sets = texts.mapInArrow(cut, out)
     one = with_sets.select("set_key", "bands", "grams", F.explode("buckets").alias("k")).select("set_key", "bands", "grams", "k.*")
     # Blocks: pairs (i, j) of tiles with i <= j; a member goes to every block of its tile.
-    tiles = F.greatest(F.lit(1), F.ceil(F.col("size") / tile)).cast("int")
     mine = F.pmod(F.xxhash64("set_key", "band"), F.col("tiles")).cast("int")
-    spread = one.withColumn("tiles", tiles).withColumn("tile", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    spread = one.withColumn("tile", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     spread = spread.select("set_key", "bands", "grams", "band", F.xxhash64("band", "hash", F.least("tile", "other"), F.greatest("tile", "other")).alias("block"),
                            (F.col("tile") <= F.col("other")).alias("left"), (F.col("tile") >= F.col("other")).alias("right"))
     sent = spread.repartition(4 * n, "block").sortWithinPartitions("block", "set_key")
@@ -333,9 +334,10 @@ def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", **
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     per_text = joined.groupBy("class_key", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     best = per_text.groupBy("class_key").agg(F.min_by(F.struct("doc_id", "text_hash", "n"), place).alias("best"))
-    best = stage(best.select(F.col("best.doc_id").alias("_id"), F.col("best.text_hash").alias("_best_hash"), F.col("best.n").alias("_n")), "representatives")
-    rows = docs.withColumn("_text_hash", F.xxhash64(text_or_empty(text)))
-    kept = rows.join(best, F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_best_hash")))
+    best = stage(best.select(F.col("best.doc_id").alias("best_id"), F.col("best.text_hash").alias("best_hash"), F.col("best.n").alias("n")), "representatives")
+    # Rows travel as one struct, so their columns may have any names.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("id"), F.xxhash64(text_or_empty(text)).alias("text_hash"))
+    kept = rows.join(best, F.col("id").eqNullSafe(F.col("best_id")) & (F.col("text_hash") == F.col("best_hash")))
     # Only repeated rows need a shuffle of their own.
-    once = kept.where("_n = 1").unionByName(kept.where("_n > 1").dropDuplicates(["_id", "_text_hash"]))
-    return once.select(*docs.columns)
+    once = kept.where("n = 1").unionByName(kept.where("n > 1").dropDuplicates(["id", "text_hash"]))
+    return once.select("row.*")
