@@ -34,6 +34,7 @@ from kardex.llm.common import stage, text_or_empty
 
 SCOPE = 256
 MASK = "[SECRET]"
+BLOCK = 4096  # code points of a text that a redaction looks through at a time
 
 # The three base patterns and the order of kinds.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -121,12 +122,14 @@ def link(all_spans: DataFrame, scope: int = SCOPE) -> DataFrame:
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: id, text hash and ``found``, the sorted spans (start, rank of the kind,
-    end, kind), strong ones and completed weak ones."""
+    end, kind, and ``seen``: the largest end of the spans before), strong ones and completed weak ones."""
     measured = parts(docs, key, text)
     every = stage(spans(measured), "spans")
     kept = every.where(F.col("kind").isin("assign", "access", "hex")).unionByName(link(every))
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
-    per_row = kept.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "end", "kind"))).alias("found"))
+    before = Window.partitionBy("doc_id", "text_hash").orderBy("start", rank, "end").rowsBetween(Window.unboundedPreceding, -1)
+    kept = kept.withColumn("seen", F.coalesce(F.max("end").over(before), F.lit(0)))
+    per_row = kept.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "end", "kind", "seen"))).alias("found"))
     per_row = stage(per_row.withColumnRenamed("doc_id", "_id").withColumnRenamed("text_hash", "_hash"), "found")
     joined = measured.select("doc_id", "text_hash").join(per_row, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
     none = F.array().cast(per_row.schema["found"].dataType)
@@ -138,16 +141,28 @@ def listed(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, reported: DataFrame, key: str = "doc_id", text: str = "text", mask: str = MASK) -> DataFrame:
+def redact(docs: DataFrame, reported: DataFrame, key: str = "doc_id", text: str = "text", mask: str = MASK, length: str | None = None) -> DataFrame:
     """``docs`` with every reported span replaced by ``mask``; overlapping spans give one mask.
-    ``reported`` has a row per row of ``docs``; rows without spans are left out of the join."""
-    hits = reported.where(F.size("found") > 0).dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("found").alias("_found"))
-    rows = docs.withColumn("_text_hash", text_hash(text)).join(hits, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left")
-    # Code points hidden before each span: the end of the spans so far (they are sorted by start).
-    fresh = F.expr("transform(_found, (s, i) -> struct(greatest(s.start, if(i = 0, 0, array_max(transform(slice(_found, 1, i), x -> x.end)))) as lo, s.end as hi, if(i = 0, 0, array_max(transform(slice(_found, 1, i), x -> x.end))) as seen))")
-    rows = rows.withColumn("_fresh", fresh)
-    rows = rows.withColumn("_fresh", F.expr("filter(_fresh, s -> s.hi > s.seen)"))
-    piece = f"concat(substring({text}, cast(s.seen + 1 as int), cast(s.lo - s.seen as int)), if(s.lo > s.seen or s.seen = 0, '{mask}', ''))"
-    tail = f"substring({text}, cast(array_max(transform(_found, x -> x.end)) + 1 as int), length({text}))"
-    out = F.when(F.col("_found").isNull(), F.col(text)).otherwise(F.expr(f"concat(array_join(transform(_fresh, s -> {piece}), ''), {tail})"))
-    return rows.withColumn(text, out).drop("_text_hash", "_id", "_hash", "_found", "_fresh")
+    ``reported`` has a row per row of ``docs``. Column ``length``, if named, follows a text that
+    changed. Rows travel as one struct, so their columns may have any names.
+
+    A text is cut into blocks of ``BLOCK`` code points once; what stands between two spans is taken
+    from the blocks that it touches, so the work is linear in the text and in its spans."""
+    hits = reported.where(F.size("found") > 0).dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "found")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("key"), F.col(text).alias("body"), text_hash(text).alias("body_hash"))
+    rows = rows.join(hits, F.col("key").eqNullSafe(F.col("id")) & (F.col("body_hash") == F.col("hash")), "left")
+    blocks = F.when(F.col("found").isNotNull(), F.regexp_extract_all("body", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))
+    part = (f"array_join(transform(sequence({{a}} div {BLOCK}, ({{b}} - 1) div {BLOCK}), k -> substring(blocks[cast(k as int)], "
+            f"cast(greatest({{a}} - k * {BLOCK}, 0) + 1 as int), cast(least({{b}} - k * {BLOCK}, {BLOCK}) - greatest({{a}} - k * {BLOCK}, 0) as int))), '')")
+    between = lambda a, b: f"if({b} > {a}, {part.format(a=a, b=b)}, '')"
+    # ``seen`` is where the spans before end: a span that begins there or earlier continues their mask.
+    piece = f"concat({between('s.seen', 's.start')}, if(s.start > s.seen or s.seen = 0, '{mask}', ''))"
+    pieces = f"array_join(transform(filter(found, s -> s.end > s.seen), s -> {piece}), '')"
+    tail = between("last", "length(body)")
+    rows = rows.withColumn("blocks", blocks).withColumn("last", F.expr("array_max(transform(found, s -> s.end))"))
+    rows = rows.withColumn("masked", F.when(F.col("found").isNull(), F.col("body")).otherwise(F.expr(f"concat({pieces}, {tail})")))
+    row = F.col("row").withField(text, F.col("masked"))
+    if length is not None:
+        kind = docs.schema[length].dataType
+        row = row.withField(length, F.when(F.col("masked").eqNullSafe(F.col("body")), F.col(f"row.`{length}`")).otherwise(F.length("masked").cast(kind)))
+    return rows.select(row.alias("row")).select("row.*")
