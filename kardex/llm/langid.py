@@ -27,15 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kardex.llm.common import slices, text_or_empty, with_fields
+from kardex.llm.common import slices, stage, text_or_empty, with_fields
 
 UND = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 CACHE_WORDS = 500_000
 # Words scored together and bytes of text decoded together: bounds of a task's memory.
 LEARN_WORDS, SLICE_BYTES = 10_000, 4 << 20
-# Bound of the languages learned (the most frequent ones), so of what the driver holds of them.
-MAX_LANGS = 500
 
 # Code point ranges of scripts, by the Unicode block table.
 SCRIPTS = [
@@ -81,9 +79,11 @@ def code_of(gram: str) -> int:
     return code
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", train_per_lang: int = 4000,
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", train_per_lang: int = 4000, train_rows: int = 200_000,
         prior: float = 200.0, script_share: float = 0.01) -> dict:
-    """Learn the per-word model from labelled rows (null text or label: left out).
+    """Learn the per-word model from labelled rows (null text or label: left out): about
+    ``train_per_lang`` different texts of each language and about ``train_rows`` of all, which bounds what the
+    driver holds; every language keeps one text at least, however many there are.
 
     Returns languages in code point order, the scripts each one uses (at least ``script_share`` of
     its letters) and the log probabilities of its n-grams, less what is the same for all languages:
@@ -94,10 +94,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", train_per_l
     them."""
     rows = labelled.select(F.col(text).alias("t"), F.col(lang).alias("l"), F.xxhash64(F.col(text)).alias("h"))
     rows = rows.where(F.col("t").isNotNull() & F.col("l").isNotNull())
-    sizes = rows.select("l", "h").distinct().groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGS).collect()
-    share = F.coalesce(*(F.when(F.col("l") == r["l"], train_per_lang / r["count"]) for r in sizes), F.lit(0.0))
     unit = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
-    words = (rows.where(unit < share).dropDuplicates(["l", "h"])
+    sizes = stage(rows.select("l", "h").distinct().groupBy("l").agg(F.count("*").alias("n"), F.min(unit).alias("least")), "languages")
+    each = min(train_per_lang, max(1, train_rows // max(1, sizes.count())))
+    sizes = sizes.select(F.col("l").alias("of"), "n", "least")
+    # The text with the smallest hash is always in.
+    words = (rows.join(sizes, F.col("l") == F.col("of")).where((unit < each / F.col("n")) | (unit <= F.col("least"))).dropDuplicates(["l", "h"])
              .select("l", F.explode(F.split(F.lower("t"), r"[^\p{L}]+")).alias("w")).where("w <> ''")
              .groupBy("l", "w").count())
     padded = F.concat(F.lit(" "), F.col("w"), F.lit(" "))
