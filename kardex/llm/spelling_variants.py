@@ -39,12 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kardex.llm.common import slices, stage, text_or_empty
+from kardex.llm.common import shuffle_partitions, slices, stage, text_or_empty
 
 MIN_GRAM, MAX_GRAM = 2, 6
 MIN_LIST, MAX_GRAMS = 64, 50_000
 # A side of the shared gram with more letters is looked at in halves.
 MAX_WINDOW = 2
+WORDS = 50_000  # of a task
 
 # Latin-1: A-Z are lower-cased, a-z and U+00C0 to U+00FF stay, the rest is a blank.
 LETTER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 0xC0 else 32 for b in range(256))
@@ -192,7 +193,9 @@ def near_pairs(words: DataFrame, min_length: int = 7) -> DataFrame:
     if min_length < 2 * MIN_GRAM:
         raise ValueError(f"words need {2 * MIN_GRAM} letters: a shorter one may lose all its grams to one edit")
     words = words.where(F.length("word") >= min_length)
-    lists = stage(gram_lists(words, gram_dictionary(words), min_length), "gram-lists")
+    # Words are short and their decomposition is work: tasks by number of words, not by bytes.
+    tasks = max(shuffle_partitions(words.sparkSession), -(-words.count() // WORDS))
+    lists = stage(gram_lists(words.repartition(tasks, "word"), gram_dictionary(words), min_length), "gram-lists")
     # Which side is the shorter word is asked of both at once, so that neither side is filtered by itself
     # and one shuffle serves both.
     ordered = F.expr("x.longer < y.longer or (x.longer = y.longer and not y.longer and x.word < y.word)")

@@ -353,7 +353,7 @@ def test_jaccard_join(spark, odd):
     assert max(degree.values()) == 12  # the near copies and their base link to each other
 
 
-def test_jaccard_blocks_of_many_tiles(spark):
+def test_jaccard_blocks_of_many_tiles(spark, monkeypatch):
     """A hot bucket over several tiles gives the same links as one block."""
     from pyspark.sql import functions as F
 
@@ -365,8 +365,8 @@ def test_jaccard_blocks_of_many_tiles(spark):
     bands, rows = j.choose_bands()
     signed = j.signatures(df, bands, rows)
     sets = j.classes(signed)
-    found = j.buckets(sets, bands)
-    small = j.verify(df, sets, found, tile=7)
+    monkeypatch.setattr(j, "TILE", 7)
+    small = j.verify(df, sets, j.buckets(sets, bands), threshold=j.THRESHOLD)
     degree = {bytes(r["set_key"]): r["n"] for r in small.groupBy("set_key").agg(F.sum("n_links").alias("n")).collect()}
     assert len(degree) == 60 and set(degree.values()) == {59}
     out = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in j.join(df).collect()}
