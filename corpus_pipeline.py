@@ -13,7 +13,6 @@ are judged alike (and near-duplicate removal leaves one of them).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kardex.llm import bpe, jaccard_join, mixing, quality, secret_scan
 from kardex.llm.common import shared_path
@@ -33,11 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, reported spans masked; ``n_chars`` follows the text where it changed."""
-    changed = secret_scan.redact(docs.withColumn("_before", F.col("text")), secret_scan.report(docs))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed = changed.withColumn("n_chars", F.when(F.col("text").eqNullSafe(F.col("_before")), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return changed.select(*docs.columns)
+    return secret_scan.redact(docs, secret_scan.report(docs), length="n_chars" if "n_chars" in docs.columns else None)
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
