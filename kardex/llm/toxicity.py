@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kardex.llm.common import slices, text_or_empty, with_fields
+from kardex.llm.common import slices, stage, text_or_empty, with_fields
 
 WINDOW, STRIDE = 48, 24
 LEVEL = 3
@@ -189,9 +189,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Learn from the labelled rows of ``docs``. The driver holds the sample: texts of more than a
     hundredth of ``train_bytes`` are not part of it."""
     marked = labels.where(F.col(label).isNotNull()).select(F.col(key).alias("of"), (F.col(label) == 1).alias("toxic"))
-    rows = docs.select(F.col(key).alias("id"), text_or_empty(text).alias("text")).join(marked, F.col("id") == F.col("of"))
-    rows = rows.select("toxic", "text", F.xxhash64("text").alias("hash"), F.octet_length("text").alias("size"))
-    each = rows.groupBy("toxic", "hash", "size").agg(F.count("*").alias("n"))
+    rows = docs.select(F.col(key).alias("id"), text_or_empty(text).alias("text"))
+    # Labels meet hashes of texts; only the texts of the sample travel.
+    texts = rows.select("id", F.xxhash64("text").alias("hash"), F.octet_length("text").alias("size"))
+    each = texts.join(marked, F.col("id") == F.col("of")).groupBy("toxic", "hash", "size").agg(F.count("*").alias("n"))
+    each = stage(each, "labelled")
     counts = {r["toxic"]: r for r in each.groupBy("toxic").agg(F.count("*").alias("texts"), F.sum("n").alias("rows"), F.sum("size").alias("bytes")).collect()}
     total = sum(r["rows"] for r in counts.values())
     share = counts[True]["rows"] / total if True in counts else 0.0
@@ -199,8 +201,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return Model(share=share)
     part = {c: min(train_rows / r["texts"], train_bytes / 2 / max(1, r["bytes"])) for c, r in counts.items()}
     unit = F.pmod("hash", F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = rows.where((unit < F.when(F.col("toxic"), part[True]).otherwise(part[False])) & (F.col("size") <= train_bytes // 100))
-    sample = drawn.groupBy("toxic", "hash").agg(F.first("text").alias("text")).orderBy("hash", "toxic").collect()
+    drawn = each.where((unit < F.when(F.col("toxic"), part[True]).otherwise(part[False])) & (F.col("size") <= train_bytes // 100))
+    drawn = drawn.select("toxic", F.col("hash").alias("chosen"))  # about train_rows rows of either class
+    sample = (rows.join(F.broadcast(drawn), F.xxhash64("text") == F.col("chosen")).groupBy("toxic", "chosen")
+              .agg(F.first("text").alias("text")).orderBy("chosen", "toxic").collect())
     return learn([r["text"] for r in sample if r["toxic"]], [r["text"] for r in sample if not r["toxic"]], share)
 
 
