@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,33 +46,31 @@ def unique_lookup(df: DataFrame, key: str, cols: list[str], on_duplicate: str =
     raise ValueError(f"unknown on_duplicate={on_duplicate!r}")
 
 
-def sequence_number(df: DataFrame, order_col: str, out_col: str = "seq", num_partitions: int | None = None,
-                    group_col: str | None = None) -> DataFrame:
+# One value in so many is a splitter of the numbering: the average size of a bucket.
+SPLIT_EVERY = 65_536
+
+
+def sequence_number(df: DataFrame, order_col: str, out_col: str = "seq", group_col: str | None = None,
+                    every: int = SPLIT_EVERY) -> DataFrame:
     """1-based position of each row in ``order_col`` order (restarting per ``group_col`` when
-    given), computed without a one-partition window.
+    given), without a one-partition window, a job while planning, or anything persisted.
 
-    Rows are range-partitioned on (group, order) and sorted; each row's number is the count of
-    rows of its group in earlier partitions plus its position inside its own partition. The
-    per-partition counts form a table with one row per (partition, group), so it is broadcast with
-    a proven bound. Meant for distinct sets.
+    Splitters are the values whose hash is divisible by ``every``: a pure function of the values, so every
+    evaluation of the plan, also after the loss of an executor, cuts the same buckets. A row's
+    number is the count of rows of its group in earlier buckets plus its position inside its own.
+    Splitters and counts have one row per (group, bucket) or less, a ``every``-th of the rows, so they
+    are broadcast with a proven bound. Meant for distinct sets.
     """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = ([group_col] if group_col else []) + [order_col]
-    ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys])
-                .sortWithinPartitions(*keys)
-                .withColumn("_part", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id()))
-    # Both passes below must see ONE range partitioning: two evaluations would sample their own
-    # boundaries. Persisted once, a lost block is recomputed from the same shuffle dependency,
-    # whose boundaries are fixed when it is created.
-    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged.count()
-    gkeys = ["_part"] + ([group_col] if group_col else [])
-    counts = ranged.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
-    w = (Window.partitionBy(group_col) if group_col else Window.partitionBy()).orderBy("_part")
-    offsets = counts.select(*gkeys, "_first",
-                            F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
-    out = ranged.join(F.broadcast(offsets), gkeys)
-    return out.withColumn(
-        out_col, (F.coalesce(F.col("_before"), F.lit(0)) + (F.col("_mid") - F.col("_first")) + 1).cast("bigint")
-    ).drop("_part", "_mid", "_first", "_before")
+    group = F.col(group_col) if group_col else F.lit(0)
+    rows = df.withColumn("_g", group)
+    chosen = rows.where(F.pmod(F.xxhash64(order_col), F.lit(every)) == 0)
+    splits = chosen.groupBy(F.col("_g").alias("_sg")).agg(F.sort_array(F.collect_set(order_col)).alias("_splits"))
+    rows = rows.join(F.broadcast(splits), F.col("_g").eqNullSafe(F.col("_sg")), "left")
+    bucket = F.coalesce(F.size(F.filter("_splits", lambda s: s <= F.col(order_col))), F.lit(0))
+    rows = rows.withColumn("_bucket", bucket).drop("_sg", "_splits")
+    counts = rows.groupBy(F.col("_g").alias("_cg"), F.col("_bucket").alias("_cb")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_cg").orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_cg", "_cb", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    out = rows.join(F.broadcast(offsets), F.col("_g").eqNullSafe(F.col("_cg")) & (F.col("_bucket") == F.col("_cb")))
+    own = F.row_number().over(Window.partitionBy("_g", "_bucket").orderBy(order_col))
+    return out.withColumn(out_col, (F.col("_before") + own).cast("bigint")).drop("_g", "_bucket", "_cg", "_cb", "_before")

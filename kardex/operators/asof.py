@@ -8,8 +8,8 @@ the key, where AQE splits a hot key's left partition across tasks.
 
 It costs O(left rows x right rows) per key inside the join, which is right for short histories
 (cost versions per SKU). ``asof_locf`` sorts the union of both sides instead, inside (key, time
-bucket) groups, and carries the latest right row across buckets: it stays balanced when one key
-holds a large share of either side.
+bucket) groups, and carries the latest right row across buckets: it stays balanced when one key, or
+one instant of a key, holds a large share of either side.
 
 Both follow one contract, so the choice between them is a choice of plan only: a left row with a
 null key or a null time matches nothing (null values, also with ``fallback_first``;
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from kardex.functions.joins import bounded_broadcast, unique_lookup
 from kardex.functions.numeric import MONEY, safe_div
+from kardex.sinks.staging import stage_shared
 
 
 def validity_intervals(right: DataFrame, by: list[str], right_on: str, value_cols: list[str],
@@ -98,33 +99,46 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     return j.select(*keep, *vals)
 
 
-# Largest (key, time bucket) group the sorted strategy lets one task carry.
+# Rows of a key that one task carries; a key with more is split in time.
 MAX_ROWS_PER_BUCKET = 2_000_000
-BUCKET_UNITS = ("day", "hour", "minute", "second")
-
-
-def choose_bucket(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str,
-                  max_rows: int = MAX_ROWS_PER_BUCKET) -> str:
-    """The coarsest ``date_trunc`` unit whose largest (key, bucket) group, over both sides, holds
-    at most ``max_rows`` rows. One aggregate per unit tried (scalars to the driver)."""
-    both = _in_force(left, by, left_on).select(*by, F.col(left_on).cast("timestamp_ntz").alias("_t")).unionByName(
-        _in_force(right, by, right_on).select(*by, F.col(right_on).cast("timestamp_ntz").alias("_t")))
-    for unit in BUCKET_UNITS:
-        largest = (both.groupBy(*by, F.date_trunc(unit, "_t").alias("_b")).count()
-                   .agg(F.max("count").alias("m")).first()["m"] or 0)
-        if largest <= max_rows:
-            return unit
-    return BUCKET_UNITS[-1]
+# Finest division of a key: its rows are cut at that many quantiles at most.
+MAX_SPLITS = 1_000
+
+
+def _micros(ts) -> F.Column:
+    """Microseconds of a TIMESTAMP_NTZ, without a time zone."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), ts)
+
+
+def hot_splits(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str,
+               max_rows: int = MAX_ROWS_PER_BUCKET) -> DataFrame | None:
+    """Times at which the keys with more than ``max_rows`` rows are cut: (keys, ``_splits``), ascending
+    microseconds, or None if there is no such key (one count per key). Times are quantiles of the key's rows, so
+    a crowded second is cut as well; a time that fills several parts by itself occurs as often. The
+    few rows are staged, since all later steps must see the same cuts."""
+    keys = [F.col(b).alias(f"_s{i}") for i, b in enumerate(by)]
+    names = [f"_s{i}" for i in range(len(by))]
+    times = lambda df, on: _in_force(df, by, on).select(*keys, _micros(F.col(on).cast("timestamp_ntz")).alias("_us"))
+    both = times(left, left_on).unionByName(times(right, right_on))
+    hot = both.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows)
+    hot = stage_shared(hot, "hot-keys")
+    if hot.isEmpty():
+        return None
+    grid = [i / MAX_SPLITS for i in range(1, MAX_SPLITS)]
+    cuts = both.join(hot, names).groupBy(*names).agg(F.first("_n").alias("_n"), F.percentile_approx("_us", grid, 10 * MAX_SPLITS).alias("_at"))
+    cuts = cuts.withColumn("_paso", F.greatest(F.lit(1), F.floor(F.lit(MAX_SPLITS) * max_rows / F.col("_n"))))
+    return stage_shared(cuts.select(*names, F.expr("filter(_at, (x, i) -> (i + 1) % _paso = 0)").alias("_splits")), "splits")
 
 
 def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str,
               value_cols: list[str], tiebreak: list[str] | None = None, fallback_first: bool = False,
-              bucket: str = "auto", on_null_time: str = "null") -> DataFrame:
+              bucket: str = "auto", on_null_time: str = "null", max_rows: int = MAX_ROWS_PER_BUCKET) -> DataFrame:
     """As-of join by sorting instead of joining: skew-safe on BOTH sides.
 
-    Left and right rows are unioned and grouped by (key, time bucket), so a key with a third of
-    all rows is spread over as many groups as it has buckets (``bucket`` is a ``date_trunc`` unit;
-    "auto" measures the finest unit needed, see ``choose_bucket``).
+    Left and right rows are unioned and grouped by (key, bucket). By default a key with at most
+    ``max_rows`` rows is one bucket, and one with more is cut at quantiles of its own times
+    (``hot_splits``); if one instant fills several buckets, its left rows are dealt over them and its right
+    row comes first. ``bucket`` may name a ``date_trunc`` unit instead.
     Inside each group the latest right row is carried forward (right rows sort first at equal
     times, so exact matches count; ``tiebreak`` orders right rows on equal times, the last wins).
     The value in force when a group starts comes from a boundary table with one row per (key,
@@ -133,8 +147,7 @@ def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     sees the same grouping. The right row is carried whole (a struct): its values stay together.
     """
     right = _in_force(right, by, right_on)
-    if bucket == "auto":
-        bucket = choose_bucket(left, right, by, left_on, right_on)
+    splits = hot_splits(left, right, by, left_on, right_on, max_rows) if bucket == "auto" else None
     tb = tiebreak or []
     left, columns = _matchable(left, by, left_on, on_null_time)
     keys = [f"_k{i}" for i in range(len(by))] + ["_salt"]
@@ -150,28 +163,53 @@ def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
                      *[F.col(c).alias("_tb_" + c) for c in tb],
                      F.lit(None).cast(row_type).alias("_row"), F.struct(*value_cols).alias("_val"))
     order = ["_t", "_side"] + ["_tb_" + c for c in tb]
-    u = l.unionByName(r).withColumn("_b", F.date_trunc(bucket, F.col("_t")))
+    every_r = r
+    if splits is not None:  # of the right rows at one time only the last is ever in force
+        last = F.struct(*["_tb_" + c for c in tb]) if tb else F.struct("_val")
+        r = r.groupBy(*keys, "_can", "_t", "_side").agg(F.max_by("_val", last).alias("_val"), *[F.max_by("_tb_" + c, last).alias("_tb_" + c) for c in tb])
+        r = r.withColumn("_row", F.lit(None).cast(row_type)).select(*l.columns)
+    l, r = (_with_bucket(side, bucket, splits, keys[:-1]) for side in (l, r))
+    u = l.unionByName(r)
     # latest right row so far inside (key, bucket)
     w_local = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     filled = u.withColumn("_local", F.last("_val", ignorenulls=True).over(w_local)).where(F.col("_side") == 1)
     # last right row of each (key, bucket), carried to the later buckets of the key
-    bounds = r.withColumn("_b", F.date_trunc(bucket, F.col("_t"))).groupBy(*keys, "_b").agg(
-        F.max_by("_val", F.struct(*order)).alias("_last"))
-    left_buckets = l.select(*keys, F.date_trunc(bucket, F.col("_t")).alias("_b")).distinct()
+    bounds = r.groupBy(*keys, "_b").agg(F.max_by("_val", F.struct(*order)).alias("_last"))
+    left_buckets = l.select(*keys, "_b").distinct()
     all_buckets = bounds.unionByName(left_buckets.withColumn("_last", F.lit(None).cast(val_type)))
     w_carry = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = all_buckets.groupBy(*keys, "_b").agg(F.max("_last").alias("_last")) \
         .select(*keys, "_b", F.last("_last", ignorenulls=True).over(w_carry).alias("_carry"))
-    out = filled.join(carry, [*keys, "_b"], "left")
+    if bucket == "auto" and splits is None:  # a key is one bucket: nothing to carry
+        out = filled.withColumn("_carry", F.lit(None).cast(val_type))
+    else:
+        out = filled.join(carry, [*keys, "_b"], "left")
     out = out.withColumn("_v", F.when(F.col("_can"), F.coalesce(F.col("_local"), F.col("_carry"))))
     vals = [F.col("_v." + c) for c in value_cols]
     if fallback_first:  # before the first right row, or a null value in force: the first row's value
-        firsts = r.groupBy(*keys).agg(F.min_by("_val", F.struct(*order)).alias("_first"))
+        firsts = every_r.groupBy(*keys).agg(F.min_by("_val", F.struct(*order)).alias("_first"))
         out = out.join(firsts, keys, "left")
         vals = [F.when(F.col("_can"), F.coalesce(F.col("_v." + c), F.col("_first." + c))) for c in value_cols]
     return out.select(*[F.col("_row." + c) for c in columns if c not in value_cols], *[v.alias(c) for v, c in zip(vals, value_cols)])
 
 
+def _with_bucket(side: DataFrame, bucket: str, splits: DataFrame | None, keys: list[str]) -> DataFrame:
+    """``_b``: the bucket of each row of one side of the sorted strategy."""
+    if bucket != "auto":
+        return side.withColumn("_b", F.date_trunc(bucket, F.col("_t")))
+    if splits is None:
+        return side.withColumn("_b", F.lit(0))
+    same = F.col("_can")
+    for i, k in enumerate(keys):
+        same = same & (F.col(k) == F.col(f"_s{i}"))
+    found = side.join(splits, same, "left").withColumn("_us", _micros(F.col("_t")))
+    below = F.coalesce(F.size(F.filter("_splits", lambda s: s < F.col("_us"))), F.lit(0))
+    equal = F.coalesce(F.size(F.filter("_splits", lambda s: s == F.col("_us"))), F.lit(0))
+    dealt = 1 + F.pmod(F.xxhash64(F.to_json(F.struct("_row"))), F.greatest(equal, F.lit(1))).cast("int")
+    place = F.when(equal == 0, 0).when(F.col("_side") == 0, 1).otherwise(dealt)
+    return found.withColumn("_b", below + place).select(*side.columns, "_b")
+
+
 # Longest history per key the interval join takes; beyond it the sort-based strategy is used.
 MAX_VERSIONS_FOR_INTERVALS = 10_000
 

@@ -61,7 +61,7 @@ def build_dim_producto(sku_map: DataFrame, catalogo: DataFrame, ecommerce: DataF
                                F.lit(UNCLASSIFIED).alias("categoria")).unionByName(
         erp_only.select(F.lit(ERP_UNMAPPED_PREFIX).alias("_fam"), F.col("sku_erp").alias("_key"), "sku_erp",
                         none.alias("handle"), "nombre", "categoria"))
-    # number the keys alone: both passes of the numbering then share one exchange
+    # number the keys alone: the passes of the numbering then share one exchange
     seq = sequence_number(unmapped.select("_fam", "_key"), "_key", "_seq", group_col="_fam")
     numbered = unmapped.join(seq, ["_fam", "_key"])
     parts.append(numbered.select(F.concat(F.col("_fam"), F.format_string("%03d", F.col("_seq"))).alias("sku_pos"),

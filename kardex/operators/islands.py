@@ -16,31 +16,49 @@ STOCKOUT_COLUMNS = ["tienda_id", "ciudad", "region", "sku_pos", "inicio_quiebre"
                     "avg_unidades_diarias_14d", "ventas_perdidas_estimadas"]
 
 
+def running_total(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, block: str = "year") -> DataFrame:
+    """Sum of ``value`` over the rows of a key up to each row, in ``order`` (the first is a date).
+
+    Two levels, as an associative scan: rows run within their (key, ``block`` of time), totals of the
+    blocks run over the blocks of a key. A key with a long history is spread over its blocks."""
+    cut = df.withColumn("_bloque", F.trunc(order[0], block))
+    totals = cut.groupBy(*[F.col(k).alias("_t_" + k) for k in keys], F.col("_bloque").alias("_t_bloque")).agg(F.sum(value).alias("_total"))
+    earlier = Window.partitionBy(*["_t_" + k for k in keys]).orderBy("_t_bloque").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = totals.withColumn("_antes", F.coalesce(F.sum("_total").over(earlier), F.lit(0))).drop("_total")
+    same = F.col("_bloque").eqNullSafe(F.col("_t_bloque"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col("_t_" + k))
+    within = Window.partitionBy(*keys, "_bloque").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    own = cut.withColumn("_propio", F.sum(value).over(within))
+    return own.join(ahead, same).withColumn(out, F.col("_propio") + F.col("_antes")).select(*df.columns, out)
+
+
 def stockout_runs(fact_inventario: DataFrame, start=None, end=None, min_days: int = 3,
-                  calendar: bool = False) -> DataFrame:
+                  calendar: bool = False, block: str = "year") -> DataFrame:
     """Runs of zero-stock snapshots per (store, SKU), clipped to the period, of at least
     ``min_days`` rows.
 
     Default (gaps and islands over rows): the island id is a running count of non-zero rows,
     so a missing snapshot day does not break a run and equal dates share one id (RANGE frame).
     ``calendar=True``: runs are consecutive calendar days (day number minus its rank).
-    Each window partition holds one (store, SKU) pair: bounded by the number of snapshot days.
+
+    Snapshots are first counted per (store, SKU, day), which is all that the island id depends on:
+    a pair with a third of all rows shrinks to its days while it is read. The running count is a
+    segmented scan over (pair, ``block``), so a long history is spread as well, and a run is put together
+    from its days wherever they were counted.
     """
     inv = fact_inventario.where(date_between("fecha", start, end) & F.col("sku_pos").isNotNull())
-    inv = inv.select(*RUN_KEYS, "fecha", (F.col("cantidad_en_stock") == 0).alias("en_quiebre"))
-    w = Window.partitionBy(*RUN_KEYS).orderBy("fecha")
+    en_quiebre = F.coalesce(F.col("cantidad_en_stock") == 0, F.lit(False))
+    daily = inv.groupBy(*RUN_KEYS, "fecha").agg(F.count_if(en_quiebre).alias("_ceros"), F.count_if(~en_quiebre).alias("_otros"))
     if calendar:
-        zeros = inv.where("en_quiebre")
-        grp = F.datediff(F.col("fecha"), F.lit("1970-01-01").cast("date")) - F.dense_rank().over(w)
-        runs = zeros.withColumn("grp", grp).groupBy(*RUN_KEYS, "grp").agg(
-            F.min("fecha").alias("inicio_quiebre"), F.max("fecha").alias("fin_quiebre"),
-            F.count_distinct("fecha").alias("dias_en_quiebre"))
+        days = daily.where("_ceros > 0").select(*RUN_KEYS, "fecha", F.lit(1).alias("_dias"))
+        days = running_total(days, RUN_KEYS, ["fecha"], "_dias", "_rango", block)
+        days = days.withColumn("_grupo", F.datediff("fecha", F.lit("1970-01-01").cast("date")) - F.col("_rango"))
     else:
-        grp = F.sum(F.when(F.col("en_quiebre"), 0).otherwise(1)).over(w)
-        runs = inv.withColumn("grp", grp).where("en_quiebre").groupBy(*RUN_KEYS, "grp").agg(
-            F.min("fecha").alias("inicio_quiebre"), F.max("fecha").alias("fin_quiebre"),
-            F.count(F.lit(1)).alias("dias_en_quiebre"))
-    return runs.where(F.col("dias_en_quiebre") >= min_days).drop("grp")
+        days = running_total(daily, RUN_KEYS, ["fecha"], "_otros", "_grupo", block).where("_ceros > 0").withColumnRenamed("_ceros", "_dias")
+    runs = days.groupBy(*RUN_KEYS, "_grupo").agg(F.min("fecha").alias("inicio_quiebre"), F.max("fecha").alias("fin_quiebre"),
+                                                 F.sum("_dias").alias("dias_en_quiebre"))
+    return runs.where(F.col("dias_en_quiebre") >= min_days).drop("_grupo")
 
 
 def daily_units(fact_ventas: DataFrame, channel: str = PHYSICAL, start=None, end=None) -> DataFrame:
@@ -56,23 +74,25 @@ def lost_sales(runs: DataFrame, fact_ventas: DataFrame, dim_tiendas: DataFrame,
                lookback_days: int = 14, channel: str = PHYSICAL, start=None, end=None) -> DataFrame:
     """Mean daily units in the ``lookback_days`` before each run x run length.
 
-    No sales in the window gives 0. Range join: equi on (store, SKU) + day between
-    start - lookback and start - 1. If the runs begin in [start, end], only sales from ``start`` -
-    lookback to ``end`` - 1 can count, and only those are read.
+    No sales in the window gives 0. Units up to a day are a running total per (store, SKU); a run asks
+    for it at two days, the last of its window and the last before it, and the answer is the difference. Questions
+    and daily sales run together through one sorted scan, so there is no range join and no row per
+    (run, day). If the runs begin in [start, end], only sales from ``start`` - lookback to ``end`` - 1
+    can count, and only those are read.
     """
     lo = as_date(start) - dt.timedelta(days=lookback_days) if start is not None else None
     hi = as_date(end) - dt.timedelta(days=1) if end is not None else None
-    daily = daily_units(fact_ventas, channel, lo, hi)
-    r = runs.alias("r")
-    d = daily.alias("d")
-    cond = ((F.col("r.tienda_id") == F.col("d.tienda_id")) & (F.col("r.sku_pos") == F.col("d.sku_pos"))
-            & (F.col("d.dia") >= F.date_sub(F.col("r.inicio_quiebre"), lookback_days))
-            & (F.col("d.dia") <= F.date_sub(F.col("r.inicio_quiebre"), 1)))
-    j = r.join(d, cond, "left")
-    look = j.groupBy(F.col("r.tienda_id").alias("tienda_id"), F.col("r.sku_pos").alias("sku_pos"),
-                     F.col("r.inicio_quiebre").alias("inicio_quiebre"), F.col("r.fin_quiebre").alias("fin_quiebre"),
-                     F.col("r.dias_en_quiebre").alias("dias_en_quiebre")).agg(
-        F.coalesce(F.sum("d.unidades").cast("double") / F.lit(float(lookback_days)), F.lit(0.0)).alias("_avg"))
+    daily = daily_units(fact_ventas, channel, lo, hi).where(F.col("tienda_id").isNotNull() & F.col("sku_pos").isNotNull())
+    run = F.struct("inicio_quiebre", "fin_quiebre", "dias_en_quiebre")
+    ask = lambda days, sign: F.struct(F.date_sub("inicio_quiebre", days).alias("dia"), F.lit(sign).alias("signo"))
+    asked = runs.select(*RUN_KEYS, run.alias("_run"), F.inline(F.array(ask(1, 1), ask(lookback_days + 1, -1))))
+    asked = asked.select(*RUN_KEYS, "dia", F.lit(1).alias("_lado"), F.lit(0).cast("bigint").alias("unidades"), "signo", "_run")
+    sold = daily.select(*RUN_KEYS, "dia", F.lit(0).alias("_lado"), F.coalesce("unidades", F.lit(0)).cast("bigint").alias("unidades"),
+                        F.lit(None).cast("int").alias("signo"), F.lit(None).cast(asked.schema["_run"].dataType).alias("_run"))
+    total = running_total(sold.unionByName(asked), RUN_KEYS, ["dia", "_lado"], "unidades", "_hasta")
+    look = total.where("_lado = 1").groupBy(*RUN_KEYS, "_run").agg(
+        (F.sum(F.col("signo") * F.col("_hasta")).cast("double") / F.lit(float(lookback_days))).alias("_avg"))
+    look = look.select(*RUN_KEYS, "_run.*", "_avg")
     stores = dim_tiendas.select("tienda_id", "ciudad", "region")
     out = look.join(stores, "tienda_id", "left")
     return out.select(

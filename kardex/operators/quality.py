@@ -72,9 +72,11 @@ def unsorted_rows(df: DataFrame, order_col: str, descending: bool = False) -> Da
     no window over the whole result, so a large ordered result is checked in parallel.
     """
     from kardex.functions.joins import sequence_number
+    from kardex.sinks.staging import stage_shared
 
-    numbered = sequence_number(df.select(F.col(order_col).alias("_v"), F.monotonically_increasing_id().alias("_mid")),
-                               "_mid", "_i")
+    # staged: the row ids follow from one evaluation of the frame
+    rows = stage_shared(df.select(F.col(order_col).alias("_v"), F.monotonically_increasing_id().alias("_mid")), "ordered")
+    numbered = sequence_number(rows, "_mid", "_i")
     nxt = numbered.select((F.col("_i") - 1).alias("_i"), F.col("_v").alias("_next"))
     pairs = numbered.join(nxt, "_i")
     bad = (F.col("_next") > F.col("_v")) if descending else (F.col("_next") < F.col("_v"))

@@ -125,3 +125,54 @@ def test_channel_share_pivot_zero_when_missing(spark):
     rows = {r["mes"]: r for r in channel_share(fv).collect()}
     assert (rows["2026-01"]["venta_ecommerce"], rows["2026-01"]["share_ecommerce_pct"]) == (0.0, 0.0)
     assert rows["2026-02"]["share_ecommerce_pct"] == 75.0
+
+
+def test_runs_of_a_hot_pair_over_blocks(spark):
+    """One (store, SKU) with a third of all rows, several snapshots a day, runs over year ends; by rows
+    and by calendar days, against brute force."""
+    import datetime as dt
+    import random
+
+    rng = random.Random(12)
+    rows = []
+    for t, p, n in [("A", "hot", 900)] + [(f"T{i}", f"P{i % 5}", 45) for i in range(40)] + [(None, "P1", 60)]:
+        day = dt.date(2023, 11, 1)
+        for _ in range(n):
+            day += dt.timedelta(days=rng.choice((0, 1, 1, 1, 2)))
+            rows.append((day, t, None, p, None, rng.choice((0, 0, 0, 0, 3, None))))
+    inv = spark.createDataFrame(rows, "fecha date, tienda_id string, product_id string, sku_pos string, sku_erp string, cantidad_en_stock bigint").repartition(5)
+
+    def brute(calendar):
+        out = set()
+        for pair in {(r[1], r[3]) for r in rows}:
+            days = {}
+            for r in rows:
+                if (r[1], r[3]) == pair:
+                    z, o = days.get(r[0], (0, 0))
+                    days[r[0]] = (z + (r[5] == 0), o + (r[5] != 0))
+            group, groups = 0, {}
+            for i, d in enumerate(sorted(x for x in days if days[x][0] or not calendar)):
+                z, o = days[d]
+                group = d.toordinal() - i if calendar else group + o
+                if z:
+                    groups.setdefault(group, []).append((d, 1 if calendar else z))
+            for g in groups.values():
+                n = sum(z for _, z in g)
+                if n >= 3:
+                    out.add((*pair, g[0][0], g[-1][0], n))
+        return out
+
+    for calendar in (False, True):
+        for block in ("year", "month"):
+            got = stockout_runs(inv, calendar=calendar, block=block).collect()
+            assert {(r["tienda_id"], r["sku_pos"], r["inicio_quiebre"], r["fin_quiebre"], r["dias_en_quiebre"]) for r in got} == brute(calendar)
+            assert len(got) == len(brute(calendar))
+
+
+def test_lookback_plan_has_no_range_join(spark):
+    inv = _inv(spark, [0, 0, 0, 1, 0, 0])
+    sales = spark.createDataFrame([], "fecha timestamp_ntz, tienda_id string, sku_pos string, canal string, cantidad bigint")
+    stores = spark.createDataFrame([], "tienda_id string, ciudad string, region string")
+    plan = lost_sales(stockout_runs(inv), sales, stores)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and not any(op in line.replace("<=>", "=") for line in joins for op in (">=", "<="))

@@ -1,8 +1,10 @@
 import datetime as dt
 
+import pytest
+
 from retail_helpers import d, dec, ts
 
-from kardex.operators.asof import asof_join, asof_locf, build_fact_ventas_con_costo, choose_bucket, choose_strategy
+from kardex.operators.asof import asof_join, asof_locf, build_fact_ventas_con_costo, choose_strategy, hot_splits
 from kardex.operators.identity import build_dim_producto, latest_attributes
 
 CAT = "sku_erp string, nombre string, categoria string, fecha_vigencia date, costo_mxn decimal(18,4), proveedor string, pos int"
@@ -110,10 +112,56 @@ def test_strategy_choice_is_measured(spark):
     assert choose_strategy(hist, ["k"], max_versions=29) == "sorted"
 
 
-def test_bucket_choice_is_measured(spark):
+def test_only_crowded_keys_are_split(spark):
     base = ts("2025-01-01 00:00")
-    left = spark.createDataFrame([("hot", base + dt.timedelta(minutes=i)) for i in range(300)], "k string, t timestamp_ntz")
+    left = spark.createDataFrame([("hot", base + dt.timedelta(microseconds=i)) for i in range(300)] + [("cold", base)] * 50, "k string, t timestamp_ntz")
     right = spark.createDataFrame([("hot", base, 1.0)], "k string, rt timestamp_ntz, v double")
-    assert choose_bucket(left, right, ["k"], "t", "rt", max_rows=400) == "day"
-    assert choose_bucket(left, right, ["k"], "t", "rt", max_rows=100) == "hour"
-    assert choose_bucket(left, right, ["k"], "t", "rt", max_rows=2) == "minute"
+    assert hot_splits(left, right, ["k"], "t", "rt", max_rows=400) is None
+    got = hot_splits(left, right, ["k"], "t", "rt", max_rows=50).collect()
+    assert [r["_s0"] for r in got] == ["hot"] and 5 <= len(got[0]["_splits"]) <= 7
+
+
+@pytest.mark.parametrize("fallback", [False, True])
+@pytest.mark.parametrize("tiebreak", [True, False])
+def test_split_below_one_second_and_at_one_instant(spark, fallback, tiebreak):
+    """A third of all rows in one key, most of them in one second and many at one instant."""
+    import random
+
+    rng = random.Random(4)
+    base = ts("2025-01-01 00:00")
+    at = lambda: base + dt.timedelta(microseconds=rng.choice((500_000, 500_000, rng.randint(0, 999_999), rng.randint(0, 10**9))))
+    left = [(i, "hot" if i % 3 == 0 else f"k{i % 40}" if i % 41 else None, at() if i % 37 else None) for i in range(3000)]
+    right, seen = [], set()
+    for i in range(900):
+        k, t = "hot" if i % 3 == 0 else f"k{i % 40}", at()
+        if tiebreak or (k, t) not in seen:
+            right.append((k, t, i, float(i) if i % 5 else None))
+            seen.add((k, t))
+    rng.shuffle(right)
+    ldf = spark.createDataFrame(left, "id int, k string, t timestamp_ntz").repartition(4)
+    rdf = spark.createDataFrame(right, "k string, rt timestamp_ntz, seq int, v double").repartition(3)
+    tb = ["seq"] if tiebreak else None
+    got = {r["id"]: r["v"] for r in asof_locf(ldf, rdf, ["k"], "t", "rt", ["v"], tiebreak=tb, fallback_first=fallback, max_rows=60).collect()}
+    assert len(got) == 3000
+    for i, k, t in left:
+        mine = sorted((r[1], r[2], r[3]) for r in right if r[0] == k) if k and t else []
+        past = [r for r in mine if r[0] <= t] if mine else []
+        want = past[-1][2] if past else None
+        if fallback and want is None and mine:
+            want = mine[0][2]
+        assert got[i] == want
+
+
+def test_instant_is_dealt_over_buckets(spark):
+    from pyspark.sql import functions as F
+
+    from kardex.operators import asof
+
+    base = ts("2025-01-01 00:00")
+    left = spark.createDataFrame([("hot", base, i) for i in range(2000)], "k string, t timestamp_ntz, id int")
+    right = spark.createDataFrame([("hot", base, 7.0)], "k string, rt timestamp_ntz, v double")
+    splits = hot_splits(left, right, ["k"], "t", "rt", max_rows=100)
+    side = left.select(F.col("k").alias("_k0"), F.lit(True).alias("_can"), F.col("t").alias("_t"), F.lit(1).alias("_side"), F.struct("id").alias("_row"))
+    sizes = [r["count"] for r in asof._with_bucket(side, "auto", splits, ["_k0"]).groupBy("_b").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) < 300
+    assert {r["v"] for r in asof_locf(left, right, ["k"], "t", "rt", ["v"], max_rows=100).collect()} == {7.0}
