@@ -6,6 +6,7 @@ periods are open (whole tables) unless the query is about a period rule. Money l
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +25,16 @@ from kardex.operators.margin import (flatten_affected, margin_base, margin_summa
                                      top_systemic)
 from kardex.operators.periods import channel_share, last_months_by_channel, month_over_month, monthly_share
 from kardex.operators.turnover import turnover, turnover_top
-from kardex.plans.model import Model, build_model, cache_stage, no_stage
+from kardex.operators.kpi_states import code_numbers, daily_states, kpis_of
+from kardex.operators.rules import suite
+from kardex.plans.analytics import run_all
+from kardex.plans.checks import answer_checks, model_checks, rate_checks
+from kardex.plans.model import Model, build_model, no_stage
+from kardex.session import ensure_checkpoint_dir
+from kardex.sinks.staging import stage_shared
 from kardex.sources import testdata as td
+from kardex.sources.json_document import read_inventory_document, write_document
+from kardex.sources.rescue import read_sales_rescued
 
 
 def money_as_double(df: DataFrame) -> DataFrame:
@@ -302,37 +311,33 @@ def q_asof_event_locf_window(spark, d):
     return asof_locf(e, purchases, ["user_id"], "ts", "p_ts", ["last_purchase_value"])
 
 
-def _staged_model(spark: SparkSession, d: str) -> Model:
-    """The model with its dimensions and facts materialised, for SQL over temp views."""
-    m = build_model(td.load_sources(spark, d), cache_stage)
-    return m._replace(fact_ventas=cache_stage(m.fact_ventas, "fact_ventas"),
-                      fact_inventario=cache_stage(m.fact_inventario, "fact_inventario"))
-
-
-def register_views(model: Model) -> None:
-    """The model's tables as named relations for SQL (temp views, session scoped)."""
+def register_views(model: Model) -> dict[str, str]:
+    """The model's tables as named relations for SQL: temp views under names of their own, so that two
+    models of a session do not meet. Returns table -> view."""
+    tag = uuid.uuid4().hex[:8]
     for name, df in model._asdict().items():
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(f"{name}_{tag}")
+    return {name: f"{name}_{tag}" for name in model._fields}
 
 
 def q_exec_kpis_sql(spark, d):
     """The KPIs through the SQL API over temp views (filtered aggregates, one scan)."""
-    register_views(_staged_model(spark, d))
-    return spark.sql("""
+    views = register_views(_model(spark, d))
+    return spark.sql(f"""
         SELECT CAST(ROUND(SUM(monto_mxn), 2) AS DOUBLE) AS total_ventas_mxn,
                CAST(ROUND(SUM(monto_mxn) FILTER (WHERE canal = 'fisico'), 2) AS DOUBLE) AS ventas_fisicas_mxn,
                CAST(ROUND(SUM(monto_mxn) FILTER (WHERE canal = 'ecommerce'), 2) AS DOUBLE) AS ventas_ecommerce_mxn,
                COUNT(*) AS total_transacciones,
                COUNT(DISTINCT tienda_id) FILTER (WHERE canal = 'fisico') AS tiendas_activas,
                COUNT(DISTINCT sku_pos) AS skus_activos
-        FROM fact_ventas""")
+        FROM {views['fact_ventas']}""")
 
 
 def q_neg_margin_summary_sql(spark, d):
     """The SKU summary through the SQL API over temp views: one aggregate per (SKU, store), whose
     losing stores decide by EXISTS which SKUs are listed, then a second aggregate over it. The fact
     is scanned and shuffled once."""
-    register_views(_staged_model(spark, d))
+    views = register_views(_model(spark, d))
     mean = lambda total, n: f"CAST(SUM({total}) AS DOUBLE) / CAST(SUM({n}) AS DOUBLE)"
     cents = lambda e: f"ROUND(({e}) * 100D, 0) / 100D"
     money = lambda e: f"CAST(ROUND(SUM({e}), 2) AS DOUBLE)"
@@ -343,7 +348,7 @@ def q_neg_margin_summary_sql(spark, d):
                  SUM(price) AS price, COUNT(price) AS n_price
           FROM (SELECT *, CAST(ROUND(try_divide(CAST(monto_mxn AS DOUBLE), CAST(cantidad AS DOUBLE)) * 1000000D, 0) / 1000000D
                                AS DECIMAL(24,6)) AS price
-                FROM fact_ventas WHERE margen_mxn IS NOT NULL AND costo_mxn IS NOT NULL)
+                FROM {views['fact_ventas']} WHERE margen_mxn IS NOT NULL AND costo_mxn IS NOT NULL)
           GROUP BY sku_pos, nombre, categoria, tienda_id),
         losing AS (SELECT sku_pos, tienda_id FROM per_store GROUP BY sku_pos, tienda_id HAVING SUM(margin) < 0)
         SELECT s.sku_pos, s.nombre, s.categoria,
@@ -446,6 +451,114 @@ def q_dq_ranges(spark, d):
     })
 
 
+# ---- the real formats, derived from the tables -----------------------------------------------
+
+def _shared(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _document(spark, d) -> dict[str, DataFrame]:
+    """The tables as one nested JSON document in part files, read back in byte ranges."""
+    path = _shared(spark, "inventory-document")
+    write_document({"tiendas_info": td.tiendas(spark, d), "sku_mappings": td.sku_map(spark, d),
+                    "catalogo.productos": td.catalog_products(spark, d), "snapshots": td.snapshots(spark, d)}, path)
+    return read_inventory_document(spark, path, range_bytes=8 << 20)
+
+
+def q_json_document_snapshots(spark, d):
+    return _document(spark, d)["snapshots"]
+
+
+def q_json_document_catalogue(spark, d):
+    return money_as_double(_document(spark, d)["catalogo"])
+
+
+def _dirty_sales(spark, d):
+    """POS lines as CSV files with broken lines, read back as good and rejected rows."""
+    path = _shared(spark, "sales-csv")
+    td.dirty_sales_lines(spark, d).write.text(path)
+    return read_sales_rescued(spark, path, header=False)
+
+
+def q_csv_sales_good(spark, d):
+    return money_as_double(_dirty_sales(spark, d).good)
+
+
+def q_csv_sales_bad(spark, d):
+    bad = _dirty_sales(spark, d).bad
+    return bad.select("linea", F.array_join(F.array_sort("motivos"), " ").alias("motivos"))
+
+
+def q_dirty_counts_junk(spark, d):
+    """Stock readings as decimals, junk, blanks, exponents and nothing."""
+    return clean_snapshots(td.junk_snapshots(spark, d))
+
+
+def q_latest_attributes_changing(spark, d):
+    """Names and categories that change and go missing along a product's history."""
+    return latest_attributes(td.changing_catalogue(spark, d))
+
+
+# ---- rules that the plain binding cannot tell apart ------------------------------------------
+
+def q_mom_midnight_rule(spark, d):
+    """Sales at all hours; the period ends at 00:00 of its last day."""
+    f = _model(spark, d).fact_ventas
+    f = f.withColumn("fecha", F.col("fecha") + F.make_dt_interval(F.lit(0), (F.col("cantidad") % 24).cast("int")))
+    return month_over_month(f, "1998-04-01", "1998-09-30", inclusive_end_day=False)
+
+
+def q_stockout_store_attributes(spark, d):
+    """The report with a store dimension that knows some of the stores."""
+    m, act = _inventory(spark, d)
+    return stockouts(m.fact_inventario, act, td.event_stores(spark, d))
+
+
+def q_stockout_runs_month_blocks(spark, d):
+    """Runs by a segmented scan over months."""
+    return stockout_runs(_model(spark, d).fact_inventario, block="month")
+
+
+def q_asof_event_locf_split(spark, d):
+    """The sorted strategy with every busy user cut at quantiles of their times."""
+    e = td.table(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    purchases = td.table(spark, d, "events").where(F.col("event_type") == "purchase").select(
+        "user_id", F.col("ts").alias("p_ts"), F.col("value").alias("last_purchase_value"))
+    return asof_locf(e, purchases, ["user_id"], "ts", "p_ts", ["last_purchase_value"], max_rows=8)
+
+
+def q_dq_ref_integrity_partial(spark, d):
+    """Stores with sales that a list of some stores lacks."""
+    some = td.table(spark, d, "supplier").where(F.col("s_acctbal") > 0).select(td.store_code("s_suppkey").alias("tienda_id"))
+    return dq.orphan_keys(_model(spark, d).fact_ventas.where(F.col("canal") == "fisico"), some, ["tienda_id"])
+
+
+def _kpi_states(spark, d):
+    fact = _model(spark, d).fact_ventas.select("fecha", "canal", "tienda_id", "sku_pos", "monto_mxn")
+    fact = stage_shared(fact, "kpi-facts")
+    return daily_states(fact, code_numbers(fact))
+
+
+def q_kpi_states_all(spark, d):
+    """The KPIs of all days, merged from daily states."""
+    return kpis_of(_kpi_states(spark, d))
+
+
+def q_kpi_states_period(spark, d):
+    return kpis_of(_kpi_states(spark, d), "1997-03-10", "1998-01-20")
+
+
+def q_dq_suite(spark, d):
+    """Every rule over the model, the rates and the answers: violations and the smallest key at fault."""
+    raw = td.load_sources(spark, d)
+    m = build_model(raw, stage_shared)
+    m = m._replace(fact_ventas=stage_shared(m.fact_ventas, "fact_ventas"), fact_inventario=stage_shared(m.fact_inventario, "fact_inventario"))
+    act = td.activity_sales(spark, d, m.dim_producto)
+    results = run_all(m, lookback_sales=act, stage=stage_shared)
+    checks = model_checks(m) + rate_checks(raw.ecommerce, raw.exchange_rates) + answer_checks(results, m)
+    return suite(checks).select("tabla", "regla", "violaciones", "primera_clave")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "net_sales_signed": q_net_sales_signed,
     "fx_daily_rate": q_fx_daily_rate,
@@ -501,4 +614,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_reconcile": q_dq_reconcile,
     "dq_coverage": q_dq_coverage,
     "dq_ranges": q_dq_ranges,
+    "json_document_snapshots": q_json_document_snapshots,
+    "json_document_catalogue": q_json_document_catalogue,
+    "csv_sales_good": q_csv_sales_good,
+    "csv_sales_bad": q_csv_sales_bad,
+    "dirty_counts_junk": q_dirty_counts_junk,
+    "latest_attributes_changing": q_latest_attributes_changing,
+    "mom_midnight_rule": q_mom_midnight_rule,
+    "stockout_store_attributes": q_stockout_store_attributes,
+    "stockout_runs_month_blocks": q_stockout_runs_month_blocks,
+    "asof_event_locf_split": q_asof_event_locf_split,
+    "dq_ref_integrity_partial": q_dq_ref_integrity_partial,
+    "kpi_states_all": q_kpi_states_all,
+    "kpi_states_period": q_kpi_states_period,
+    "dq_suite": q_dq_suite,
 }

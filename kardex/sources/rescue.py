@@ -41,12 +41,12 @@ def typed(text: Column, kind: T.DataType, timestamp_format: str) -> Column:
 
 
 def read_csv_rescued(spark: SparkSession, path: str, schema: T.StructType, required: tuple[str, ...] = (),
-                     timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> Rescued:
-    """Lines of CSV files with a header as ``schema``. A line is rejected if it has another number of
+                     timestamp_format: str = "yyyy-MM-dd HH:mm:ss", header: bool = True) -> Rescued:
+    """Lines of CSV files as ``schema`` (``header``: the first line of a file is one). A line is rejected if it has another number of
     fields, if a field that is not empty cannot be read, or if a ``required`` one is empty."""
     names = schema.fieldNames()
     fields = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField("_line", T.StringType())])
-    raw = (spark.read.schema(fields).option("header", "true").option("mode", "PERMISSIVE")
+    raw = (spark.read.schema(fields).option("header", str(header).lower()).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_line")
            .option("columnPruning", "false").csv(path))  # fields are counted whatever the query reads
     values = {f.name: typed(F.col(f.name), f.dataType, timestamp_format) for f in schema}
@@ -65,8 +65,8 @@ def read_csv_rescued(spark: SparkSession, path: str, schema: T.StructType, requi
     return Rescued(good, bad)
 
 
-def read_sales_rescued(spark: SparkSession, path: str) -> Rescued:
+def read_sales_rescued(spark: SparkSession, path: str, header: bool = True) -> Rescued:
     """Sales lines and the rejected ones."""
     from kardex.sources.files import SALES_SCHEMA
 
-    return read_csv_rescued(spark, path, SALES_SCHEMA, required=("venta_id", "fecha_hora", "sku", "cantidad", "monto"))
+    return read_csv_rescued(spark, path, SALES_SCHEMA, required=("venta_id", "fecha_hora", "sku", "cantidad", "monto"), header=header)

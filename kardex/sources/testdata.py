@@ -182,6 +182,48 @@ def snapshots(spark: SparkSession, sf_dir: str, calendar=SNAPSHOT_CALENDAR) -> D
                     F.col("n").cast("string").alias("cantidad_en_stock"))
 
 
+def junk_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot rows whose readings are dirty text by a rule on the user number: a decimal, junk, blanks around the
+    number, nothing, an empty text or an exponent."""
+    n, kind = F.col("cantidad_en_stock"), F.substring("sku_erp", 2, 20).cast("long") % 7
+    dirty = (F.when(kind == 0, F.concat(n, F.lit(".7"))).when(kind == 1, "n/a").when(kind == 2, F.concat(F.lit(" "), n, F.lit(" ")))
+             .when(kind == 3, F.lit(None).cast("string")).when(kind == 4, "").when(kind == 5, "1e2").otherwise(n))
+    return snapshots(spark, sf_dir).withColumn("cantidad_en_stock", dirty)
+
+
+def changing_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history of three rows per part, two of them on one day; names and categories change and go missing."""
+    part = table(spark, sf_dir, "part")
+    none = F.lit(None).cast("string")
+    steps = [("1996-01-01", F.col("p_name"), F.col("p_type")),
+             ("1998-07-01", F.when(F.col("p_size") % 2 == 1, F.upper("p_name")), none),
+             ("1998-07-01", F.when(F.col("p_size") % 3 != 0, F.concat("p_name", F.lit("-v3"))), F.when(F.col("p_size") % 5 == 0, F.lower("p_type")))]
+    rows = F.array(*[F.struct(F.lit(day).cast("date").alias("fecha_vigencia"), name.alias("nombre"), kind.alias("categoria"), F.lit(pos).alias("pos"))
+                     for pos, (day, name, kind) in enumerate(steps)])
+    return part.select(erp_code("p_partkey").alias("sku_erp"), F.inline(rows))
+
+
+def event_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store dimension over the events' stores that lacks one and has no region for some."""
+    stores = table(spark, sf_dir, "events").select("event_type").where(F.col("event_type") != "purchase").distinct()
+    return stores.select(F.col("event_type").alias("tienda_id"), F.upper("event_type").alias("ciudad"),
+                         F.when(F.length("event_type") % 2 == 0, "par").alias("region"), F.lit("UTC").alias("timezone"))
+
+
+def dirty_sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """POS lines as CSV text without a header; lines are broken by a rule on the order number: an unreadable count,
+    amount or time, no SKU, a field too few or too many."""
+    lines = order_lines(spark, sf_dir).where(F.col("o_orderpriority") != ONLINE_PRIORITY)
+    k = F.col("l_orderkey")
+    broken = lambda m, bad, good: F.when(k % m == 0, F.lit(bad)).otherwise(good)
+    fields = [_line_id("V"), broken(83, "31/31/2020", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")), store_code("l_suppkey"),
+              broken(71, "", sku_code("l_partkey")), broken(97, "n/a", F.col("l_quantity").cast("bigint").cast("string")),
+              broken(89, "abc", _money_amount().cast("string")), _map("l_returnflag", DOC_TYPE_BY_RETURNFLAG)]
+    line = (F.when(k % 79 == 0, F.concat_ws(",", *fields[:-1])).when(k % 101 == 0, F.concat_ws(",", *fields, F.lit("x")))
+            .otherwise(F.concat_ws(",", *fields)))
+    return lines.select(line.alias("value"))
+
+
 def clean_snapshots_of(spark: SparkSession, sf_dir: str, calendar=SNAPSHOT_CALENDAR) -> DataFrame:
     """Typed snapshots, as the ingest step delivers them (stock text coerced to BIGINT)."""
     from kardex.operators.conform import clean_snapshots
