@@ -24,9 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from kardex.operators import quality as dq
 from kardex.operators.conform import build_dim_tiendas
 from kardex.operators.quality import inventory_volume_metrics, sales_volume_metrics
+from kardex.operators.rules import assert_holds, suite
 from kardex.plans.analytics import Periods, direct_results, feeds, margin_results, run_all
+from kardex.plans.checks import REPORTED, model_checks, rate_checks
 from kardex.plans.model import Caches, Model, build_model, cache_stage, stage_all
 from kardex.session import build_session, ensure_checkpoint_dir
+from kardex.sinks import publish
 from kardex.sinks.tables import write_table
 from kardex.sources import testdata as td
 from kardex.sources.files import RawSources, load_all
@@ -133,16 +136,21 @@ def answer_and_write(model: Model, lookback: DataFrame | None, out_dir: str, per
         caches.release()
 
 
-def check_model(model: Model, volumes: dict) -> None:
-    """Quality rules of the model; a broken one fails the job. Counts come from the write itself."""
+def check_model(model: Model, volumes: dict, raw: RawSources | None = None, expected: dict[str, int] | None = None) -> list:
+    """Quality rules of the model and of the rates, one aggregation per table; a broken one fails the job,
+    apart from those that are only reported (``checks.REPORTED``). ``expected`` holds exact row counts, which
+    are compared with the counts of the write itself. Returns the report."""
     for name in ("fact_ventas", "fact_inventario"):
         if not volumes[name]["rows"]:
             raise ValueError(f"{name} is empty")
+    for name, n in (expected or {}).items():
+        if volumes[name]["rows"] != n:
+            raise ValueError(f"{name} has {volumes[name]['rows']} rows, not {n}")
     for name, required in REQUIRED.items():
         if absent := dq.missing_columns(getattr(model, name), required):
             raise ValueError(f"{name} lacks {absent}")
-    dq.assert_zero(dq.null_counts(model.fact_ventas, ["tienda_id", "cantidad", "monto_mxn"]), "nulls in fact_ventas")
-    dq.assert_zero(dq.duplicate_summary(model.dim_producto, ["product_id"]).select("claves_duplicadas"), "repeated product_id")
+    rules = model_checks(model) + (rate_checks(raw.ecommerce, raw.exchange_rates) if raw is not None else [])
+    return [r.asDict() for r in assert_holds(suite(rules), REPORTED)]
 
 
 REQUIRED = {
@@ -168,8 +176,9 @@ def answer_and_print(model: Model, lookback: DataFrame | None, periods: Periods
 
 
 def run_job(spark: SparkSession, sf_dir: str | None = None, output_dir: str | None = None, persist: bool = True,
-            periods: Periods = Periods(), concurrency: int = 4, raw: RawSources | None = None) -> dict:
-    """``raw`` (sources read from files) or the test tables in ``sf_dir``."""
+            periods: Periods = Periods(), concurrency: int = 4, raw: RawSources | None = None, expected: dict[str, int] | None = None) -> dict:
+    """``raw`` (sources read from files) or the test tables in ``sf_dir``. ``expected``: row counts that the
+    model's tables must have."""
     timings: dict = {}
     volumes: dict = {}
     base = output_dir if output_dir and persist else os.path.join(ensure_checkpoint_dir(spark), "kardex-job-" + uuid.uuid4().hex[:8])
@@ -178,7 +187,7 @@ def run_job(spark: SparkSession, sf_dir: str | None = None, output_dir: str | No
     try:
         with ThreadPoolExecutor(max_workers=concurrency) as pool:
             model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings, pool, volumes, raw, caches)
-            check_model(model, volumes)
+            quality = check_model(model, volumes, raw, expected)
             timings["model"] = round(time.time() - t0, 3)
             if persist:
                 counts = answer_and_write(model, lookback, os.path.join(base, "results"), periods, pool, timings, with_feeds=True)
@@ -187,7 +196,15 @@ def run_job(spark: SparkSession, sf_dir: str | None = None, output_dir: str | No
     finally:
         caches.release()
     timings["total"] = round(time.time() - t0, 3)
-    return {"output_dir": base, "timings": timings, "rows": counts, "volumes": volumes}
+    return {"output_dir": base, "timings": timings, "rows": counts, "volumes": volumes, "quality": quality}
+
+
+def run_and_publish(spark: SparkSession, root: str, **job) -> dict:
+    """The job into a fresh folder below ``root``, which readers see only once all of it is written and its rules
+    hold (``sinks.publish``)."""
+    out: dict = {}
+    version = publish.publish(spark, root, lambda folder: out.update(run_job(spark, output_dir=folder, **job)))
+    return {**out, "version": version}
 
 
 def main(argv=None):
@@ -198,6 +215,8 @@ def main(argv=None):
         ap.add_argument(f"--{name}", help=f"path of the {name} input (--source files)")
     ap.add_argument("--json-lines", action="store_true", help="the inventory input is JSON Lines")
     ap.add_argument("--output-dir", default=None)
+    ap.add_argument("--publish", action="store_true", help="write into a fresh version below the output folder and switch to it at the end")
+    ap.add_argument("--expect", nargs=2, action="append", metavar=("TABLE", "ROWS"), default=[], help="exact row count of a model table")
     ap.add_argument("--no-persist", action="store_true", help="answer and print, write no result tables")
     ap.add_argument("--master", default=None)
     ap.add_argument("--shuffle-partitions", type=int, default=None)
@@ -217,7 +236,13 @@ def main(argv=None):
     raw = load_all(spark, args.sales, args.rates, args.ecommerce, args.inventory, args.json_lines) if args.source == "files" else None
     periods = Periods(tuple(args.turnover), tuple(args.stockout), tuple(args.monthly), args.top_k, args.min_run_days,
                       args.lookback_days, not args.midnight_end)
-    print(run_job(spark, args.data_dir, args.output_dir, not args.no_persist, periods, raw=raw))
+    expected = {name: int(n) for name, n in args.expect}
+    if args.publish:
+        if not args.output_dir or args.no_persist:
+            ap.error("--publish needs --output-dir and writes the results")
+        print(run_and_publish(spark, args.output_dir, sf_dir=args.data_dir, periods=periods, raw=raw, expected=expected))
+    else:
+        print(run_job(spark, args.data_dir, args.output_dir, not args.no_persist, periods, raw=raw, expected=expected))
 
 
 if __name__ == "__main__":

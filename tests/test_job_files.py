@@ -99,3 +99,33 @@ def test_strategies_agree_with_nulls_and_ties(spark, fallback):
     for f in (asof_join, asof_locf):
         with pytest.raises(Exception, match="null time"):
             f(l, r, **how, on_null_time="raise").collect()
+
+
+def test_job_publishes_whole_versions(spark, folder, tmp_path):
+    """A run whose rules fail leaves the version before it in place."""
+    from kardex.plans.job import run_and_publish
+    from kardex.sinks import publish
+    from kardex.sources.files import load_all
+
+    root = str(tmp_path / "published")
+    raw = load_all(spark, **arguments(folder))
+    out = run_and_publish(spark, root, raw=raw, expected={"fact_ventas": 56})
+    assert {"tabla": "fact_ventas", "regla": "con_filas", "violaciones": 0, "primera_clave": None, "medida": 56.0} in out["quality"]
+    assert publish.read_table(spark, root, "model/fact_ventas").count() == 56
+    with pytest.raises(ValueError, match="fact_ventas has 56 rows, not 57"):
+        run_and_publish(spark, root, raw=raw, expected={"fact_ventas": 57})
+    assert publish.current(spark, root).endswith(out["version"])
+    assert publish.read_table(spark, root, "results/result_resumen").count() == 1
+
+
+def test_job_stops_at_a_broken_rule(spark, folder, tmp_path):
+    """Rates that begin after the first foreign order."""
+    from pyspark.sql import functions as F
+
+    from kardex.plans.job import run_job
+    from kardex.sources.files import load_all
+
+    raw = load_all(spark, **arguments(folder))
+    late = raw._replace(exchange_rates=raw.exchange_rates.where(F.col("fecha") > "2025-01-15"))
+    with pytest.raises(AssertionError, match="tasas.cubren_primera_orden: 1 .first USD"):
+        run_job(spark, output_dir=str(tmp_path / "late"), raw=late)
