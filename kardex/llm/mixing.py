@@ -14,8 +14,8 @@ passes come first; of the last, partial pass a document is taken if its middle l
 left, so a source misses its target by half a document at most.
 
 The running sum over a source is two-level: rows are in the order of a 64-bit hash, whose top bits
-are a bucket of about ``ROWS`` rows; sums per bucket are added up first, and the running sum of rows
-stays within a bucket. The order is that of the whole hash, so neither the number of buckets nor
+are a bucket: as many buckets as a bucket has rows, about the square root of their number. Sums per
+bucket are added up first, and the running sum of rows stays within a bucket. The order is that of the whole hash, so neither the number of buckets nor
 any setting of the session changes the result, and a source with a third of all rows is spread over
 all buckets. Equal rows are counted and take their places as one group, which is dealt out in blocks of
 ``COPIES``.
@@ -36,7 +36,6 @@ from pyspark.sql import types as T
 
 from kardex.llm.common import WORD, shuffle_partitions, stage
 
-ROWS = 20_000
 COPIES = 10_000
 
 
@@ -75,12 +74,16 @@ def targets(sizes: DataFrame, budget: float = 1.5, max_epochs: float = 2.0, weig
     return w.select(F.col("source"), "source_size", "weight", F.greatest(target, F.lit(0.0)).alias("target"), tilt.alias("tilt"))
 
 
+def bucket_bits(n: int) -> int:
+    return math.ceil(math.log2(max(1, n)) / 2)
+
+
 def place(sizes: DataFrame, by_source: DataFrame) -> DataFrame:
     """Staged, one row per group of equal rows: ``copies``, ``before`` (words of its source ahead of it),
     ``source_size``, ``target`` and ``tilt``."""
     by_source = stage(by_source, "targets").select(F.col("source").alias("t_source"), "source_size", "target", "tilt")
     groups = stage(sizes.groupBy("doc_id", "source", "size", "order").agg(F.count("*").alias("copies")), "groups")
-    bits = math.ceil(math.log2(max(1, groups.count() / ROWS)))
+    bits = bucket_bits(groups.count())
     groups = groups.withColumn("bucket", F.shiftright("order", 64 - bits) if bits else F.lit(0).cast("long"))
     words = F.col("size") * F.col("copies")
     # Sums of the buckets, added up within a source: as many rows as buckets, not as documents.

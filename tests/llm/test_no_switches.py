@@ -28,7 +28,7 @@ def test_mix_is_the_same_under_any_partitioning(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5).cache()
     want = mixed(spark, docs, 4)
     assert mixed(spark, docs, 8) == want == mixed(spark, docs, 60)
-    monkeypatch.setattr(mixing, "ROWS", 700)
+    monkeypatch.setattr(mixing, "bucket_bits", lambda n: 3)
     monkeypatch.setattr(mixing, "COPIES", 64)
     assert mixed(spark, docs, 8) == want
     docs.unpersist()
