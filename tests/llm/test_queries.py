@@ -199,6 +199,69 @@ def test_license_passage_with_edits():
     assert index.places([]) == []
 
 
+def brute_labels(index, words):
+    """Labels from the definition: every template at every place."""
+    from kardex.llm import licenses as li
+
+    held = set(words)
+    ranked = sorted((w for w in {w for t in index.templates if (t.words,) != t.keys for w in t.words} if w in held), key=lambda w: (-index.idf[w], w))
+    chosen = set(ranked[:li.FILE_WORDS])
+    out = set()
+    for t in index.templates:
+        n = len(t.words)
+        if (t.words,) == t.keys:
+            if any(tuple(words[o:o + n]) == t.words for o in range(len(words) - n + 1)):
+                out.add(t.label)
+            continue
+        for o in range(-n, len(words)):
+            near = {w for q, w in enumerate(t.words) if w in chosen for x in range(o, o + li.SLACK + 1) if 0 <= x + q < len(words) and words[x + q] == w}
+            lo, hi = max(0, o - li.SLACK), max(0, o + n + 2 * li.SLACK)
+            inside = words[lo:hi]
+            if len(near) >= li.AGREE and all(any(tuple(inside[p:p + len(k)]) == k for p in range(len(inside) - len(k) + 1)) for k in t.keys):
+                out.add(t.label)
+                break
+    return out
+
+
+def test_license_labels_by_brute_force():
+    """Identifiers, notices and passages, whole, edited, cut and mixed into prose of their own words."""
+    import random
+
+    from kardex.llm import licenses as li
+
+    rng = random.Random(2)
+    index = li.Index(5000, {b"the": 4000, b"of": 3900, b"to": 3800, b"and": 3700, b"license": 90, b"software": 300, b"copyright": 40})
+    every = sorted(index.idf)
+    seen = set()
+    for n in range(400):
+        words = []
+        for _ in range(rng.randint(1, 5)):
+            words += rng.choices(every if n % 3 else [b"lorem", b"the", b"of"], k=rng.randint(0, 25))
+            t = list(rng.choice(index.templates).words)
+            for _ in range(rng.choice((0, 0, 1, 3))):
+                at = rng.randrange(len(t))
+                t[at:at + rng.choice((0, 1, 2))] = rng.choices(every, k=rng.choice((0, 1)))
+                t = t or [b"x"]
+            words += t[rng.choice((0, 0, 2)):]
+        got = {index.templates[i].label for i, _, _ in index.places(words)}
+        assert got == brute_labels(index, words)
+        seen |= got
+    assert len(seen) > 15
+
+
+def test_license_identifiers_and_bodies():
+    from kardex.llm.licenses import Index, words_of
+
+    index = Index(1000, {b"the": 900})
+    labels = lambda text: {index.templates[i].label for i, _, _ in index.places(words_of(text))}
+    assert labels("// SPDX-License-Identifier: Apache-2.0\nint main;") == {"apache-2"}
+    assert labels("# SPDX-License-Identifier: GPL-3.0-only") == {"gpl-3"} and labels("SPDX-License-Identifier: BSD-3-Clause") == {"bsd-3"}
+    assert labels("SPDX-License-Identifier: CC-BY-NC-4.0") == {"cc-by-nc"} and labels("the spdx license list and its identifier") == set()
+    body = ("Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+            "in the documentation and/or other materials provided with the distribution.")
+    assert labels("x " * 500 + body + " y" * 500) == {"bsd"}
+
+
 def brute_stats(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     seen = defaultdict(list)
