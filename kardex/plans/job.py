@@ -30,6 +30,7 @@ from kardex.plans.checks import REPORTED, model_checks, rate_checks
 from kardex.plans.model import Caches, Model, build_model, cache_stage, stage_all
 from kardex.session import build_session, ensure_checkpoint_dir
 from kardex.sinks import publish
+from kardex.sinks.layout import write_clustered
 from kardex.sinks.tables import write_table
 from kardex.sources import testdata as td
 from kardex.sources.files import RawSources, load_all
@@ -43,6 +44,10 @@ LAYOUT = {
 }
 
 
+# Tables along a curve over day, SKU and store, for filters on any of them; bloom filters serve single ids.
+ACCESS_COLUMNS = ["fecha", "sku_pos", "tienda_id"]
+ACCESS_IDS = ["sku_pos", "product_id", "tienda_id"]
+
 MODEL_TABLES = {"fact_ventas", "fact_inventario", "dim_producto", "dim_tiendas", "dim_catalogo"}
 # intermediates landed as tables too: large and read by several stages (lineage cut, no
 # executor-local copies of a big join)
@@ -176,9 +181,10 @@ def answer_and_print(model: Model, lookback: DataFrame | None, periods: Periods
 
 
 def run_job(spark: SparkSession, sf_dir: str | None = None, output_dir: str | None = None, persist: bool = True,
-            periods: Periods = Periods(), concurrency: int = 4, raw: RawSources | None = None, expected: dict[str, int] | None = None) -> dict:
+            periods: Periods = Periods(), concurrency: int = 4, raw: RawSources | None = None, expected: dict[str, int] | None = None,
+            access_paths: bool = False) -> dict:
     """``raw`` (sources read from files) or the test tables in ``sf_dir``. ``expected``: row counts that the
-    model's tables must have."""
+    model's tables must have. ``access_paths``: the facts once more, clustered (``access/``)."""
     timings: dict = {}
     volumes: dict = {}
     base = output_dir if output_dir and persist else os.path.join(ensure_checkpoint_dir(spark), "kardex-job-" + uuid.uuid4().hex[:8])
@@ -189,6 +195,10 @@ def run_job(spark: SparkSession, sf_dir: str | None = None, output_dir: str | No
             model, lookback = build_staged_model(spark, sf_dir, os.path.join(base, "model"), timings, pool, volumes, raw, caches)
             quality = check_model(model, volumes, raw, expected)
             timings["model"] = round(time.time() - t0, 3)
+            if access_paths:
+                for name in ("fact_ventas", "fact_inventario"):
+                    write_clustered(getattr(model, name), os.path.join(base, "access", name), ACCESS_COLUMNS, bloom=ACCESS_IDS)
+                timings["access"] = round(time.time() - t0 - timings["model"], 3)
             if persist:
                 counts = answer_and_write(model, lookback, os.path.join(base, "results"), periods, pool, timings, with_feeds=True)
             else:
@@ -216,6 +226,7 @@ def main(argv=None):
     ap.add_argument("--json-lines", action="store_true", help="the inventory input is JSON Lines")
     ap.add_argument("--output-dir", default=None)
     ap.add_argument("--publish", action="store_true", help="write into a fresh version below the output folder and switch to it at the end")
+    ap.add_argument("--access-paths", action="store_true", help="write the facts clustered by day, SKU and store as well")
     ap.add_argument("--expect", nargs=2, action="append", metavar=("TABLE", "ROWS"), default=[], help="exact row count of a model table")
     ap.add_argument("--no-persist", action="store_true", help="answer and print, write no result tables")
     ap.add_argument("--master", default=None)
@@ -240,9 +251,9 @@ def main(argv=None):
     if args.publish:
         if not args.output_dir or args.no_persist:
             ap.error("--publish needs --output-dir and writes the results")
-        print(run_and_publish(spark, args.output_dir, sf_dir=args.data_dir, periods=periods, raw=raw, expected=expected))
+        print(run_and_publish(spark, args.output_dir, sf_dir=args.data_dir, periods=periods, raw=raw, expected=expected, access_paths=args.access_paths))
     else:
-        print(run_job(spark, args.data_dir, args.output_dir, not args.no_persist, periods, raw=raw, expected=expected))
+        print(run_job(spark, args.data_dir, args.output_dir, not args.no_persist, periods, raw=raw, expected=expected, access_paths=args.access_paths))
 
 
 if __name__ == "__main__":

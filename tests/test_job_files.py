@@ -109,7 +109,9 @@ def test_job_publishes_whole_versions(spark, folder, tmp_path):
 
     root = str(tmp_path / "published")
     raw = load_all(spark, **arguments(folder))
-    out = run_and_publish(spark, root, raw=raw, expected={"fact_ventas": 56})
+    out = run_and_publish(spark, root, raw=raw, expected={"fact_ventas": 56}, access_paths=True)
+    model, access = (publish.read_table(spark, root, f"{kind}/fact_ventas") for kind in ("model", "access"))
+    assert access.columns == model.columns and sorted(map(tuple, access.collect()), key=repr) == sorted(map(tuple, model.collect()), key=repr)
     assert {"tabla": "fact_ventas", "regla": "con_filas", "violaciones": 0, "primera_clave": None, "medida": 56.0} in out["quality"]
     assert publish.read_table(spark, root, "model/fact_ventas").count() == 56
     with pytest.raises(ValueError, match="fact_ventas has 56 rows, not 57"):
