@@ -35,6 +35,7 @@ from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -176,14 +177,20 @@ def gram_lists(words: DataFrame, dictionary: dict[str, int], min_length: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams(dictionary)
-        for b in slices(batches, "word", 64 << 10):
-            rows = []
-            for word, n in zip(b.column("word").to_pylist(), b.column("n").to_pylist()):
+        for b in slices(batches, "word", 16 << 10):
+            keys: list[str] = []
+            at, longer, ends = [], [], []  # of each run of keys: the word's row, its side, where it ends
+            for i, word in enumerate(b.column("word").to_pylist()):
                 for base in range(max(min_length, len(word) - 1), len(word) + 1):
                     for p, e in grams.rarest(word, base):
-                        rows.extend((key, len(word) > base, word, n) for key in keys_of(word, base, p, e))
-            cols = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.bool_(), pa.string(), pa.int64()))], ["key", "longer", "word", "n"])
+                        keys.extend(keys_of(word, base, p, e))
+                    at.append(i)
+                    longer.append(len(word) > base)
+                    ends.append(len(keys))
+            many = np.diff(ends, prepend=0)
+            row = pa.array(np.repeat(np.array(at, np.int64), many))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(np.repeat(np.array(longer, bool), many)),
+                                              b.column("word").take(row), b.column("n").take(row)], ["key", "longer", "word", "n"])
 
     return words.mapInArrow(run, "key string, longer boolean, word string, n long").withColumn("key", F.xxhash64("key"))
 
