@@ -16,11 +16,15 @@ STOCKOUT_COLUMNS = ["tienda_id", "ciudad", "region", "sku_pos", "inicio_quiebre"
                     "avg_unidades_diarias_14d", "ventas_perdidas_estimadas"]
 
 
-def running_total(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, block: str = "year") -> DataFrame:
+def running_total(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, block: str | None = None) -> DataFrame:
     """Sum of ``value`` over the rows of a key up to each row, in ``order`` (the first is a date).
 
-    Two levels, as an associative scan: rows run within their (key, ``block`` of time), totals of the
-    blocks run over the blocks of a key. A key with a long history is spread over its blocks."""
+    Without ``block`` a key is one window group, which is right where its rows are days. With it the sum has two
+    levels, as an associative scan: rows run within their (key, ``block`` of time), totals of the blocks run
+    over the blocks of a key, so a key with a history of any length is spread over its blocks. That reads ``df`` twice."""
+    if block is None:
+        rows = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.sum(value).over(rows))
     cut = df.withColumn("_bloque", F.trunc(order[0], block))
     totals = cut.groupBy(*[F.col(k).alias("_t_" + k) for k in keys], F.col("_bloque").alias("_t_bloque")).agg(F.sum(value).alias("_total"))
     earlier = Window.partitionBy(*["_t_" + k for k in keys]).orderBy("_t_bloque").rowsBetween(Window.unboundedPreceding, -1)
@@ -34,7 +38,7 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], value: str,
 
 
 def stockout_runs(fact_inventario: DataFrame, start=None, end=None, min_days: int = 3,
-                  calendar: bool = False, block: str = "year") -> DataFrame:
+                  calendar: bool = False, block: str | None = None) -> DataFrame:
     """Runs of zero-stock snapshots per (store, SKU), clipped to the period, of at least
     ``min_days`` rows.
 
@@ -43,9 +47,9 @@ def stockout_runs(fact_inventario: DataFrame, start=None, end=None, min_days: in
     ``calendar=True``: runs are consecutive calendar days (day number minus its rank).
 
     Snapshots are first counted per (store, SKU, day), which is all that the island id depends on:
-    a pair with a third of all rows shrinks to its days while it is read. The running count is a
-    segmented scan over (pair, ``block``), so a long history is spread as well, and a run is put together
-    from its days wherever they were counted.
+    a pair with a third of all rows shrinks to its days while it is read, and a window group holds days, not
+    rows. ``block`` (a ``trunc`` unit) makes the running count a segmented scan over (pair, block), for
+    histories that are long even so; a run is put together from its days wherever they were counted.
     """
     inv = fact_inventario.where(date_between("fecha", start, end) & F.col("sku_pos").isNotNull())
     en_quiebre = F.coalesce(F.col("cantidad_en_stock") == 0, F.lit(False))

@@ -163,7 +163,7 @@ def test_runs_of_a_hot_pair_over_blocks(spark):
         return out
 
     for calendar in (False, True):
-        for block in ("year", "month"):
+        for block in (None, "year", "month"):
             got = stockout_runs(inv, calendar=calendar, block=block).collect()
             assert {(r["tienda_id"], r["sku_pos"], r["inicio_quiebre"], r["fin_quiebre"], r["dias_en_quiebre"]) for r in got} == brute(calendar)
             assert len(got) == len(brute(calendar))
