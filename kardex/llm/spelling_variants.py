@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kardex.llm.common import shuffle_partitions, slices, stage, text_or_empty
+from kardex.llm.common import slices, stage, text_or_empty
 
 MIN_GRAM, MAX_GRAM = 2, 6
 MIN_LIST, MAX_GRAMS = 64, 50_000
@@ -201,7 +201,7 @@ def near_pairs(words: DataFrame, min_length: int = 7) -> DataFrame:
         raise ValueError(f"words need {2 * MIN_GRAM} letters: a shorter one may lose all its grams to one edit")
     words = words.where(F.length("word") >= min_length)
     # Words are short and their decomposition is work: tasks by number of words, not by bytes.
-    tasks = max(shuffle_partitions(words.sparkSession), -(-words.count() // WORDS))
+    tasks = max(1, -(-words.count() // WORDS))
     lists = stage(gram_lists(words.repartition(tasks, "word"), gram_dictionary(words), min_length), "gram-lists")
     # Which side is the shorter word is asked of both at once, so that neither side is filtered by itself
     # and one shuffle serves both.
