@@ -231,15 +231,19 @@ def build_fact_ventas_con_costo(fact_ventas: DataFrame, catalogo: DataFrame, dim
     back to the earliest. Name and category come from the matched catalogue row the same way.
     ``strategy``: "intervals" (join; cost histories are short per SKU), "sorted" (skew-safe on
     both sides, for long histories per key) or "auto" (measured by ``choose_strategy``).
+
+    Histories get their SKUs before they meet the sales: both joins then are on the SKU, so the facts
+    are shuffled once, and aggregates per SKU find them in place.
     """
     by_sku = unique_lookup(dim_producto, "sku_pos", ["product_id", "sku_erp"], on_duplicate="raise")
-    fv = fact_ventas.join(by_sku, "sku_pos", "left")
     cat = catalogo.select("sku_erp", "fecha_vigencia", "pos", "costo_mxn", "nombre", "categoria")
     if strategy == "auto":
         strategy = choose_strategy(cat, ["sku_erp"])
     asof = asof_join if strategy == "intervals" else asof_locf
-    fv = asof(fv, cat, ["sku_erp"], "fecha", "fecha_vigencia", ["costo_mxn", "nombre", "categoria"],
+    history = cat.join(by_sku.select("sku_pos", "sku_erp"), "sku_erp").drop("sku_erp")
+    fv = asof(fact_ventas, history, ["sku_pos"], "fecha", "fecha_vigencia", ["costo_mxn", "nombre", "categoria"],
               tiebreak=["pos"], fallback_first=True)
+    fv = fv.join(by_sku, "sku_pos", "left")
     costo_total = (F.col("costo_mxn") * F.col("cantidad")).cast(MONEY)
     margen = (F.col("monto_mxn") - costo_total).cast(MONEY)
     return fv.select("order_id", "fecha", "tienda_id", "product_id", "sku_pos", "sku_erp", "canal", "cantidad",

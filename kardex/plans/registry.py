@@ -33,6 +33,7 @@ from kardex.plans.model import Model, build_model, no_stage
 from kardex.session import ensure_checkpoint_dir
 from kardex.sinks.staging import stage_shared
 from kardex.sources import testdata as td
+from kardex.sources.files import RawSources
 from kardex.sources.json_document import read_inventory_document, write_document
 from kardex.sources.rescue import read_sales_rescued
 
@@ -49,6 +50,17 @@ def _model(spark: SparkSession, d: str) -> Model:
     return build_model(td.load_sources(spark, d), no_stage)
 
 
+def _sales_sources(spark: SparkSession, d: str) -> RawSources:
+    """The sources with the joined order lines landed once: the facts of both channels and the product
+    dimension read them, each with other columns, so one plan would join orders and lines for each."""
+    return td.load_sources(spark, d, stage=stage_shared)
+
+
+def _sales_model(spark: SparkSession, d: str) -> Model:
+    """The model for queries over the sales fact."""
+    return build_model(_sales_sources(spark, d), no_stage)
+
+
 def _inventory(spark: SparkSession, d: str) -> tuple[Model, DataFrame]:
     m = _model(spark, d)
     return m, td.activity_sales(spark, d, m.dim_producto)
@@ -80,12 +92,12 @@ def q_unified_sales_union(spark, d):
 
 
 def q_asof_cost_margin(spark, d):
-    return money_as_double(_model(spark, d).fact_ventas)
+    return money_as_double(_sales_model(spark, d).fact_ventas)
 
 
 def q_asof_cost_margin_sorted(spark, d):
     """The cost in force through the sort-based (skew-safe) as-of strategy."""
-    raw = td.load_sources(spark, d)
+    raw = _sales_sources(spark, d)
     m = build_model(raw, no_stage)
     fact = build_fact_ventas(transform_sales(raw.sales),
                              transform_ecommerce(raw.ecommerce, m.dim_producto, raw.exchange_rates))
@@ -139,12 +151,12 @@ def q_dirty_numeric_coerce(spark, d):
 # ---- analytics -------------------------------------------------------------------------------
 
 def q_turnover_top10(spark, d):
-    m = _model(spark, d)
+    m = _sales_model(spark, d)
     return turnover_top(m.fact_ventas, m.fact_inventario, k=10)
 
 
 def q_turnover_all(spark, d):
-    m = _model(spark, d)
+    m = _sales_model(spark, d)
     return turnover(m.fact_ventas, m.fact_inventario)
 
 
@@ -174,79 +186,79 @@ def q_stockout_lost_sales_period(spark, d):
 
 def q_stockout_lost_sales_model_facts(spark, d):
     """Lookback over the model's own sales fact (no sales on the snapshot days -> zero)."""
-    m = _model(spark, d)
+    m = _sales_model(spark, d)
     return stockouts(m.fact_inventario, m.fact_ventas, m.dim_tiendas)
 
 
 def q_mom_channel(spark, d):
-    return month_over_month(_model(spark, d).fact_ventas)
+    return month_over_month(_sales_model(spark, d).fact_ventas)
 
 
 def q_mom_channel_period(spark, d):
     """One year of months; the month-end rule of the period filter applies."""
-    return month_over_month(_model(spark, d).fact_ventas, "1998-04-01", "1999-03-31")
+    return month_over_month(_sales_model(spark, d).fact_ventas, "1998-04-01", "1999-03-31")
 
 
 def q_last3_months_by_channel(spark, d):
-    return last_months_by_channel(month_over_month(_model(spark, d).fact_ventas), 3)
+    return last_months_by_channel(month_over_month(_sales_model(spark, d).fact_ventas), 3)
 
 
 def q_monthly_share(spark, d):
-    return monthly_share(month_over_month(_model(spark, d).fact_ventas))
+    return monthly_share(month_over_month(_sales_model(spark, d).fact_ventas))
 
 
 def q_channel_share(spark, d):
-    return channel_share(_model(spark, d).fact_ventas)
+    return channel_share(_sales_model(spark, d).fact_ventas)
 
 
 def q_national_price(spark, d):
-    return national_price(margin_base(_model(spark, d).fact_ventas))
+    return national_price(margin_base(_sales_model(spark, d).fact_ventas))
 
 
 def q_neg_margin_detail(spark, d):
-    m = _model(spark, d)
+    m = _sales_model(spark, d)
     return negative_margin(m.fact_ventas, m.dim_tiendas).detalle_por_tienda
 
 
 def q_neg_margin_summary(spark, d):
-    return margin_summary(margin_base(_model(spark, d).fact_ventas))
+    return margin_summary(margin_base(_sales_model(spark, d).fact_ventas))
 
 
 def q_neg_margin_systemic(spark, d):
-    m = _model(spark, d)
+    m = _sales_model(spark, d)
     return negative_margin(m.fact_ventas, m.dim_tiendas).resumen_sistemico
 
 
 def q_neg_margin_mixed(spark, d):
-    m = _model(spark, d)
+    m = _sales_model(spark, d)
     return negative_margin(m.fact_ventas, m.dim_tiendas).resumen_mixto.drop("tiendas_negativas")
 
 
 def q_mixed_affected_stores(spark, d):
-    m = _model(spark, d)
+    m = _sales_model(spark, d)
     return flatten_affected(negative_margin(m.fact_ventas, m.dim_tiendas).resumen_mixto)
 
 
 def q_top5_systemic(spark, d):
-    m = _model(spark, d)
+    m = _sales_model(spark, d)
     return top_systemic(negative_margin(m.fact_ventas, m.dim_tiendas).resumen_sistemico, 5)
 
 
 def q_exec_kpis(spark, d):
-    return executive_kpis(_model(spark, d).fact_ventas)
+    return executive_kpis(_sales_model(spark, d).fact_ventas)
 
 
 def q_dashboard_totals(spark, d):
-    return dashboard_totals(_model(spark, d).fact_ventas)
+    return dashboard_totals(_sales_model(spark, d).fact_ventas)
 
 
 def q_exec_kpis_report(spark, d):
-    return kpi_report(executive_kpis(_model(spark, d).fact_ventas))
+    return kpi_report(executive_kpis(_sales_model(spark, d).fact_ventas))
 
 
 def q_conditional_pivot(spark, d):
     """Monthly units per channel side by side (pivot with fixed values; 0 when absent)."""
-    f = _model(spark, d).fact_ventas
+    f = _sales_model(spark, d).fact_ventas
     p = f.groupBy(F.date_format("fecha", "yyyy-MM").alias("mes")).pivot("canal", ["fisico", "ecommerce"]).agg(
         F.sum("cantidad"))
     return p.select("mes", F.coalesce(F.col("fisico"), F.lit(0)).cast("bigint").alias("unidades_fisico"),
@@ -272,7 +284,7 @@ def q_semi_anti_keys(spark, d):
 
 
 def q_top3_turnover(spark, d):
-    m = _model(spark, d)
+    m = _sales_model(spark, d)
     return turnover_top(m.fact_ventas, m.fact_inventario, k=3)
 
 
@@ -322,7 +334,7 @@ def register_views(model: Model) -> dict[str, str]:
 
 def q_exec_kpis_sql(spark, d):
     """The KPIs through the SQL API over temp views (filtered aggregates, one scan)."""
-    views = register_views(_model(spark, d))
+    views = register_views(_sales_model(spark, d))
     return spark.sql(f"""
         SELECT CAST(ROUND(SUM(monto_mxn), 2) AS DOUBLE) AS total_ventas_mxn,
                CAST(ROUND(SUM(monto_mxn) FILTER (WHERE canal = 'fisico'), 2) AS DOUBLE) AS ventas_fisicas_mxn,
@@ -337,7 +349,7 @@ def q_neg_margin_summary_sql(spark, d):
     """The SKU summary through the SQL API over temp views: one aggregate per (SKU, store), whose
     losing stores decide by EXISTS which SKUs are listed, then a second aggregate over it. The fact
     is scanned and shuffled once."""
-    views = register_views(_model(spark, d))
+    views = register_views(_sales_model(spark, d))
     mean = lambda total, n: f"CAST(SUM({total}) AS DOUBLE) / CAST(SUM({n}) AS DOUBLE)"
     cents = lambda e: f"ROUND(({e}) * 100D, 0) / 100D"
     money = lambda e: f"CAST(ROUND(SUM({e}), 2) AS DOUBLE)"
@@ -386,7 +398,7 @@ def q_dq_rate_coverage(spark, d):
 def q_dq_domain(spark, d):
     """Domain rules (DQ7) as (regla, valor) rows: channel values, the virtual store, both
     unmapped families present, no null product id."""
-    m = _model(spark, d)
+    m = _sales_model(spark, d)
     parts = [
         m.fact_ventas.agg(F.count_if(~F.col("canal").isin("fisico", "ecommerce")).alias("v")).select(
             F.lit("canal_invalido").alias("regla"), "v"),
@@ -407,11 +419,11 @@ def q_dq_domain(spark, d):
 
 def q_dq_share_per_month(spark, d):
     """Months whose channel rows disagree on the online share (expected: none)."""
-    return dq.distinct_per_group(month_over_month(_model(spark, d).fact_ventas), "mes", "share_ecommerce_pct")
+    return dq.distinct_per_group(month_over_month(_sales_model(spark, d).fact_ventas), "mes", "share_ecommerce_pct")
 
 
 def q_dq_nulls(spark, d):
-    f = _model(spark, d).fact_ventas
+    f = _sales_model(spark, d).fact_ventas
     return dq.null_counts(f, ["order_id", "fecha", "tienda_id", "product_id", "sku_pos", "cantidad", "monto_mxn",
                               "costo_mxn", "margen_mxn"])
 
@@ -422,12 +434,12 @@ def q_dq_unique(spark, d):
 
 def q_dq_ref_integrity(spark, d):
     """Physical-sales stores without inventory snapshots (expected: all, stores differ)."""
-    m = _model(spark, d)
+    m = _sales_model(spark, d)
     return dq.orphan_keys(m.fact_ventas.where(F.col("canal") == "fisico"), m.fact_inventario, ["tienda_id"])
 
 
 def q_dq_reconcile(spark, d):
-    f = _model(spark, d).fact_ventas.where(F.col("costo_mxn").isNotNull())
+    f = _sales_model(spark, d).fact_ventas.where(F.col("costo_mxn").isNotNull())
     diff = F.abs(F.col("monto_mxn") - F.col("costo_total_mxn") - F.col("margen_mxn"))
     return f.agg(F.max(diff).cast("double").alias("max_diff_margen"),
                  F.count(F.lit(1)).cast("bigint").alias("filas_con_costo"))
@@ -442,7 +454,7 @@ def q_dq_coverage(spark, d):
 
 def q_dq_ranges(spark, d):
     """Range and sign rules of the results, as violation counts."""
-    m = _model(spark, d)
+    m = _sales_model(spark, d)
     t = turnover(m.fact_ventas, m.fact_inventario)
     return dq.count_violations(t, {
         "rotacion_no_positiva": F.col("rotacion_extendida") > 0,
@@ -503,7 +515,7 @@ def q_latest_attributes_changing(spark, d):
 
 def q_mom_midnight_rule(spark, d):
     """Sales at all hours; the period ends at 00:00 of its last day."""
-    f = _model(spark, d).fact_ventas
+    f = _sales_model(spark, d).fact_ventas
     f = f.withColumn("fecha", F.col("fecha") + F.make_dt_interval(F.lit(0), (F.col("cantidad") % 24).cast("int")))
     return month_over_month(f, "1998-04-01", "1998-09-30", inclusive_end_day=False)
 
@@ -530,11 +542,11 @@ def q_asof_event_locf_split(spark, d):
 def q_dq_ref_integrity_partial(spark, d):
     """Stores with sales that a list of some stores lacks."""
     some = td.table(spark, d, "supplier").where(F.col("s_acctbal") > 0).select(td.store_code("s_suppkey").alias("tienda_id"))
-    return dq.orphan_keys(_model(spark, d).fact_ventas.where(F.col("canal") == "fisico"), some, ["tienda_id"])
+    return dq.orphan_keys(_sales_model(spark, d).fact_ventas.where(F.col("canal") == "fisico"), some, ["tienda_id"])
 
 
 def _kpi_states(spark, d):
-    fact = _model(spark, d).fact_ventas.select("fecha", "canal", "tienda_id", "sku_pos", "monto_mxn")
+    fact = _sales_model(spark, d).fact_ventas.select("fecha", "canal", "tienda_id", "sku_pos", "monto_mxn")
     fact = stage_shared(fact, "kpi-facts")
     return daily_states(fact, code_numbers(fact))
 
@@ -550,7 +562,7 @@ def q_kpi_states_period(spark, d):
 
 def q_dq_suite(spark, d):
     """Every rule over the model, the rates and the answers: violations and the smallest key at fault."""
-    raw = td.load_sources(spark, d)
+    raw = _sales_sources(spark, d)
     m = build_model(raw, stage_shared)
     m = m._replace(fact_ventas=stage_shared(m.fact_ventas, "fact_ventas"), fact_inventario=stage_shared(m.fact_inventario, "fact_inventario"))
     act = td.activity_sales(spark, d, m.dim_producto)

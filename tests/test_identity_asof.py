@@ -165,3 +165,25 @@ def test_instant_is_dealt_over_buckets(spark):
     sizes = [r["count"] for r in asof._with_bucket(side, "auto", splits, ["_k0"]).groupBy("_b").count().collect()]
     assert len(sizes) >= 15 and max(sizes) < 300
     assert {r["v"] for r in asof_locf(left, right, ["k"], "t", "rt", ["v"], max_rows=100).collect()} == {7.0}
+
+
+def test_facts_are_shuffled_once_for_cost_and_margin(spark):
+    """Lookup, cost in force and the aggregates per SKU share one shuffle of the sales."""
+    sku_map = spark.createDataFrame([("P1", "E1", "PRD-P1"), ("P2", "E1", "PRD-P2"), ("P3", None, "PRD-P3")], "sku_pos string, sku_erp string, product_id string")
+    cat = spark.createDataFrame([("E1", "uno", "c", d("2025-01-01"), dec(3), "p", 0), ("E1", "uno", "c", d("2025-02-01"), dec(5), "p", 1)], CAT)
+    rows = [(f"o{i}", ts(t), "T1", s, 1, dec(4), "fisico") for i, (t, s) in enumerate(
+        [("2024-12-01", "P1"), ("2025-01-31", "P1"), ("2025-02-01", "P2"), ("2025-03-01", "P3"), ("2025-03-01", None), ("2025-03-01", "P9")])]
+    rows.append(("o6", None, "T1", "P1", 1, dec(4), "fisico"))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        priced = build_fact_ventas_con_costo(_fact(spark, rows), cat, sku_map, strategy="intervals")
+        sums = priced.where("margen_mxn is not null").groupBy("sku_pos", "nombre", "tienda_id").agg({"margen_mxn": "sum"})
+        plan = sums._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        fact_side = [line for line in plan.splitlines() if "Exchange" in line and "tienda_id" in line]
+        assert sum("Exchange hashpartitioning" in line for line in plan.splitlines()) <= 7 and not fact_side
+        got = {r["order_id"]: (r["product_id"], r["sku_erp"], r["costo_mxn"]) for r in priced.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert got == {"o0": ("PRD-P1", "E1", dec(3)), "o1": ("PRD-P1", "E1", dec(3)), "o2": ("PRD-P2", "E1", dec(5)), "o3": ("PRD-P3", None, None),
+                   "o4": (None, None, None), "o5": (None, None, None), "o6": ("PRD-P1", "E1", None)}
