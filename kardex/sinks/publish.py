@@ -64,7 +64,8 @@ def publish(spark: SparkSession, root: str, write: Callable[[str], None], check:
     """``write(folder)`` writes tables into a fresh folder, ``check(table)`` may raise over what was written
     (``table(name)`` reads it back), then the folder becomes the current version. Returns its name."""
     store = Store(spark, root)
-    version = f"{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:8]}"
+    now = time.time_ns()  # names follow the order of publishing also within a second
+    version = f"{time.strftime('%Y%m%dT%H%M%S', time.gmtime(now // 10**9))}.{now % 10**9:09d}-{uuid.uuid4().hex[:8]}"
     folder = f"{store.root}/versions/{version}"
     write(folder)
     if check is not None:
