@@ -4,7 +4,8 @@ systemic / mixed split (OP16) and the nested list of affected stores (OP17).
 All five outputs come from ONE aggregate of the sales fact at (SKU, name, category, store,
 channel) grain. Every later step works on that aggregate, whose size is bounded by
 SKUs x stores x channels, so a hot SKU is collapsed by the map-side partial aggregation before
-any shuffle.
+any shuffle. ``margin_by_sku`` brings its groups together by SKU once, for detail and summary;
+staged facts without a hot SKU meet by SKU before the aggregate (``meet_by_sku``).
 """
 
 from __future__ import annotations
@@ -72,6 +73,17 @@ def margin_base(fact_ventas: DataFrame) -> DataFrame:
     )
 
 
+# Rows of a SKU that one task adds up; with a SKU beyond it the groups are formed before they meet by SKU.
+MAX_ROWS_PER_SKU = 2_000_000
+
+
+def meet_by_sku(fact_ventas: DataFrame) -> DataFrame:
+    """Staged facts laid by SKU, so that ``margin_base`` and what follows need this one shuffle, unless a SKU is so
+    hot (measured: one count per SKU, a scalar to the driver) that its rows have to be collapsed first."""
+    hottest = fact_ventas.groupBy("sku_pos").count().agg(F.max("count").alias("m")).first()["m"] or 0
+    return fact_ventas.repartition("sku_pos") if hottest <= MAX_ROWS_PER_SKU else fact_ventas
+
+
 def _mean(s, n) -> F.Column:
     """Exact sum / count, one DOUBLE division."""
     return F.col(s).cast("double") / F.when(F.col(n) > 0, F.col(n).cast("double"))
@@ -83,9 +95,26 @@ def national_price(base: DataFrame) -> DataFrame:
     return p.select("sku_pos", round_double(_mean("s", "c"), 2).alias("precio_nacional_promedio"))
 
 
-def margin_detail(base: DataFrame, dim_tiendas: DataFrame) -> DataFrame:
+def margin_by_sku(base: DataFrame) -> DataFrame:
+    """``base`` and, on each of its rows, what its SKU and store say: ``_primera`` (one row per SKU, name, category
+    and store has it), ``_store_neg``, ``_sku_any_neg`` and the SKU's national price.
+
+    Groups meet by SKU in one shuffle (none where the facts already lie by SKU) and one sort serves the three windows;
+    what follows adds up rows and needs neither another aggregate per store nor a join."""
+    rows = base.repartition("sku_pos")
+    one = Window.partitionBy("sku_pos", "tienda_id", "nombre", "categoria").orderBy("canal")
+    store, sku = Window.partitionBy("sku_pos", "tienda_id"), Window.partitionBy("sku_pos")
+    rows = rows.withColumn("_primera", F.row_number().over(one) == 1)
+    rows = rows.withColumn("_store_neg", F.sum("margen").over(store) < 0)
+    rows = rows.select("*", F.max("_store_neg").over(sku).alias("_sku_any_neg"),
+                       F.sum("ratio_pos_sum").over(sku).alias("_s"), F.sum("ratio_pos_n").over(sku).alias("_c"))
+    price = F.when(F.col("sku_pos").isNotNull(), round_double(_mean("_s", "_c"), 2))
+    return rows.withColumn("precio_nacional_promedio", price).drop("_s", "_c")
+
+
+def margin_detail(by_sku: DataFrame, dim_tiendas: DataFrame) -> DataFrame:
     """(SKU, store, channel) groups whose summed margin is negative, with the likely cause."""
-    neg = base.where(F.col("margen") < 0)
+    neg = by_sku.where(F.col("margen") < 0)
     d = neg.select(
         "sku_pos", "nombre", "categoria", "tienda_id", "canal",
         F.col("n").cast("bigint").alias("num_transacciones"),
@@ -96,8 +125,8 @@ def margin_detail(base: DataFrame, dim_tiendas: DataFrame) -> DataFrame:
         round_double(_mean("ratio_sum", "ratio_n"), 2).alias("precio_venta_promedio"),
         round_double(_mean("costo_sum", "costo_n"), 2).alias("costo_unitario_promedio"),
         round_double(_mean("pct_sum", "pct_n"), 2).alias("margen_prom_pct"),
+        "precio_nacional_promedio",
     )
-    d = d.join(national_price(base), "sku_pos", "left")
     cause = (F.when(F.col("precio_venta_promedio") < F.col("precio_nacional_promedio") * F.lit(LOW_PRICE_FACTOR), CAUSE_LOW_PRICE)
               .when((F.col("num_transacciones") <= PROMO_MAX_TRANSACTIONS) & (F.col("unidades") <= PROMO_MAX_UNITS), CAUSE_PROMO)
               .otherwise(CAUSE_SHRINK))
@@ -106,19 +135,12 @@ def margin_detail(base: DataFrame, dim_tiendas: DataFrame) -> DataFrame:
     return d.join(stores, "tienda_id", "left").select(*DETAIL_COLUMNS)
 
 
-def margin_summary(base: DataFrame) -> DataFrame:
+def margin_summary(by_sku: DataFrame) -> DataFrame:
     """Per (SKU, name, category) for SKUs with at least one store whose margin is negative."""
-    st = base.groupBy("sku_pos", "nombre", "categoria", "tienda_id").agg(
-        *[F.sum(c).alias(c) for c in _PARTIALS])
-    # one small shuffle by SKU serves both windows and the final aggregate
-    st = st.repartition("sku_pos")
-    store_margin = F.sum("margen").over(Window.partitionBy("sku_pos", "tienda_id"))
-    st = st.withColumn("_store_neg", store_margin < 0)
-    st = st.withColumn("_sku_any_neg", F.max("_store_neg").over(Window.partitionBy("sku_pos")))
-    st = st.where("_sku_any_neg")
-    s = st.groupBy("sku_pos", "nombre", "categoria").agg(
-        F.count("tienda_id").alias("tiendas_totales"),
-        F.count(F.when(F.col("_store_neg"), F.col("tienda_id"))).alias("tiendas_con_margen_negativo"),
+    store = F.when(F.col("_primera"), F.col("tienda_id"))
+    s = by_sku.where("_sku_any_neg").groupBy("sku_pos", "nombre", "categoria").agg(
+        F.count(store).alias("tiendas_totales"),
+        F.count(F.when(F.col("_store_neg"), store)).alias("tiendas_con_margen_negativo"),
         *[F.sum(c).alias(c) for c in _PARTIALS])
     avg_price = _mean("ratio_sum", "ratio_n")
     avg_cost = _mean("costo_sum", "costo_n")
@@ -154,11 +176,15 @@ def affected_stores(detail: DataFrame, skus: DataFrame | None = None) -> DataFra
 
 def negative_margin(fact_ventas: DataFrame, dim_tiendas: DataFrame, stage=None) -> MarginReport:
     """All three outputs from one base aggregate of the facts. ``stage`` (e.g. persist)
-    materialises the base, the detail and the summary once, since each feeds two outputs."""
-    stage = stage or (lambda df, name: df)
-    base = stage(margin_base(fact_ventas), "margin_base")
-    detail = stage(margin_detail(base, dim_tiendas), "margin_detail")
-    summary = stage(margin_summary(base), "margin_summary")
+    materialises the base, the detail and the summary once, since each feeds two outputs; the facts are
+    staged then too. Without it the lazy facts keep the layout of their plan."""
+    if stage is None:
+        stage = lambda df, name: df
+    else:
+        fact_ventas = meet_by_sku(fact_ventas)
+    by_sku = stage(margin_by_sku(margin_base(fact_ventas)), "margin_base")
+    detail = stage(margin_detail(by_sku, dim_tiendas), "margin_detail")
+    summary = stage(margin_summary(by_sku), "margin_summary")
     systemic = summary.where(F.col("margen_total_mxn") < 0)
     mixed = summary.where(F.col("margen_total_mxn") >= 0)
     # every summary SKU has a negative store, so each mixed SKU finds its list in the detail

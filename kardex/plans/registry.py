@@ -21,8 +21,8 @@ from kardex.operators.conform import (build_dim_tiendas, build_fact_ventas, clea
 from kardex.operators.identity import build_dim_producto, latest_attributes
 from kardex.operators.islands import stockout_runs, stockouts
 from kardex.operators.kpis import dashboard_totals, executive_kpis, kpi_report
-from kardex.operators.margin import (flatten_affected, margin_base, margin_summary, national_price, negative_margin,
-                                     top_systemic)
+from kardex.operators.margin import (flatten_affected, margin_base, margin_by_sku, margin_summary, national_price,
+                                     negative_margin, top_systemic)
 from kardex.operators.periods import channel_share, last_months_by_channel, month_over_month, monthly_share
 from kardex.operators.turnover import turnover, turnover_top
 from kardex.operators.kpi_states import code_numbers, daily_states, kpis_of
@@ -221,7 +221,7 @@ def q_neg_margin_detail(spark, d):
 
 
 def q_neg_margin_summary(spark, d):
-    return margin_summary(margin_base(_sales_model(spark, d).fact_ventas))
+    return margin_summary(margin_by_sku(margin_base(_sales_model(spark, d).fact_ventas)))
 
 
 def q_neg_margin_systemic(spark, d):

@@ -1,11 +1,13 @@
 import datetime as dt
 
+import pytest
 from retail_helpers import d, dec, ts
 from pyspark.sql import functions as F
 
+from kardex.operators import margin
 from kardex.operators.islands import lost_sales, stockout_runs
 from kardex.operators.kpis import executive_kpis
-from kardex.operators.margin import flatten_affected, negative_margin
+from kardex.operators.margin import flatten_affected, margin_base, margin_by_sku, margin_summary, national_price, negative_margin
 from kardex.operators.periods import month_over_month
 from kardex.operators.turnover import turnover, turnover_top
 
@@ -110,6 +112,33 @@ def test_cause_order_and_systemic_mixed_split(spark):
     assert {(r["sku_pos"], r["posicion"]) for r in flat} == {("P1", 1), ("P2", 1)}
 
 
+@pytest.mark.parametrize("most, base_shuffles", [(2_000_000, 1), (0, 2)])
+def test_margin_groups_meet_by_sku_once(spark, monkeypatch, most, base_shuffles):
+    """Detail and summary add up rows of one table by SKU: no join for the national price, no aggregate per store."""
+    rows = [("2026-01-01 10:00", t, s, c, q, m, 20) for t, s, c, q, m in
+            [("T1", "P1", "fisico", 1, 10), ("T1", "P1", "fisico", 2, 90), ("T1", "P1", "ecommerce", 3, 1), ("T2", "P1", "fisico", 1, 50),
+             ("T3", "P1", "fisico", 1, 25), ("T3", "P1", "ecommerce", 1, 25), ("T1", "P2", "fisico", 1, 30), ("T2", "-", "fisico", 1, 5)]]
+    fv = _fv(spark, rows).withColumn("sku_pos", F.nullif("sku_pos", F.lit("-")))
+    fv = fv.withColumn("nombre", F.when(F.col("tienda_id") == "T2", "otro").otherwise(F.col("nombre")))
+    stores = spark.createDataFrame([("T1", "A", "R", "x"), ("T2", "B", "R", "x")], STORES)
+    shuffles = {}
+
+    def stage(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        shuffles[name] = plan.count("Exchange hashpartitioning")
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    monkeypatch.setattr(margin, "MAX_ROWS_PER_SKU", most)  # beyond it a hot SKU is collapsed first
+    rep = negative_margin(fv, stores, stage=stage)
+    assert shuffles == {"margin_base": base_shuffles, "margin_detail": 2, "margin_summary": 1}  # detail: stores alone
+    base = margin_base(fv)
+    price = {r["sku_pos"]: r["precio_nacional_promedio"] for r in national_price(base).collect() if r["sku_pos"]}
+    assert {(r["sku_pos"], r["precio_nacional_promedio"]) for r in rep.detalle_por_tienda.collect()} == {("P1", price["P1"]), (None, None)}
+    got = {(r["sku_pos"], r["nombre"]): (r["tiendas_totales"], r["tiendas_con_margen_negativo"], r["num_transacciones"], r["margen_total_mxn"])
+           for r in margin_summary(margin_by_sku(base)).collect()}
+    assert got == {("P1", "nP1"): (2, 1, 5, -9.0), ("P1", "otro"): (1, 0, 1, 30.0), (None, "otro"): (1, 1, 1, -15.0)}
+
+
 def test_kpis_one_scan(spark):
     fv = _fv(spark, [("2026-01-01 10:00", "T1", "P1", "fisico", 1, 10, 1), ("2026-01-01 10:00", "ECOMMERCE", "P2", "ecommerce", 1, 5, 1)])
     r = executive_kpis(fv).first()
