@@ -223,7 +223,7 @@ def choose_strategy(right: DataFrame, by: list[str], max_versions: int = MAX_VER
 
 
 def build_fact_ventas_con_costo(fact_ventas: DataFrame, catalogo: DataFrame, dim_producto: DataFrame,
-                                strategy: str = "auto") -> DataFrame:
+                                strategy: str = "auto", parts: int | None = None) -> DataFrame:
     """product_id and ERP code by SKU, the cost in force at each sale, and the margin.
 
     Sales whose SKU has no ERP code, or whose code has no cost history, keep null cost and margin.
@@ -233,7 +233,8 @@ def build_fact_ventas_con_costo(fact_ventas: DataFrame, catalogo: DataFrame, dim
     both sides, for long histories per key) or "auto" (measured by ``choose_strategy``).
 
     Histories get their SKUs before they meet the sales: both joins then are on the SKU, so the facts
-    are shuffled once, and aggregates per SKU find them in place.
+    are shuffled once, and aggregates per SKU find them in place. ``parts`` lays facts and histories in so many
+    partitions before, for aggregates whose tasks a number of rows should bound.
     """
     by_sku = unique_lookup(dim_producto, "sku_pos", ["product_id", "sku_erp"], on_duplicate="raise")
     cat = catalogo.select("sku_erp", "fecha_vigencia", "pos", "costo_mxn", "nombre", "categoria")
@@ -243,6 +244,8 @@ def build_fact_ventas_con_costo(fact_ventas: DataFrame, catalogo: DataFrame, dim
     history = cat.join(by_sku.select("sku_pos", "sku_erp"), "sku_erp").drop("sku_erp")
     fv = asof(fact_ventas, history, ["sku_pos"], "fecha", "fecha_vigencia", ["costo_mxn", "nombre", "categoria"],
               tiebreak=["pos"], fallback_first=True)
+    if parts:
+        fact_ventas, cat = fact_ventas.repartition(parts, "sku_pos"), cat.repartition(parts, "sku_erp")
     fv = fv.join(by_sku, "sku_pos", "left")
     costo_total = (F.col("costo_mxn") * F.col("cantidad")).cast(MONEY)
     margen = (F.col("monto_mxn") - costo_total).cast(MONEY)

@@ -95,13 +95,14 @@ def national_price(base: DataFrame) -> DataFrame:
     return p.select("sku_pos", round_double(_mean("s", "c"), 2).alias("precio_nacional_promedio"))
 
 
-def margin_by_sku(base: DataFrame) -> DataFrame:
+def margin_by_sku(base: DataFrame, sku_parts: int | None = None) -> DataFrame:
     """``base`` and, on each of its rows, what its SKU and store say: ``_primera`` (one row per SKU, name, category
     and store has it), ``_store_neg``, ``_sku_any_neg`` and the SKU's national price.
 
     Groups meet by SKU in one shuffle (none where the facts already lie by SKU) and one sort serves the three windows;
-    what follows adds up rows and needs neither another aggregate per store nor a join."""
-    rows = base.repartition("sku_pos")
+    what follows adds up rows and needs neither another aggregate per store nor a join. ``sku_parts`` is the number
+    of partitions of facts that lie by SKU in a fixed number."""
+    rows = base.repartition(sku_parts, "sku_pos") if sku_parts else base.repartition("sku_pos")
     one = Window.partitionBy("sku_pos", "tienda_id", "nombre", "categoria").orderBy("canal")
     store, sku = Window.partitionBy("sku_pos", "tienda_id"), Window.partitionBy("sku_pos")
     rows = rows.withColumn("_primera", F.row_number().over(one) == 1)
@@ -174,15 +175,15 @@ def affected_stores(detail: DataFrame, skus: DataFrame | None = None) -> DataFra
         e["margen_total_mxn"].alias("margen_total_mxn"))).alias("tiendas_negativas"))
 
 
-def negative_margin(fact_ventas: DataFrame, dim_tiendas: DataFrame, stage=None) -> MarginReport:
+def negative_margin(fact_ventas: DataFrame, dim_tiendas: DataFrame, stage=None, sku_parts: int | None = None) -> MarginReport:
     """All three outputs from one base aggregate of the facts. ``stage`` (e.g. persist)
     materialises the base, the detail and the summary once, since each feeds two outputs; the facts are
-    staged then too. Without it the lazy facts keep the layout of their plan."""
+    staged then too. Without it the lazy facts keep the layout of their plan (``sku_parts``: by SKU in so many partitions)."""
     if stage is None:
         stage = lambda df, name: df
     else:
         fact_ventas = meet_by_sku(fact_ventas)
-    by_sku = stage(margin_by_sku(margin_base(fact_ventas)), "margin_base")
+    by_sku = stage(margin_by_sku(margin_base(fact_ventas), sku_parts), "margin_base")
     detail = stage(margin_detail(by_sku, dim_tiendas), "margin_detail")
     summary = stage(margin_summary(by_sku), "margin_summary")
     systemic = summary.where(F.col("margen_total_mxn") < 0)

@@ -14,12 +14,14 @@ from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kardex.operators.asof import build_fact_ventas_con_costo
 from kardex.operators.conform import (build_dim_tiendas, build_fact_inventario, build_fact_ventas, transform_ecommerce,
                                       transform_sales)
 from kardex.operators.identity import build_dim_producto
+from kardex.operators.margin import MAX_ROWS_PER_SKU
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -69,10 +71,35 @@ def stage_all(stage: Stage, frames: dict[str, DataFrame], pool=None) -> dict[str
     return {k: f.result() for k, f in futures.items()}
 
 
-def build_model(raw, stage: Stage = cache_stage, pool=None) -> Model:
+# Sales rows that one task takes where facts are laid by SKU, and the rows below which adaptive execution sizes the tasks.
+ROWS_PER_TASK = 250_000
+LAID_FROM_ROWS = 1_000_000
+
+
+def sku_partitions(raw, rows_per_task: int = ROWS_PER_TASK, laid_from: int = LAID_FROM_ROWS,
+                   max_rows: int = MAX_ROWS_PER_SKU) -> int | None:
+    """Partitions for sales facts that are laid by SKU (one count per SKU and handle over the raw sales, two scalars
+    to the driver). Adaptive execution sizes partitions by their compressed bytes, of which sums per SKU take many times as
+    much memory; a count of rows bounds a task. None for few sales, and if a SKU or handle is so hot that one
+    task should not hold its rows."""
+    keys = raw.sales.select(F.xxhash64("sku").alias("clave")).unionByName(raw.ecommerce.select(F.xxhash64("product_handle").alias("clave")))
+    found = keys.groupBy("clave").count().agg(F.sum("count").alias("rows"), F.max("count").alias("hottest")).first()
+    rows, hottest = found["rows"] or 0, found["hottest"] or 0
+    return None if hottest > max_rows else row_partitions(raw.sales.sparkSession, rows, rows_per_task, laid_from)
+
+
+def row_partitions(spark: SparkSession, rows: int, rows_per_task: int = ROWS_PER_TASK, laid_from: int = LAID_FROM_ROWS) -> int | None:
+    """Partitions for ``rows`` rows, never fewer than the session's; None for few rows."""
+    if rows <= laid_from:
+        return None
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_task))
+
+
+def build_model(raw, stage: Stage = cache_stage, pool=None, sku_parts: int | None = None) -> Model:
     """``raw`` has the seven sources (sales, tiendas, sku_map, catalogo, snapshots, ecommerce,
     exchange_rates) as attributes. The product dimension comes first: every fact keys on it.
-    The facts are returned lazily; the caller stages or writes them."""
+    The facts are returned lazily; the caller stages or writes them. ``sku_parts`` lays the sales fact by SKU
+    in so many partitions before it meets the cost histories, for answers that add up per SKU."""
     ref = stage_all(stage, {"dim_catalogo": raw.catalogo, "dim_tiendas": build_dim_tiendas(raw.tiendas)}, pool)
     catalogo, dim_tiendas = ref["dim_catalogo"], ref["dim_tiendas"]
     rates = raw.exchange_rates  # one consumer: planned inline, broadcast by its measured size
@@ -80,7 +107,7 @@ def build_model(raw, stage: Stage = cache_stage, pool=None) -> Model:
     sales_norm = transform_sales(raw.sales)
     ecom_norm = transform_ecommerce(raw.ecommerce, dim_producto, rates)
     fact = build_fact_ventas(sales_norm, ecom_norm)
-    fact_costo = build_fact_ventas_con_costo(fact, catalogo, dim_producto)
+    fact_costo = build_fact_ventas_con_costo(fact, catalogo, dim_producto, parts=sku_parts)
     return Model(
         fact_ventas=fact_costo,
         fact_inventario=build_fact_inventario(raw.snapshots, dim_producto),

@@ -21,15 +21,15 @@ from kardex.operators.conform import (build_dim_tiendas, build_fact_ventas, clea
 from kardex.operators.identity import build_dim_producto, latest_attributes
 from kardex.operators.islands import stockout_runs, stockouts
 from kardex.operators.kpis import dashboard_totals, executive_kpis, kpi_report
-from kardex.operators.margin import (flatten_affected, margin_base, margin_by_sku, margin_summary, national_price,
-                                     negative_margin, top_systemic)
+from kardex.operators.margin import (MarginReport, flatten_affected, margin_base, margin_by_sku, margin_summary,
+                                     national_price, negative_margin, top_systemic)
 from kardex.operators.periods import channel_share, last_months_by_channel, month_over_month, monthly_share
 from kardex.operators.turnover import turnover, turnover_top
 from kardex.operators.kpi_states import code_numbers, daily_states, kpis_of
 from kardex.operators.rules import suite
 from kardex.plans.analytics import run_all
 from kardex.plans.checks import answer_checks, model_checks, rate_checks
-from kardex.plans.model import Model, build_model, no_stage
+from kardex.plans.model import Model, build_model, no_stage, row_partitions, sku_partitions
 from kardex.session import ensure_checkpoint_dir
 from kardex.sinks.staging import stage_shared
 from kardex.sources import testdata as td
@@ -56,11 +56,28 @@ def _sales_sources(spark: SparkSession, d: str) -> RawSources:
     return td.load_sources(spark, d, stage=stage_shared)
 
 
+def _stage_products(df: DataFrame, name: str) -> DataFrame:
+    """The product dimension is landed (web orders, histories and facts look products up in it), the rest stays lazy."""
+    return stage_shared(df, name) if name == "dim_producto" else df
+
+
 def _sales_model(spark: SparkSession, d: str) -> Model:
     """The model for queries over the sales fact."""
     return build_model(_sales_sources(spark, d), no_stage)
 
 
+def _sku_model(spark: SparkSession, d: str) -> tuple[Model, int | None]:
+    """The model for queries that add up sales per SKU, and the number of partitions in which its sales lie by SKU."""
+    raw = _sales_sources(spark, d)
+    parts = sku_partitions(raw)
+    return build_model(raw, _stage_products, sku_parts=parts), parts
+
+
+def _negative_margin(spark: SparkSession, d: str) -> MarginReport:
+    m, parts = _sku_model(spark, d)
+    return negative_margin(m.fact_ventas, m.dim_tiendas, sku_parts=parts)
+
+
 def _inventory(spark: SparkSession, d: str) -> tuple[Model, DataFrame]:
     m = _model(spark, d)
     return m, td.activity_sales(spark, d, m.dim_producto)
@@ -216,32 +233,28 @@ def q_national_price(spark, d):
 
 
 def q_neg_margin_detail(spark, d):
-    m = _sales_model(spark, d)
-    return negative_margin(m.fact_ventas, m.dim_tiendas).detalle_por_tienda
+    return _negative_margin(spark, d).detalle_por_tienda
 
 
 def q_neg_margin_summary(spark, d):
-    return margin_summary(margin_by_sku(margin_base(_sales_model(spark, d).fact_ventas)))
+    m, parts = _sku_model(spark, d)
+    return margin_summary(margin_by_sku(margin_base(m.fact_ventas), parts))
 
 
 def q_neg_margin_systemic(spark, d):
-    m = _sales_model(spark, d)
-    return negative_margin(m.fact_ventas, m.dim_tiendas).resumen_sistemico
+    return _negative_margin(spark, d).resumen_sistemico
 
 
 def q_neg_margin_mixed(spark, d):
-    m = _sales_model(spark, d)
-    return negative_margin(m.fact_ventas, m.dim_tiendas).resumen_mixto.drop("tiendas_negativas")
+    return _negative_margin(spark, d).resumen_mixto.drop("tiendas_negativas")
 
 
 def q_mixed_affected_stores(spark, d):
-    m = _sales_model(spark, d)
-    return flatten_affected(negative_margin(m.fact_ventas, m.dim_tiendas).resumen_mixto)
+    return flatten_affected(_negative_margin(spark, d).resumen_mixto)
 
 
 def q_top5_systemic(spark, d):
-    m = _sales_model(spark, d)
-    return top_systemic(negative_margin(m.fact_ventas, m.dim_tiendas).resumen_sistemico, 5)
+    return top_systemic(_negative_margin(spark, d).resumen_sistemico, 5)
 
 
 def q_exec_kpis(spark, d):
