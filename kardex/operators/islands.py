@@ -38,7 +38,7 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], value: str,
 
 
 def stockout_runs(fact_inventario: DataFrame, start=None, end=None, min_days: int = 3,
-                  calendar: bool = False, block: str | None = None) -> DataFrame:
+                  calendar: bool = False, block: str | None = None, parts: int | None = None) -> DataFrame:
     """Runs of zero-stock snapshots per (store, SKU), clipped to the period, of at least
     ``min_days`` rows.
 
@@ -50,10 +50,13 @@ def stockout_runs(fact_inventario: DataFrame, start=None, end=None, min_days: in
     a pair with a third of all rows shrinks to its days while it is read, and a window group holds days, not
     rows. ``block`` (a ``trunc`` unit) makes the running count a segmented scan over (pair, block), for
     histories that are long even so; a run is put together from its days wherever they were counted.
+    ``parts``: the days of the pairs meet in so many partitions, so that their number bounds a task.
     """
     inv = fact_inventario.where(date_between("fecha", start, end) & F.col("sku_pos").isNotNull())
     en_quiebre = F.coalesce(F.col("cantidad_en_stock") == 0, F.lit(False))
     daily = inv.groupBy(*RUN_KEYS, "fecha").agg(F.count_if(en_quiebre).alias("_ceros"), F.count_if(~en_quiebre).alias("_otros"))
+    if parts:
+        daily = daily.repartition(parts, *RUN_KEYS)
     if calendar:
         days = daily.where("_ceros > 0").select(*RUN_KEYS, "fecha", F.lit(1).alias("_dias"))
         days = running_total(days, RUN_KEYS, ["fecha"], "_dias", "_rango", block)
@@ -75,14 +78,14 @@ def daily_units(fact_ventas: DataFrame, channel: str = PHYSICAL, start=None, end
 
 
 def lost_sales(runs: DataFrame, fact_ventas: DataFrame, dim_tiendas: DataFrame,
-               lookback_days: int = 14, channel: str = PHYSICAL, start=None, end=None) -> DataFrame:
+               lookback_days: int = 14, channel: str = PHYSICAL, start=None, end=None, parts: int | None = None) -> DataFrame:
     """Mean daily units in the ``lookback_days`` before each run x run length.
 
     No sales in the window gives 0. Units up to a day are a running total per (store, SKU); a run asks
     for it at two days, the last of its window and the last before it, and the answer is the difference. Questions
     and daily sales run together through one sorted scan, so there is no range join and no row per
     (run, day). If the runs begin in [start, end], only sales from ``start`` - lookback to ``end`` - 1
-    can count, and only those are read.
+    can count, and only those are read. ``parts``: sales and questions meet in so many partitions.
     """
     lo = as_date(start) - dt.timedelta(days=lookback_days) if start is not None else None
     hi = as_date(end) - dt.timedelta(days=1) if end is not None else None
@@ -93,7 +96,10 @@ def lost_sales(runs: DataFrame, fact_ventas: DataFrame, dim_tiendas: DataFrame,
     asked = asked.select(*RUN_KEYS, "dia", F.lit(1).alias("_lado"), F.lit(0).cast("bigint").alias("unidades"), "signo", "_run")
     sold = daily.select(*RUN_KEYS, "dia", F.lit(0).alias("_lado"), F.coalesce("unidades", F.lit(0)).cast("bigint").alias("unidades"),
                         F.lit(None).cast("int").alias("signo"), F.lit(None).cast(asked.schema["_run"].dataType).alias("_run"))
-    total = running_total(sold.unionByName(asked), RUN_KEYS, ["dia", "_lado"], "unidades", "_hasta")
+    both = sold.unionByName(asked)
+    if parts:
+        both = both.repartition(parts, *RUN_KEYS)
+    total = running_total(both, RUN_KEYS, ["dia", "_lado"], "unidades", "_hasta")
     look = total.where("_lado = 1").groupBy(*RUN_KEYS, "_run").agg(
         (F.sum(F.col("signo") * F.col("_hasta")).cast("double") / F.lit(float(lookback_days))).alias("_avg"))
     look = look.select(*RUN_KEYS, "_run.*", "_avg")
@@ -108,9 +114,11 @@ def lost_sales(runs: DataFrame, fact_ventas: DataFrame, dim_tiendas: DataFrame,
 
 
 def stockouts(fact_inventario: DataFrame, fact_ventas: DataFrame, dim_tiendas: DataFrame, start=None, end=None,
-              min_days: int = 3, lookback_days: int = 14, calendar: bool = False) -> DataFrame:
-    """Stock-out report ordered by estimated lost units, then run length."""
-    runs = stockout_runs(fact_inventario, start, end, min_days, calendar)
-    return lost_sales(runs, fact_ventas, dim_tiendas, lookback_days, start=start, end=end).orderBy(
+              min_days: int = 3, lookback_days: int = 14, calendar: bool = False, inventory_parts: int | None = None,
+              sales_parts: int | None = None) -> DataFrame:
+    """Stock-out report ordered by estimated lost units, then run length. ``inventory_parts`` and ``sales_parts`` are the
+    partitions in which the days of the snapshots and of the sales meet (None: sized by adaptive execution)."""
+    runs = stockout_runs(fact_inventario, start, end, min_days, calendar, parts=inventory_parts)
+    return lost_sales(runs, fact_ventas, dim_tiendas, lookback_days, start=start, end=end, parts=sales_parts).orderBy(
         F.col("ventas_perdidas_estimadas").desc(), F.col("dias_en_quiebre").desc(),
         "tienda_id", "sku_pos", "inicio_quiebre")

@@ -203,8 +203,9 @@ def q_stockout_lost_sales_period(spark, d):
 
 def q_stockout_lost_sales_model_facts(spark, d):
     """Lookback over the model's own sales fact (no sales on the snapshot days -> zero)."""
-    m = _sales_model(spark, d)
-    return stockouts(m.fact_inventario, m.fact_ventas, m.dim_tiendas)
+    m, parts = _sku_model(spark, d)
+    inventory = stage_shared(m.fact_inventario, "fact_inventario")
+    return stockouts(inventory, m.fact_ventas, m.dim_tiendas, inventory_parts=row_partitions(spark, inventory.count()), sales_parts=parts)
 
 
 def q_mom_channel(spark, d):

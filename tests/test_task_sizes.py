@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from kardex.operators.islands import stockouts
 from kardex.operators.margin import margin_base, margin_by_sku, margin_summary
 from kardex.plans.model import build_model, no_stage, row_partitions, sku_partitions
 from kardex.sources import testdata as td
@@ -40,3 +41,13 @@ def test_summary_on_facts_laid_by_sku(spark):
     assert rows_of(laid) == rows_of(plain) and plain.count() > 0
     per_sku = exchanges(laid, ["sku_pos", "nombre", "categoria", "tienda_id", "canal"])
     assert (("sku_pos",), 37) in per_sku and not [ks for ks, _ in per_sku if "tienda_id" in ks]  # groups form where the facts lie
+
+
+def test_stockouts_in_counted_partitions(spark):
+    m = build_model(td.load_sources(spark, SF), no_stage)
+    act = td.activity_sales(spark, SF, m.dim_producto)
+    plain = stockouts(m.fact_inventario, act, m.dim_tiendas)
+    parts = stockouts(m.fact_inventario, act, m.dim_tiendas, inventory_parts=41, sales_parts=43)
+    assert rows_of(parts) == rows_of(plain) and plain.count() > 0
+    met = exchanges(parts, ["tienda_id", "sku_pos"])
+    assert {n for _, n in met} >= {41, 43}
