@@ -136,7 +136,7 @@ def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     """As-of join by sorting instead of joining: skew-safe on BOTH sides.
 
     Left and right rows are unioned and grouped by (key, bucket). By default a key with at most
-    ``max_rows`` rows is one bucket, and one with more is cut at quantiles of its own times
+    ``max_rows`` rows is one bucket (without larger keys one sort then does the whole join), and one with more is cut at quantiles of its own times
     (``hot_splits``); if one instant fills several buckets, its left rows are dealt over them and its right
     row comes first. ``bucket`` may name a ``date_trunc`` unit instead.
     Inside each group the latest right row is carried forward (right rows sort first at equal
@@ -163,6 +163,15 @@ def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
                      *[F.col(c).alias("_tb_" + c) for c in tb],
                      F.lit(None).cast(row_type).alias("_row"), F.struct(*value_cols).alias("_val"))
     order = ["_t", "_side"] + ["_tb_" + c for c in tb]
+    vals_of = lambda out, vals: out.select(*[F.col("_row." + c) for c in columns if c not in value_cols], *[v.alias(c) for v, c in zip(vals, value_cols)])
+    if bucket == "auto" and splits is None:  # a key is one group: nothing to carry, and its first right row is in it
+        group = Window.partitionBy(*keys).orderBy(*order)
+        so_far, whole = (group.rowsBetween(Window.unboundedPreceding, end) for end in (0, Window.unboundedFollowing))
+        latest = F.last("_val", ignorenulls=True).over(so_far).alias("_v")
+        first = [F.first("_val", ignorenulls=True).over(whole).alias("_first")] if fallback_first else []
+        out = l.unionByName(r).select("_can", "_side", "_row", latest, *first).where(F.col("_side") == 1)
+        return vals_of(out, [F.when(F.col("_can"), F.coalesce(F.col("_v." + c), F.col("_first." + c)) if fallback_first else F.col("_v." + c))
+                             for c in value_cols])
     every_r = r
     if splits is not None:  # of the right rows at one time only the last is ever in force
         last = F.struct(*["_tb_" + c for c in tb]) if tb else F.struct("_val")
@@ -180,25 +189,20 @@ def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     w_carry = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = all_buckets.groupBy(*keys, "_b").agg(F.max("_last").alias("_last")) \
         .select(*keys, "_b", F.last("_last", ignorenulls=True).over(w_carry).alias("_carry"))
-    if bucket == "auto" and splits is None:  # a key is one bucket: nothing to carry
-        out = filled.withColumn("_carry", F.lit(None).cast(val_type))
-    else:
-        out = filled.join(carry, [*keys, "_b"], "left")
+    out = filled.join(carry, [*keys, "_b"], "left")
     out = out.withColumn("_v", F.when(F.col("_can"), F.coalesce(F.col("_local"), F.col("_carry"))))
     vals = [F.col("_v." + c) for c in value_cols]
     if fallback_first:  # before the first right row, or a null value in force: the first row's value
         firsts = every_r.groupBy(*keys).agg(F.min_by("_val", F.struct(*order)).alias("_first"))
         out = out.join(firsts, keys, "left")
         vals = [F.when(F.col("_can"), F.coalesce(F.col("_v." + c), F.col("_first." + c))) for c in value_cols]
-    return out.select(*[F.col("_row." + c) for c in columns if c not in value_cols], *[v.alias(c) for v, c in zip(vals, value_cols)])
+    return vals_of(out, vals)
 
 
 def _with_bucket(side: DataFrame, bucket: str, splits: DataFrame | None, keys: list[str]) -> DataFrame:
     """``_b``: the bucket of each row of one side of the sorted strategy."""
     if bucket != "auto":
         return side.withColumn("_b", F.date_trunc(bucket, F.col("_t")))
-    if splits is None:
-        return side.withColumn("_b", F.lit(0))
     same = F.col("_can")
     for i, k in enumerate(keys):
         same = same & (F.col(k) == F.col(f"_s{i}"))
@@ -240,12 +244,12 @@ def build_fact_ventas_con_costo(fact_ventas: DataFrame, catalogo: DataFrame, dim
     cat = catalogo.select("sku_erp", "fecha_vigencia", "pos", "costo_mxn", "nombre", "categoria")
     if strategy == "auto":
         strategy = choose_strategy(cat, ["sku_erp"])
+    if parts:
+        fact_ventas, cat = fact_ventas.repartition(parts, "sku_pos"), cat.repartition(parts, "sku_erp")
     asof = asof_join if strategy == "intervals" else asof_locf
     history = cat.join(by_sku.select("sku_pos", "sku_erp"), "sku_erp").drop("sku_erp")
     fv = asof(fact_ventas, history, ["sku_pos"], "fecha", "fecha_vigencia", ["costo_mxn", "nombre", "categoria"],
               tiebreak=["pos"], fallback_first=True)
-    if parts:
-        fact_ventas, cat = fact_ventas.repartition(parts, "sku_pos"), cat.repartition(parts, "sku_erp")
     fv = fv.join(by_sku, "sku_pos", "left")
     costo_total = (F.col("costo_mxn") * F.col("cantidad")).cast(MONEY)
     margen = (F.col("monto_mxn") - costo_total).cast(MONEY)

@@ -115,7 +115,7 @@ def q_asof_cost_margin(spark, d):
 def q_asof_cost_margin_sorted(spark, d):
     """The cost in force through the sort-based (skew-safe) as-of strategy."""
     raw = _sales_sources(spark, d)
-    m = build_model(raw, no_stage)
+    m = build_model(raw, _stage_products)
     fact = build_fact_ventas(transform_sales(raw.sales),
                              transform_ecommerce(raw.ecommerce, m.dim_producto, raw.exchange_rates))
     return money_as_double(build_fact_ventas_con_costo(fact, m.dim_catalogo, m.dim_producto, strategy="sorted"))

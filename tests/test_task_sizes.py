@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from kardex.operators.asof import asof_locf
 from kardex.operators.islands import stockouts
 from kardex.operators.margin import margin_base, margin_by_sku, margin_summary
 from kardex.plans.model import build_model, no_stage, row_partitions, sku_partitions
@@ -51,3 +52,12 @@ def test_stockouts_in_counted_partitions(spark):
     assert rows_of(parts) == rows_of(plain) and plain.count() > 0
     met = exchanges(parts, ["tienda_id", "sku_pos"])
     assert {n for _, n in met} >= {41, 43}
+
+
+def test_sorted_asof_shuffles_the_rows_once(spark):
+    left = spark.createDataFrame([(1, 5, "a"), (1, 1, "b"), (2, 9, "c"), (None, 3, "d"), (3, 3, "e"), (1, None, "f")], "k int, t int, x string")
+    right = spark.createDataFrame([(1, 2, 20), (1, 4, None), (2, 9, 90), (2, None, 7), (None, 1, 8)], "k int, rt int, v int")
+    stamp = lambda df, c: df.withColumn(c, F.timestamp_seconds(F.col(c)).cast("timestamp_ntz"))
+    out = asof_locf(stamp(left, "t"), stamp(right, "rt"), ["k"], "t", "rt", ["v"], fallback_first=True)
+    assert {r["x"]: r["v"] for r in out.collect()} == {"a": 20, "b": 20, "c": 90, "d": None, "e": None, "f": None}
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
