@@ -136,8 +136,8 @@ def asof_locf(left: DataFrame, right: DataFrame, by: list[str], left_on: str, ri
     """As-of join by sorting instead of joining: skew-safe on BOTH sides.
 
     Left and right rows are unioned and grouped by (key, bucket). By default a key with at most
-    ``max_rows`` rows is one bucket (without larger keys one sort then does the whole join), and one with more is cut at quantiles of its own times
-    (``hot_splits``); if one instant fills several buckets, its left rows are dealt over them and its right
+    ``max_rows`` rows is one bucket (without larger keys one sort then does the whole join), and one with more is
+    cut at quantiles of its own times (``hot_splits``); if one instant fills several buckets, its left rows are dealt over them and its right
     row comes first. ``bucket`` may name a ``date_trunc`` unit instead.
     Inside each group the latest right row is carried forward (right rows sort first at equal
     times, so exact matches count; ``tiebreak`` orders right rows on equal times, the last wins).
