@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -59,3 +60,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = configured or tempfile.mkdtemp(prefix="kardex-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+@contextmanager
+def planned_with(spark: SparkSession, settings: dict[str, str]):
+    """Jobs inside run under these settings of the planner; afterwards the session has its own again. What is
+    planned later (lazy frames that leave the block) is not under them."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
